@@ -36,22 +36,25 @@ def lcs_length(a: list[str], b: list[str]) -> int:
     return len(b) - row.bit_count()
 
 
-def lcs_places(reference: list[str], candidate: list[str]) -> list[int]:
+def lcs_places(reference: list[str], masks: dict[str, int], candidate: list[str]) -> list[int]:
     """Places in ``reference`` of one longest common subsequence, last first.
 
-    Walking back from the end, equal tokens are taken; otherwise the walk moves in
-    the candidate only if that keeps strictly more, else in the reference.  Every
-    k-th row is kept and rows between are rebuilt, so memory grows with
-    n^1.5 bits instead of n^2.
+    ``masks`` are the candidate's.  Walking back from the end, equal tokens are taken;
+    otherwise the walk moves in the candidate only if that keeps strictly more, else
+    in the reference.  Reference tokens the candidate lacks never change a row, so they
+    are left out.  Every k-th row is kept and rows between are rebuilt, so memory
+    grows with n^1.5 bits instead of n^2.
     """
-    masks, full = _masks(candidate), (1 << len(candidate)) - 1
-    rows = len(reference)
-    stride = max(64, isqrt(rows))
+    shared = [place for place, token in enumerate(reference) if token in masks]
+    steps = [masks[reference[place]] for place in shared]
+    full = (1 << len(candidate)) - 1
+    stride = max(64, isqrt(len(steps)))
     kept, row = [full], full
-    for i, token in enumerate(reference, start=1):
-        row = _next_row(row, masks.get(token, 0), full)
+    for i, mask in enumerate(steps, start=1):
+        row = _next_row(row, mask, full)
         if i % stride == 0:
             kept.append(row)
+    wanted = len(candidate) - row.bit_count()
 
     block_start, block = -1, []
 
@@ -60,20 +63,20 @@ def lcs_places(reference: list[str], candidate: list[str]) -> list[int]:
         start = i // stride
         if start != block_start:
             block_start, block = start, [kept[start]]
-            for token in reference[start * stride : min(rows, (start + 1) * stride - 1)]:
-                block.append(_next_row(block[-1], masks.get(token, 0), full))
+            for mask in steps[start * stride : (start + 1) * stride - 1]:
+                block.append(_next_row(block[-1], mask, full))
         return block[i - start * stride]
 
-    def kept_tokens(row: int, j: int) -> int:
+    def common(row: int, j: int) -> int:
         return j - (row & ((1 << j) - 1)).bit_count()
 
-    places = []
-    i, j = rows, len(candidate)
-    while i and j:
-        if reference[i - 1] == candidate[j - 1]:
-            places.append(i - 1)
+    places: list[int] = []
+    i, j = len(steps), len(candidate)
+    while len(places) < wanted:
+        if steps[i - 1] >> (j - 1) & 1:
+            places.append(shared[i - 1])
             i, j = i - 1, j - 1
-        elif kept_tokens(row_at(i), j - 1) > kept_tokens(row_at(i - 1), j):
+        elif common(row_at(i), j - 1) > common(row_at(i - 1), j):
             j -= 1
         else:
             i -= 1
@@ -88,13 +91,14 @@ def union_hits(references: list[list[str]], candidates: list[list[str]]) -> int:
     """
     left_reference = Counter(t for s in references for t in s)
     left_candidate = Counter(t for s in candidates for t in s)
-    vocabularies = [set(s) for s in candidates]
+    all_masks = [_masks(s) for s in candidates]
     hits = 0
     for sentence in references:
         covered: set[int] = set()
-        for candidate, vocabulary in zip(candidates, vocabularies, strict=True):
-            if not vocabulary.isdisjoint(sentence):
-                covered.update(lcs_places(sentence, candidate))
+        words = set(sentence)
+        for candidate, masks in zip(candidates, all_masks, strict=True):
+            if not words.isdisjoint(masks):
+                covered.update(lcs_places(sentence, masks, candidate))
         for place in sorted(covered):
             token = sentence[place]
             if left_candidate[token] > 0 and left_reference[token] > 0:

@@ -42,31 +42,27 @@ def length_histogram(df: DataFrame, length: str = "length", bins: int = 50) -> D
     around it, as numeric libraries do.
     """
     counted = length_counts(df, length)
-    bounds = counted.agg(F.min("length").alias("_lo"), F.max("length").alias("_hi"))
-    same = F.col("_lo") == F.col("_hi")
-    bounds = bounds.where(F.col("_lo").isNotNull()).select(
-        F.when(same, F.col("_lo") - 0.5).otherwise(F.col("_lo").cast("double")).alias("lo"),
-        F.when(same, F.col("_hi") + 0.5).otherwise(F.col("_hi").cast("double")).alias("hi"),
-    )
-    edges = bounds.select(
-        "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
-    )
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    ends = counted.agg(F.struct(F.min("length").alias("lo"), F.max("length").alias("hi"))).scalar()
+    same = ends["lo"] == ends["hi"]
+    lo = F.when(same, ends["lo"] - 0.5).otherwise(ends["lo"].cast("double"))
+    hi = F.when(same, ends["hi"] + 0.5).otherwise(ends["hi"].cast("double"))
     counts = (
         counted.select(bin_of(F.col("length"), lo, hi, bins).alias("bin"), "n")
         .groupBy("bin")
         .agg(F.sum("n").alias("n"))
     )
-    width = (F.col("hi") - F.col("lo")) / bins
-    return edges.join(counts, "bin", "left").select(
-        F.col("bin").cast("long").alias("bin"),
-        (F.col("lo") + F.col("bin") * width).alias("low"),
-        (F.col("lo") + (F.col("bin") + 1) * width).alias("high"),
+    width = (hi - lo) / bins
+    # the fixed list of bins is tiny
+    edges = df.sparkSession.range(bins).select(F.col("id").alias("bin")).where(ends["lo"].isNotNull())
+    return F.broadcast(counts).join(edges, "bin", "right").select(
+        "bin",
+        (lo + F.col("bin") * width).alias("low"),
+        (lo + (F.col("bin") + 1) * width).alias("high"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
 
 
 def bin_of(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     return F.least(
-        F.lit(bins - 1), F.floor((value - lo) * F.lit(float(bins)) / (hi - lo)).cast("int")
+        F.lit(bins - 1).cast("long"), F.floor((value - lo) * F.lit(float(bins)) / (hi - lo)).cast("long")
     )

@@ -31,17 +31,18 @@ def running_total(
 ) -> DataFrame:
     """Add the sum of ``value`` over earlier rows of the group, and the group sum.
 
-    ``order`` is an integer column, unique within a group.  No window covers more
-    than ``SPAN`` rows, except the last one over range-of-range sums: one row per
-    2^32 order values.
+    ``order`` is an integer column, unique within a group.  Two passes over ``df``: one
+    reads only keys, ``order`` and ``value`` and stores a sum per range (a row per
+    ``SPAN`` order values), the other adds the sums to the rows.  No window covers
+    more than ``SPAN`` rows, except the last one over range-of-range sums: one row
+    per 2^32 order values.
     """
     keys = list(keys)
-    marked = (
-        df.withColumn("_v", value.cast("long"))
-        .withColumn("_r1", F.shiftright(F.col(order).cast("long"), SPAN_BITS))
-        .withColumn("_r2", F.shiftright(F.col(order).cast("long"), 2 * SPAN_BITS))
-    )
-    sums1 = marked.groupBy(*keys, "_r2", "_r1").agg(F.sum("_v").alias("_s1"))
+    range1 = F.shiftright(F.col(order).cast("long"), SPAN_BITS)
+    marked = df.withColumn("_v", value.cast("long")).withColumn("_r1", range1)
+    sums1 = written(
+        marked.groupBy(*keys, "_r1").agg(F.sum("_v").alias("_s1")), "range-sums"
+    ).withColumn("_r2", F.shiftright("_r1", SPAN_BITS))
     sums2 = sums1.groupBy(*keys, "_r2").agg(F.sum("_s1").alias("_s2"))
 
     top = Window.partitionBy(*keys)

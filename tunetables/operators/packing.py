@@ -6,25 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunetables.operators.ordering import running_total
+from tunetables.session import written
 
 
 def pack(df: DataFrame, ids: str, block_length: int, order: str = "idx") -> DataFrame:
     """``(block, n_tokens, ids)``: token streams concatenated in ``order`` and cut.
 
-    Each row's place in the stream is a running total of row lengths, computed over
+    Encoded rows are stored once with their lengths, so the pass that adds up lengths
+    reads no ids and nothing is encoded twice.  Each row's place in the stream is a running total of row lengths, computed over
     bounded ranges of ``order``; rows that cross a block boundary are sliced.  A block
     gathers at most ``block_length`` tokens.  The last block may be shorter; no
     token is dropped.
     """
-    some = df.where(F.size(ids) > 0).select(order, F.col(ids).alias("ids"))
-    placed = running_total(some, [], order, F.size("ids"), before="start")
+    stored = written(df.select(order, F.col(ids).alias("ids"), F.size(ids).alias("n")), "encoded")
+    placed = running_total(stored.where(F.col("n") > 0), [], order, F.col("n"), before="start")
     first = F.floor(F.col("start") / block_length)
-    last = F.floor((F.col("start") + F.size("ids") - 1) / block_length)
+    last = F.floor((F.col("start") + F.col("n") - 1) / block_length)
     start_in_row = F.greatest(F.lit(0), F.col("block") * block_length - F.col("start"))
     end_in_row = F.least(
-        F.size("ids").cast("long"), (F.col("block") + 1) * block_length - F.col("start")
+        F.col("n").cast("long"), (F.col("block") + 1) * block_length - F.col("start")
     )
-    pieces = placed.select("start", "ids", F.explode(F.sequence(first, last)).alias("block")).select(
+    pieces = placed.select("start", "n", "ids", F.explode(F.sequence(first, last)).alias("block")).select(
         "block",
         "start",
         F.slice("ids", (start_in_row + 1).cast("int"), (end_in_row - start_in_row).cast("int")).alias(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunetables.functions import text as tx
+from tunetables.functions.rows import computed_once
 
 MIN_TOKENS = 5  # shortest usable answer
 LENGTH_SHARE = 0.9  # share of the length budget a prompt with answer may fill
@@ -83,13 +84,12 @@ def answers_differ() -> Column:
 
 def with_lengths(df: DataFrame, tokenizer=None, n_special: int = 0) -> DataFrame:
     """Add ``prompt_len``, ``chosen_len`` and ``rejected_len`` token counts."""
-    return df.select(
-        "*",
-        *[
-            tx.token_count(F.col(c), tokenizer, n_special).alias(f"{c}_len")
-            for c in ("prompt", "chosen", "rejected")
-        ],
-    )
+    counts = {
+        f"{c}_len": tx.token_count(F.col(c), tokenizer, n_special)
+        for c in ("prompt", "chosen", "rejected")
+    }
+    # a UDF cannot stand inside a generator, and is kept single by its own marking
+    return df.withColumns(counts) if tokenizer else computed_once(df, **counts)
 
 
 def fits(max_length: int) -> Column:

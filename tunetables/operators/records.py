@@ -94,21 +94,41 @@ JSON_MAP = "map<string,string>"
 NON_FINITE = ['"NaN"', '"Infinity"', '"-Infinity"']
 
 
-def json_object(text: Column) -> Column:
-    """A JSON object as a map of raw values; NULL when it is not one whole object.
+def _json_objects(text: Column) -> Column:
+    """Array of the one map a JSON object gives, or of NULL when text is not one.
 
     The parser stops at the first complete value, so the text is read as the first
     element of an array with an end mark behind it: anything left over after the
-    object shows as a missing or misplaced mark.
+    object shows as a missing or misplaced mark.  Wrapping the result binds it to a
+    name, so each text is parsed once however often the result is used.
     """
     marked = F.concat(F.lit("["), text, F.lit(',{"end":1}]'))
-    parts = F.from_json(marked, f"array<{JSON_MAP}>")
-    whole = (F.size(parts) == 2) & (F.try_element_at(F.get(parts, F.lit(1)), F.lit("end")) == "1")
-    unquoted = F.transform_values(
-        F.get(parts, F.lit(0)),
-        lambda _, v: F.when(v.isin(NON_FINITE), F.trim(v, F.lit('"'))).otherwise(v),
-    )
-    return F.when(whole, unquoted)
+
+    def whole_object(parts: Column) -> Column:
+        ended = F.try_element_at(F.get(parts, F.lit(1)), F.lit("end")) == "1"
+        unquoted = F.transform_values(
+            F.get(parts, F.lit(0)),
+            lambda _, v: F.when(v.isin(NON_FINITE), F.trim(v, F.lit('"'))).otherwise(v),
+        )
+        return F.when((F.size(parts) == 2) & ended, unquoted)
+
+    return F.transform(F.array(F.from_json(marked, f"array<{JSON_MAP}>")), whole_object)
+
+
+def json_object(text: Column) -> Column:
+    """A JSON object as a map of raw values; NULL when it is not one whole object."""
+    return F.get(_json_objects(text), F.lit(0))
+
+
+def with_record(df: DataFrame, text: str) -> DataFrame:
+    """Replace a JSON column by ``record`` (map); rows that are no JSON object drop out.
+
+    Written as a generator, through which no later filter is pushed: a pushed filter
+    would parse the text again for each use of the record.
+    """
+    others = [c for c in df.columns if c != text]
+    found = F.array_compact(_json_objects(strip(F.col(text))))
+    return df.select(*others, F.explode(found).alias("record"))
 
 
 def parsed_lines(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -116,25 +136,19 @@ def parsed_lines(lines: DataFrame, line: str = "line") -> DataFrame:
 
     Permissive reading: bad lines stay visible with a 50-character ``preview``.
     """
+    others = [c for c in lines.columns if c != line]
     text = strip(F.col(line))
-    return (
-        lines.withColumn("_text", text)
-        .withColumn("record", json_object(F.col("_text")))
-        .withColumn(
-            "status",
-            F.when(F.col("_text") == "", "blank")
-            .when(F.col("record").isNull(), "bad")
-            .otherwise("good"),
-        )
-        .withColumn(
-            "preview", F.when(F.col("status") == "bad", F.substring("_text", 1, PREVIEW_CHARS))
-        )
-        .drop("_text", line)
+    parsed = lines.select(*others, text.alias("_text"), F.explode(_json_objects(text)).alias("record"))
+    status = (
+        F.when(F.col("_text") == "", "blank").when(F.col("record").isNull(), "bad").otherwise("good")
     )
+    preview = F.when(F.col("status") == "bad", F.substring("_text", 1, PREVIEW_CHARS))
+    return parsed.withColumn("status", status).withColumn("preview", preview).drop("_text")
 
 
 def good_records(lines: DataFrame, line: str = "line") -> DataFrame:
-    return parsed_lines(lines, line).where(F.col("status") == "good").drop("status", "preview")
+    """Records of the good lines."""
+    return with_record(lines, line)
 
 
 def strict_records(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -219,13 +233,12 @@ def normalised(
         )
     )
     return (
-        raw.withColumn("record", json_object(F.col(logs)))
-        .where(F.col("record").isNotNull())
+        with_record(raw, logs)
         .withColumn("type", record_kind(record, log_steps))
         .where(F.col("type").isNotNull())
         .withColumn("epoch", round4(number(record, "epoch", 0.0)))
         .withColumn("metrics", metrics)
-        .drop("record", logs)
+        .drop("record")
     )
 
 

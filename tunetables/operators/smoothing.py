@@ -62,6 +62,8 @@ def _own(chunks: DataFrame, df: DataFrame) -> DataFrame:
 
 # Powers of the decay ratio in a block stay above 1e-260, well inside double range.
 _LOG_RANGE = 600.0
+# A factor of e^-80 is lost in a double's rounding.
+_NEGLIGIBLE = -80.0
 
 
 def exponential_average(
@@ -82,7 +84,7 @@ def exponential_average(
 
 
 def _decaying_sum(
-    df: DataFrame, keys: list[str], pos: str, x: str, log_ratio: float, out: str
+    df: DataFrame, keys: list[str], pos: str, x: str, log_ratio: float, out: str, level: int = 0
 ) -> DataFrame:
     """``s[t] = x[t] + ratio * s[t-1]`` along dense 0-based positions.
 
@@ -91,27 +93,28 @@ def _decaying_sum(
     ratio of a whole block; once that ratio is below any double's precision, only
     the block directly before matters and the recursion ends.
     """
+    block, local, carry = f"_block{level}", f"_local{level}", f"_carry{level}"
     size = max(1, min(SPAN, int(_LOG_RANGE / -log_ratio)))
-    block = F.floor(F.col(pos) / size).cast("long")
     place = (F.col(pos) % size).cast("double")
     scale = F.exp(place * log_ratio)
-    along = Window.partitionBy(*keys, "_block").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    local = df.withColumn("_block", block).withColumn(
-        "_local", F.sum(F.col(x) / scale).over(along) * scale
+    along = Window.partitionBy(*keys, block).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    inside = df.withColumn(block, F.floor(F.col(pos) / size).cast("long")).withColumn(
+        local, F.sum(F.col(x) / scale).over(along) * scale
     )
-    ends = local.where(F.col(pos) % size == size - 1).select(
-        *keys, "_block", F.col("_local").alias("_carry")
+    ends = inside.where(F.col(pos) % size == size - 1).select(
+        *keys, block, F.col(local).alias(carry)
     )
     block_log_ratio = size * log_ratio
-    if block_log_ratio > -_LOG_RANGE + 50:
-        ends = _decaying_sum(ends, keys, "_block", "_carry", block_log_ratio, "_sum").select(
-            *keys, "_block", F.col("_sum").alias("_carry")
+    if block_log_ratio > _NEGLIGIBLE:
+        total = f"_total{level}"
+        ends = _decaying_sum(ends, keys, block, carry, block_log_ratio, total, level + 1).select(
+            *keys, block, F.col(total).alias(carry)
         )
-    carried = ends.withColumn("_block", F.col("_block") + 1)
-    from_before = F.exp((place + 1) * log_ratio) * F.coalesce("_carry", F.lit(0.0))
+    carried = ends.withColumn(block, F.col(block) + 1)
+    from_before = F.exp((place + 1) * log_ratio) * F.coalesce(carry, F.lit(0.0))
     return (
-        local.join(carried, [*keys, "_block"], "left")
-        .withColumn(out, F.col("_local") + from_before)
+        inside.join(carried, [*keys, block], "left")
+        .withColumn(out, F.col(local) + from_before)
         .select(*df.columns, out)
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunetables.functions import text as tx
+from tunetables.functions.rows import computed_once
 from tunetables.operators import chats, pairs, vocab
 
 
@@ -14,7 +15,7 @@ def sft_set(
 ) -> DataFrame:
     """``(idx, text)`` of the chats that fit, from rows holding whole chats."""
     first = pairs.first_rows(rows, max_samples)
-    rendered = first.select("idx", tx.render_chat(F.col("chosen")).alias("text"))
+    rendered = computed_once(first.select("idx", "chosen"), text=tx.render_chat(F.col("chosen")))
     counted = rendered.withColumn("length", tx.token_count(F.col("text"), tokenizer))
     return chats.short_chats(counted, max_length).select("idx", "text")
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tunetables.operators.records import json_object, normalised, number
+from tunetables.operators.records import normalised, number, with_record
 from tunetables.sources.runlogs import log_lines
 
 
@@ -45,8 +45,7 @@ def summary_columns(record: Column, step: Column) -> list[Column]:
 
 def running_summary(raw: DataFrame) -> DataFrame:
     """Summary per run of trainer records ``(run_id, step, logs)``, static or streaming."""
-    parsed = raw.withColumn("record", json_object(F.col("logs"))).where(F.col("record").isNotNull())
-    return parsed.groupBy("run_id").agg(*summary_columns(F.col("record"), F.col("step")))
+    return with_record(raw, "logs").groupBy("run_id").agg(*summary_columns(F.col("record"), F.col("step")))
 
 
 def start_summary(raw: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
