@@ -19,12 +19,17 @@ def round4(x: Column) -> Column:
     value is compared with the midpoint exactly: the product with 2*10^4 is
     formed from two half-width parts, each free of rounding error.
     """
-    low = F.floor(x * _SCALE).cast("double")
-    high_part = x * _SPLIT - (x * _SPLIT - x)
-    above = (high_part * (2 * _SCALE) - (2 * low + 1)) + (x - high_part) * (2 * _SCALE)
-    up = (above > 0) | ((above == 0) & (F.pmod(low, F.lit(2.0)) == 1))
-    rounded = (low + F.when(up, 1.0).otherwise(0.0)) / _SCALE
-    return F.when(F.isnan(x) | (F.abs(x) >= _EXACT_BELOW), x).otherwise(rounded)
+
+    def rounded(v: Column) -> Column:
+        low = F.floor(v * _SCALE).cast("double")
+        high_part = v * _SPLIT - (v * _SPLIT - v)
+        above = (high_part * (2 * _SCALE) - (2 * low + 1)) + (v - high_part) * (2 * _SCALE)
+        up = (above > 0) | ((above == 0) & (F.pmod(low, F.lit(2.0)) == 1))
+        nearest = (low + F.when(up, 1.0).otherwise(0.0)) / _SCALE
+        return F.when(F.isnan(v) | (F.abs(v) >= _EXACT_BELOW), v).otherwise(nearest)
+
+    # the one-element array binds x to a name, so it is evaluated once
+    return F.get(F.transform(F.array(x), rounded), F.lit(0))
 
 
 def neg_log_sigmoid(x: Column) -> Column:

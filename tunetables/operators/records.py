@@ -90,6 +90,7 @@ DEFAULT_METRICS = ["loss", "learning_rate", "grad_norm", "rewards/accuracies"]
 RECORD_KEYS = ["type", "step", "epoch"]
 PREVIEW_CHARS = 50
 JSON_MAP = "map<string,string>"
+FLOAT_TEXT = r"^(?:-?[0-9]+(?:\.[0-9]+(?:[eE][-+]?[0-9]+)?|[eE][-+]?[0-9]+)|NaN|-?Infinity)$"
 # Spellings the parser gives to non-finite numbers.
 NON_FINITE = ['"NaN"', '"Infinity"', '"-Infinity"']
 
@@ -173,9 +174,7 @@ def number(record: Column, key: str, default: float | None = None) -> Column:
 
 def is_float_text(text: Column) -> Column:
     """A JSON number with a fraction or exponent, or a non-finite one."""
-    return text.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$") & text.rlike("[.eE]") | text.isin(
-        "NaN", "Infinity", "-Infinity"
-    )
+    return text.rlike(FLOAT_TEXT)
 
 
 def rounded_text(text: Column) -> Column:
