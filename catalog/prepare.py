@@ -105,7 +105,7 @@ def b05(spark, folder):
 
 @query("b06_token_count", with_views("chat_lengths", "SELECT * FROM chat_lengths"))
 def b06(spark, folder):
-    return chats.chat_lengths(turns(spark, folder))
+    return chats.chat_lengths(turns(spark, folder)).drop("rows")
 
 
 @query("b07_length_filter", with_views("chat_lengths", "SELECT * FROM chat_lengths WHERE length <= 512"))

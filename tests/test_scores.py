@@ -119,6 +119,13 @@ def test_tiles_do_not_change_matches(spark):
         assert best == pytest.approx(exact) and tiled[key] == pytest.approx(exact)
 
 
+def test_a_pair_with_an_empty_side_scores_zero(spark):
+    rows = [(0, "pred", 0, [1.0, 0.0]), (1, "pred", 0, [1.0, 0.0]), (1, "ref", 0, [2.0, 0.0])]
+    df = spark.createDataFrame(rows, "pair_id long, side string, pos long, embedding array<float>")
+    got = {r.pair_id: (r.precision, r.recall, r.f1) for r in embedding_match.embedding_scores(df).collect()}
+    assert got == {0: (0, 0, 0), 1: (1, 1, 1)}
+
+
 def test_bootstrap_is_repeatable_and_near_the_mean(spark):
     df = spark.range(400).select(F.col("id").alias("pair_id"), (F.col("id") % 10 / 10).alias("s"))
     one = score_tables.bootstrap_scores(df, ["s"], resamples=200).first().s

@@ -155,19 +155,36 @@ def test_split_scan_reads_one_partition(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(split" in part._jdf.queryExecution().executedPlan().toString()
 
 
-def test_broadcast_needs_a_proof_of_size(spark):
-    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+def test_small_tables_are_proven_small(spark):
     small = spark.createDataFrame([("a", 1)], "token string, id long")
-    assert hinted(session.broadcast_within(small))
-    assert not hinted(session.broadcast_within(spark.range(50).toDF("id"), max_rows=49))
+    assert session.is_small(small) and session.is_small(small.limit(0))
+    assert not session.is_small(spark.range(50).toDF("id"), max_rows=49)
     wide = spark.createDataFrame([("x" * 1000, 1)], "token string, id long")
-    assert not hinted(session.broadcast_within(wide, max_bytes=900))
+    assert not session.is_small(wide, max_bytes=900)
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_spread_lookup_equals_a_plain_join(spark, monkeypatch, how):
+    rows = spark.range(300).select(F.col("id").alias("place"), F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"))
+    table_ = spark.createDataFrame([(7, "hot"), (9, "nine")], "k long, v string")
+    want = sorted(rows.join(table_, "k", how).select("place").collect())
+    monkeypatch.setattr(session, "is_small", lambda df: False)
+    got = session.lookup(rows, table_, ["k"], "place", how)
+    assert sorted(got.select("place").collect()) == want
+    assert "_way" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hot_keys_are_few(spark):
+    counted = spark.createDataFrame([(k, 10) for k in range(500)] + [(999, 5000)], "k long, rows long")
+    assert [r.k for r in session.hot_keys(counted, share=100).collect()] == [999]
 
 
 def test_encoding_without_a_broadcast(texts, words, monkeypatch):
-    monkeypatch.setattr(vocab, "broadcast_within", lambda df: df)
-    coded = {r.idx: r.text_ids for r in vocab.encode(texts, words, ["text"]).collect()}
-    assert coded == {0: [3, 2, 2, 1], 1: [], 2: [2, 3, 0, 0], 5: [1] * 7}
+    monkeypatch.setattr(session, "is_small", lambda df: False)
+    coded = vocab.encode(texts, words, ["text"])
+    assert {r.idx: r.text_ids for r in coded.collect()} == {0: [3, 2, 2, 1], 1: [], 2: [2, 3, 0, 0], 5: [1] * 7}
+    plain = vocab.decode(coded, words, "text_ids")
+    assert {r.idx: r.text for r in plain.collect()}[2] == "a b <unk> <unk>"
 
 
 def fake_session(master, **settings):

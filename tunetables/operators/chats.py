@@ -64,7 +64,7 @@ def rendered_chats(
 def chat_lengths(
     turns: DataFrame, key: str = "conv_id", tokenizer=None, n_special: int = 0
 ) -> DataFrame:
-    """Token count of each rendered chat, as ``(key, length)``.
+    """Token count of each rendered chat, as ``(key, length, rows)`` with its row count.
 
     Every rendered message ends in a newline, which no token crosses, so message
     counts add up to the count of the whole text.  With a ``tokenizer`` of your own
@@ -74,7 +74,7 @@ def chat_lengths(
     return (
         turns.select(key, tx.token_count(rendered, tokenizer).alias("tokens"))
         .groupBy(key)
-        .agg((F.sum("tokens") + n_special).alias("length"))
+        .agg((F.sum("tokens") + n_special).alias("length"), F.count("*").alias("rows"))
     )
 
 

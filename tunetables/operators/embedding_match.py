@@ -1,9 +1,9 @@
 """Greedy token matching by cosine similarity, and BERTScore-style P/R/F1 from it.
 
-Token vectors of a text are gathered in tiles of at most ``TILE`` tokens.  A pair
-within one tile per side (any text an encoder takes) is a single matrix product; a
-longer text spreads over several tiles, whose partial maxima are combined, so no
-task holds a whole long text and results stay exact.
+Each task compares one tile of prediction tokens with one tile of reference tokens, at
+most ``TILE`` a side, as a matrix product.  A text an encoder takes is a single tile;
+a longer one is compared tile by tile and its partial maxima are combined, so no task
+holds a whole long text and results stay exact.
 """
 
 from __future__ import annotations
@@ -13,72 +13,83 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tunetables.session import lookup, written
+
 TILE = 1024
 
-_MATCH = "pred_pos array<long>, pred_best array<double>, ref_pos array<long>, ref_best array<double>"
 
+def _tiled(tokens: DataFrame, tile: int) -> DataFrame:
+    """Tokens with their ``pred_tile`` and ``ref_tile``, once per tile they are compared with.
 
-def _tiles(tokens: DataFrame, side: str, tile: int) -> DataFrame:
-    """One row per tile: positions and vectors, in position order."""
+    Only texts of several tiles need to know the other side's length; they are listed
+    from a pass that reads no vectors.
+    """
+    last = lambda side: F.coalesce(
+        F.max(F.when(F.col("side") == side, F.floor(F.col("pos") / tile))), F.lit(0)
+    )
+    long_texts = written(
+        tokens.groupBy("pair_id")
+        .agg(last("pred").alias("last_pred"), last("ref").alias("last_ref"))
+        .where((F.col("last_pred") > 0) | (F.col("last_ref") > 0)),
+        "long-texts",
+    )
+    own = F.floor(F.col("pos") / tile)
+    is_pred = F.col("side") == "pred"
+    other_last = F.coalesce(F.when(is_pred, F.col("last_ref")).otherwise(F.col("last_pred")), F.lit(0))
     return (
-        tokens.where(F.col("side") == side)
-        .groupBy("pair_id", F.floor(F.col("pos") / tile).alias("_tile"))
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "embedding"))).alias("_t"))
+        lookup(tokens, long_texts, ["pair_id"], spread="pos")
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), other_last)))
         .select(
             "pair_id",
-            F.col("_t.pos").alias(f"{side}_pos"),
-            F.col("_t.embedding").alias(f"{side}_vec"),
+            "side",
+            F.col("pos").cast("long").alias("pos"),
+            "embedding",
+            F.when(is_pred, own).otherwise(F.col("other")).alias("pred_tile"),
+            F.when(is_pred, F.col("other")).otherwise(own).alias("ref_tile"),
         )
     )
 
 
-def _unit_rows(vectors) -> np.ndarray:
-    m = np.array([np.asarray(v, dtype=np.float64) for v in vectors])
+def _unit_rows(vectors: pd.Series) -> np.ndarray:
+    m = np.array(vectors.tolist(), dtype=np.float64)
     norms = np.linalg.norm(m, axis=1, keepdims=True)
     return m / np.where(norms == 0, 1.0, norms)
 
 
-def _tile_best(
-    pred_pos: pd.Series, pred_vec: pd.Series, ref_pos: pd.Series, ref_vec: pd.Series
-) -> pd.DataFrame:
-    rows = []
-    for pp, pv, rp, rv in zip(pred_pos, pred_vec, ref_pos, ref_vec, strict=True):
-        similar = _unit_rows(pv) @ _unit_rows(rv).T
-        rows.append((pp, similar.max(axis=1), rp, similar.max(axis=0)))
-    return pd.DataFrame(rows, columns=["pred_pos", "pred_best", "ref_pos", "ref_best"])
+def _best_in_tiles(tokens: pd.DataFrame) -> pd.DataFrame:
+    """Best similarity of each token to the other side; 0 where that side is empty."""
+    pred, ref = tokens[tokens.side == "pred"], tokens[tokens.side == "ref"]
+    best = pd.Series(0.0, index=tokens.index)
+    if len(pred) and len(ref):
+        similar = _unit_rows(pred.embedding) @ _unit_rows(ref.embedding).T
+        best[pred.index] = similar.max(axis=1)
+        best[ref.index] = similar.max(axis=0)
+    return tokens[["pair_id", "side", "pos"]].assign(best=best)
 
 
 def greedy_matches(tokens: DataFrame, tile: int = TILE) -> DataFrame:
     """``(pair_id, side, pos, best)``: similarity to the closest token on the other side.
 
-    ``tokens`` is ``(pair_id, side, pos, embedding)`` with side ``pred`` or ``ref``.
-    Texts facing an empty side have no rows.
+    ``tokens`` is ``(pair_id, side, pos, embedding)`` with side ``pred`` or ``ref``, and
+    positions counted from 0 on each side.
     """
-    tiles = _tiles(tokens, "pred", tile).join(_tiles(tokens, "ref", tile), "pair_id")
-    best = F.pandas_udf(_tile_best, _MATCH)
-    matched = tiles.select("pair_id", best("pred_pos", "pred_vec", "ref_pos", "ref_vec").alias("m"))
-    sides = F.array(
-        *[
-            F.struct(
-                F.lit(side).alias("side"),
-                F.arrays_zip(
-                    F.col(f"m.{side}_pos").alias("pos"), F.col(f"m.{side}_best").alias("best")
-                ).alias("items"),
-            )
-            for side in ("pred", "ref")
-        ]
-    )
     return (
-        matched.select("pair_id", F.inline(sides))
-        .select("pair_id", "side", F.inline("items").alias("pos", "best"))
+        _tiled(tokens, tile)
+        .groupBy("pair_id", "pred_tile", "ref_tile")
+        .applyInPandas(_best_in_tiles, "pair_id long, side string, pos long, best double")
         .groupBy("pair_id", "side", "pos")
         .agg(F.max("best").alias("best"))
     )
 
 
 def embedding_scores(tokens: DataFrame, tile: int = TILE) -> DataFrame:
-    """``(pair_id, precision, recall, f1)`` from greedy matches; no idf, no rescaling."""
-    mean = lambda side: F.avg(F.when(F.col("side") == side, F.col("best")))
+    """``(pair_id, precision, recall, f1)`` from greedy matches; no idf, no rescaling.
+
+    A pair with an empty side scores 0.
+    """
+    mean = lambda side: F.coalesce(
+        F.avg(F.when(F.col("side") == side, F.col("best"))), F.lit(0.0)
+    )
     p, r = F.col("precision"), F.col("recall")
     return (
         greedy_matches(tokens, tile)

@@ -28,9 +28,13 @@ def running_total(
     value: Column,
     before: str = "before",
     total: str = "total",
+    wider: dict[str, tuple[Sequence[str], Column]] | None = None,
 ) -> DataFrame:
     """Add the sum of ``value`` over earlier rows of the group, and the group sum.
 
+    ``wider`` adds sums over several groups: a name, the part of ``keys`` that is
+    shared, and a condition on ``keys`` saying which groups to add up.
+
     ``order`` is an integer column, unique within a group.  Two passes over ``df``: one
     reads only keys, ``order`` and ``value`` and stores a sum per range (a row per
     ``SPAN`` order values), the other adds the sums to the rows.  No window covers
@@ -53,12 +57,16 @@ def running_total(
         "_r2",
         F.coalesce(F.sum("_s2").over(top.orderBy("_r2").rowsBetween(*earlier)), zero).alias("_o2"),
         F.sum("_s2").over(top).alias("_all"),
+        *[
+            F.sum(F.when(chosen, F.col("_s2"))).over(Window.partitionBy(*shared)).alias(name)
+            for name, (shared, chosen) in (wider or {}).items()
+        ],
     )
     inside2 = Window.partitionBy(*keys, "_r2").orderBy("_r1").rowsBetween(*earlier)
     starts1 = (
         sums1.withColumn("_o1", F.coalesce(F.sum("_s1").over(inside2), zero))
         .join(starts2, [*keys, "_r2"])
-        .select(*keys, "_r1", (F.col("_o1") + F.col("_o2")).alias("_start"), "_all")
+        .select(*keys, "_r1", (F.col("_o1") + F.col("_o2")).alias("_start"), "_all", *(wider or {}))
     )
     inside1 = Window.partitionBy(*keys, "_r1").orderBy(order).rowsBetween(*earlier)
     return (
@@ -68,15 +76,21 @@ def running_total(
             *[F.col(c) for c in df.columns],
             (F.col("_start") + F.col("_local")).alias(before),
             F.col("_all").alias(total),
+            *(wider or {}),
         )
     )
 
 
 def with_position(
-    df: DataFrame, keys: Sequence[str], order: str, pos: str = "pos", n: str = "n"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    pos: str = "pos",
+    n: str = "n",
+    wider: dict[str, tuple[Sequence[str], Column]] | None = None,
 ) -> DataFrame:
     """Add each row's 0-based position in its group and the group's row count."""
-    return running_total(df, keys, order, F.lit(1), before=pos, total=n)
+    return running_total(df, keys, order, F.lit(1), before=pos, total=n, wider=wider)
 
 
 def ranked(df: DataFrame, *order: Column, rank: str) -> DataFrame:

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunetables.operators.ordering import with_position
-from tunetables.operators.records import series_sizes
 
 RUN_SERIES = ["run_id", "series"]
 CURVE = ["run_id", "series", "metric"]
@@ -29,52 +28,34 @@ def auto_factor(n: Column, max_points: int) -> Column:
     return F.when(n > max_points, F.greatest(F.lit(1), F.floor(n / max_points)))
 
 
-def downsample_factors(
-    series: DataFrame, factor: int | None = None, max_points: int | None = MAX_POINTS
-) -> DataFrame:
-    """``(run_id, series, points, k)``: the step used for each series of each run.
+def downsample_step(factor: int | None, max_points: int | None) -> Column:
+    """Step of a row's series, from ``series``, its ``n`` and its run's ``train_n``.
 
     Training series use ``factor``, else the automatic step.  Evaluation series use
     half of the training step where there is one, else their own automatic step.
-    Runs without training records are left out.
     """
-    sizes = series_sizes(series)
-    train = sizes.where(F.col("series") == "train").select(
-        "run_id", F.col("points").alias("train_points")
-    )
+    none = F.lit(None).cast("long")
     if factor:
-        train_k = F.lit(factor)
-    elif max_points:
-        train_k = auto_factor(F.col("train_points"), max_points)
+        train = F.lit(factor).cast("long")
     else:
-        train_k = F.lit(None).cast("int")
-    own_k = (
-        auto_factor(F.col("points"), max_points // EVAL_SHARE) if max_points else F.lit(None)
-    )
-    eval_k = F.when(
-        train_k.isNotNull(), F.greatest(F.lit(1), F.floor(train_k / 2))
-    ).otherwise(F.coalesce(own_k, F.lit(1)))
-    k = F.when(F.col("series") == "train", F.coalesce(train_k, F.lit(1))).otherwise(eval_k)
-    return sizes.join(train, "run_id").select("run_id", "series", "points", k.cast("long").alias("k"))
+        train = auto_factor(F.col("train_n"), max_points) if max_points else none
+    own = auto_factor(F.col("n"), max_points // EVAL_SHARE) if max_points else none
+    half = F.when(train.isNotNull(), F.greatest(F.lit(1), F.floor(train / 2)))
+    step = F.when(F.col("series") == "train", train).otherwise(F.coalesce(half, own))
+    return F.coalesce(step, F.lit(1))
 
 
 def downsampled(
     series: DataFrame, factor: int | None = None, max_points: int | None = MAX_POINTS
 ) -> DataFrame:
-    """Every k-th record of each series, with k from ``downsample_factors``.
+    """Every k-th record of each series, with k from ``downsample_step``.
 
     Sampling is by record, so all metrics of a kept record stay aligned on its step.
     """
-    placed = with_position(series, RUN_SERIES, "line_no")
-    if factor:
-        k = F.when(F.col("series") == "train", factor).otherwise(max(1, factor // 2))
-        return placed.where(F.col("pos") % k == 0).drop("pos", "n")
-    factors = downsample_factors(series, factor, max_points).select("run_id", "series", "k")
-    # few rows per run: broadcast by size at run time, else split where a run is hot
-    return (
-        placed.join(factors, RUN_SERIES)
-        .where(F.col("pos") % F.col("k") == 0)
-        .drop("pos", "n", "k")
+    train_n = {"train_n": (["run_id"], F.col("series") == "train")}
+    placed = with_position(series, RUN_SERIES, "line_no", wider=train_n)
+    return placed.where(F.col("pos") % downsample_step(factor, max_points) == 0).drop(
+        "pos", "n", "train_n"
     )
 
 

@@ -1,8 +1,9 @@
 """Vocabulary tables, encoding, padding and decoding.
 
-A vocabulary is a table ``(token, id)``.  Joining it is a broadcast only where its
-size has been checked; documents are first hash-distributed by their key, so
-exploding and regrouping their tokens needs no shuffle of token rows.
+A vocabulary is a table ``(token, id)``.  It is broadcast where its size has been
+checked, and joined with spread-out keys otherwise.  Documents are first
+hash-distributed by their key, so that with a broadcast vocabulary exploding and
+regrouping their tokens shuffles no token rows.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tunetables.functions import text as tx
 from tunetables.operators.ordering import ranked
-from tunetables.session import broadcast_within, written
+from tunetables.session import lookup, written
 
 UNKNOWN = "<unk>"
 
@@ -58,7 +59,6 @@ def encode(
     With ``max_length`` texts are cut before the join, so no longer token list is
     exploded or gathered.
     """
-    vocab = broadcast_within(vocab.select("token", "id"))
     placed = df.repartition(key)
     sides = []
     for side, column in enumerate(columns):
@@ -66,11 +66,10 @@ def encode(
         if max_length is not None:
             toks = F.slice(toks, 1, max_length)
         sides.append(F.struct(F.lit(side).alias("side"), toks.alias("toks")))
-    token_rows = (
-        placed.select(key, F.inline(F.array(*sides)))
-        .select(key, "side", F.posexplode("toks").alias("place", "token"))
-        .join(vocab, "token", "left")
+    token_rows = placed.select(key, F.inline(F.array(*sides))).select(
+        key, "side", F.posexplode("toks").alias("place", "token")
     )
+    token_rows = lookup(token_rows, vocab.select("token", "id"), ["token"], spread="place")
     item = F.struct("place", F.coalesce("id", F.lit(unk_id)).cast("int").alias("id"))
     grouped = token_rows.groupBy(key).agg(
         *[
@@ -161,7 +160,6 @@ def decode(
     separator: str = " ",
 ) -> DataFrame:
     """``(key, text)``: drop the prompt's ids and special tokens, join token strings."""
-    vocab = broadcast_within(vocab.select("token", "id"))
     generated = F.col(ids)
     if prompt_len is not None:
         generated = F.slice(generated, prompt_len + 1, F.size(ids))
@@ -169,7 +167,7 @@ def decode(
     rows = placed.select(key, F.posexplode(generated).alias("place", "id"))
     token = F.coalesce("token", F.lit(UNKNOWN))
     words = (
-        rows.join(vocab, "id", "left")
+        lookup(rows, vocab.select("token", "id"), ["id"], spread="place")
         .select(key, "place", token.alias("token"))
         .where(~F.col("token").isin(list(special_tokens)))
         .groupBy(key)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunetables.operators import records, series, smoothing
-from tunetables.session import written
+from tunetables.session import lookup, written
 
 
 def curve_table(
@@ -28,8 +28,8 @@ def curve_table(
     parsed = records.series_records(records.good_records(log_lines))
     values = written(records.unpivoted(series.downsampled(parsed, factor, max_points)), "curves")
     wanted = series.resolved_metrics(records.metric_sizes(values), metrics)
-    # a few rows per run; a hot run is split by the adaptive join
-    chosen = values.join(wanted.select(*series.CURVE), series.CURVE, "left_semi").where(
+    wanted = written(wanted.select(*series.CURVE), "curve-list")
+    chosen = lookup(values, wanted, series.CURVE, spread="line_no", how="left_semi").where(
         F.col("value").isNotNull()
     )
     train = chosen.where(F.col("series") == "train")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tunetables.functions import text as tx
 from tunetables.functions.rows import computed_once
 from tunetables.operators import chats, pairs, vocab
+from tunetables.session import hot_keys, written
 
 
 def sft_set(
@@ -26,11 +27,18 @@ def sft_set_from_turns(
     """``(key, text)`` of the chats that fit, from one message per row.
 
     Lengths are added up map-side first; only chats within ``max_length`` are
-    gathered, so no group gathers more than that many tokens.
+    gathered, so no group gathers more than that many tokens.  Messages of a chat
+    that is too long and holds a large share of the table are dropped before the
+    shuffle, by a broadcast list that cannot have a thousand rows.
     """
-    lengths = chats.chat_lengths(turns, key, tokenizer)
+    lengths = written(chats.chat_lengths(turns, key, tokenizer), "chat-lengths")
+    hot = hot_keys(lengths).where(F.col("length") > max_length).select(key)
     short = chats.short_chats(lengths, max_length).select(key)
-    pieces = chats.rendered_turns(turns).join(short, key, "left_semi")
+    pieces = (
+        chats.rendered_turns(turns)
+        .join(F.broadcast(hot), key, "left_anti")
+        .join(short, key, "left_semi")
+    )
     texts = pieces.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("turn", "piece"))).alias("pieces")
     )

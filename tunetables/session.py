@@ -1,9 +1,10 @@
-"""Shared folder, written tables and size-checked broadcasts."""
+"""Shared folder, written tables, and joins that stay safe with hot keys."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,12 +47,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_within(df: DataFrame, max_rows: int = 1 << 20, max_bytes: int = 64 << 20) -> DataFrame:
-    """Broadcast ``df`` if it is proven small; else return it unhinted.
+def is_small(df: DataFrame, max_rows: int = 1 << 20, max_bytes: int = 64 << 20) -> bool:
+    """Whether a table is proven small enough to broadcast.
 
     The proof is a job over at most ``max_rows + 1`` rows that counts rows and the
-    bytes of their strings.  A larger table is joined by shuffle, where adaptive
-    execution splits skewed keys.
+    bytes of their strings.
     """
     strings = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
     row_bytes = sum((F.octet_length(c) for c in strings), F.lit(16 * len(df.columns)))
@@ -60,6 +60,33 @@ def broadcast_within(df: DataFrame, max_rows: int = 1 << 20, max_bytes: int = 64
         .agg(F.count("*").alias("rows"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes"))
         .first()
     )
-    if size["rows"] <= max_rows and size["bytes"] <= max_bytes:
-        return F.broadcast(df)
-    return df
+    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
+
+
+SPREAD = 64
+
+
+def lookup(
+    rows: DataFrame, table: DataFrame, on: Sequence[str], spread: str, how: str = "left"
+) -> DataFrame:
+    """Join rows to a table with one row per key, where some keys may be very common.
+
+    A table proven small is broadcast.  A larger one is copied ``SPREAD`` times, each
+    copy serving the rows whose ``spread`` column hashes to it, so the rows of a hot
+    key are joined by many tasks.
+    """
+    on = list(on)
+    if is_small(table):
+        return rows.join(F.broadcast(table), on, how)
+    copies = table.withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    way = F.pmod(F.xxhash64(spread), F.lit(SPREAD)).cast("int")
+    return rows.withColumn("_way", way).join(copies, [*on, "_way"], how).drop("_way")
+
+
+def hot_keys(counted: DataFrame, rows: str = "rows", share: int = 1000) -> DataFrame:
+    """Keys holding more than one ``share``-th of all rows: fewer than ``share`` of them.
+
+    ``counted`` has a row per key with its row count; it is read twice, so store it.
+    """
+    total = counted.agg(F.sum(rows)).scalar()
+    return counted.where(F.col(rows) * share > total)

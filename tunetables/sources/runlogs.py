@@ -5,20 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunetables.operators.ordering import SPAN_BITS
 from tunetables.operators.records import record_line
 
 
 def log_lines(records: DataFrame) -> DataFrame:
     """``(run_id, value)``: each normalised record as one compact JSON line."""
-    return records.select("run_id", record_line(F.col("type"), F.col("step"), F.col("epoch"), F.col("metrics")).alias("value"))
+    line = record_line(F.col("type"), F.col("step"), F.col("epoch"), F.col("metrics"))
+    return records.select("run_id", line.alias("value"))
 
 
 def append_log(records: DataFrame, path: str) -> str:
     """Append records to the log, one folder per run.
 
-    A run that is resumed keeps its earlier lines.
+    A run that is resumed keeps its earlier lines.  Records are gathered by run and
+    range of steps, so that many runs give few files each and a long run many tasks.
     """
-    log_lines(records).write.mode("append").partitionBy("run_id").text(path)
+    gathered = records.repartition("run_id", F.shiftright("step", SPAN_BITS))
+    ordered = gathered.sortWithinPartitions("run_id", "step")
+    log_lines(ordered).write.mode("append").partitionBy("run_id").text(path)
     return path
 
 
