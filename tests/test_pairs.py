@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tunetables.functions import text as tx
-from tunetables.operators import chats, lengths, pairs
+from tunetables.operators import chats, lengths, pairs, vocab
 from tunetables.plans import training_sets
 from tunetables.schema import PREFERENCE, TURN
+from tunetables.sources.tables import save_splits
 
 
 def chat(*messages):
@@ -94,6 +95,34 @@ def test_chat_template(spark):
     assert text == "### User:\na\nb\n### Assistant:\n\n"
 
 
+def test_training_set_by_kind(spark, tmp_path):
+    other = [(r[0], split, *r[2:]) for r in ROWS for split in ("train_prefs", "train_sft", "test_prefs")]
+    path = save_splits(spark.createDataFrame(other, PREFERENCE), str(tmp_path / "prefs"))
+    make = lambda *args, **more: training_sets.training_set(spark, path, *args, **more)
+    assert sorted(r.idx for r in make("orpo", max_length=MAX_LENGTH).collect()) == [0, 7]
+    assert make("sft").columns == ["idx", "text"] and make("sft").count() == len(ROWS)
+    assert make("sft", part="test").count() == 0
+    words = vocab.build_vocabulary(spark.createDataFrame([("a b c",)], "text string"))
+    tokenised = make("dpo", part="test", max_length=8, max_samples=3, vocabulary=words).collect()
+    assert sorted(r.idx for r in tokenised) == [0, 1, 2]
+    assert all(len(r.chosen_input_ids) == len(r.rejected_attention_mask) == 8 for r in tokenised)
+    for wrong in (lambda: make("ppo"), lambda: make("dpo")):
+        with pytest.raises(ValueError):
+            wrong()
+
+
+def test_hot_long_chat_is_dropped_before_the_shuffle(spark):
+    """One chat holds nearly all messages; the others must come through whole."""
+    hot = spark.range(5000).select(
+        F.lit(77).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.lit("user").alias("role"), F.lit("some words").alias("text"),
+    )
+    kept = training_sets.sft_set_from_turns(hot.unionByName(spark.createDataFrame(TURNS, TURN)), 20)
+    assert sorted(r.conv_id for r in kept.collect()) == [1, 3]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "strategy=broadcast" in plan
+
+
 TURNS = [
     (1, 0, "system", "ignored " * 500),
     (1, 1, "user", "hello there"),

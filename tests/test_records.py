@@ -11,7 +11,7 @@ from tunetables.functions.numbers import round4
 from tunetables.operators import checkpoints, objectives, records, series
 from tunetables.plans import curves
 from tunetables.schema import LOG_LINE
-from tunetables.sources.runlogs import append_log, log_lines, read_log
+from tunetables.sources.runlogs import append_log, append_raw_log, append_summaries, log_lines, read_log
 
 LINES = [
     ('{"type":"step","step":1,"epoch":0.5,"loss":2.0,"grad_norm":null}', "good"),
@@ -124,6 +124,24 @@ def test_log_sink_appends(spark, raw, tmp_path):
     )
 
 
+def test_closing_summary_is_appended(spark, raw, tmp_path):
+    path = str(tmp_path / "log")
+    append_log(records.normalised(raw), path)
+    rows = [(1, 12, 0.5, None, True), (2, 5, 0.1, 0.25, False)]
+    names = "run_id long, total_steps long, total_epochs double, best_metric double, training_completed boolean"
+    append_summaries(spark.createDataFrame(rows, names), path)
+    stored = read_log(spark, path)
+    (last,) = [json.loads(r.line) for r in stored.collect() if "summary" in r.line]
+    assert last == {"type": "summary", "total_steps": 12, "total_epochs": 0.5, "best_metric": None, "training_completed": True}
+    summary = records.run_summaries(records.good_records(stored)).first()
+    assert (summary.run_id, summary.total_steps, summary.training_completed) == (1, 12, True)
+
+
+def test_raw_log_is_kept_as_is(spark, raw, tmp_path):
+    path = append_raw_log(raw, str(tmp_path / "raw"))
+    assert sorted(r.line for r in read_log(spark, path).collect()) == sorted(json.dumps(logs) for _, _, logs in RAW)
+
+
 def long_log(spark, n=57, runs=(1, 2)):
     lines = []
     for run in runs:

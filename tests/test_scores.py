@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from catalog.fixtures import text_pairs
 from tests import brute
 from tunetables.functions import lcs
-from tunetables.functions.text import WHITESPACE, strip
+from tunetables.functions.text import BLEU_STEPS, WHITESPACE, bleu_tokens, strip
 from tunetables.operators import embedding_match, ngrams, rouge_lcs, score_tables
 
 PAIRS = [
@@ -139,6 +139,29 @@ def test_non_numbers_count_as_zero(spark):
     assert got == {"a": 0.5, "b": 0.0, "c": 0.0}
 
 
+def bleu_words(text):
+    """The four substitutions, by Python's engine."""
+    import re
+
+    text = text.replace("<skipped>", "").replace("-\n", "").replace("\n", " ")
+    for entity, char in (("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
+        text = text.replace(entity, char)
+    text = f" {text} "
+    for pattern, by in BLEU_STEPS:
+        text = re.sub(pattern, by.replace("$", "\\"), text)
+    return text.split()
+
+
+def test_bleu_words_of_any_text(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("a1.,-! \n\té\xa0&;/_'") for _ in range(rng.randrange(1, 14))) for _ in range(20000)]
+    texts += ["".join(rng.choice("5.,-") for _ in range(rng.randrange(1, 8))) for _ in range(5000)]
+    texts += ["a,.5", "1..2", "5.,.6", "1,000.5-3", "x <skipped>y-\nz &quot;q&quot; &amp;lt;", "", ".", "　"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", bleu_tokens(F.col("t")).alias("w"))
+    wrong = [(r.t, r.w) for r in df.collect() if r.w != bleu_words(r.t)]
+    assert not wrong, wrong[:5]
+
+
 def test_strip_is_python_strip(spark):
     texts = [f"{c}x{c}y{c}" for c in WHITESPACE] + ["", "   ", "​x​", "\x00 x"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", strip(F.col("t")).alias("s"))

@@ -71,23 +71,38 @@ def token_count(text: Column, tokenizer=None, n_special: int = 0) -> Column:
     return counted(text) + F.lit(n_special).cast("long")
 
 
+# The four mteval-13a substitutions, applied in this order.
+BLEU_STEPS = [
+    (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", " $1 "),
+    (r"([^0-9])([\.,])", "$1 $2 "),
+    (r"([\.,])([^0-9])", " $1 $2"),
+    (r"([0-9])(-)", "$1 $2 "),
+]
+# One pass with the same words, for text without several points before a digit: symbols,
+# points and commas not between two digits, and hyphens after a digit stand alone.
+_BLEU_ALONE = r"[\{-\~\[-\`!-\&\(-\+\:-\@\/]|(?<![0-9])[\.,]|[\.,](?![0-9])|(?<=[0-9])-"
+_POINTS_BEFORE_DIGIT = r"[\.,]{2}[0-9]"
+
+
 def bleu_tokens(text: Column) -> Column:
-    """The public mteval-13a word splitting used for BLEU."""
+    """The public mteval-13a word splitting used for BLEU.
+
+    Consecutive points are consumed in pairs by the substitutions, which one pass
+    cannot mirror when a digit follows; such rare texts go through all four.
+    """
     t = F.replace(text, F.lit("<skipped>"), F.lit(""))
     t = F.replace(t, F.lit("-\n"), F.lit(""))
     t = F.replace(t, F.lit("\n"), F.lit(" "))
     for entity, char in (("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
         t = F.replace(t, F.lit(entity), F.lit(char))
     t = F.concat(F.lit(" "), t, F.lit(" "))
-    # The four 13a substitutions.
-    for pattern, by in (
-        (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", " $1 "),
-        (r"([^0-9])([\.,])", "$1 $2 "),
-        (r"([\.,])([^0-9])", " $1 $2"),
-        (r"([0-9])(-)", "$1 $2 "),
-    ):
-        t = F.regexp_replace(t, pattern, by)
-    return non_empty(F.split(t, f"[{WHITESPACE_CLASS}]+"))
+    stepwise = t
+    for pattern, by in BLEU_STEPS:
+        stepwise = F.regexp_replace(stepwise, pattern, by)
+    spaced = F.when(t.rlike(_POINTS_BEFORE_DIGIT), stepwise).otherwise(
+        F.regexp_replace(t, _BLEU_ALONE, " $0 ")
+    )
+    return non_empty(F.split(F.translate(spaced, WHITESPACE, " " * len(WHITESPACE)), " "))
 
 
 def rouge_clean(text: Column, keep_newlines: bool = False) -> Column:

@@ -2,13 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunetables.functions import text as tx
 from tunetables.functions.rows import computed_once
 from tunetables.operators import chats, pairs, vocab
 from tunetables.session import hot_keys, written
+from tunetables.sources.tables import scan
+
+# Splits read for training and evaluation, and default length budgets.
+SPLITS = {
+    "sft": {"train": "train_sft", "test": "test_sft"},
+    "dpo": {"train": "train_prefs", "test": "test_prefs"},
+    "orpo": {"train": "train_prefs", "test": "test_prefs"},
+}
+DEFAULT_LENGTHS = {"sft": 512, "dpo": 512, "orpo": 512}
+
+
+def training_set(
+    spark: SparkSession,
+    path: str,
+    training_type: str,
+    part: str = "train",
+    max_length: int | None = None,
+    max_samples: int | None = None,
+    vocabulary: DataFrame | None = None,
+) -> DataFrame:
+    """The table one kind of training reads, from a stored preference table.
+
+    ``vocabulary`` is needed for ``dpo``, whose rows come tokenised.
+    """
+    if training_type not in SPLITS:
+        raise ValueError(f"training type must be one of {sorted(SPLITS)}, not {training_type!r}")
+    rows = scan(spark, path, SPLITS[training_type][part])
+    length = max_length or DEFAULT_LENGTHS[training_type]
+    if training_type == "sft":
+        return sft_set(rows, length, max_samples)
+    if training_type == "orpo":
+        return orpo_set(rows, length, max_samples)
+    if vocabulary is None:
+        raise ValueError("a dpo training set needs a vocabulary")
+    return dpo_set(rows, vocabulary, length, max_samples)
 
 
 def sft_set(

@@ -27,6 +27,30 @@ def append_log(records: DataFrame, path: str) -> str:
     return path
 
 
+def append_raw_log(raw: DataFrame, path: str, logs: str = "logs") -> str:
+    """Append trainer records as they are, one folder per run."""
+    raw.select("run_id", logs).write.mode("append").partitionBy("run_id").text(path)
+    return path
+
+
+def append_summaries(summaries: DataFrame, path: str) -> str:
+    """Append the closing summary record of each finished run to its log."""
+    finished = summaries.where("training_completed")
+    record = F.to_json(
+        F.struct(
+            F.lit("summary").alias("type"),
+            "total_steps",
+            "total_epochs",
+            "best_metric",
+            "training_completed",
+        ),
+        {"ignoreNullFields": "false"},
+    )
+    lines = finished.select("run_id", record.alias("value"))
+    lines.write.mode("append").partitionBy("run_id").text(path)
+    return path
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a log folder as ``(run_id, line)``.
 
