@@ -6,7 +6,14 @@
 ``tests/``.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from catalog.registry import ORACLES, QUERIES
 from catalog import prepare, runlogs, scores, vocabulary  # noqa: E402,F401  (register on import)
 
+# the stand-in generator is shipped to executors by value, like the library's functions
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["ORACLES", "QUERIES"]

@@ -324,8 +324,9 @@ def a06(spark, folder):
     )
     document = spark.read.json(f"{path}/document")
     return document.select(
-        F.round("metrics.bleu", 6).alias("bleu"),
-        F.round("metrics.rougeL", 6).alias("rougeL"),
+        F.round("metrics.bleu.bleu", 6).alias("bleu"),
+        F.round("metrics.rouge.rougeL", 6).alias("rougeL"),
+        F.round("metrics.bertscore.average_f1", 6).alias("bertscore"),
         F.col("dataset_info.name").alias("dataset"),
         F.col("dataset_info.size").alias("size"),
         F.col("dataset_info.evaluated").alias("evaluated"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from pathlib import Path
 
 import duckdb
@@ -31,9 +30,8 @@ def _key(row):
 
 
 def _plain(value):
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else value + 0.0
-    return value
+    # by spelling, so that 0.0 and -0.0 differ and NaN equals itself
+    return repr(value) if isinstance(value, float) else value
 
 
 def difference(spark_df, relation) -> str | None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from types import SimpleNamespace
 
 import pytest
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from catalog.fixtures import table, trainer_raw
 from tunetables import session
 from tunetables.operators import generation, packing, records, reports, vocab
+from tunetables.plans import evaluation
+from tunetables.schema import SCORED_PAIR
 from tunetables.sources import sinks, tables
 from tunetables.streaming import runlogs as live
 
@@ -140,6 +143,21 @@ def test_example_report(spark, tmp_path):
     assert part.read_text() == want
 
 
+def test_evaluation_document(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"a b c {i}", f"a b c {i}") for i in range(6)], SCORED_PAIR)
+    metrics = evaluation.corpus_metrics(rows)
+    path = sinks.write_evaluation(
+        metrics, rows, str(tmp_path / "doc"), {"name": "n", "split": "s"}, {"id": "m", "device": "cpu"}, 60
+    )
+    (part,) = (tmp_path / "doc" / "document").glob("part-*.json")
+    document = json.loads(part.read_text())
+    assert document["dataset_info"] == {"name": "n", "split": "s", "size": 60, "evaluated": 6}
+    assert document["model_info"] == {"id": "m", "device": "cpu"}
+    assert document["metrics"]["bleu"]["precisions"] == [1.0] * 4 and document["metrics"]["bleu"]["bleu"] == 1
+    assert document["metrics"]["rouge"] == {"rouge1": 1.0, "rouge2": 1.0, "rougeL": 1.0, "rougeLsum": 1.0}
+    assert spark.read.json(f"{path}/pairs").count() == 6
+
+
 def test_triples_join_by_key(spark):
     rows = report_rows(spark)
     got = reports.triples(rows, rows, rows, 4).orderBy("idx").collect()

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tunetables.session import written
+
 
 def length_counts(df: DataFrame, length: str = "length") -> DataFrame:
     return df.groupBy(F.col(length).alias("length")).agg(F.count("*").alias("n"))
@@ -41,7 +43,8 @@ def length_histogram(df: DataFrame, length: str = "length", bins: int = 50) -> D
     All ``bins`` rows are present.  A single distinct value is given a range of one
     around it, as numeric libraries do.
     """
-    counted = length_counts(df, length)
+    # read twice, for the range and for the bins: count the lengths once
+    counted = written(length_counts(df, length), "length-counts")
     ends = counted.agg(F.struct(F.min("length").alias("lo"), F.max("length").alias("hi"))).scalar()
     same = ends["lo"] == ends["hi"]
     lo = F.when(same, ends["lo"] - 0.5).otherwise(ends["lo"].cast("double"))
@@ -53,7 +56,8 @@ def length_histogram(df: DataFrame, length: str = "length", bins: int = 50) -> D
     )
     width = (hi - lo) / bins
     # the fixed list of bins is tiny
-    edges = df.sparkSession.range(bins).select(F.col("id").alias("bin")).where(ends["lo"].isNotNull())
+    bin_numbers = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
+    edges = bin_numbers.where(ends["lo"].isNotNull())
     return F.broadcast(counts).join(edges, "bin", "right").select(
         "bin",
         (lo + F.col("bin") * width).alias("low"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunetables.operators.ordering import running_total
@@ -13,29 +13,28 @@ def pack(df: DataFrame, ids: str, block_length: int, order: str = "idx") -> Data
     """``(block, n_tokens, ids)``: token streams concatenated in ``order`` and cut.
 
     Encoded rows are stored once with their lengths, so the pass that adds up lengths
-    reads no ids and nothing is encoded twice.  Each row's place in the stream is a running total of row lengths, computed over
-    bounded ranges of ``order``; rows that cross a block boundary are sliced.  A block
-    gathers at most ``block_length`` tokens.  The last block may be shorter; no
-    token is dropped.
+    reads no ids and nothing is encoded twice.  Each row's place in the stream is a
+    running total of row lengths, computed over bounded ranges of ``order``; rows that
+    cross a block boundary are sliced.  A block gathers at most ``block_length`` tokens.
+    The last block may be shorter; no token is dropped.
     """
     stored = written(df.select(order, F.col(ids).alias("ids"), F.size(ids).alias("n")), "encoded")
-    placed = running_total(stored.where(F.col("n") > 0), [], order, F.col("n"), before="start")
-    first = F.floor(F.col("start") / block_length)
-    last = F.floor((F.col("start") + F.col("n") - 1) / block_length)
-    start_in_row = F.greatest(F.lit(0), F.col("block") * block_length - F.col("start"))
-    end_in_row = F.least(
-        F.col("n").cast("long"), (F.col("block") + 1) * block_length - F.col("start")
-    )
-    pieces = placed.select("start", "n", "ids", F.explode(F.sequence(first, last)).alias("block")).select(
-        "block",
-        "start",
-        F.slice("ids", (start_in_row + 1).cast("int"), (end_in_row - start_in_row).cast("int")).alias(
-            "piece"
-        ),
-    )
+    filled = stored.where(F.col("n") > 0)
+    placed = running_total(filled, [], order, F.col("n"), before="start")
+    start, end = F.col("start"), F.col("start") + F.col("n")
+
+    def cut(block: Column) -> Column:
+        low = F.greatest(start, block * block_length)
+        high = F.least(end, (block + 1) * block_length)
+        piece = F.slice("ids", (low - start + 1).cast("int"), (high - low).cast("int"))
+        return F.struct(block.alias("block"), low.alias("low"), piece.alias("piece"))
+
+    first, last = F.floor(start / block_length), F.floor((end - 1) / block_length)
+    # cut inside the row: exploding block numbers first would copy long id lists
+    pieces = placed.select(F.inline(F.transform(F.sequence(first, last), cut)))
     return (
         pieces.groupBy("block")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "piece"))).alias("_p"))
+        .agg(F.array_sort(F.collect_list(F.struct("low", "piece"))).alias("_p"))
         .select("block", F.flatten(F.col("_p.piece")).alias("ids"))
         .select("block", F.size("ids").cast("long").alias("n_tokens"), "ids")
     )

@@ -370,5 +370,9 @@ def best_eval_step(series: DataFrame) -> DataFrame:
         series.where((F.col("series") == "eval") & loss.isNotNull())
         .groupBy("run_id")
         .agg(F.min(F.struct(loss.alias("eval_loss"), "step")).alias("b"))
-        .select("run_id", F.col("b.step").alias("best_step"), F.col("b.eval_loss").alias("best_eval_loss"))
+        .select(
+            "run_id",
+            F.col("b.step").alias("best_step"),
+            F.col("b.eval_loss").alias("best_eval_loss"),
+        )
     )

@@ -55,3 +55,20 @@ def long_scores(wide: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
 
 def numeric_or_zero(value: Column) -> Column:
     return F.coalesce(value.cast("string").try_cast("double"), F.lit(0.0))
+
+
+def nested_metrics(columns: Sequence[str]) -> Column:
+    """The flat metric columns present, as ``bleu``, ``rouge`` and ``bertscore`` structs."""
+    parts = []
+    if "bleu" in columns:
+        precisions = [c for c in columns if c.startswith("precision_")]
+        rest = ["brevity_penalty", "length_ratio", "translation_length", "reference_length"]
+        parts.append(
+            F.struct("bleu", F.array(*precisions).alias("precisions"), *rest).alias("bleu")
+        )
+    rouge = [c for c in columns if c.startswith("rouge")]
+    if rouge:
+        parts.append(F.struct(*rouge).alias("rouge"))
+    if "bertscore" in columns:
+        parts.append(F.struct(F.col("bertscore").alias("average_f1")).alias("bertscore"))
+    return F.struct(*parts)

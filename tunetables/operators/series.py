@@ -99,7 +99,8 @@ def resolved_metrics(
 
 def curve_label(series: Column, metric: Column) -> Column:
     """Name shown for a curve: evaluation curves carry the ``eval_`` prefix."""
-    return F.when((series == "eval") & ~F.startswith(metric, F.lit("eval_")), F.concat(F.lit("eval_"), metric)).otherwise(metric)
+    unprefixed = (series == "eval") & ~F.startswith(metric, F.lit("eval_"))
+    return F.when(unprefixed, F.concat(F.lit("eval_"), metric)).otherwise(metric)
 
 
 def curve_title(label: Column) -> Column:

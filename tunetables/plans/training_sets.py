@@ -47,17 +47,21 @@ def training_set(
 
 
 def sft_set(
-    rows: DataFrame, max_length: int, max_samples: int | None = None, tokenizer=None
+    rows: DataFrame,
+    max_length: int,
+    max_samples: int | None = None,
+    tokenizer=None,
+    n_special: int = 0,
 ) -> DataFrame:
     """``(idx, text)`` of the chats that fit, from rows holding whole chats."""
     first = pairs.first_rows(rows, max_samples)
     rendered = computed_once(first.select("idx", "chosen"), text=tx.render_chat(F.col("chosen")))
-    counted = rendered.withColumn("length", tx.token_count(F.col("text"), tokenizer))
+    counted = rendered.withColumn("length", tx.token_count(F.col("text"), tokenizer, n_special))
     return chats.short_chats(counted, max_length).select("idx", "text")
 
 
 def sft_set_from_turns(
-    turns: DataFrame, max_length: int, key: str = "conv_id", tokenizer=None
+    turns: DataFrame, max_length: int, key: str = "conv_id", tokenizer=None, n_special: int = 0
 ) -> DataFrame:
     """``(key, text)`` of the chats that fit, from one message per row.
 
@@ -66,7 +70,7 @@ def sft_set_from_turns(
     that is too long and holds a large share of the table are dropped before the
     shuffle, by a broadcast list that cannot have a thousand rows.
     """
-    lengths = written(chats.chat_lengths(turns, key, tokenizer), "chat-lengths")
+    lengths = written(chats.chat_lengths(turns, key, tokenizer, n_special), "chat-lengths")
     hot = hot_keys(lengths).where(F.col("length") > max_length).select(key)
     short = chats.short_chats(lengths, max_length).select(key)
     pieces = (
@@ -84,7 +88,11 @@ def sft_set_from_turns(
 
 
 def pair_reasons(
-    rows: DataFrame, max_length: int, max_samples: int | None = None, tokenizer=None, n_special: int = 0
+    rows: DataFrame,
+    max_length: int,
+    max_samples: int | None = None,
+    tokenizer=None,
+    n_special: int = 0,
 ) -> DataFrame:
     """Flat pairs with lengths and the ``reason`` they are rejected (NULL if usable)."""
     flat = pairs.flat_pairs(pairs.first_rows(rows, max_samples))
@@ -93,7 +101,11 @@ def pair_reasons(
 
 
 def orpo_set(
-    rows: DataFrame, max_length: int, max_samples: int | None = None, tokenizer=None, n_special: int = 0
+    rows: DataFrame,
+    max_length: int,
+    max_samples: int | None = None,
+    tokenizer=None,
+    n_special: int = 0,
 ) -> DataFrame:
     """``(idx, prompt, chosen, rejected)`` of usable pairs.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunetables.operators.reports import EXAMPLES_HEADER, example_report, prediction_report
+from tunetables.operators.score_tables import nested_metrics
 
 
 def write_training_text(texts: DataFrame, path: str) -> str:
@@ -42,12 +43,12 @@ def write_evaluation(
 ) -> str:
     """The evaluation document, with predictions and references as a table beside it.
 
-    ``metrics`` is the one-row metric table.  Both the size of the dataset and the
+    ``metrics`` is the one-row metric table, nested by metric.  Both the size of the dataset and the
     number of rows actually evaluated are stated.
     """
     evaluated = pairs.agg(F.count("*")).scalar()
     metrics.select(
-        F.struct(*metrics.columns).alias("metrics"),
+        nested_metrics(metrics.columns).alias("metrics"),
         F.struct(
             F.lit(dataset["name"]).alias("name"),
             F.lit(dataset["split"]).alias("split"),
