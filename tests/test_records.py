@@ -109,6 +109,17 @@ def test_all_metrics_can_be_kept(raw):
     assert "x" in names[10] and {"eval_nll_loss", "rewards/margins"} <= names[12]
 
 
+def test_repeated_keys_do_not_fail_the_job(spark):
+    logs = [
+        '{"loss":1.0,"loss":2.0,"epoch":0.5,"loss":3.0}',
+        '{"eval_loss":1.0,"rewards/chosen":7.0,"eval_rewards/chosen":5.0}',
+    ]
+    df = spark.createDataFrame([(1, i, t) for i, t in enumerate(logs)], "run_id long, step long, logs string")
+    for keep_all in (False, True):
+        got = {r.step: r.metrics for r in records.normalised(df, keep_all=keep_all).collect()}
+        assert got[0]["loss"] == "3.0" and got[1]["rewards/chosen"] == "5.0"
+
+
 def test_steps_can_be_left_out(raw):
     assert [r.step for r in records.normalised(raw, log_steps=False).collect()] == [12]
 

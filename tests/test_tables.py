@@ -101,7 +101,7 @@ def test_generation_batches(spark):
     got = generation.generated(prompts(spark).coalesce(1), load, batch_size=4).collect()
     assert [r.prediction for r in got][:5] == ["p0/4", "p1/4", "p2/4", "p3/4", "p4/4"]
     assert got[-1].prediction == "p22/3" and len(got) == 23
-    spread = generation.generated(prompts(spark), load, batch_size=4, tasks=5)
+    spread = generation.generated(prompts(spark), load, batch_size=4, tasks=5, by_length=True)
     assert sorted(r.idx for r in spread.collect()) == list(range(23))
 
 

@@ -21,12 +21,14 @@ def generated(
     batch_size: int = BATCH_SIZE,
     column: str = "prompt",
     tasks: int | None = None,
+    by_length: bool = False,
 ) -> DataFrame:
     """Add ``prediction``: the generator's answer to each prompt.
 
     ``load`` runs once per task and returns a function from a list of at most
     ``batch_size`` prompts to as many answers; it should be deterministic, since a
-    lost task is run again.  ``tasks`` spreads few but costly prompts over more tasks.
+    lost task is run again.  ``tasks`` spreads few but costly prompts over more tasks;
+    ``by_length`` puts prompts of similar length into a batch, which saves padding.
     """
     out = T.StructType([*prompts.schema.fields, T.StructField("prediction", T.StringType())])
 
@@ -44,6 +46,8 @@ def generated(
             yield frame.assign(prediction=answers)
 
     source = prompts.repartition(tasks, "idx") if tasks else prompts
+    if by_length:
+        source = source.sortWithinPartitions(F.length(column))
     return source.mapInPandas(answer, out)
 
 

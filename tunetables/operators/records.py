@@ -108,7 +108,7 @@ def _json_objects(text: Column) -> Column:
     def whole_object(parts: Column) -> Column:
         ended = F.try_element_at(F.get(parts, F.lit(1)), F.lit("end")) == "1"
         unquoted = F.transform_values(
-            F.get(parts, F.lit(0)),
+            _last_wins(F.get(parts, F.lit(0))),
             lambda _, v: F.when(v.isin(NON_FINITE), F.trim(v, F.lit('"'))).otherwise(v),
         )
         return F.when((F.size(parts) == 2) & ended, unquoted)
@@ -116,6 +116,15 @@ def _json_objects(text: Column) -> Column:
     return F.transform(F.array(F.from_json(marked, f"array<{JSON_MAP}>")), whole_object)
 
 
+def _last_wins(record: Column) -> Column:
+    """Of repeated keys keep the last; maps with one value per key stay as they are."""
+    keys = F.map_keys(record)
+    comes_again = lambda e, i: F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"])
+    kept = F.filter(F.map_entries(record), lambda e, i: ~comes_again(e, i))
+    single = F.size(F.array_distinct(keys)) == F.size(keys)
+    return F.when(single, record).otherwise(F.map_from_entries(kept))
+
+
 def json_object(text: Column) -> Column:
     """A JSON object as a map of raw values; NULL when it is not one whole object."""
     return F.get(_json_objects(text), F.lit(0))
@@ -191,7 +200,11 @@ def _optional(record: Column, names: Sequence[str], keep_all: bool, fixed: Seque
     """Entries of the record that are kept, renamed and rounded, as a map."""
     if keep_all:
         skip = [*fixed, *RECORD_KEYS]
-        kept = F.map_filter(record, lambda k, _: ~k.isin(skip))
+        # a plain reward gives way to the evaluation reward that takes its name
+        taken = lambda k: F.concat(F.lit("eval_"), k).isin(EVAL_REWARDS) & F.map_contains_key(
+            record, F.concat(F.lit("eval_"), k)
+        )
+        kept = F.map_filter(record, lambda k, _: ~k.isin(skip) & ~taken(k))
     else:
         kept = F.map_filter(record, lambda k, _: k.isin(list(names)))
     renamed = F.transform_keys(kept, lambda k, _: renamed_reward(k))
