@@ -39,7 +39,8 @@ def test_lcs_matches_table():
         assert lcs.lcs_places(a, lcs._masks(b), b) == brute.places(a, b)
 
 
-def test_lcs_places_rebuilds_rows_of_long_lists():
+def test_lcs_places_rebuilds_rows_of_long_lists(monkeypatch):
+    monkeypatch.setattr(lcs, "_KEEP_ALL_BITS", 1000)
     rng = random.Random(2)
     a = [rng.choice("abcdefgh") for _ in range(700)]
     b = [rng.choice("abcdefghij") for _ in range(500)]

@@ -36,19 +36,24 @@ def lcs_length(a: list[str], b: list[str]) -> int:
     return len(b) - row.bit_count()
 
 
+_KEEP_ALL_BITS = 1 << 27
+
+
 def lcs_places(reference: list[str], masks: dict[str, int], candidate: list[str]) -> list[int]:
     """Places in ``reference`` of one longest common subsequence, last first.
 
     ``masks`` are the candidate's.  Walking back from the end, equal tokens are taken;
     otherwise the walk moves in the candidate only if that keeps strictly more, else
     in the reference.  Reference tokens the candidate lacks never change a row, so they
-    are left out.  Every k-th row is kept and rows between are rebuilt, so memory
-    grows with n^1.5 bits instead of n^2.
+    are left out.  Of very long texts only every k-th row is kept and rows between are
+    rebuilt, so memory grows with n^1.5 bits instead of n^2.
     """
     shared = [place for place, token in enumerate(reference) if token in masks]
+    if len(shared) <= 1:
+        return shared
     steps = [masks[reference[place]] for place in shared]
     full = (1 << len(candidate)) - 1
-    stride = max(64, isqrt(len(steps)))
+    stride = 1 if len(steps) * len(candidate) <= _KEEP_ALL_BITS else isqrt(len(steps))
     kept, row = [full], full
     for i, mask in enumerate(steps, start=1):
         row = _next_row(row, mask, full)
@@ -58,7 +63,7 @@ def lcs_places(reference: list[str], masks: dict[str, int], candidate: list[str]
 
     block_start, block = -1, []
 
-    def row_at(i: int) -> int:
+    def rebuilt(i: int) -> int:
         nonlocal block_start, block
         start = i // stride
         if start != block_start:
@@ -67,6 +72,8 @@ def lcs_places(reference: list[str], masks: dict[str, int], candidate: list[str]
                 block.append(_next_row(block[-1], mask, full))
         return block[i - start * stride]
 
+    row_at = kept.__getitem__ if stride == 1 else rebuilt
+
     def common(row: int, j: int) -> int:
         return j - (row & ((1 << j) - 1)).bit_count()
 
@@ -99,6 +106,8 @@ def union_hits(references: list[list[str]], candidates: list[list[str]]) -> int:
         for candidate, masks in zip(candidates, all_masks, strict=True):
             if not words.isdisjoint(masks):
                 covered.update(lcs_places(sentence, masks, candidate))
+                if len(covered) == len(sentence):
+                    break
         for place in sorted(covered):
             token = sentence[place]
             if left_candidate[token] > 0 and left_reference[token] > 0:

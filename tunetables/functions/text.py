@@ -105,10 +105,17 @@ def bleu_tokens(text: Column) -> Column:
     return non_empty(F.split(F.translate(spaced, WHITESPACE, " " * len(WHITESPACE)), " "))
 
 
-def rouge_clean(text: Column, keep_newlines: bool = False) -> Column:
+def rouge_clean(text: Column) -> Column:
     """Lower-case, everything but a-z and 0-9 turned into single spaces."""
-    outside = r"[^a-z0-9\n]+" if keep_newlines else r"[^a-z0-9]+"
-    return F.regexp_replace(F.lower(text), outside, " ")
+    return F.regexp_replace(F.lower(text), r"[^a-z0-9]+", " ")
+
+
+def rouge_clean_lines(text: Column) -> Column:
+    """The same line by line, newlines kept.
+
+    A class that also excepts the newline makes Java's matcher many times slower.
+    """
+    return F.array_join(F.transform(F.split(text, "\n"), rouge_clean), "\n")
 
 
 def rouge_tokens(text: Column) -> Column:

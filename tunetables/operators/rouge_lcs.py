@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tunetables.functions.lcs import lcs_length, union_hits
 from tunetables.functions.numbers import f1
-from tunetables.functions.text import rouge_clean
+from tunetables.functions.text import rouge_clean, rouge_clean_lines
 
 
 def _sentence_counts(prediction: pd.Series, reference: pd.Series) -> pd.DataFrame:
@@ -31,8 +31,8 @@ def _summary_counts(prediction: pd.Series, reference: pd.Series) -> pd.DataFrame
 _COUNTS = "overlap long, n_prediction long, n_reference long"
 
 
-def _scored(pairs: DataFrame, name: str, counts, keep_newlines: bool) -> DataFrame:
-    texts = [rouge_clean(F.col(c), keep_newlines) for c in ("prediction", "reference")]
+def _scored(pairs: DataFrame, name: str, counts, clean) -> DataFrame:
+    texts = [clean(F.col(c)) for c in ("prediction", "reference")]
     counted = pairs.withColumn("_c", F.pandas_udf(counts, _COUNTS)(*texts))
     score = f1(F.col("_c.overlap"), F.col("_c.n_prediction"), F.col("_c.n_reference"))
     return counted.withColumn(name, score).drop("_c")
@@ -40,9 +40,9 @@ def _scored(pairs: DataFrame, name: str, counts, keep_newlines: bool) -> DataFra
 
 def with_rouge_l(pairs: DataFrame) -> DataFrame:
     """Add ``rougeL``: F1 over the longest common subsequence of the whole texts."""
-    return _scored(pairs, "rougeL", _sentence_counts, keep_newlines=False)
+    return _scored(pairs, "rougeL", _sentence_counts, rouge_clean)
 
 
 def with_rouge_lsum(pairs: DataFrame) -> DataFrame:
     """Add ``rougeLsum``: F1 over the union of sentence subsequences, sentences by line."""
-    return _scored(pairs, "rougeLsum", _summary_counts, keep_newlines=True)
+    return _scored(pairs, "rougeLsum", _summary_counts, rouge_clean_lines)
