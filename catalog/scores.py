@@ -39,26 +39,31 @@ def rejected_as_predictions(spark, folder):
 
 # --- the check's own word splitting and n-grams ---
 
-SIDES = """
-  SELECT pair_id, 'pred' AS side, prediction AS text FROM fx_pairs
-  UNION ALL SELECT pair_id, 'ref', reference FROM fx_pairs"""
-
-BLEU_WORDS = rf"""
-  SELECT pair_id, side, list_filter(regexp_split_to_array(
-    regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-      ' ' || replace(replace(replace(replace(replace(replace(replace(text, '<skipped>', ''), '-' || chr(10), ''),
-        chr(10), ' '), '&quot;', '"'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>') || ' ',
-      '([\{{-\~\[-\` -\&\(-\+\:-\@\/])', ' \1 ', 'g'),
-      '([^0-9])([\.,])', '\1 \2 ', 'g'),
-      '([\.,])([^0-9])', ' \1 \2', 'g'),
-      '([0-9])(-)', '\1 \2 ', 'g'),
-    '[\t-\r\x1c-\x20\x85\p{{Z}}]+'), lambda w: w <> '') AS words
-  FROM ({SIDES})"""
-
-ROUGE_WORDS = rf"""
-  SELECT pair_id, side, list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '),
-    lambda w: w <> '') AS words
-  FROM ({SIDES})"""
+def sides(pairs: str) -> str:
+    return f"""
+      SELECT pair_id, 'pred' AS side, prediction AS text FROM {pairs}
+      UNION ALL SELECT pair_id, 'ref', reference FROM {pairs}"""
+
+
+def bleu_words(pairs: str = "fx_pairs") -> str:
+    return rf"""
+      SELECT pair_id, side, list_filter(regexp_split_to_array(
+        regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+          ' ' || replace(replace(replace(replace(replace(replace(replace(text, '<skipped>', ''), '-' || chr(10), ''),
+            chr(10), ' '), '&quot;', '"'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>') || ' ',
+          '([\{{-\~\[-\` -\&\(-\+\:-\@\/])', ' \1 ', 'g'),
+          '([^0-9])([\.,])', '\1 \2 ', 'g'),
+          '([\.,])([^0-9])', ' \1 \2', 'g'),
+          '([0-9])(-)', '\1 \2 ', 'g'),
+        '[\t-\r\x1c-\x20\x85\p{{Z}}]+'), lambda w: w <> '') AS words
+      FROM ({sides(pairs)})"""
+
+
+def rouge_words(pairs: str = "fx_pairs") -> str:
+    return rf"""
+      SELECT pair_id, side, list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '),
+        lambda w: w <> '') AS words
+      FROM ({sides(pairs)})"""
 
 
 def overlap_sql(words: str, max_n: int) -> str:
@@ -74,14 +79,14 @@ def overlap_sql(words: str, max_n: int) -> str:
 
 
 # every pair has some token in the shared tables, so no empty-pair rows arise here
-@query("d03_clipped_ngrams", with_views("fx_pairs", overlap_sql(BLEU_WORDS, 4)))
+@query("d03_clipped_ngrams", with_views("fx_pairs", overlap_sql(bleu_words(), 4)))
 def d03(spark, folder):
     return ngrams.overlaps(text_pairs(spark, folder), tx.bleu_tokens, 4, clustered=True)
 
 
 @query(
     "f01_bleu_tokens",
-    with_views("fx_pairs", f"SELECT pair_id, array_to_string(words, ' ') AS words, len(words) AS n FROM ({BLEU_WORDS}) WHERE side = 'pred'"),
+    with_views("fx_pairs", f"SELECT pair_id, array_to_string(words, ' ') AS words, len(words) AS n FROM ({bleu_words()}) WHERE side = 'pred'"),
 )
 def f01(spark, folder):
     words = tx.bleu_tokens(F.col("prediction"))
@@ -90,16 +95,23 @@ def f01(spark, folder):
     )
 
 
-BLEU_SQL = f"""
-  SELECT *, CASE WHEN least(precision_1, precision_2, precision_3, precision_4) > 0
-    THEN exp((ln(precision_1) + ln(precision_2) + ln(precision_3) + ln(precision_4)) / 4) * brevity_penalty
-    ELSE 0 END AS bleu
-  FROM (SELECT *, CASE WHEN length_ratio > 1 THEN 1 ELSE exp(1 - 1 / length_ratio) END AS brevity_penalty
-    FROM (SELECT *, CAST(translation_length AS DOUBLE) / reference_length AS length_ratio
-      FROM (SELECT {", ".join(f"CAST(sum(overlap) FILTER (n = {n}) AS DOUBLE) / sum(n_prediction) FILTER (n = {n}) AS precision_{n}" for n in (1, 2, 3, 4))},
-                   CAST(sum(n_prediction) FILTER (n = 1) AS BIGINT) AS translation_length,
-                   CAST(sum(n_reference) FILTER (n = 1) AS BIGINT) AS reference_length
-            FROM ({overlap_sql(BLEU_WORDS, 4)}))))"""
+def bleu_sql(pairs: str = "fx_pairs") -> str:
+    ratios = ", ".join(
+        f"CAST(sum(overlap) FILTER (n = {n}) AS DOUBLE) / sum(n_prediction) FILTER (n = {n}) AS precision_{n}"
+        for n in (1, 2, 3, 4)
+    )
+    return f"""
+      SELECT *, CASE WHEN least(precision_1, precision_2, precision_3, precision_4) > 0
+        THEN exp((ln(precision_1) + ln(precision_2) + ln(precision_3) + ln(precision_4)) / 4) * brevity_penalty
+        ELSE 0 END AS bleu
+      FROM (SELECT *, CASE WHEN length_ratio > 1 THEN 1 ELSE exp(1 - 1 / length_ratio) END AS brevity_penalty
+        FROM (SELECT *, CAST(translation_length AS DOUBLE) / reference_length AS length_ratio
+          FROM (SELECT {ratios},
+                       CAST(sum(n_prediction) FILTER (n = 1) AS BIGINT) AS translation_length,
+                       CAST(sum(n_reference) FILTER (n = 1) AS BIGINT) AS reference_length
+                FROM ({overlap_sql(bleu_words(pairs), 4)}))))"""
+
+
 BLEU_REALS = ["precision_1", "precision_2", "precision_3", "precision_4", "length_ratio", "brevity_penalty", "bleu"]
 
 
@@ -107,7 +119,7 @@ BLEU_REALS = ["precision_1", "precision_2", "precision_3", "precision_4", "lengt
     "f02_corpus_bleu",
     with_views(
         "fx_pairs",
-        f"SELECT translation_length, reference_length, {', '.join(f'round({c}, 6) AS {c}' for c in BLEU_REALS)} FROM ({BLEU_SQL})",
+        f"SELECT translation_length, reference_length, {', '.join(f'round({c}, 6) AS {c}' for c in BLEU_REALS)} FROM ({bleu_sql()})",
     ),
 )
 def f02(spark, folder):
@@ -117,15 +129,16 @@ def f02(spark, folder):
     )
 
 
-ROUGE_N_SQL = f"""
-  SELECT pair_id, coalesce(max(f) FILTER (n = 1), 0) AS rouge1, coalesce(max(f) FILTER (n = 2), 0) AS rouge2
-  FROM (SELECT pair_id, n, CAST(2.0 * overlap AS DOUBLE) / (n_prediction + n_reference) AS f
-        FROM ({overlap_sql(ROUGE_WORDS, 2)})) GROUP BY pair_id"""
+def rouge_n_sql(pairs: str = "fx_pairs") -> str:
+    return f"""
+      SELECT pair_id, coalesce(max(f) FILTER (n = 1), 0) AS rouge1, coalesce(max(f) FILTER (n = 2), 0) AS rouge2
+      FROM (SELECT pair_id, n, CAST(2.0 * overlap AS DOUBLE) / (n_prediction + n_reference) AS f
+            FROM ({overlap_sql(rouge_words(pairs), 2)})) GROUP BY pair_id"""
 
 
 @query(
     "f03_rouge_n",
-    with_views("fx_pairs", f"SELECT pair_id, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2 FROM ({ROUGE_N_SQL})"),
+    with_views("fx_pairs", f"SELECT pair_id, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2 FROM ({rouge_n_sql()})"),
 )
 def f03(spark, folder):
     scores = ngrams.rouge_n(text_pairs(spark, folder), clustered=True)
@@ -146,7 +159,7 @@ def f05(spark, folder):
 
 @query(
     "f06_rouge_corpus",
-    with_views("fx_pairs", f"SELECT round(avg(rouge1), 6) AS rouge1, round(avg(rouge2), 6) AS rouge2 FROM ({ROUGE_N_SQL})"),
+    with_views("fx_pairs", f"SELECT round(avg(rouge1), 6) AS rouge1, round(avg(rouge2), 6) AS rouge2 FROM ({rouge_n_sql()})"),
 )
 def f06(spark, folder):
     means = mean_scores(ngrams.rouge_n(text_pairs(spark, folder), clustered=True), ["rouge1", "rouge2"])
@@ -201,8 +214,8 @@ def e09(spark, folder):
     "f08_score_table",
     with_views(
         "fx_pairs fx_token_embeddings",
-        f"""SELECT 'bleu' AS metric, round(bleu, 6) AS value FROM ({BLEU_SQL})
-            UNION ALL SELECT 'rouge1', round(avg(rouge1), 6) FROM ({ROUGE_N_SQL})
+        f"""SELECT 'bleu' AS metric, round(bleu, 6) AS value FROM ({bleu_sql()})
+            UNION ALL SELECT 'rouge1', round(avg(rouge1), 6) FROM ({rouge_n_sql()})
             UNION ALL SELECT 'bertscore', round(avg(f1), 6) FROM ({BERT_SQL})
             UNION ALL SELECT 'note', CAST(0 AS DOUBLE)""",
     ),
@@ -309,14 +322,42 @@ def evaluated(spark, folder):
     return rows, scored, evaluation.corpus_metrics(scored, token_embeddings(spark, folder))
 
 
-@query("f09_evaluation")
+EVALUATED = f"(SELECT idx AS pair_id, {STUB_SQL} AS prediction, chosen AS reference FROM fx_prefs)"
+
+
+@query(
+    "f09_evaluation",
+    with_views(
+        "fx_prefs fx_token_embeddings",
+        f"""SELECT 'bleu' AS metric, round(bleu, 6) AS value FROM ({bleu_sql(EVALUATED)})
+            UNION ALL SELECT 'rouge1', round(avg(rouge1), 6) FROM ({rouge_n_sql(EVALUATED)})
+            UNION ALL SELECT 'rouge2', round(avg(rouge2), 6) FROM ({rouge_n_sql(EVALUATED)})
+            UNION ALL SELECT 'bertscore', round(avg(f1), 6) FROM ({BERT_SQL})""",
+    ),
+)
 def f09(spark, folder):
     _, _, metrics = evaluated(spark, folder)
-    names = ["bleu", *evaluation.ROUGE, "bertscore"]
+    names = ["bleu", "rouge1", "rouge2", "bertscore"]
     return long_scores(metrics, names).withColumn("value", F.round("value", 6))
 
 
-@query("a06_evaluation_document")
+@query("f09_evaluation_subsequence_scores")
+def f09_subsequences(spark, folder):
+    _, _, metrics = evaluated(spark, folder)
+    return long_scores(metrics, ["rougeL", "rougeLsum"]).withColumn("value", F.round("value", 6))
+
+
+@query(
+    "a06_evaluation_document",
+    with_views(
+        "fx_prefs fx_token_embeddings",
+        f"""SELECT (SELECT round(bleu, 6) FROM ({bleu_sql(EVALUATED)})) AS bleu,
+                   (SELECT round(avg(rouge1), 6) FROM ({rouge_n_sql(EVALUATED)})) AS rouge1,
+                   (SELECT round(avg(f1), 6) FROM ({BERT_SQL})) AS bertscore,
+                   'conversations' AS dataset, count(*) AS size, count(*) AS evaluated, 'stub' AS model
+            FROM fx_prefs""",
+    ),
+)
 def a06(spark, folder):
     rows, scored, metrics = evaluated(spark, folder)
     path = write_evaluation(
@@ -325,7 +366,7 @@ def a06(spark, folder):
     document = spark.read.json(f"{path}/document")
     return document.select(
         F.round("metrics.bleu.bleu", 6).alias("bleu"),
-        F.round("metrics.rouge.rougeL", 6).alias("rougeL"),
+        F.round("metrics.rouge.rouge1", 6).alias("rouge1"),
         F.round("metrics.bertscore.average_f1", 6).alias("bertscore"),
         F.col("dataset_info.name").alias("dataset"),
         F.col("dataset_info.size").alias("size"),

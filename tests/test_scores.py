@@ -70,6 +70,23 @@ def test_lcs_scores_on_shared_documents(spark, name):
         assert got[r.pair_id] == pytest.approx(exact(r.prediction, r.reference), abs=1e-6)
 
 
+def test_corpus_subsequence_scores(spark):
+    """The registered corpus figures, against the mean of exact pair scores."""
+    from catalog import QUERIES
+    from catalog.fixtures import prefs
+    from catalog.scores import load_stub
+
+    folder, answer = "/root/testdata/sf0.001", load_stub()
+    rows = prefs(spark, folder).select("prompt", "chosen").collect()
+    got = {r.metric: r.value for r in QUERIES["f09_evaluation_subsequence_scores"](spark, folder).collect()}
+    for name, exact in (("rougeL", brute.rouge_l), ("rougeLsum", brute.rouge_lsum)):
+        scores = [exact(answer([r.prompt])[0], r.chosen) for r in rows]
+        assert got[name] == pytest.approx(sum(scores) / len(scores), abs=1e-6)
+    pair_scores = [r.rougeL for r in QUERIES["f04_rouge_l"](spark, folder).collect()]
+    short = {r.metric: r.value for r in QUERIES["f08_short_scores"](spark, folder).collect()}
+    assert short["rougeL"] == pytest.approx(sum(pair_scores) / len(pair_scores), abs=1e-6)
+
+
 def test_identical_texts_score_one(spark):
     text = "the quick brown fox jumps over the lazy dog"
     same = spark.createDataFrame([(0, text, text)], "pair_id long, prediction string, reference string")
