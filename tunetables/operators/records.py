@@ -299,6 +299,12 @@ def series_records(records: DataFrame) -> DataFrame:
     )
 
 
+def with_metrics(series: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Records cut down to the named metrics."""
+    kept = F.map_filter("record", lambda k, _: k.isin(list(names)))
+    return series.withColumn("record", kept)
+
+
 def unpivoted(series: DataFrame) -> DataFrame:
     """One row per metric value: record keys and nulls dropped."""
     values = F.map_filter("record", lambda k, v: ~k.isin(RECORD_KEYS) & v.isNotNull())

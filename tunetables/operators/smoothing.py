@@ -1,7 +1,7 @@
 """Series smoothing: moving average, exponential average, Savitzky-Golay.
 
-Input is a long table with a series key, an integer order column and ``value``;
-each function adds ``smoothed``.  A window of 1 or less, or a series no longer than
+Input is a long table with a series key, an integer order column and a ``value``
+that is never NULL; each function adds ``smoothed``.  A window of 1 or less, or a series no longer than
 the window, leaves values as they are.  Series are cut into chunks by position, so
 the longest one is as parallel as many short ones.
 """
@@ -60,8 +60,8 @@ def _own(chunks: DataFrame, df: DataFrame) -> DataFrame:
     return chunks.where("is_own").select(*df.columns, "smoothed")
 
 
-# Powers of the decay ratio in a block stay above 1e-260, well inside double range.
-_LOG_RANGE = 600.0
+# Powers of the decay ratio in a block stay above 1e-174, so values up to 1e130 are safe.
+_LOG_RANGE = 400.0
 # A factor of e^-80 is lost in a double's rounding.
 _NEGLIGIBLE = -80.0
 

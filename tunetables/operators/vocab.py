@@ -37,13 +37,11 @@ def build_vocabulary(
     ``size`` keeps the most frequent tokens only (an encoder's vocabulary size);
     others then encode as unknown.  Without it every token gets an id.
     """
-    counted = token_frequencies(texts, column)
     order = (F.col("freq").desc(), F.col("token").asc())
-    if size is not None:
-        counted = counted.orderBy(*order).limit(size)
-    return ranked(counted, *order, rank="_rank").select(
+    words = ranked(token_frequencies(texts, column), *order, rank="_rank").select(
         "token", "freq", (F.col("_rank") + 1).alias("id")
     )
+    return words if size is None else words.where(F.col("id") <= size)
 
 
 def encode(

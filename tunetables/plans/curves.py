@@ -26,6 +26,9 @@ def curve_table(
     once: finding their places takes two passes, and the log itself is far larger.
     """
     parsed = records.series_records(records.good_records(log_lines))
+    # other metrics need not travel through the shuffle that finds places
+    names = {name for m in metrics for name in (m, f"eval_{m}")}
+    parsed = records.with_metrics(parsed, sorted(names))
     values = written(records.unpivoted(series.downsampled(parsed, factor, max_points)), "curves")
     wanted = series.resolved_metrics(records.metric_sizes(values), metrics)
     wanted = written(wanted.select(*series.CURVE), "curve-list")

@@ -50,16 +50,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def is_small(df: DataFrame, max_rows: int = 1 << 20, max_bytes: int = 64 << 20) -> bool:
     """Whether a table is proven small enough to broadcast.
 
-    The proof is a job over at most ``max_rows + 1`` rows that counts rows and the
-    bytes of their strings.
+    The proof is a job that counts its rows and the bytes of their strings, map-side
+    first; pass tables that are stored or cheap to derive.
     """
     strings = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
     row_bytes = sum((F.octet_length(c) for c in strings), F.lit(16 * len(df.columns)))
-    size = (
-        df.limit(max_rows + 1)
-        .agg(F.count("*").alias("rows"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes"))
-        .first()
-    )
+    size = df.agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes")
+    ).first()
     return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 

@@ -29,7 +29,7 @@ def write_examples(rows: DataFrame, path: str, num_examples: int = 5) -> str:
         F.lit(-1).cast("long").alias("idx"), F.lit(EXAMPLES_HEADER).alias("text")
     )
     blocks = header.unionByName(example_report(rows, num_examples))
-    blocks.coalesce(1).sortWithinPartitions("idx").select("text").write.text(path)
+    blocks.repartition(1).sortWithinPartitions("idx").select("text").write.text(path)
     return path
 
 
