@@ -160,6 +160,12 @@ def test_long_chat_is_rendered_in_parts(spark):
     assert "".join(r.text for r in parts) == "".join(f"### User:\n{i}\n" for i in range(25))
 
 
+def test_one_batch_of_rows(rows):
+    assert sorted(r.idx for r in pairs.batch_rows(rows, 4, 3).collect()) == [4, 5, 6]
+    numbers = rows.select(pairs.batch_number(F.col("idx"), 4).alias("b")).collect()
+    assert sorted(r.b for r in numbers) == [0] * 4 + [1] * 4 + [2]
+
+
 def test_length_limit_is_inclusive(spark):
     df = spark.createDataFrame([(5,), (6,), (7,)], "length long")
     assert chats.short_chats(df, 6).count() == 2

@@ -244,6 +244,25 @@ def test_objectives_stay_finite(spark):
     assert objectives.means(objectives.orpo_pairs(df), objectives.ORPO_METRICS).first().loss > 0
 
 
+def test_curve_titles(spark):
+    rows = [("eval", "rewards/chosen"), ("eval", "eval_loss"), ("train", "grad_norm")]
+    df = spark.createDataFrame(rows, "series string, metric string")
+    label = series.curve_label(F.col("series"), F.col("metric"))
+    got = [tuple(r) for r in df.select(label, series.curve_title(label)).collect()]
+    assert got == [
+        ("eval_rewards/chosen", "Eval Rewards Chosen"),
+        ("eval_loss", "Eval Loss"),
+        ("grad_norm", "Grad Norm"),
+    ]
+
+
+def test_side_means_with_logits(spark):
+    df = spark.createDataFrame([(1, -1.0, -2.0, 0.5, 0.25), (1, -3.0, -4.0, 1.5, 0.75)],
+        "step long, policy_chosen_logp double, policy_rejected_logp double, chosen_logit double, rejected_logit double")
+    got = objectives.side_means(df, "step", logits=True).first()
+    assert tuple(got) == (1, -2.0, -3.0, 1.0, 0.5)
+
+
 def test_plot_lists():
     assert [len(records.METRICS_TO_PLOT[k]) for k in ("sft", "dpo", "orpo")] == [6, 10, 16]
     assert len(records.DEFAULT_METRICS) == 4
