@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -73,6 +74,22 @@ def test_exponential_with_a_very_long_memory(spark, small_ranges):
         assert r.smoothed == pytest.approx(want[r.line_no - 3], abs=1e-9)
 
 
+@pytest.mark.parametrize("bad", [{20: math.nan}, {20: math.inf}, {5: -math.inf, 60: math.inf}])
+def test_values_that_are_not_finite_stay(spark, small_ranges, bad):
+    values = [bad.get(i, math.sin(i)) for i in range(90)]
+    rows = [(1, "train", "loss", i, v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "run_id long, series string, metric string, line_no long, value double")
+    want = brute.exponential(values, 4)
+    for r in smoothing.exponential_average(df, 4).collect():
+        assert r.smoothed == pytest.approx(want[r.line_no], abs=1e-9, nan_ok=True)
+
+
+def test_sums_taken_along(spark, small_ranges):
+    df = spark.range(60).select(F.col("id").alias("k"), (F.col("id") % 2).alias("odd"))
+    got = ordering.with_position(df, [], "k", more={"odds": F.col("odd")}).collect()
+    assert all((r.pos, r.n, r.odds) == (r.k, 60, r.k // 2) for r in got)
+
+
 def test_unknown_method_changes_nothing(spark):
     _, df = series(spark, [20])
     assert all(r.smoothed == r.value for r in smoothing.smoothed(df, "other", 5).collect())

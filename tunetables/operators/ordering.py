@@ -29,56 +29,77 @@ def running_total(
     before: str = "before",
     total: str = "total",
     wider: dict[str, tuple[Sequence[str], Column]] | None = None,
+    more: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add the sum of ``value`` over earlier rows of the group, and the group sum.
 
     ``wider`` adds sums over several groups: a name, the part of ``keys`` that is
-    shared, and a condition on ``keys`` saying which groups to add up.
-
-    ``order`` is an integer column, unique within a group.  Two passes over ``df``: one
-    reads only keys, ``order`` and ``value`` and stores a sum per range (a row per
-    ``SPAN`` order values), the other adds the sums to the rows.  No window covers
-    more than ``SPAN`` rows, except the last one over range-of-range sums: one row
-    per 2^32 order values.
+    shared, and a condition on ``keys`` saying which groups to add up.  ``more`` names
+    further columns to sum over earlier rows on the way.
+
+    ``order`` is an integer column, unique within a group; it and ``keys`` are never
+    NULL.  Two passes over ``df``: one reads only keys, ``order`` and the summed columns
+    and stores their sums per range (a row per ``SPAN`` order values), the other adds
+    the sums to the rows.  No window covers more than ``SPAN`` rows, except the last
+    one over range-of-range sums: one row per 2^32 order values.
     """
-    keys = list(keys)
+    keys, wider = list(keys), wider or {}
+    summed = {before: value, **(more or {})}
+    count = range(len(summed))
     range1 = F.shiftright(F.col(order).cast("long"), SPAN_BITS)
-    marked = df.withColumn("_v", value.cast("long")).withColumn("_r1", range1)
+    marked = df.withColumn("_r1", range1).withColumns(
+        {f"_v{i}": column.cast("long") for i, column in enumerate(summed.values())}
+    )
     sums1 = written(
-        marked.groupBy(*keys, "_r1").agg(F.sum("_v").alias("_s1")), "range-sums"
+        marked.groupBy(*keys, "_r1").agg(*[F.sum(f"_v{i}").alias(f"_s{i}") for i in count]),
+        "range-sums",
     ).withColumn("_r2", F.shiftright("_r1", SPAN_BITS))
-    sums2 = sums1.groupBy(*keys, "_r2").agg(F.sum("_s1").alias("_s2"))
+    sums2 = sums1.groupBy(*keys, "_r2").agg(*[F.sum(f"_s{i}").alias(f"_s{i}") for i in count])
+
+    def earlier(column: str, by: list[str], along: str) -> Column:
+        frame = Window.partitionBy(*by).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(column).over(frame), F.lit(0).cast("long"))
 
-    top = Window.partitionBy(*keys)
-    earlier = (Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("long")
     starts2 = sums2.select(
         *keys,
         "_r2",
-        F.coalesce(F.sum("_s2").over(top.orderBy("_r2").rowsBetween(*earlier)), zero).alias("_o2"),
-        F.sum("_s2").over(top).alias("_all"),
+        *[earlier(f"_s{i}", keys, "_r2").alias(f"_o{i}") for i in count],
+        F.sum("_s0").over(Window.partitionBy(*keys)).alias("_all"),
         *[
-            F.sum(F.when(chosen, F.col("_s2"))).over(Window.partitionBy(*shared)).alias(name)
-            for name, (shared, chosen) in (wider or {}).items()
+            F.sum(F.when(chosen, F.col("_s0"))).over(Window.partitionBy(*shared)).alias(name)
+            for name, (shared, chosen) in wider.items()
         ],
     )
-    inside2 = Window.partitionBy(*keys, "_r2").orderBy("_r1").rowsBetween(*earlier)
     starts1 = (
-        sums1.withColumn("_o1", F.coalesce(F.sum("_s1").over(inside2), zero))
+        sums1.select(
+            *keys,
+            "_r1",
+            "_r2",
+            *[earlier(f"_s{i}", [*keys, "_r2"], "_r1").alias(f"_start{i}") for i in count],
+        )
         .join(starts2, [*keys, "_r2"])
-        .select(*keys, "_r1", (F.col("_o1") + F.col("_o2")).alias("_start"), "_all", *(wider or {}))
-    )
-    inside1 = Window.partitionBy(*keys, "_r1").orderBy(order).rowsBetween(*earlier)
-    return (
-        marked.withColumn("_local", F.coalesce(F.sum("_v").over(inside1), zero))
-        .join(starts1, [*keys, "_r1"])
         .select(
-            *[F.col(c) for c in df.columns],
-            (F.col("_start") + F.col("_local")).alias(before),
-            F.col("_all").alias(total),
-            *(wider or {}),
+            *keys,
+            "_r1",
+            *[(F.col(f"_start{i}") + F.col(f"_o{i}")).alias(f"_start{i}") for i in count],
+            "_all",
+            *wider,
         )
     )
+    inside = marked.select(
+        *df.columns,
+        "_r1",
+        *[earlier(f"_v{i}", [*keys, "_r1"], order).alias(f"_local{i}") for i in count],
+    )
+    return inside.join(starts1, [*keys, "_r1"]).select(
+        *[F.col(c) for c in df.columns],
+        *[
+            (F.col(f"_start{i}") + F.col(f"_local{i}")).alias(name)
+            for i, name in enumerate(summed)
+        ],
+        F.col("_all").alias(total),
+        *wider,
+    )
 
 
 def with_position(
@@ -88,9 +109,10 @@ def with_position(
     pos: str = "pos",
     n: str = "n",
     wider: dict[str, tuple[Sequence[str], Column]] | None = None,
+    more: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Add each row's 0-based position in its group and the group's row count."""
-    return running_total(df, keys, order, F.lit(1), before=pos, total=n, wider=wider)
+    return running_total(df, keys, order, F.lit(1), pos, n, wider, more)
 
 
 def ranked(df: DataFrame, *order: Column, rank: str) -> DataFrame:

@@ -69,17 +69,36 @@ _NEGLIGIBLE = -80.0
 def exponential_average(
     df: DataFrame, window: int, keys: Sequence[str] = CURVE, order: str = "line_no"
 ) -> DataFrame:
-    """``s[0] = v[0]``, ``s[t] = a*v[t] + (1-a)*s[t-1]`` with ``a = 2/(window+1)``."""
+    """``s[0] = v[0]``, ``s[t] = a*v[t] + (1-a)*s[t-1]`` with ``a = 2/(window+1)``.
+
+    As in the recurrence, a value that is not finite marks all later ones.
+    """
     keys = list(keys)
     if window <= 1:
         return df.withColumn("smoothed", F.col("value"))
     alpha = 2.0 / (window + 1)
-    placed = with_position(df, keys, order).withColumn(
-        "_x", F.when(F.col("pos") == 0, F.col("value")).otherwise(F.col("value") * alpha)
+    value, infinity = F.col("value"), float("inf")
+    tests = {
+        "_nans": F.isnan(value),
+        "_ups": value == infinity,
+        "_downs": value == -infinity,
+    }
+    placed = with_position(
+        df, keys, order, more={name: test.cast("int") for name, test in tests.items()}
+    )
+    seen = {name: (F.col(name) > 0) | test for name, test in tests.items()}
+    first_weight = F.when(F.col("pos") == 0, 1.0).otherwise(alpha)
+    decayed = _decaying_sum(
+        placed.withColumn("_x", value * first_weight), keys, "pos", "_x", math.log1p(-alpha), "_s"
+    )
+    average = (
+        F.when(seen["_nans"] | (seen["_ups"] & seen["_downs"]), F.lit(float("nan")))
+        .when(seen["_ups"], infinity)
+        .when(seen["_downs"], -infinity)
+        .otherwise(F.col("_s"))
     )
-    decayed = _decaying_sum(placed, keys, "pos", "_x", math.log1p(-alpha), "_s")
     return decayed.withColumn(
-        "smoothed", F.when(F.col("n") <= window, F.col("value")).otherwise(F.col("_s"))
+        "smoothed", F.when(F.col("n") <= window, value).otherwise(average)
     ).select(*df.columns, "smoothed")
 
 
