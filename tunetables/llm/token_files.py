@@ -144,12 +144,13 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
             ids = [x + end for x in encoder.encode(part["text"].tolist())]
             starts = [writer.add(x) for x in ids]
             counts = [len(x) // encoder.dtype.itemsize for x in ids]
-            yield pd.DataFrame({"part": number, "file": name, "doc_id": part["doc_id"].astype("Int64"), "first": starts, "n_tokens": counts})
+            yield pd.DataFrame({"part": number, "file": name, "doc_id": part["doc_id"].tolist(), "first": starts, "n_tokens": counts})
         if writer is not None:
             writer.close()
 
-    spread = spread.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return written(spread.mapInPandas(encoded, "part long, file string, doc_id long, first long, n_tokens long"), "token-index")
+    spread = spread.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    index = spread.mapInPandas(encoded, "part long, file string, doc_id string, first long, n_tokens long")
+    return written(index.withColumn("doc_id", F.col("doc_id").cast("long")), "token-index")
 
 
 def read_token_files(index: DataFrame) -> DataFrame:
@@ -173,9 +174,11 @@ def read_token_files(index: DataFrame) -> DataFrame:
                 if path != name:
                     name, file = path, SequenceFile(path)
                 sums.append(zlib.crc32(file.ids(first, count).astype("<u4").tobytes()))
-            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "start": part["_base"] + part["first"], "n_tokens": part["n_tokens"], "ids_crc32": sums})
+            yield pd.DataFrame({"doc_id": part["doc_id"].tolist(), "start": part["_base"] + part["first"], "n_tokens": part["n_tokens"], "ids_crc32": sums})
 
-    return rows.select("file", "doc_id", "first", "n_tokens", "_base").mapInPandas(checked, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    rows = rows.select("file", F.col("doc_id").cast("string").alias("doc_id"), "first", "n_tokens", "_base")
+    rows = rows.mapInPandas(checked, "doc_id string, start long, n_tokens long, ids_crc32 long")
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def token_files(docs: DataFrame, tokenizer: str, **options) -> DataFrame:
