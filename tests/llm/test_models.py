@@ -86,7 +86,7 @@ def test_signature_estimates_similarity():
     maker = near_dup.CirculantMinHash()
     same = np.mean(maker.signature(every[:2000]) == maker.signature(every[500:2500]))
     assert abs(same - 0.6) < 0.08
-    assert (maker.bands(every) == maker.bands(every[::-1])).all()
+    assert (maker.bands([every]) == maker.bands([every[::-1]])).all()
 
 
 def test_components_of_paths_and_stars(spark):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +15,6 @@ BLANK = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 
-_TO_SPACE = str.maketrans(dict.fromkeys(BLANKS, " "))
-_TO_LOWER = {i: i + 32 for i in range(ord("A"), ord("Z") + 1)}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,14 +27,9 @@ def words_of(text: str | None, lower: bool = False) -> list[str]:
     >>> words_of(" A\\u00a0b  C\\n", lower=True)
     ['a\\xa0b', 'c']
     """
-    if not text:
-        return []
-    if lower:
-        text = text.lower() if text.isascii() else text.translate(_TO_LOWER)
-    plain = text.translate(_TO_SPACE) if not text.isascii() or "\t" in text else text.replace("\n", " ")
-    if "\r" in plain or "\x0b" in plain or "\x0c" in plain:
-        plain = plain.translate(_TO_SPACE)
-    return [w for w in plain.split(" ") if w]
+    found = (text or "").encode("utf-8", "surrogatepass")
+    # on bytes, lower() and split() know ASCII only
+    return [w.decode("utf-8", "surrogatepass") for w in (found.lower() if lower else found).split()]
 
 
 def n_words(text: Column) -> Column:
@@ -65,29 +59,70 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
-    """Stable 64-bit hashes of words, the same on every machine and run.
+_IS_BLANK = np.isin(np.arange(256), np.frombuffer(BLANKS.encode(), np.uint8))
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
-    They are kept by the worker for words seen before; a full cache starts anew.
+
+def hashed_words(texts: Sequence[str | None]) -> list[np.ndarray]:
+    """For each text the 64-bit hashes of its words with A-Z lower-cased, the same on every machine and run.
+
+    A word's hash is the sum over its bytes of a number for the byte times a number for its place,
+    mixed with its length; all words of the texts are summed at once.
+    """
+    blobs = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b" ".join([b"", *blobs, b""]).lower(), np.uint8)
+    blank = _IS_BLANK[data]
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return [np.zeros(0, np.uint64) for _ in texts]
+    lengths = ends - starts
+    inside = np.flatnonzero(~blank)
+    first = np.cumsum(lengths) - lengths
+    places = np.arange(len(inside)) - np.repeat(first, lengths)
+    by_place = mixed(np.arange(7, 7 + int(lengths.max()), dtype=np.uint64)) | np.uint64(1)
+    with np.errstate(over="ignore"):
+        sums = np.add.reduceat(_BYTES[data[inside]] * by_place[places], first)
+        hashes = mixed(sums + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    cuts = np.searchsorted(starts, np.cumsum([1, *(len(b) + 1 for b in blobs)]))
+    return [hashes[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def in_pieces(texts: Sequence[str | None], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about ``size`` characters each."""
+    start = held = 0
+    for k, text in enumerate(texts):
+        held += len(text or "")
+        if held >= size:
+            yield start, k + 1
+            start, held = k + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def shingle_sets(words: Sequence[np.ndarray], size: int) -> list[np.ndarray]:
+    """For each list of word hashes the sorted distinct hashes of its runs of ``size`` words.
+
+    Fewer words are one run; no words give no shingle.
     """
-    from xxhash import xxh3_64_intdigest
-
-    known = worker_store("word hashes")
-    if len(known) > 600_000:
-        known.clear()
-    for w in set(words).difference(known):
-        known[w] = xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-
-def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
-    """Sorted distinct hashes of the runs of ``size`` words; all words as one when there are fewer."""
-    if not len(words):
-        return words
-    size = min(size, len(words))
-    n = len(words) - size + 1
-    total = np.zeros(n, np.uint64)
+    lengths = np.array([len(w) for w in words])
+    flat = np.concatenate([*words, np.zeros(size, np.uint64)])
+    total = np.zeros(len(flat) - size, np.uint64)
     with np.errstate(over="ignore"):
         for k in range(size):
-            total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + words[k : k + n])
-    return np.unique(total)
+            total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + flat[k : k + len(total)])
+    out, at = [], 0
+    for n, own in zip(lengths.tolist(), words, strict=True):
+        if n >= size:
+            found = np.sort(total[at : at + n - size + 1])
+            out.append(found[np.concatenate([[True], found[1:] != found[:-1]])])
+        elif n:
+            whole = np.zeros(1, np.uint64)
+            with np.errstate(over="ignore"):
+                for k in range(n):
+                    whole = mixed(whole * np.uint64(0x9E3779B97F4A7C15) + own[k : k + 1])
+            out.append(whole)
+        else:
+            out.append(own)
+        at += n
+    return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from math import ceil, log
 
@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunetables.llm.common import mixed, word_hashes, words_of
+from tunetables.llm.common import hashed_words, in_pieces, mixed
 from tunetables.session import written
 
 #: Hash of the end of a text, as a token.
@@ -19,7 +19,7 @@ END = np.uint64(0xE4D0F7E47B19A52D)
 #: Levels count by powers of this base: level q stands for a count of about BASE ** (q - 1).
 BASE = 2.0
 #: Membership probes of a level, and bits for each stored (n-gram, level).
-PROBES, BITS = 5, 8
+PROBES, BITS = 4, 10
 #: Weight of the shorter context against counts of the longer one.
 BACKOFF = 2.0
 #: N-grams that one task merges, and bytes that may be broadcast.
@@ -27,8 +27,8 @@ MERGED = 1_500_000
 BROADCAST = 192 << 20
 
 
-def _tokens(text: str | None) -> np.ndarray:
-    return np.append(word_hashes(words_of(text, lower=True)), END)
+def _tokens(texts: Sequence[str | None]) -> list[np.ndarray]:
+    return [np.append(words, END) for words in hashed_words(texts)]
 
 
 def _pairs(tokens: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -80,9 +80,10 @@ def ngram_counts(docs: DataFrame, shards: int) -> DataFrame:
                         yield pd.DataFrame({"size": [n], "shard": [shard], "hashes": [k.tobytes()], "counts": [c.astype("<u4").tobytes()]})
 
         for part in parts:
-            for text in part["text"]:
-                held.append(_tokens(text))
-                size += len(held[-1])
+            texts = part["text"].tolist()
+            for a, b in in_pieces(texts):
+                held += _tokens(texts[a:b])
+                size += sum(len(t) for t in held[a - b :])
                 if size > 4_000_000:
                     yield from sent()
                     held, size = [], 0
@@ -105,38 +106,35 @@ def levels(counts: np.ndarray) -> np.ndarray:
 
 @dataclass
 class LogFrequencyBloom:
-    """Membership of (n-gram, level): an n-gram of level q is stored with every level up to q."""
+    """Membership of (n-gram, level): an n-gram of level q is stored with every level up to q.
 
-    bits: np.ndarray
+    The probes of one entry are bits of one 64-bit word, so a test is one look into memory.
+    """
+
+    words: np.ndarray
 
     @staticmethod
     def empty(entries: int) -> LogFrequencyBloom:
-        return LogFrequencyBloom(np.zeros(max(64, -(-entries * BITS // 8)), np.uint8))
+        return LogFrequencyBloom(np.zeros(max(8, -(-entries * BITS // 64)), np.uint64))
 
-    def _places(self, keys: np.ndarray, level: int) -> Iterator[np.ndarray]:
+    def _places(self, keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """Word and mask of each entry."""
         with np.errstate(over="ignore"):
-            a = mixed(keys + np.uint64((level * 0x9E3779B97F4A7C15) % (1 << 64)))
-            b = mixed(a) | np.uint64(1)
-            size = np.uint64(len(self.bits) * 8)
-            for _ in range(PROBES):
-                yield a % size
-                a = a + b
+            h = mixed(keys + np.uint64((level * 0x9E3779B97F4A7C15) % (1 << 64)))
+            mask = np.zeros(len(keys), np.uint64)
+            for k in range(PROBES):
+                mask |= np.uint64(1) << ((h >> np.uint64(6 * k)) & np.uint64(63))
+            return ((h >> np.uint64(32)) * np.uint64(len(self.words)) >> np.uint64(32)).astype(np.int64), mask
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         top = levels(counts)
         for level in range(1, int(top.max(initial=0)) + 1):
-            for at in self._places(keys[top >= level], level):
-                np.bitwise_or.at(self.bits, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
+            at, mask = self._places(keys[top >= level], level)
+            np.bitwise_or.at(self.words, at, mask)
 
     def has(self, keys: np.ndarray, level: int) -> np.ndarray:
-        found = np.ones(len(keys), bool)
-        for at in self._places(keys, level):
-            alive = np.flatnonzero(found)
-            if not len(alive):
-                break
-            at = at[alive]
-            found[alive] = (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
-        return found
+        at, mask = self._places(keys, level)
+        return self.words[at] & mask == mask
 
     def count(self, keys: np.ndarray) -> np.ndarray:
         """Estimated counts: levels are probed from the first up until one is missing."""
@@ -162,8 +160,9 @@ class Model:
         """Exact training counts of tokens, 0 if unknown."""
         if not len(self.words):
             return np.zeros(len(tokens), np.int64)
-        at = np.minimum(np.searchsorted(self.words, tokens), len(self.words) - 1)
-        return np.where(self.words[at] == tokens, self.counts[at], 0).astype(np.int64)
+        asked, where = np.unique(tokens, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.words, asked), len(self.words) - 1)
+        return np.where(self.words[at] == asked, self.counts[at], 0).astype(np.int64)[where]
 
     def pair_counts(self, keys: np.ndarray) -> np.ndarray:
         shards = len(self.filters)
@@ -185,10 +184,10 @@ class Model:
         flat = np.concatenate(texts)
         ends = np.cumsum([len(t) for t in texts])
         starts = ends - [len(t) for t in texts]
-        before = np.concatenate([_before(t) for t in texts])
+        before = _before(flat)  # every text ends with the end, so it stands before the first word of the next
         counts = self.known(flat)
         single = (counts + 0.5) / (self.total + 0.5 * (self.distinct + 1))
-        context = self.known(before)
+        context = np.concatenate([self.known(before[:1]), counts[:-1]])
         pairs = np.minimum(self.pair_counts(_pairs(flat, before)), np.minimum(counts, context))
         joint = (pairs + BACKOFF * single) / (np.maximum(context, pairs) + BACKOFF)
         add = lambda x: np.add.reduceat(x, starts)
@@ -204,7 +203,7 @@ def _filled(counts: DataFrame) -> DataFrame:
                 keys, number = np.frombuffer(hashes, np.uint64), np.frombuffer(own, "<i8")
                 one = LogFrequencyBloom.empty(int(levels(number).sum()))
                 one.add(keys, number)
-                yield pd.DataFrame({"shard": [shard], "bits": [one.bits.tobytes()]})
+                yield pd.DataFrame({"shard": [shard], "bits": [one.words.tobytes()]})
 
     return counts.where("size = 2").select("shard", "hashes", "counts").mapInPandas(made, "shard int, bits binary")
 
@@ -215,7 +214,7 @@ def lm_scores(docs: DataFrame, merged: int = MERGED, broadcast: int = BROADCAST)
     ``score`` is the sum over tokens of log10 P(token | token before), with P = (c2 + 2 * P1) /
     (c1 + 2): c2 is the pair's count as the log-frequency Bloom filter holds it, c1 the count of the
     token before, P1 the smoothed share of the token alone (as in ``base_score``).  Filters have
-    8 bits for each stored level and 5 probes, about 2 % false positives at each level; a pair is
+    10 bits for each stored level and 4 probes, about 3 % false positives at each level; a pair is
     never held to be more frequent than either of its words.
 
     Counts of words and filters of pairs both grow with the corpus.  They are broadcast while
@@ -243,9 +242,9 @@ def lm_scores(docs: DataFrame, merged: int = MERGED, broadcast: int = BROADCAST)
         words[at : at + len(keys)] = keys
         numbers[at : at + len(keys)] = np.frombuffer(bytes(r["counts"]), "<i8")
         at += len(keys)
-    bits = [np.zeros(64, np.uint8)] * shards
+    bits = [np.zeros(8, np.uint64)] * shards
     for r in filters.toLocalIterator():
-        bits[r["shard"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+        bits[r["shard"]] = np.frombuffer(bytes(r["bits"]), np.uint64)
     shared = spark.sparkContext.broadcast((words, numbers, bits))
     del words, numbers, bits
 
@@ -253,9 +252,9 @@ def lm_scores(docs: DataFrame, merged: int = MERGED, broadcast: int = BROADCAST)
         own_words, own_numbers, own_bits = shared.value
         model = Model(total, distinct, own_words, own_numbers, [LogFrequencyBloom(b) for b in own_bits])
         for whole in parts:
-            for a in range(0, len(whole), 256):
-                part = whole.iloc[a : a + 256]
-                texts = [_tokens(t) for t in part["text"]]
+            every = whole["text"].tolist()
+            for a, b in in_pieces(every):
+                part, texts = whole.iloc[a:b], _tokens(every[a:b])
                 known, base, score = model.scores(texts)
                 yield _result(part, [len(t) for t in texts], known, total, base, score)
 
@@ -288,7 +287,7 @@ def _joined_scores(docs: DataFrame, counts: DataFrame, filters: DataFrame, shard
     def asked(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for row, text in zip(part["_row"], part["text"], strict=True):
-                tokens = _tokens(text)
+                [tokens] = _tokens([text])
                 before = _before(tokens)
                 keys = np.concatenate([tokens, before, _pairs(tokens, before)])
                 n = len(tokens)
@@ -301,7 +300,7 @@ def _joined_scores(docs: DataFrame, counts: DataFrame, filters: DataFrame, shard
     def answered(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if key[0] == 2 and len(right):
-            one = LogFrequencyBloom(np.frombuffer(right["bits"].iloc[0], np.uint8))
+            one = LogFrequencyBloom(np.frombuffer(right["bits"].iloc[0], np.uint64))
             ask = one.count
         elif len(right):
             model = Model(1, 1, np.frombuffer(right["hashes"].iloc[0], np.uint64), np.frombuffer(right["counts"].iloc[0], "<i8"), [])
@@ -316,7 +315,7 @@ def _joined_scores(docs: DataFrame, counts: DataFrame, filters: DataFrame, shard
         for part in parts:
             lengths, known, bases, scores = [], [], [], []
             for text, answers in zip(part["text"], part["answers"], strict=True):
-                n = len(_tokens(text))
+                n = len(_tokens([text])[0])
                 values = np.zeros(3 * n)
                 for x in answers:
                     values[np.frombuffer(x["at"], "<i4")] = np.frombuffer(x["found"], "<f8")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunetables.llm.common import mixed, packed, shingle_hashes, word_hashes, words_of
+from tunetables.llm.common import hashed_words, in_pieces, mixed, packed, shingle_sets
 from tunetables.llm.graph import components
 from tunetables.session import is_small, written
 
@@ -47,21 +47,16 @@ class CirculantMinHash:
             least = part if least is None else np.minimum(least, part)
         return least
 
-    def bands(self, elements: np.ndarray) -> np.ndarray:
-        """A 64-bit hash of each band, which also tells bands apart."""
-        ranks = self.signature(elements).reshape(BANDS, ROWS).astype(np.uint64)
-        total = np.arange(1, BANDS + 1, dtype=np.uint64)
+    def bands(self, sets: list[np.ndarray]) -> np.ndarray:
+        """For each non-empty set a 64-bit hash of each band, which also tells bands apart."""
+        ranks = np.stack([self.signature(s) for s in sets]).reshape(len(sets), BANDS, ROWS).astype(np.uint64)
+        total = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sets), 1))
         with np.errstate(over="ignore"):
             for k in range(ROWS):
-                total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + ranks[:, k])
+                total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + ranks[:, :, k])
         return total.view(np.int64)
 
 
-def _set(text: str | None, shingle: int) -> np.ndarray:
-    words = words_of(text, lower=True)
-    return shingle_hashes(word_hashes(words), shingle) if words else np.zeros(0, np.uint64)
-
-
 def _class(elements: np.ndarray) -> int:
     """Signed 64-bit hash of a set: documents of one set are one class."""
     from xxhash import xxh3_64_intdigest
@@ -75,28 +70,34 @@ def signed_documents(docs: DataFrame, shingle: int) -> DataFrame:
     def signed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         maker = CirculantMinHash()
         for part in parts:
-            sets = [_set(t, shingle) for t in part["text"]]
-            yield pd.DataFrame(
-                {
-                    "doc_id": part["doc_id"].tolist(),
-                    "n_shingles": [len(s) for s in sets],
-                    "cid": pd.array([_class(s) if len(s) else None for s in sets], dtype="Int64"),
-                    "bands": [maker.bands(s) if len(s) else None for s in sets],
-                }
-            )
+            ids, texts = part["doc_id"].tolist(), part["text"].tolist()
+            for a, b in in_pieces(texts):
+                sets = shingle_sets(hashed_words(texts[a:b]), shingle)
+                full = [s for s in sets if len(s)]
+                bands = iter(maker.bands(full)) if full else iter(())
+                yield pd.DataFrame(
+                    {
+                        "doc_id": ids[a:b],
+                        "n_shingles": [len(s) for s in sets],
+                        "cid": pd.array([_class(s) if len(s) else None for s in sets], dtype="Int64"),
+                        "bands": [next(bands) if len(s) else None for s in sets],
+                    }
+                )
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     rows = rows.mapInPandas(signed, "doc_id string, n_shingles long, cid long, bands array<long>")
     return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+def class_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """``cid, elements`` of the wanted classes; ``wanted`` has ``cid, rep`` (a document that has the set)."""
 
     def made(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            sets = [_set(t, shingle) for t in part["text"]]
-            yield pd.DataFrame({"cid": [_class(s) for s in sets], "elements": [s.view(np.int64) for s in sets]}).loc[[len(s) > 0 for s in sets]]
+            texts = part["text"].tolist()
+            for a, b in in_pieces(texts):
+                sets = [s for s in shingle_sets(hashed_words(texts[a:b]), shingle) if len(s)]
+                yield pd.DataFrame({"cid": [_class(s) for s in sets], "elements": [s.view(np.int64) for s in sets]})
 
     reps = wanted.select(F.col("rep").alias("doc_id")).distinct()
     reps = F.broadcast(reps) if is_small(reps) else reps
@@ -192,7 +193,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     members = written(spread.join(buckets.select("bucket", "hub"), "bucket"), "near-buckets")
 
     wanted = members.select("cid").distinct().join(classes.select("cid", "rep"), "cid")
-    sets = written(shingle_sets(docs, wanted, shingle), "near-sets")
+    sets = written(class_sets(docs, wanted, shingle), "near-sets")
     pairs = members.where("hub <> cid").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
     one = sets.select(F.col("cid").alias("b"), F.col("elements").alias("_y"))
     two = sets.select(F.col("cid").alias("a"), F.col("elements").alias("_x"))
