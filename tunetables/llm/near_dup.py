@@ -155,10 +155,14 @@ def links(members: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
     """
     labelled = members.join(found, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     labelled = written(labelled, "near-members")
+    # in a bucket of two the only pair has been checked
     several = labelled.groupBy("bucket").agg(
-        F.min("component").alias("_a"), F.max("component").alias("_b"), F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")
+        F.count("*").alias("_count"),
+        F.min("component").alias("_a"),
+        F.max("component").alias("_b"),
+        F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"),
     )
-    several = several.where("_a < _b").select("bucket", "blocks")
+    several = several.where("_a < _b AND _count > 2").select("bucket", "blocks")
     rows = labelled.join(several, "bucket").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: (F.col("blocks") == 1) | (k != F.col("block")))
     rows = rows.withColumn("other", F.explode(others))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunetables.llm import lm_score, mixing, near_dup, quality, secret_scan, token_counts, token_files
+from tunetables.llm import lm_score, mixing, near_dup, quality, secret_scan, substring_dup, token_counts, token_files
 from tunetables.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,11 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.length_table(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of ``documents`` without strings of 400 bytes that occur twice."""
+    return substring_dup.removal_digest(substring_dup.cut_documents(table(spark, folder, "documents")))
+
+
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
@@ -49,5 +54,5 @@ def op10_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.lm_scores(table(spark, folder, "documents"))
 
 
-for _query in (op1_token_counts, op3_source_mix, op4_token_files, op6_secrets, op8_near_duplicates, op9_quality_rules, op10_lm_scores):
+for _query in (op1_token_counts, op2_substring_dedup, op3_source_mix, op4_token_files, op6_secrets, op8_near_duplicates, op9_quality_rules, op10_lm_scores):
     QUERIES[_query.__name__] = _query
