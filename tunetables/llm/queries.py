@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunetables.llm import lm_score, mixing, near_dup, quality, secret_scan, substring_dup, token_counts, token_files
+from tunetables.llm import decontaminate, lm_score, mixing, near_dup, quality, secret_scan, substring_dup, token_counts, token_files
 from tunetables.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold an item of ``benchmark``, with the item."""
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicates at four words and a similarity of 0.8."""
     return near_dup.near_duplicates(table(spark, folder, "documents")).drop("cid")
@@ -54,5 +59,5 @@ def op10_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.lm_scores(table(spark, folder, "documents"))
 
 
-for _query in (op1_token_counts, op2_substring_dedup, op3_source_mix, op4_token_files, op6_secrets, op8_near_duplicates, op9_quality_rules, op10_lm_scores):
+for _query in (op1_token_counts, op2_substring_dedup, op3_source_mix, op4_token_files, op6_secrets, op7_decontamination, op8_near_duplicates, op9_quality_rules, op10_lm_scores):
     QUERIES[_query.__name__] = _query
