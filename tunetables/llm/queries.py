@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunetables.llm import decontaminate, lm_score, mixing, near_dup, quality, secret_scan, substring_dup, token_counts, token_files
+from tunetables.llm import chat_format, decontaminate, lm_score, mixing, near_dup, quality, secret_scan, substring_dup, token_counts, token_files
 from tunetables.llm.common import table
+from tunetables.session import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +38,12 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_files(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns recovered from ``conversations`` written out as transcripts."""
+    lines = written(chat_format.transcript_lines(table(spark, folder, "conversations")), "transcripts")
+    return chat_format.formatted(lines.drop("state"), chat_format.learned(lines))
+
+
 def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secret_spans(table(spark, folder, "documents"))
 
@@ -59,5 +66,5 @@ def op10_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.lm_scores(table(spark, folder, "documents"))
 
 
-for _query in (op1_token_counts, op2_substring_dedup, op3_source_mix, op4_token_files, op6_secrets, op7_decontamination, op8_near_duplicates, op9_quality_rules, op10_lm_scores):
+for _query in (op1_token_counts, op2_substring_dedup, op3_source_mix, op4_token_files, op5_chat_format, op6_secrets, op7_decontamination, op8_near_duplicates, op9_quality_rules, op10_lm_scores):
     QUERIES[_query.__name__] = _query
