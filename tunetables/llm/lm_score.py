@@ -8,10 +8,11 @@ from math import ceil, log
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunetables.llm.common import hashed_words, in_pieces, mixed
+from tunetables.llm.common import hashed_words, mixed
 from tunetables.session import written
 
 #: Hash of the end of a text, as a token.
@@ -19,11 +20,15 @@ END = np.uint64(0xE4D0F7E47B19A52D)
 #: Levels count by powers of this base: level q stands for a count of about BASE ** (q - 1).
 BASE = 2.0
 #: Membership probes of a level, and bits for each stored (n-gram, level).
-PROBES, BITS = 4, 10
+PROBES, BITS = 4, 8
 #: Weight of the shorter context against counts of the longer one.
 BACKOFF = 2.0
 #: N-grams that one task merges, and bytes that may be broadcast.
-MERGED = 1_500_000
+MERGED = 400_000
+#: Tokens that a task counts at a time.
+COUNTED = 1_000_000
+#: Counts from here on don't stand in the byte of their word.
+MANY = 255
 BROADCAST = 192 << 20
 
 
@@ -47,6 +52,24 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
+def _slices(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``size`` bytes of text, so only one slice at a time is Python strings."""
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
+def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Which of ``shards`` equal ranges of the hash a key is in."""
+    return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+
+
 def _counted(parts: list[np.ndarray], weights: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes, in order, and their counts."""
     every = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
@@ -59,32 +82,32 @@ def _counted(parts: list[np.ndarray], weights: list[np.ndarray] | None = None) -
 
 
 def ngram_counts(docs: DataFrame, shards: int) -> DataFrame:
-    """``size`` (1 or 2), ``shard``, ``hashes``, ``counts``: n-grams of the training rows, merged.
+    """``size`` (1 or 2), ``shard``, ``hashes``, ``counts`` (levels for pairs): n-grams of the training rows, merged.
 
-    A task counts its n-grams some million tokens at a time and sends, for each shard (a range of
+    A task counts its n-grams a million tokens or so at a time and sends, for each shard (a range of
     the hash), two packed arrays; the shards are then merged.  A word in every text is one entry
     for each million tokens, so no shard is larger than the others.
     """
 
-    def partial(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
 
-        def sent() -> Iterator[pd.DataFrame]:
+        def sent() -> Iterator[pa.RecordBatch]:
             for n in (1, 2):
                 grams = held if n == 1 else [_pairs(t, _before(t)) for t in held]
                 keys, counts = _counted(grams)
-                cuts = np.searchsorted(keys, np.array([(k << 64) // shards for k in range(1, shards)], np.uint64))
-                for shard, (k, c) in enumerate(zip(np.split(keys, cuts), np.split(counts, cuts), strict=True)):
-                    if len(k):
-                        yield pd.DataFrame({"size": [n], "shard": [shard], "hashes": [k.tobytes()], "counts": [c.astype("<u4").tobytes()]})
+                own, first = np.unique(_shard(keys, shards), return_index=True)
+                parts = zip(np.split(keys, first[1:]), np.split(counts.astype("<u4"), first[1:]), strict=True)
+                packs = [(k.tobytes(), c.tobytes()) for k, c in parts]
+                columns = [pa.array([n] * len(own), "int32"), pa.array(own, "int32"), pa.array([k for k, _ in packs], "binary"), pa.array([c for _, c in packs], "binary")]
+                yield pa.RecordBatch.from_arrays(columns, ["size", "shard", "hashes", "counts"])
 
-        for part in parts:
-            texts = part["text"].tolist()
-            for a, b in in_pieces(texts):
-                held += _tokens(texts[a:b])
-                size += sum(len(t) for t in held[a - b :])
-                if size > 4_000_000:
+        for whole in parts:
+            for part in _slices(whole):
+                held += _tokens(part.column("text").to_pylist())
+                size += sum(len(t) for t in held[-part.num_rows :])
+                if size > COUNTED:
                     yield from sent()
                     held, size = [], 0
         if held:
@@ -93,9 +116,10 @@ def ngram_counts(docs: DataFrame, shards: int) -> DataFrame:
     def merged(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         hashes = [np.frombuffer(x, np.uint64) for x in group["hashes"]]
         keys, counts = _counted(hashes, [np.frombuffer(x, "<u4").astype(np.int64) for x in group["counts"]])
-        return pd.DataFrame({"size": [key[0]], "shard": [key[1]], "n": [len(keys)], "total": [int(counts.sum())], "hashes": [keys.tobytes()], "counts": [counts.astype("<i8").tobytes()]})
+        own = counts.astype("<i8") if key[0] == 1 else levels(counts).astype("u1")
+        return pd.DataFrame({"size": [key[0]], "shard": [key[1]], "n": [len(keys)], "total": [int(counts.sum())], "hashes": [keys.tobytes()], "counts": [own.tobytes()]})
 
-    rows = docs.where(~held_out(F.col("doc_id"))).select("text").mapInPandas(partial, "size int, shard int, hashes binary, counts binary")
+    rows = docs.where(~held_out(F.col("doc_id"))).select("text").mapInArrow(partial, "size int, shard int, hashes binary, counts binary")
     return rows.groupBy("size", "shard").applyInPandas(merged, "size int, shard int, n long, total long, hashes binary, counts binary")
 
 
@@ -109,13 +133,16 @@ class LogFrequencyBloom:
     """Membership of (n-gram, level): an n-gram of level q is stored with every level up to q.
 
     The probes of one entry are bits of one 64-bit word, so a test is one look into memory.
+    ``starts`` cuts ``words`` into the filters of equal ranges of the hash, which are made apart.
     """
 
     words: np.ndarray
+    starts: np.ndarray
 
     @staticmethod
     def empty(entries: int) -> LogFrequencyBloom:
-        return LogFrequencyBloom(np.zeros(max(8, -(-entries * BITS // 64)), np.uint64))
+        n = max(8, -(-entries * BITS // 64))
+        return LogFrequencyBloom(np.zeros(n, np.uint64), np.array([0, n]))
 
     def _places(self, keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
         """Word and mask of each entry."""
@@ -124,10 +151,14 @@ class LogFrequencyBloom:
             mask = np.zeros(len(keys), np.uint64)
             for k in range(PROBES):
                 mask |= np.uint64(1) << ((h >> np.uint64(6 * k)) & np.uint64(63))
-            return ((h >> np.uint64(32)) * np.uint64(len(self.words)) >> np.uint64(32)).astype(np.int64), mask
-
-    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        top = levels(counts)
+            if len(self.starts) == 2:
+                return ((h >> np.uint64(32)) * np.uint64(len(self.words)) >> np.uint64(32)).astype(np.int64), mask
+            own = _shard(keys, len(self.starts) - 1)
+            sizes = np.diff(self.starts).astype(np.uint64)
+            return self.starts[own] + ((h >> np.uint64(32)) * sizes[own] >> np.uint64(32)).astype(np.int64), mask
+
+    def add(self, keys: np.ndarray, top: np.ndarray) -> None:
+        """Stores keys of the given levels (in a filter of one range)."""
         for level in range(1, int(top.max(initial=0)) + 1):
             at, mask = self._places(keys[top >= level], level)
             np.bitwise_or.at(self.words, at, mask)
@@ -148,13 +179,19 @@ class LogFrequencyBloom:
 
 @dataclass
 class Model:
-    """What a worker needs to score: exact word counts, and one filter for each shard of the pairs."""
+    """What a worker needs to score: exact word counts, and the filter of the pairs.
+
+    ``counts`` is a byte for each of the sorted ``words``; at ``MANY`` the count is in
+    ``often_counts``, for the places ``often``.
+    """
 
     total: int
     distinct: int
     words: np.ndarray
     counts: np.ndarray
-    filters: list[LogFrequencyBloom]
+    often: np.ndarray
+    often_counts: np.ndarray
+    pairs: LogFrequencyBloom
 
     def known(self, tokens: np.ndarray) -> np.ndarray:
         """Exact training counts of tokens, 0 if unknown."""
@@ -162,22 +199,11 @@ class Model:
             return np.zeros(len(tokens), np.int64)
         asked, where = np.unique(tokens, return_inverse=True)
         at = np.minimum(np.searchsorted(self.words, asked), len(self.words) - 1)
-        return np.where(self.words[at] == asked, self.counts[at], 0).astype(np.int64)[where]
-
-    def pair_counts(self, keys: np.ndarray) -> np.ndarray:
-        shards = len(self.filters)
-        if shards == 1:
-            return self.filters[0].count(keys)
-        out = np.zeros(len(keys))
-        limits = np.array([(k << 64) // shards for k in range(1, shards)], np.uint64)
-        own = np.searchsorted(limits, keys, side="right")
-        order = np.argsort(own, kind="stable")
-        cuts = np.searchsorted(own[order], np.arange(shards + 1))
-        for k in range(shards):
-            at = order[cuts[k] : cuts[k + 1]]
-            if len(at):
-                out[at] = self.filters[k].count(keys[at])
-        return out
+        found = np.where(self.words[at] == asked, self.counts[at], 0).astype(np.int64)
+        large = np.flatnonzero(found == MANY)
+        if len(large):
+            found[large] = self.often_counts[np.searchsorted(self.often, at[large])]
+        return found[where]
 
     def scores(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Known tokens, base score and model score of each text."""
@@ -188,7 +214,7 @@ class Model:
         counts = self.known(flat)
         single = (counts + 0.5) / (self.total + 0.5 * (self.distinct + 1))
         context = np.concatenate([self.known(before[:1]), counts[:-1]])
-        pairs = np.minimum(self.pair_counts(_pairs(flat, before)), np.minimum(counts, context))
+        pairs = np.minimum(self.pairs.count(_pairs(flat, before)), np.minimum(counts, context))
         joint = (pairs + BACKOFF * single) / (np.maximum(context, pairs) + BACKOFF)
         add = lambda x: np.add.reduceat(x, starts)
         return add((counts > 0).astype(np.int64)), add(np.log10(single)), add(np.log10(joint))
@@ -200,9 +226,9 @@ def _filled(counts: DataFrame) -> DataFrame:
     def made(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for shard, hashes, own in zip(part["shard"], part["hashes"], part["counts"], strict=True):
-                keys, number = np.frombuffer(hashes, np.uint64), np.frombuffer(own, "<i8")
-                one = LogFrequencyBloom.empty(int(levels(number).sum()))
-                one.add(keys, number)
+                keys, top = np.frombuffer(hashes, np.uint64), np.frombuffer(own, "u1")
+                one = LogFrequencyBloom.empty(int(top.sum(dtype=np.int64)))
+                one.add(keys, top)
                 yield pd.DataFrame({"shard": [shard], "bits": [one.words.tobytes()]})
 
     return counts.where("size = 2").select("shard", "hashes", "counts").mapInPandas(made, "shard int, bits binary")
@@ -214,7 +240,7 @@ def lm_scores(docs: DataFrame, merged: int = MERGED, broadcast: int = BROADCAST)
     ``score`` is the sum over tokens of log10 P(token | token before), with P = (c2 + 2 * P1) /
     (c1 + 2): c2 is the pair's count as the log-frequency Bloom filter holds it, c1 the count of the
     token before, P1 the smoothed share of the token alone (as in ``base_score``).  Filters have
-    10 bits for each stored level and 4 probes, about 3 % false positives at each level; a pair is
+    8 bits for each stored level and 4 probes, about 4 % false positives at each level; a pair is
     never held to be more frequent than either of its words.
 
     Counts of words and filters of pairs both grow with the corpus.  They are broadcast while
@@ -233,32 +259,45 @@ def lm_scores(docs: DataFrame, merged: int = MERGED, broadcast: int = BROADCAST)
     total, distinct = (n[1]["total"], n[1]["n"]) if 1 in n else (0, 0)
     filters = written(_filled(counts), "ngram-filters")
     held = filters.agg(F.sum(F.length("bits"))).first()[0] or 0
-    if held + 12 * distinct > broadcast:
+    if held + 9 * distinct > broadcast:
         return _joined_scores(docs, counts, filters, shards, total, distinct)
-    words, numbers = np.zeros(distinct, np.uint64), np.zeros(distinct, np.uint32)
+    words, numbers = np.zeros(distinct, np.uint64), np.zeros(distinct, np.uint8)
+    often, often_counts = [], []
     at = 0
     for r in counts.where("size = 1").select("shard", "hashes", "counts").orderBy("shard").toLocalIterator():
         keys = np.frombuffer(bytes(r["hashes"]), np.uint64)
         words[at : at + len(keys)] = keys
-        numbers[at : at + len(keys)] = np.frombuffer(bytes(r["counts"]), "<i8")
+        own = np.frombuffer(bytes(r["counts"]), "<i8")
+        numbers[at : at + len(keys)] = np.minimum(own, MANY)
+        often.append(np.flatnonzero(own >= MANY) + at)
+        often_counts.append(own[own >= MANY])
         at += len(keys)
-    bits = [np.zeros(8, np.uint64)] * shards
+    sizes = {r["shard"]: r["n"] // 8 for r in filters.select("shard", F.length("bits").alias("n")).collect()}
+    starts = np.cumsum([0, *(sizes.get(k, 8) for k in range(shards))])
+    bits = np.zeros(int(starts[-1]), np.uint64)
     for r in filters.toLocalIterator():
-        bits[r["shard"]] = np.frombuffer(bytes(r["bits"]), np.uint64)
-    shared = spark.sparkContext.broadcast((words, numbers, bits))
+        bits[starts[r["shard"]] : starts[r["shard"] + 1]] = np.frombuffer(bytes(r["bits"]), np.uint64)
+    none = np.zeros(0, np.int64)
+    many = (np.concatenate([none, *often]), np.concatenate([none, *often_counts]))
+    shared = spark.sparkContext.broadcast((total, distinct, words, numbers, *many, bits, starts))
     del words, numbers, bits
 
-    def scored(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own_words, own_numbers, own_bits = shared.value
-        model = Model(total, distinct, own_words, own_numbers, [LogFrequencyBloom(b) for b in own_bits])
+    def scored(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = _schema()
+        model = Model(*shared.value[:6], LogFrequencyBloom(*shared.value[6:]))
         for whole in parts:
-            every = whole["text"].tolist()
-            for a, b in in_pieces(every):
-                part, texts = whole.iloc[a:b], _tokens(every[a:b])
+            for part in _slices(whole):
+                texts = _tokens(part.column("text").to_pylist())
                 known, base, score = model.scores(texts)
-                yield _result(part, [len(t) for t in texts], known, total, base, score)
+                frame = _result(part.select(["doc_id", "held_out"]).to_pandas(), [len(t) for t in texts], known, total, base, score)
+                yield pa.RecordBatch.from_pandas(frame, preserve_index=False, schema=schema)
 
-    return _rows(docs).mapInPandas(scored, RESULT).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return _rows(docs).mapInArrow(scored, RESULT).withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def _schema() -> pa.Schema:
+    kinds = {"string": pa.string(), "boolean": pa.bool_(), "long": pa.int64(), "double": pa.float64()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (c.split(" ") for c in RESULT.split(", "))])
 
 
 RESULT = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -282,8 +321,6 @@ def _joined_scores(docs: DataFrame, counts: DataFrame, filters: DataFrame, shard
     are answered by the count shard in the same way.  Every shard is asked in chunks of rows, so a
     group holds a shard's arrays and one chunk.
     """
-    limits = np.array([(k << 64) // shards for k in range(1, shards)], np.uint64)
-
     def asked(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for row, text in zip(part["_row"], part["text"], strict=True):
@@ -291,7 +328,7 @@ def _joined_scores(docs: DataFrame, counts: DataFrame, filters: DataFrame, shard
                 before = _before(tokens)
                 keys = np.concatenate([tokens, before, _pairs(tokens, before)])
                 n = len(tokens)
-                own, size = np.searchsorted(limits, keys, side="right"), np.repeat([1, 2], [2 * n, n])
+                own, size = _shard(keys, shards), np.repeat([1, 2], [2 * n, n])
                 for kind in (1, 2):
                     for shard in np.unique(own[size == kind]):
                         at = np.flatnonzero((own == shard) & (size == kind))
@@ -300,10 +337,14 @@ def _joined_scores(docs: DataFrame, counts: DataFrame, filters: DataFrame, shard
     def answered(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if key[0] == 2 and len(right):
-            one = LogFrequencyBloom(np.frombuffer(right["bits"].iloc[0], np.uint64))
+            words = np.frombuffer(right["bits"].iloc[0], np.uint64)
+            one = LogFrequencyBloom(words, np.array([0, len(words)]))
             ask = one.count
         elif len(right):
-            model = Model(1, 1, np.frombuffer(right["hashes"].iloc[0], np.uint64), np.frombuffer(right["counts"].iloc[0], "<i8"), [])
+            own = np.frombuffer(right["counts"].iloc[0], "<i8")
+            place = np.flatnonzero(own >= MANY)
+            words = np.frombuffer(right["hashes"].iloc[0], np.uint64)
+            model = Model(1, 1, words, np.minimum(own, MANY).astype(np.uint8), place, own[place], LogFrequencyBloom.empty(0))
             ask = model.known
         else:
             ask = lambda k: np.zeros(len(k))
