@@ -86,12 +86,17 @@ def d03(spark, folder):
 
 @query(
     "f01_bleu_tokens",
-    with_views("fx_pairs", f"SELECT pair_id, array_to_string(words, ' ') AS words, len(words) AS n FROM ({bleu_words()}) WHERE side = 'pred'"),
+    with_views("fx_pairs", f"SELECT pair_id, side, array_to_string(words, ' ') AS words, len(words) AS n FROM ({bleu_words()})"),
 )
 def f01(spark, folder):
-    words = tx.bleu_tokens(F.col("prediction"))
-    return text_pairs(spark, folder).select(
-        "pair_id", F.array_join(words, " ").alias("words"), F.size(words).cast("long").alias("n")
+    both = F.array(
+        F.struct(F.lit("pred").alias("side"), F.col("prediction").alias("text")),
+        F.struct(F.lit("ref").alias("side"), F.col("reference").alias("text")),
+    )
+    sides = text_pairs(spark, folder).select("pair_id", F.inline(both))
+    words = tx.bleu_tokens(F.col("text"))
+    return sides.select(
+        "pair_id", "side", F.array_join(words, " ").alias("words"), F.size(words).cast("long").alias("n")
     )
 
 

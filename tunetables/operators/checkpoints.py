@@ -24,9 +24,13 @@ def latest_checkpoint(listing: DataFrame) -> DataFrame:
 
 
 def best_checkpoint(listing: DataFrame, metric: str = "eval_loss") -> DataFrame:
-    """Checkpoint with the smallest metric of each run, the earliest on ties."""
+    """Checkpoint with the smallest metric of each run, the earliest on ties.
+
+    A checkpoint that was never evaluated (NULL metric) can't be the best.
+    """
     return (
         checkpoints(listing)
+        .where(F.col(metric).isNotNull())
         .groupBy("run_id")
         .agg(F.min(F.struct(metric, "step", "path")).alias("c"))
         .select("run_id", F.col("c.path").alias("path"))
@@ -36,7 +40,7 @@ def best_checkpoint(listing: DataFrame, metric: str = "eval_loss") -> DataFrame:
 def retained(
     listing: DataFrame, keep: int = KEEP_NEWEST, metric: str = "eval_loss"
 ) -> DataFrame:
-    """Checkpoints kept by rotation: the newest ``keep`` of each run and its best one.
+    """Checkpoints kept by rotation: the newest ``keep`` of each run and, beside them, its best one.
 
     The newest are found with a limit pushed below the shuffle, so a long run sends
     only ``keep`` rows per task.

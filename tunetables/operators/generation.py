@@ -45,7 +45,8 @@ def generated(
                 answers.extend(replies)
             yield frame.assign(prediction=answers)
 
-    source = prompts.repartition(tasks, "idx") if tasks else prompts
+    spread = tasks or prompts.sparkSession.sparkContext.defaultParallelism
+    source = prompts.repartition(spread, "idx")
     if by_length:
         source = source.sortWithinPartitions(F.length(column))
     return source.mapInPandas(answer, out)

@@ -144,16 +144,18 @@ def with_record(df: DataFrame, text: str) -> DataFrame:
 def parsed_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Add ``record`` (map) and ``status``: good, blank or bad.
 
-    Permissive reading: bad lines stay visible with a 50-character ``preview``.
+    Permissive reading: bad lines stay whole in ``bad_line``, with a 50-character ``preview``.
     """
     others = [c for c in lines.columns if c != line]
     text = strip(F.col(line))
-    parsed = lines.select(*others, text.alias("_text"), F.explode(_json_objects(text)).alias("record"))
+    parsed = lines.select(*others, F.col(line).alias("_line"), text.alias("_text"), F.explode(_json_objects(text)).alias("record"))
     status = (
         F.when(F.col("_text") == "", "blank").when(F.col("record").isNull(), "bad").otherwise("good")
     )
     preview = F.when(F.col("status") == "bad", F.substring("_text", 1, PREVIEW_CHARS))
-    return parsed.withColumn("status", status).withColumn("preview", preview).drop("_text")
+    return parsed.withColumn("status", status).withColumn("preview", preview).withColumn(
+        "bad_line", F.when(F.col("status") == "bad", F.col("_line"))
+    ).drop("_text", "_line")
 
 
 def good_records(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -162,10 +164,14 @@ def good_records(lines: DataFrame, line: str = "line") -> DataFrame:
 
 
 def strict_records(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Strict reading: the first line that is not a JSON object fails the job."""
-    failure = F.raise_error(F.concat(F.lit("not a log record: "), F.col(line)))
-    record = F.coalesce(json_object(F.col(line)), failure.cast(JSON_MAP))
-    return lines.withColumn("record", record).drop(line)
+    """Strict reading: the first line that is not a JSON object fails the job.
+
+    The check is a filter, so it holds whichever columns are read later; a NULL line fails too.
+    """
+    text = F.coalesce(F.col(line), F.lit("NULL"))
+    failure = F.raise_error(F.concat(F.lit("not a log record: "), text)).cast("boolean")
+    checked = lines.where(F.when(json_object(F.col(line)).isNotNull(), True).otherwise(failure))
+    return checked.withColumn("record", json_object(F.col(line))).drop(line)
 
 
 def record_kind(record: Column, log_steps: bool = True) -> Column:

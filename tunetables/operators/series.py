@@ -46,10 +46,11 @@ def downsample_step(factor: int | None, max_points: int | None) -> Column:
 
 
 def downsampled(
-    series: DataFrame, factor: int | None = None, max_points: int | None = MAX_POINTS
+    series: DataFrame, factor: int | None = None, max_points: int | None = None
 ) -> DataFrame:
     """Every k-th record of each series, with k from ``downsample_step``.
 
+    Without ``factor`` and ``max_points`` (``MAX_POINTS`` is a usual one) all records stay.
     Sampling is by record, so all metrics of a kept record stay aligned on its step.
     """
     train_n = {"train_n": (["run_id"], F.col("series") == "train")}
@@ -60,14 +61,18 @@ def downsampled(
 
 
 def resolved_metrics(
-    available: DataFrame, requested: Sequence[str], dedup: bool = True
+    available: DataFrame,
+    requested: Sequence[str],
+    dedup: bool = True,
+    trained: DataFrame | None = None,
 ) -> DataFrame:
     """``(run_id, place, requested, series, metric)``: curves to draw for each run.
 
     A requested metric gives a training curve if the run has it, and an evaluation
     curve named ``eval_<metric>`` if present, else ``<metric>``.  Without ``dedup`` an
     evaluation curve asked for under both names comes twice.  Runs without training
-    values have no curves.
+    records have no curves: ``trained`` holds the ``run_id`` of those that have some; without
+    it, runs with a training value in ``available`` count.
     """
     candidates = []
     for place, name in enumerate(requested):
@@ -80,7 +85,8 @@ def resolved_metrics(
     wanted = available.sparkSession.createDataFrame(
         candidates, "place long, requested string, series string, metric string, choice int"
     )
-    trained = available.where(F.col("series") == "train").select("run_id").distinct()
+    if trained is None:
+        trained = available.where(F.col("series") == "train").select("run_id").distinct()
     found = (
         available.select(*CURVE)
         .join(trained, "run_id", "left_semi")

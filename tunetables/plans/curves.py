@@ -16,7 +16,7 @@ def curve_table(
     metrics: Sequence[str] = tuple(records.DEFAULT_METRICS),
     window: int | None = None,
     factor: int | None = None,
-    max_points: int | None = series.MAX_POINTS,
+    max_points: int | None = None,
     method: str = "moving_average",
 ) -> DataFrame:
     """``(run_id, series, metric, label, step, x, raw, smoothed)``.
@@ -26,11 +26,13 @@ def curve_table(
     once: finding their places takes two passes, and the log itself is far larger.
     """
     parsed = records.series_records(records.good_records(log_lines))
+    # by records: a run has trained also where only evaluation metrics are asked for
+    trained = parsed.where(F.col("series") == "train").select("run_id").distinct()
     # other metrics need not travel through the shuffle that finds places
     names = {name for m in metrics for name in (m, f"eval_{m}")}
     parsed = records.with_metrics(parsed, sorted(names))
     values = written(records.unpivoted(series.downsampled(parsed, factor, max_points)), "curves")
-    wanted = series.resolved_metrics(records.metric_sizes(values), metrics)
+    wanted = series.resolved_metrics(records.metric_sizes(values), metrics, trained=trained)
     wanted = written(wanted.select(*series.CURVE), "curve-list")
     chosen = lookup(values, wanted, series.CURVE, spread="line_no", how="left_semi").where(
         F.col("value").isNotNull()

@@ -20,14 +20,17 @@ def predictions(
     load: Callable[[], Generator],
     batch_size: int = 4,
     early_stop: bool = False,
+    tasks: int | None = None,
+    by_length: bool = False,
 ) -> DataFrame:
     """``(pair_id, prediction, reference)`` of preference rows, written once.
 
     Generation is costly, and every metric reads its output, so it is stored.
-    ``early_stop`` keeps the first three batches only.
+    ``early_stop`` keeps the first three batches only; ``tasks`` and ``by_length`` are those
+    of ``generated``.
     """
     wanted = early_rows(rows, batch_size) if early_stop else rows
-    answers = generated(wanted.select("idx", "prompt"), load, batch_size)
+    answers = generated(wanted.select("idx", "prompt"), load, batch_size, tasks=tasks, by_length=by_length)
     return written(paired(answers, pairs.references(wanted)), "predictions")
 
 
