@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tunetables.llm import chat_format, decontaminate, lm_score, mixing, near_dup, quality, secret_scan, substring_dup, token_counts, token_files
 from tunetables.llm.common import table
+from tunetables.llm.oracles import ORACLES  # noqa: F401  (read with the queries)
 from tunetables.session import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def tokenizer_path(name: str) -> str:
