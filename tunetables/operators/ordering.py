@@ -40,8 +40,8 @@ def running_total(
     ``order`` is an integer column, unique within a group; it and ``keys`` are never
     NULL.  Two passes over ``df``: one reads only keys, ``order`` and the summed columns
     and stores their sums per range (a row per ``SPAN`` order values), the other adds
-    the sums to the rows.  No window covers more than ``SPAN`` rows, except the last
-    one over range-of-range sums: one row per 2^32 order values.
+    the sums to the rows.  Ranges are summed in ranges of ranges twice more, so for any
+    64-bit ``order``, however sparse, no window of a group covers more than ``SPAN`` rows.
     """
     keys, wider = list(keys), wider or {}
     summed = {before: value, **(more or {})}
@@ -53,39 +53,43 @@ def running_total(
     sums1 = written(
         marked.groupBy(*keys, "_r1").agg(*[F.sum(f"_v{i}").alias(f"_s{i}") for i in count]),
         "range-sums",
-    ).withColumn("_r2", F.shiftright("_r1", SPAN_BITS))
-    sums2 = sums1.groupBy(*keys, "_r2").agg(*[F.sum(f"_s{i}").alias(f"_s{i}") for i in count])
+    ).withColumn("_r2", F.shiftright("_r1", SPAN_BITS)).withColumn("_r3", F.shiftright("_r2", SPAN_BITS))
+    again = [F.sum(f"_s{i}").alias(f"_s{i}") for i in count]
+    sums2 = sums1.groupBy(*keys, "_r3", "_r2").agg(*again)
+    sums3 = sums2.groupBy(*keys, "_r3").agg(*again)
 
     def earlier(column: str, by: list[str], along: str) -> Column:
         frame = Window.partitionBy(*by).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(column).over(frame), F.lit(0).cast("long"))
 
-    starts2 = sums2.select(
-        *keys,
-        "_r2",
-        *[earlier(f"_s{i}", keys, "_r2").alias(f"_o{i}") for i in count],
-        F.sum("_s0").over(Window.partitionBy(*keys)).alias("_all"),
-        *[
-            F.sum(F.when(chosen, F.col("_s0"))).over(Window.partitionBy(*shared)).alias(name)
-            for name, (shared, chosen) in wider.items()
-        ],
-    )
-    starts1 = (
-        sums1.select(
+    def started(sums: DataFrame, inner: str, outer: str, starts: DataFrame) -> DataFrame:
+        """Start of each ``inner`` range: what lies before it in its ``outer`` range, and that one's start."""
+        inside = sums.select(
             *keys,
-            "_r1",
-            "_r2",
-            *[earlier(f"_s{i}", [*keys, "_r2"], "_r1").alias(f"_start{i}") for i in count],
+            inner,
+            outer,
+            *[earlier(f"_s{i}", [*keys, outer], inner).alias(f"_in{i}") for i in count],
         )
-        .join(starts2, [*keys, "_r2"])
-        .select(
+        return inside.join(starts, [*keys, outer]).select(
             *keys,
-            "_r1",
-            *[(F.col(f"_start{i}") + F.col(f"_o{i}")).alias(f"_start{i}") for i in count],
+            inner,
+            *[(F.col(f"_start{i}") + F.col(f"_in{i}")).alias(f"_start{i}") for i in count],
             "_all",
             *wider,
         )
+
+    # order >> 48 has 65,536 values at most
+    starts3 = sums3.select(
+        *keys,
+        "_r3",
+        *[earlier(f"_s{i}", keys, "_r3").alias(f"_start{i}") for i in count],
+        F.sum("_s0").over(Window.partitionBy(*keys)).alias("_all"),
+        *[
+            F.sum(F.when(chosen, F.col("_s0"))).over(Window.partitionBy(*shared)).alias(name)
+            for name, (shared, chosen) in wider.items()
+        ],
     )
+    starts1 = started(sums1, "_r1", "_r2", started(sums2, "_r2", "_r3", starts3))
     inside = marked.select(
         *df.columns,
         "_r1",
