@@ -18,7 +18,7 @@ from catalog.registry import query
 from tunetables.operators import checkpoints, objectives, records, series, smoothing
 from tunetables.plans import curves
 from tunetables.session import new_path, written
-from tunetables.sources.runlogs import append_log, read_log
+from tunetables.sources.runlogs import append_log, append_raw_log, numbered_log, read_log
 from tunetables.streaming import runlogs as live
 
 WINDOW, FACTOR = 10, 5
@@ -73,7 +73,7 @@ NORMALISED_SQL = """
          CAST(logs->>'$.num_tokens' AS DOUBLE) AS num_tokens,
          round(CAST(logs->>'$."eval_rewards/chosen"' AS DOUBLE), 4) AS rewards_chosen,
          round(CAST(logs->>'$."rewards/margins"' AS DOUBLE), 4) AS rewards_margins,
-         CAST(NULL AS DOUBLE) AS eval_nll_loss
+         round(CAST(logs->>'$.eval_nll_loss' AS DOUBLE), 4) AS eval_nll_loss
   FROM fx_trainer_raw WHERE logs NOT LIKE '%train_runtime%'"""
 
 
@@ -113,6 +113,20 @@ def a05(spark, folder):
     return wide(records.strict_records(lines))
 
 
+@query(
+    "a05_strict_log_files",
+    with_views(
+        "fx_trainer_raw",
+        f"""SELECT run_id, epoch, loss, grad_norm, learning_rate, CAST(NULL AS DOUBLE) AS rewards_accuracies
+            FROM ({NORMALISED_SQL})""",
+    ),
+)
+def a05_files(spark, folder):
+    """Every line of a written log, read strictly."""
+    path = append_log(records.normalised(raw_records(spark, folder)), new_path(spark, "strict-log"))
+    return wide(records.strict_records(numbered_log(spark, path))).drop("line_no")
+
+
 CHECKPOINTS_SQL = r"""
   SELECT run_id, path, CAST(regexp_extract(path, '/checkpoint-([0-9]+)', 1) AS BIGINT) AS step, eval_loss
   FROM fx_checkpoints WHERE is_dir AND regexp_matches(path, '/checkpoint-[0-9]+')"""
@@ -166,7 +180,7 @@ def resolution_sql(requested, sampled="log_values"):
     with_views("log_values", resolution_sql(CURVE_METRICS).replace("\\\\", "\\")),
 )
 def d05(spark, folder):
-    available = records.metric_sizes(log_values(spark, folder))
+    available = written(records.metric_sizes(log_values(spark, folder)), "metric-sizes")
     found = series.resolved_metrics(available, CURVE_METRICS, dedup=False)
     return found.select("run_id", "place", "requested", "series", "metric")
 
@@ -179,7 +193,7 @@ def d05(spark, folder):
     ),
 )
 def l02(spark, folder):
-    available = records.metric_sizes(log_values(spark, folder))
+    available = written(records.metric_sizes(log_values(spark, folder)), "metric-sizes")
     return series.resolved_metrics(available, CURVE_METRICS).select("run_id", "series", "metric")
 
 
@@ -194,7 +208,7 @@ def l02(spark, folder):
     ),
 )
 def h07(spark, folder):
-    available = records.metric_sizes(log_values(spark, folder))
+    available = written(records.metric_sizes(log_values(spark, folder)), "metric-sizes")
     parts = [
         series.resolved_metrics(available, names).select(
             F.lit(kind).alias("training_type"), "run_id", "series", "metric"
@@ -486,14 +500,13 @@ def i10(spark, folder):
     return checkpoints.retained(checkpoint_listing(spark, folder))
 
 
-@query(
-    "i11_curve_table",
-    with_views(
+def curves_sql(requested):
+    return with_views(
         "log_series_placed log_values",
         f""", sampled AS (
           SELECT v.* FROM log_values v JOIN log_series_placed p USING (run_id, series, line_no)
           WHERE p.pos % CASE WHEN series = 'train' THEN 5 ELSE 2 END = 0),
-        wanted AS (SELECT DISTINCT run_id, series, metric FROM ({resolution_sql(CURVE_METRICS, "sampled")})),
+        wanted AS (SELECT DISTINCT run_id, series, metric FROM ({resolution_sql(requested, "sampled")})),
         placed AS (
           SELECT s.*, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY run_id, series, metric) AS n,
                  avg(value) OVER (w ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS mean
@@ -504,11 +517,30 @@ def i10(spark, folder):
                step, epoch AS x, round(value, 6) AS raw,
                round(CASE WHEN series = 'train' AND n <= 10 THEN value WHEN series = 'train' AND pos >= 9 THEN mean END, 6) AS smoothed
         FROM placed""".replace("\\\\", "\\"),
-    ),
-)
+    )
+
+
+def curve_points(lines, requested):
+    points = curves.curve_table(lines, requested, WINDOW, FACTOR)
+    return rounded(points, "raw", "smoothed", keep=["run_id", "series", "metric", "label", "step", "x"])
+
+
+@query("i11_curve_table", curves_sql(CURVE_METRICS))
 def i11(spark, folder):
-    table_ = curves.curve_table(train_log(spark, folder), CURVE_METRICS, WINDOW, FACTOR)
-    return rounded(table_, "raw", "smoothed", keep=["run_id", "series", "metric", "label", "step", "x"])
+    return curve_points(train_log(spark, folder), CURVE_METRICS)
+
+
+@query("i11_eval_only_curves", curves_sql(["eval_loss"]))
+def i11_eval_only(spark, folder):
+    return curve_points(train_log(spark, folder), ["eval_loss"])
+
+
+@query("i11_curves_from_files", curves_sql(CURVE_METRICS))
+def i11_files(spark, folder):
+    """From log files, bad and blank lines among them, to curves."""
+    lines = train_log(spark, folder).select("run_id", "line")
+    path = append_raw_log(lines, new_path(spark, "curve-log"), logs="line")
+    return curve_points(numbered_log(spark, path), CURVE_METRICS)
 
 
 DPO_SQL = """

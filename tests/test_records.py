@@ -99,12 +99,12 @@ def expected():
 
 
 def test_normalised_lines(raw):
-    got = [json.loads(r.value) for r in log_lines(records.normalised(raw)).collect()]
+    got = [json.loads(r.value) for r in log_lines(records.normalised(raw, keep_all=False)).collect()]
     assert sorted(got, key=lambda r: r["step"]) == expected()
 
 
-def test_all_metrics_can_be_kept(raw):
-    kept = records.normalised(raw, keep_all=True)
+def test_all_metrics_are_kept(raw):
+    kept = records.normalised(raw)
     names = {r.step: set(r.metrics) for r in kept.collect()}
     assert "x" in names[10] and {"eval_nll_loss", "rewards/margins"} <= names[12]
 

@@ -218,13 +218,13 @@ def _optional(record: Column, names: Sequence[str], keep_all: bool, fixed: Seque
 
 
 def normalised(
-    raw: DataFrame, logs: str = "logs", log_steps: bool = True, keep_all: bool = False
+    raw: DataFrame, logs: str = "logs", log_steps: bool = True, keep_all: bool = True
 ) -> DataFrame:
     """Trainer records as ``type, epoch`` and a ``metrics`` map, rounded to 4 places.
 
     Missing ``epoch``, ``loss``, ``eval_loss`` and ``learning_rate`` become 0, a zero
-    or missing ``grad_norm`` becomes null, ``learning_rate`` is not rounded.  Only
-    the listed optional metrics are kept, unless ``keep_all``.  Works on static and
+    or missing ``grad_norm`` becomes null, ``learning_rate`` is not rounded.  All other
+    metrics are kept; without ``keep_all`` only the listed ones are.  Works on static and
     streaming tables alike: the whole step is one narrow projection.
     """
     record = F.col("record")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunetables.operators.ordering import SPAN_BITS
-from tunetables.operators.records import record_line
+from tunetables.operators.ordering import SPAN_BITS, ranked
+from tunetables.operators.records import json_object, number, record_line
 
 
 def log_lines(records: DataFrame) -> DataFrame:
@@ -52,9 +52,29 @@ def append_summaries(summaries: DataFrame, path: str) -> str:
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a log folder as ``(run_id, line)``.
-
-    Files of one run have no common line order; order records by their step.
-    """
+    """Lines of a log folder as ``(run_id, line)``, in no order; see ``numbered_log``."""
     lines = spark.read.text(path)
     return lines.select(F.col("run_id").cast("long"), F.col("value").alias("line"))
+
+
+def numbered_log(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of a log folder as ``(run_id, line_no, line)``, as curves and summaries need them.
+
+    Records of a run are numbered by step, those of one step in the order of their files
+    (oldest first) and their place in the file; lines without a step come last.  Steps that
+    a resumed run repeats thus stand together, the later record behind.  Numbers are stored
+    with the lines, are unique in the whole log and rise within a run.
+    """
+    split = F.col("_metadata")
+    lines = spark.read.text(path).select(
+        F.col("run_id").cast("long"),
+        F.col("value").alias("line"),
+        split["file_modification_time"].alias("_written"),
+        split["file_path"].alias("_file"),
+        split["file_block_start"].alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    lines = lines.withColumn("_step", number(json_object(F.col("line")), "step"))
+    order = ["run_id", F.asc_nulls_last("_step"), "_written", "_file", "_block", "_row"]
+    found = ranked(lines, *[F.col(o) if isinstance(o, str) else o for o in order], rank="line_no")
+    return found.select("run_id", "line_no", "line")

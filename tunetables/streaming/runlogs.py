@@ -13,12 +13,13 @@ from tunetables.operators.records import normalised, number, with_record
 from tunetables.sources.runlogs import log_lines
 
 
-def start_log(raw: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
+def start_log(raw: DataFrame, path: str, checkpoint: str, keep_all: bool = True, **options) -> StreamingQuery:
     """Normalise each incoming record and append it to the log folder, exactly once.
 
-    ``raw`` is a streaming ``(run_id, step, logs)``.  No state is kept.
+    ``raw`` is a streaming ``(run_id, step, logs)``.  No state is kept.  ``keep_all`` is
+    that of ``normalised``.
     """
-    lines = log_lines(normalised(raw))
+    lines = log_lines(normalised(raw, keep_all=keep_all))
     return (
         lines.writeStream.format("text")
         .partitionBy("run_id")
