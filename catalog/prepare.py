@@ -94,9 +94,8 @@ def b04(spark, folder):
     "b05_sft_format",
     with_views(
         "chat_pieces",
-        """SELECT conv_id, CAST(floor(turn / 4096) AS BIGINT) AS part,
-                  coalesce(string_agg(piece, '' ORDER BY turn), '') AS text
-           FROM chat_pieces GROUP BY 1, 2""",
+        """SELECT conv_id, coalesce(string_agg(piece, '' ORDER BY turn), '') AS text
+           FROM chat_pieces GROUP BY conv_id""",
     ),
 )
 def b05(spark, folder):

@@ -83,16 +83,19 @@ def side_ids_sql(side: str) -> str:
     with_views(
         "fx_prefs chat_vocab",
         f"""SELECT idx, prompt, chosen, rejected,
-              repeat('0 ', CAST(256 - c.n AS INT)) || c.ids AS chosen_input_ids,
+              repeat(pad || ' ', CAST(256 - c.n AS INT)) || c.ids AS chosen_input_ids,
               rtrim(repeat('0 ', CAST(256 - c.n AS INT)) || repeat('1 ', CAST(c.n AS INT))) AS chosen_attention_mask,
-              repeat('0 ', CAST(256 - r.n AS INT)) || r.ids AS rejected_input_ids,
+              repeat(pad || ' ', CAST(256 - r.n AS INT)) || r.ids AS rejected_input_ids,
               rtrim(repeat('0 ', CAST(256 - r.n AS INT)) || repeat('1 ', CAST(r.n AS INT))) AS rejected_attention_mask
-            FROM fx_prefs JOIN ({side_ids_sql("chosen")}) c USING (idx) JOIN ({side_ids_sql("rejected")}) r USING (idx)""",
+            FROM fx_prefs JOIN ({side_ids_sql("chosen")}) c USING (idx) JOIN ({side_ids_sql("rejected")}) r USING (idx)
+            CROSS JOIN (SELECT id AS pad FROM chat_vocab WHERE token = '{EOS_TOKEN}')""",
     ),
 )
 def c04(spark, folder):
     words = vocab.build_vocabulary(turns(spark, folder))
-    table = training_sets.dpo_set(preference_rows(spark, folder), words, MAX_LENGTH)
+    table = training_sets.dpo_set(
+        preference_rows(spark, folder), words, MAX_LENGTH, pad_token=PAD_TOKEN, eos_token=EOS_TOKEN
+    )
     listed = [c for c in table.columns if c.endswith(("_ids", "_mask"))]
     return table.select(
         "idx", "prompt", "chosen", "rejected", *[joined(F.col(c)).alias(c) for c in listed]

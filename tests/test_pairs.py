@@ -103,7 +103,7 @@ def test_training_set_by_kind(spark, tmp_path):
     assert make("sft").columns == ["idx", "text"] and make("sft").count() == len(ROWS)
     assert make("sft", part="test").count() == 0
     words = vocab.build_vocabulary(spark.createDataFrame([("a b c",)], "text string"))
-    tokenised = make("dpo", part="test", max_length=8, max_samples=3, vocabulary=words).collect()
+    tokenised = make("dpo", part="test", max_length=8, max_samples=3, vocabulary=words, eos_token="c").collect()
     assert sorted(r.idx for r in tokenised) == [0, 1, 2]
     assert all(len(r.chosen_input_ids) == len(r.rejected_attention_mask) == 8 for r in tokenised)
     for wrong in (lambda: make("ppo"), lambda: make("dpo")):
@@ -155,9 +155,11 @@ def test_long_chat_is_rendered_in_parts(spark):
         F.lit(9).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.lit("user").alias("role"), F.col("id").cast("string").alias("text"),
     )
-    parts = chats.rendered_chats(many, part_turns=10).orderBy("part").collect()
+    parts = chats.rendered_parts(many, part_turns=10).orderBy("part").collect()
     assert [r.part for r in parts] == [0, 1, 2]
-    assert "".join(r.text for r in parts) == "".join(f"### User:\n{i}\n" for i in range(25))
+    whole = "".join(f"### User:\n{i}\n" for i in range(25))
+    assert "".join(r.text for r in parts) == whole
+    assert [tuple(r) for r in chats.rendered_chats(many, part_turns=10).collect()] == [(9, whole)]
 
 
 def test_one_batch_of_rows(rows):

@@ -43,11 +43,22 @@ def rendered_turns(turns: DataFrame) -> DataFrame:
 
 def rendered_chats(
     turns: DataFrame, key: str = "conv_id", part_turns: int = PART_TURNS
+) -> DataFrame:
+    """One ``(key, text)`` row for each chat; turns are joined in parts, then parts in order."""
+    return (
+        rendered_parts(turns, key, part_turns)
+        .groupBy(key)
+        .agg(F.array_sort(F.collect_list(F.struct("part", "text"))).alias("parts"))
+        .select(key, F.array_join(F.col("parts.text"), "").alias("text"))
+    )
+
+
+def rendered_parts(
+    turns: DataFrame, key: str = "conv_id", part_turns: int = PART_TURNS
 ) -> DataFrame:
     """Chat text in ``(key, part, text)`` rows, ``part_turns`` turns to a part.
 
-    Nearly every chat has only part 0; the full text is its parts in order.  The
-    cut keeps one enormous chat from being gathered in one task.
+    The full text is a chat's parts in order.  For chats too long for one row's text.
     """
     # a chat with no rendered message still gives an (empty) text
     piece = F.coalesce(tx.render_message(F.col("role"), F.col("text")), F.lit(""))

@@ -28,22 +28,27 @@ def training_set(
     max_length: int | None = None,
     max_samples: int | None = None,
     vocabulary: DataFrame | None = None,
+    tokenizer=None,
+    n_special: int = 0,
+    **padding,
 ) -> DataFrame:
     """The table one kind of training reads, from a stored preference table.
 
-    ``vocabulary`` is needed for ``dpo``, whose rows come tokenised.
+    ``tokenizer`` and ``n_special`` count lengths for ``sft`` and ``orpo``.  ``vocabulary`` is
+    needed for ``dpo``, whose rows come tokenised, and ``padding`` holds that table's options
+    (``pad_id``, ``pad_side``, ``pad_token``, ``eos_token``).
     """
     if training_type not in SPLITS:
         raise ValueError(f"training type must be one of {sorted(SPLITS)}, not {training_type!r}")
     rows = scan(spark, path, SPLITS[training_type][part])
     length = max_length or DEFAULT_LENGTHS[training_type]
     if training_type == "sft":
-        return sft_set(rows, length, max_samples)
+        return sft_set(rows, length, max_samples, tokenizer, n_special)
     if training_type == "orpo":
-        return orpo_set(rows, length, max_samples)
+        return orpo_set(rows, length, max_samples, tokenizer, n_special)
     if vocabulary is None:
         raise ValueError("a dpo training set needs a vocabulary")
-    return dpo_set(rows, vocabulary, length, max_samples)
+    return dpo_set(rows, vocabulary, length, max_samples, **padding)
 
 
 def sft_set(
@@ -123,13 +128,24 @@ def dpo_set(
     vocabulary: DataFrame,
     max_length: int,
     max_samples: int | None = None,
-    pad_id: int = 0,
+    pad_id: int | None = None,
     pad_side: str = "left",
+    pad_token: str | None = None,
+    eos_token: str | None = None,
 ) -> DataFrame:
     """Flat pairs with fixed-length ids and masks of prompt+chosen and prompt+rejected.
 
-    No quality filter is applied.
+    No quality filter is applied.  Padding is ``pad_id`` or, without it, the id that the
+    vocabulary has for ``pad_token``, else for ``eos_token``; a job fails where it has neither.
     """
+    if pad_id is not None:
+        pad = F.lit(pad_id)
+    elif pad_token is None and eos_token is None:
+        raise ValueError("padding needs a pad_id, a pad_token or an eos_token")
+    else:
+        found = vocab.pad_token_id(vocabulary, pad_token, eos_token).scalar()
+        absent = F.raise_error(F.lit("the vocabulary has no padding or end token")).cast("long")
+        pad = F.coalesce(found.cast("long"), absent)
     flat = pairs.flat_pairs(pairs.first_rows(rows, max_samples))
     full = pairs.joined_texts(flat)
     coded = vocab.encode(full, vocabulary, ["chosen_full", "rejected_full"], max_length=max_length)
@@ -141,4 +157,4 @@ def dpo_set(
         F.col("chosen_full_ids").alias("chosen_ids"),
         F.col("rejected_full_ids").alias("rejected_ids"),
     )
-    return vocab.fixed_length(named, ["chosen", "rejected"], max_length, F.lit(pad_id), pad_side)
+    return vocab.fixed_length(named, ["chosen", "rejected"], max_length, pad, pad_side)
