@@ -156,6 +156,54 @@ def f04(spark, folder):
     return scored.select("pair_id", F.round("rougeL", 6).alias("rougeL"))
 
 
+def rouge_l_sql(pairs: str) -> str:
+    """One step a candidate word; each keeps the whole row of subsequence lengths."""
+    return f"""
+      SELECT pair_id, CASE WHEN len(p) + len(r) > 0 THEN CAST(2.0 * row_[len(row_)] AS DOUBLE) / (len(p) + len(r)) ELSE 0 END AS rougeL
+      FROM (
+        WITH RECURSIVE walk AS (
+          SELECT pair_id, p, r, CAST(0 AS BIGINT) AS i, list_transform(range(len(r) + 1), lambda j: CAST(0 AS BIGINT)) AS row_
+          FROM (SELECT pair_id, any_value(words) FILTER (side = 'pred') AS p, any_value(words) FILTER (side = 'ref') AS r
+                FROM ({rouge_words(pairs)}) GROUP BY pair_id)
+          UNION ALL
+          SELECT pair_id, p, r, i + 1,
+                 list_reduce(list_prepend([CAST(0 AS BIGINT)], list_transform(range(1, len(r) + 1), lambda j: [j])),
+                   lambda done, j: list_append(done,
+                     CASE WHEN p[i + 1] = r[j[1]] THEN row_[j[1]] + 1 ELSE greatest(row_[j[1] + 1], done[len(done)]) END))
+          FROM walk WHERE i < len(p))
+        SELECT * FROM walk WHERE i = len(p))"""
+
+
+ANSWER_PAIRS = "(SELECT idx AS pair_id, rejected AS prediction, chosen AS reference FROM fx_prefs)"
+
+
+def answer_pairs(spark, folder):
+    return prefs(spark, folder).select(
+        F.col("idx").alias("pair_id"), F.col("rejected").alias("prediction"), F.col("chosen").alias("reference")
+    )
+
+
+@query(
+    "f04_rouge_l_answers",
+    with_views("fx_prefs", f"SELECT pair_id, round(rougeL, 6) AS rougeL FROM ({rouge_l_sql(ANSWER_PAIRS)})"),
+)
+def f04_answers(spark, folder):
+    scored = rouge_lcs.with_rouge_l(answer_pairs(spark, folder))
+    return scored.select("pair_id", F.round("rougeL", 6).alias("rougeL"))
+
+
+@query(
+    "f08_short_scores_answers",
+    with_views(
+        "fx_prefs",
+        f"""SELECT 'bleu' AS metric, round(bleu, 6) AS value FROM ({bleu_sql(ANSWER_PAIRS)})
+            UNION ALL SELECT 'rougeL', round(avg(rougeL), 6) FROM ({rouge_l_sql(ANSWER_PAIRS)})""",
+    ),
+)
+def f08_short_answers(spark, folder):
+    return short_scores(answer_pairs(spark, folder))
+
+
 @query("f05_rouge_lsum")
 def f05(spark, folder):
     scored = rouge_lcs.with_rouge_lsum(text_pairs(spark, folder))
@@ -236,14 +284,17 @@ def f08(spark, folder):
     return table.withColumn("value", F.round("value", 6))
 
 
-@query("f08_short_scores")
-def f08_short(spark, folder):
-    scored = text_pairs(spark, folder)
+def short_scores(scored, clustered=False):
     rouge = mean_scores(rouge_lcs.with_rouge_l(scored), ["rougeL"]).scalar()
-    wide = ngrams.corpus_bleu(scored, clustered=True).select("bleu", rouge.alias("rougeL"))
+    wide = ngrams.corpus_bleu(scored, clustered=clustered).select("bleu", rouge.alias("rougeL"))
     return long_scores(wide, ["bleu", "rougeL"]).withColumn("value", F.round("value", 6))
 
 
+@query("f08_short_scores")
+def f08_short(spark, folder):
+    return short_scores(text_pairs(spark, folder), clustered=True)
+
+
 PREDICTIONS_SQL = with_views("fx_prefs", f"SELECT idx, {STUB_SQL} AS prediction FROM fx_prefs")
 
 
