@@ -1,13 +1,15 @@
 """Greedy token matching by cosine similarity, and BERTScore-style P/R/F1 from it.
 
-Each task compares one tile of prediction tokens with one tile of reference tokens, at
-most ``TILE`` a side, as a matrix product.  A text an encoder takes is a single tile;
+Tasks compare one tile of prediction tokens with one tile of reference tokens, at
+most ``TILE`` a side, as a matrix product, and take any number of such pairs from a batch.  A text an encoder takes is a single tile;
 a longer one is compared tile by tile and its partial maxima are combined, so no task
 holds a whole long text and results stay exact.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from tunetables.session import lookup, written
 
 TILE = 1024
+TILE_PAIR = ["pair_id", "pred_tile", "ref_tile"]
 
 
 def _tiled(tokens: DataFrame, tile: int) -> DataFrame:
@@ -56,17 +59,35 @@ def _unit_rows(vectors: pd.Series) -> np.ndarray:
     return m / np.where(norms == 0, 1.0, norms)
 
 
-def _best_in_tiles(tokens: pd.DataFrame) -> pd.DataFrame:
-    """Best similarity of each token to the other side; 0 where that side is empty."""
-    pred, ref = tokens[tokens.side == "pred"], tokens[tokens.side == "ref"]
-    best = pd.Series(0.0, index=tokens.index)
-    if len(pred) and len(ref):
-        similar = _unit_rows(pred.embedding) @ _unit_rows(ref.embedding).T
-        best[pred.index] = similar.max(axis=1)
-        best[ref.index] = similar.max(axis=0)
+def _best(tokens: pd.DataFrame) -> pd.DataFrame:
+    """Best similarity of each token to the other side of its tile pair; 0 where that side is empty."""
+    unit, is_pred = _unit_rows(tokens.embedding), (tokens.side == "pred").to_numpy()
+    pairs = tokens[TILE_PAIR].to_numpy()
+    edges = np.flatnonzero((pairs[1:] != pairs[:-1]).any(axis=1)) + 1
+    best = np.zeros(len(tokens))
+    for rows in np.split(np.arange(len(tokens)), edges):
+        pred, ref = rows[is_pred[rows]], rows[~is_pred[rows]]
+        if len(pred) and len(ref):
+            similar = unit[pred] @ unit[ref].T
+            best[pred], best[ref] = similar.max(axis=1), similar.max(axis=0)
     return tokens[["pair_id", "side", "pos"]].assign(best=best)
 
 
+def _best_in_tiles(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Matches of sorted tokens; only a tile pair that the next batch may go on with is held back."""
+    held = None
+    for part in parts:
+        tokens = part if held is None else pd.concat([held, part], ignore_index=True)
+        if tokens.empty:
+            continue
+        is_last = (tokens[TILE_PAIR] == tokens[TILE_PAIR].iloc[-1]).all(axis=1)
+        held = tokens[is_last]
+        if not is_last.all():
+            yield _best(tokens[~is_last])
+    if held is not None:
+        yield _best(held)
+
+
 def greedy_matches(tokens: DataFrame, tile: int = TILE) -> DataFrame:
     """``(pair_id, side, pos, best)``: similarity to the closest token on the other side.
 
@@ -75,8 +96,9 @@ def greedy_matches(tokens: DataFrame, tile: int = TILE) -> DataFrame:
     """
     return (
         _tiled(tokens, tile)
-        .groupBy("pair_id", "pred_tile", "ref_tile")
-        .applyInPandas(_best_in_tiles, "pair_id long, side string, pos long, best double")
+        .repartition(*TILE_PAIR)
+        .sortWithinPartitions(*TILE_PAIR)
+        .mapInPandas(_best_in_tiles, "pair_id long, side string, pos long, best double")
         .groupBy("pair_id", "side", "pos")
         .agg(F.max("best").alias("best"))
     )
