@@ -57,7 +57,8 @@ VIEWS = {
                -l_quantity * (1 + l_tax) - 1 AS ref_chosen_logp,
                -l_quantity - 2 AS ref_rejected_logp,
                CAST(l_linenumber + 4 AS INT) AS n_chosen_tokens,
-               CAST(l_linenumber + 6 AS INT) AS n_rejected_tokens
+               CAST(l_linenumber + 6 AS INT) AS n_rejected_tokens,
+               l_discount * 10 - l_linenumber AS chosen_logit, l_tax * 10 - l_linenumber AS rejected_logit
         FROM lineitem""",
     "fx_token_scores": """
         SELECT l_orderkey AS seq_id, l_linenumber AS pos,
@@ -333,6 +334,8 @@ def pair_logps(spark: SparkSession, folder: str) -> DataFrame:
         (-q - 2).alias("ref_rejected_logp"),
         (F.col("l_linenumber") + 4).alias("n_chosen_tokens"),
         (F.col("l_linenumber") + 6).alias("n_rejected_tokens"),
+        (F.col("l_discount") * 10 - F.col("l_linenumber")).alias("chosen_logit"),
+        (F.col("l_tax") * 10 - F.col("l_linenumber")).alias("rejected_logit"),
     )
 
 

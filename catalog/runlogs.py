@@ -18,7 +18,7 @@ from catalog.registry import query
 from tunetables.operators import checkpoints, objectives, records, series, smoothing
 from tunetables.plans import curves
 from tunetables.session import new_path, written
-from tunetables.sources.runlogs import append_log, append_raw_log, numbered_log, read_log
+from tunetables.sources.runlogs import append_log, append_raw_log, append_summaries, numbered_log, read_log
 from tunetables.streaming import runlogs as live
 
 WINDOW, FACTOR = 10, 5
@@ -83,6 +83,11 @@ def a03(spark, folder):
     return read_back(spark, path)
 
 
+@query("a03_raw_log", with_views("fx_trainer_raw", "SELECT run_id, logs AS line FROM fx_trainer_raw"))
+def a03_raw(spark, folder):
+    return read_log(spark, append_raw_log(raw_records(spark, folder), new_path(spark, "raw-log")))
+
+
 @query(
     "a04_log_source",
     with_views(
@@ -253,21 +258,45 @@ def e06(spark, folder):
     return records.run_eval_losses(log_series(spark, folder))
 
 
-@query(
-    "e07_run_summary",
-    with_views(
-        "good_log",
-        """SELECT run_id, max(step) FILTER (kind <> 'summary') AS total_steps,
+SUMMARY_SQL = """SELECT run_id, max(step) FILTER (kind <> 'summary') AS total_steps,
                   max(epoch) FILTER (kind <> 'summary') AS total_epochs,
                   min(CAST(line->>'$.eval_loss' AS DOUBLE)) FILTER (kind = 'eval') AS best_metric,
                   bool_or(kind = 'summary') AS training_completed
-           FROM good_log GROUP BY run_id""",
-    ),
-)
+           FROM good_log GROUP BY run_id"""
+
+
+@query("e07_run_summary", with_views("good_log", SUMMARY_SQL))
 def e07(spark, folder):
     return records.run_summaries(good(spark, folder))
 
 
+@query("a03_closing_summaries", with_views("good_log", f"SELECT * FROM ({SUMMARY_SQL}) WHERE training_completed"))
+def a03_summaries(spark, folder):
+    """Closing records written to the logs of finished runs and read back as typed columns."""
+    path = append_summaries(records.run_summaries(good(spark, folder)), new_path(spark, "summaries"))
+    shape = "total_steps long, total_epochs double, best_metric double, training_completed boolean"
+    return read_log(spark, path).select("run_id", F.from_json("line", shape).alias("s")).select("run_id", "s.*")
+
+
+def _extremes(series, metric):
+    chosen = f"FILTER (series = '{series}' AND metric = '{metric}')"
+    return f"min(value) {chosen} AS best_{metric}, arg_max(value, line_no) {chosen} AS final_{metric}"
+
+
+@query(
+    "e07_training_summary",
+    with_views(
+        "log_series log_values",
+        f"""SELECT * FROM (SELECT run_id, max(epoch) FILTER (series = 'train') AS max_epoch, max(step) FILTER (series = 'train') AS max_step
+                           FROM log_series GROUP BY run_id)
+            JOIN (SELECT run_id, {_extremes("train", "loss")}, {_extremes("eval", "eval_loss")}
+                  FROM log_values GROUP BY run_id) USING (run_id)""",
+    ),
+)
+def e07_training(spark, folder):
+    return curves.training_summary(train_log(spark, folder))
+
+
 @query(
     "e08_series_points",
     with_views("log_values", "SELECT run_id, series, metric, count(*) AS points FROM log_values GROUP BY ALL"),
@@ -608,6 +637,20 @@ def j04(spark, folder):
     return rounded(found, "logps/chosen", "logps/rejected", keep=["n_chosen_tokens"])
 
 
+@query(
+    "j04_side_logits",
+    with_views(
+        "fx_pair_logps",
+        """SELECT n_chosen_tokens, round(avg(policy_chosen_logp), 6) AS logps_chosen, round(avg(policy_rejected_logp), 6) AS logps_rejected,
+                  round(avg(chosen_logit), 6) AS logits_chosen, round(avg(rejected_logit), 6) AS logits_rejected
+           FROM fx_pair_logps GROUP BY n_chosen_tokens""",
+    ),
+)
+def j04_logits(spark, folder):
+    found = objectives.side_means(pair_logps(spark, folder), "n_chosen_tokens", logits=True)
+    return rounded(found, "logps/chosen", "logps/rejected", "logits/chosen", "logits/rejected", keep=["n_chosen_tokens"])
+
+
 @query("k01_live_log", with_views("fx_trainer_raw", NORMALISED_SQL))
 def k01(spark, folder):
     path = new_path(spark, "live-log")

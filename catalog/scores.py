@@ -14,10 +14,10 @@ from catalog.fixtures import (
 from catalog.registry import query
 from tunetables.functions import text as tx
 from tunetables.operators import embedding_match, generation, ngrams, pairs, reports, rouge_lcs
-from tunetables.operators.score_tables import long_scores, mean_scores
+from tunetables.operators.score_tables import bootstrap_scores, long_scores, mean_scores
 from tunetables.plans import evaluation
 from tunetables.session import new_path
-from tunetables.sources.sinks import write_evaluation, write_predictions
+from tunetables.sources.sinks import write_evaluation, write_examples, write_predictions
 
 
 def load_stub():
@@ -219,6 +219,12 @@ def f06(spark, folder):
     return means.select(F.round("rouge1", 6).alias("rouge1"), F.round("rouge2", 6).alias("rouge2"))
 
 
+@query("f06_bootstrap_rouge")
+def f06_bootstrap(spark, folder):
+    scores = ngrams.rouge_n(text_pairs(spark, folder), clustered=True)
+    return bootstrap_scores(scores, ["rouge1", "rouge2"])
+
+
 SIMILARITY_SQL = """
   SELECT p.pair_id, p.pos AS pred_pos, r.pos AS ref_pos,
          list_cosine_similarity(CAST(p.embedding AS DOUBLE[]), CAST(r.embedding AS DOUBLE[])) AS s
@@ -341,17 +347,27 @@ def d02(spark, folder):
     return triples(spark, folder)
 
 
+EXAMPLES_SQL = f"""SELECT idx, chr(10) || '--- Example ' || (idx + 1) || ' ---' || chr(10) || 'Prompt: ' || prompt || chr(10)
+              || 'Reference (Chosen): ' || chosen || chr(10) || 'Model Prediction: ' || rejected || chr(10)
+              || '{"-" * 30}' AS text FROM fx_prefs WHERE idx < 5"""
+
+
+@query("i04_example_report", with_views("fx_prefs", EXAMPLES_SQL))
+def i04(spark, folder):
+    return reports.example_report(triples(spark, folder, 5), 5)
+
+
 @query(
-    "i04_example_report",
+    "i04_example_file",
     with_views(
         "fx_prefs",
-        f"""SELECT idx, chr(10) || '--- Example ' || (idx + 1) || ' ---' || chr(10) || 'Prompt: ' || prompt || chr(10)
-              || 'Reference (Chosen): ' || chosen || chr(10) || 'Model Prediction: ' || rejected || chr(10)
-              || '{"-" * 30}' AS text FROM fx_prefs WHERE idx < 5""",
+        f"""SELECT '{reports.EXAMPLES_HEADER}' AS line
+            UNION ALL SELECT unnest(string_split(text, chr(10))) FROM ({EXAMPLES_SQL})""",
     ),
 )
-def i04(spark, folder):
-    return reports.example_report(triples(spark, folder, 5), 5)
+def i04_file(spark, folder):
+    path = write_examples(triples(spark, folder, 5), new_path(spark, "examples"))
+    return spark.read.option("lineSep", "\n").text(path).withColumnRenamed("value", "line")
 
 
 @query(
@@ -429,3 +445,40 @@ def a06(spark, folder):
         F.col("dataset_info.evaluated").alias("evaluated"),
         F.col("model_info.id").alias("model"),
     )
+
+
+def evaluated_folder(spark, folder):
+    """The short table, and where one call has stored the rest."""
+    path = new_path(spark, "evaluation")
+    rows = preference_rows(spark, folder)
+    vectors = token_embeddings(spark, folder)
+    return evaluation.evaluate(rows, load_stub, path, DATASET, MODEL, embed=lambda pairs: vectors), path
+
+
+@query(
+    "f09_evaluate",
+    with_views(
+        "fx_prefs fx_token_embeddings",
+        f"""SELECT 'bleu' AS metric, round(bleu, 6) AS value FROM ({bleu_sql(EVALUATED)})
+            UNION ALL SELECT 'rougeL', round(avg(rougeL), 6) FROM ({rouge_l_sql(EVALUATED)})
+            UNION ALL SELECT 'bertscore', round(avg(f1), 6) FROM ({BERT_SQL}) JOIN fx_prefs ON idx = pair_id""",
+    ),
+)
+def f09_evaluate(spark, folder):
+    table, _ = evaluated_folder(spark, folder)
+    return table.withColumn("value", F.round("value", 6))
+
+
+@query(
+    "f09_pair_scores",
+    with_views(
+        "fx_prefs fx_token_embeddings",
+        f"""SELECT pair_id, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2, round(rougeL, 6) AS rougeL,
+                   round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1
+            FROM ({rouge_n_sql(EVALUATED)}) JOIN ({rouge_l_sql(EVALUATED)}) USING (pair_id) LEFT JOIN ({BERT_SQL}) USING (pair_id)""",
+    ),
+)
+def f09_pairs(spark, folder):
+    _, path = evaluated_folder(spark, folder)
+    scores = ["rouge1", "rouge2", "rougeL", "precision", "recall", "f1"]
+    return spark.read.parquet(f"{path}/scores").select("pair_id", *[F.round(c, 6).alias(c) for c in scores])
