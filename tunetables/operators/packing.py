@@ -12,15 +12,16 @@ from tunetables.session import written
 def pack(df: DataFrame, ids: str, block_length: int, order: str = "idx") -> DataFrame:
     """``(block, n_tokens, ids)``: token streams concatenated in ``order`` and cut.
 
-    Encoded rows are stored once with their lengths, so the pass that adds up lengths
-    reads no ids and nothing is encoded twice.  Each row's place in the stream is a
-    running total of row lengths, computed over bounded ranges of ``order``; rows that
-    cross a block boundary are sliced.  A block gathers at most ``block_length`` tokens.
+    Encoded rows are stored once with their lengths, so the passes that add up lengths
+    read no ids and nothing is encoded twice.  Each row's place in the stream is a
+    running total of row lengths, computed over bounded ranges of ``order`` without the
+    ids, which meet their place by key; rows that cross a block boundary are sliced.  A block gathers at most ``block_length`` tokens.
     The last block may be shorter; no token is dropped.
     """
     stored = written(df.select(order, F.col(ids).alias("ids"), F.size(ids).alias("n")), "encoded")
-    filled = stored.where(F.col("n") > 0)
-    placed = running_total(filled, [], order, F.col("n"), before="start")
+    lengths = stored.where(F.col("n") > 0).select(order, "n")
+    starts = running_total(lengths, [], order, F.col("n"), before="start").select(order, "start")
+    placed = stored.join(starts, order)
     start, end = F.col("start"), F.col("start") + F.col("n")
 
     def cut(block: Column) -> Column:
