@@ -14,6 +14,7 @@ from tests.llm.cases import documents, with_clashes
 
 from tunetables.llm import graph, lm_score, near_dup
 from tunetables.llm.common import words_of
+from tunetables.session import written
 
 
 def shingles(text, k=4):
@@ -163,3 +164,21 @@ def test_bloom_holds_counts():
 def test_held_out_by_id(spark):
     rows = spark.range(50).select("id", lm_score.held_out(F.col("id")).alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 1) for r in rows)
+
+
+def test_scores_of_every_size_go_one_way(spark, lm_rows, monkeypatch):
+    asked = []
+    monkeypatch.setattr(lm_score, "CHUNK", 4000)
+    monkeypatch.setattr(lm_score, "written", lambda df, label: asked.append(label) or written(df, label))
+    docs = documents(spark, lm_rows).repartition(3)
+    got = Counter(tuple(r) for r in lm_score.lm_scores(docs, merged=300).collect())
+    assert asked == ["lm-chunks", "lm-answers"]
+    whole = lm_score.lm_scores(docs, merged=300, broadcast=1 << 30)
+    assert Counter((*r[:5], round(r[5], 6), round(r[6], 6)) for r in whole.collect()) == Counter({(*k[:5], round(k[5], 6), round(k[6], 6)): n for k, n in got.items()})
+
+
+def test_chunks_ask_each_shard_once(spark, lm_rows):
+    chunks = lm_score._chunks(documents(spark, lm_rows * 3).repartition(2)).collect()
+    assert len(chunks) == 2 and len({r["chunk"] for r in chunks}) == 2
+    rows = [lm_score._unpacked(bytes(r["rows"])) for r in chunks]
+    assert sum(len(frame) for frame, _ in rows) == sum(len(tokens) for _, tokens in rows) == 3 * len(lm_rows)

@@ -9,6 +9,7 @@ from math import ceil, log
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,9 +28,12 @@ BACKOFF = 2.0
 MERGED = 400_000
 #: Tokens that a task counts at a time.
 COUNTED = 1_000_000
+#: Bytes of text that are looked up together.
+CHUNK = 16 << 20
 #: Counts from here on don't stand in the byte of their word.
 MANY = 255
-BROADCAST = 192 << 20
+#: By default nothing is broadcast, and inputs of every size go the same way.
+BROADCAST = 0
 
 
 def _tokens(texts: Sequence[str | None]) -> list[np.ndarray]:
@@ -167,15 +171,20 @@ class LogFrequencyBloom:
         at, mask = self._places(keys, level)
         return self.words[at] & mask == mask
 
-    def count(self, keys: np.ndarray) -> np.ndarray:
-        """Estimated counts: levels are probed from the first up until one is missing."""
-        out, alive, level = np.zeros(len(keys)), np.arange(len(keys)), 1
+    def level(self, keys: np.ndarray) -> np.ndarray:
+        """Levels are probed from the first up until one is missing."""
+        out, alive, level = np.zeros(len(keys), np.int64), np.arange(len(keys)), 1
         while len(alive):
             alive = alive[self.has(keys[alive], level)]
-            out[alive] = BASE ** (level - 1)
+            out[alive] = level
             level += 1
         return out
 
+    def count(self, keys: np.ndarray) -> np.ndarray:
+        """Estimated counts."""
+        held = self.level(keys)
+        return np.where(held > 0, BASE ** (held - 1.0), 0)
+
 
 @dataclass
 class Model:
@@ -243,9 +252,9 @@ def lm_scores(docs: DataFrame, merged: int = MERGED, broadcast: int = BROADCAST)
     8 bits for each stored level and 4 probes, about 4 % false positives at each level; a pair is
     never held to be more frequent than either of its words.
 
-    Counts of words and filters of pairs both grow with the corpus.  They are broadcast while
-    they take at most ``broadcast`` bytes, whose sum is known from the counts before; beyond that
-    tokens are joined to the counts (``_joined_scores``), with the same results.
+    Counts of words and filters of pairs both grow with the corpus, so texts are looked up in
+    shards (``_joined_scores``).  A caller who knows that the model is small can name the bytes that
+    may be broadcast; up to there the results are the same.
 
     Null, empty and blank texts have the end token only.  A null id counts as an empty id text
     and is in training.  Repeated rows are counted and scored each.  With no training rows nothing
@@ -254,13 +263,15 @@ def lm_scores(docs: DataFrame, merged: int = MERGED, broadcast: int = BROADCAST)
     spark = docs.sparkSession
     rough = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, ceil(rough / 10 / merged))
+    if not broadcast:
+        return _joined_scores(docs, shards)
     counts = written(ngram_counts(docs, shards), "ngram-counts")
     n = {r["size"]: r for r in counts.groupBy("size").agg(F.sum("total").alias("total"), F.sum("n").alias("n"), F.max("shard").alias("top")).collect()}
     total, distinct = (n[1]["total"], n[1]["n"]) if 1 in n else (0, 0)
     filters = written(_filled(counts), "ngram-filters")
     held = filters.agg(F.sum(F.length("bits"))).first()[0] or 0
     if held + 9 * distinct > broadcast:
-        return _joined_scores(docs, counts, filters, shards, total, distinct)
+        return _joined_scores(docs, shards)
     words, numbers = np.zeros(distinct, np.uint64), np.zeros(distinct, np.uint8)
     often, often_counts = [], []
     at = 0
@@ -314,72 +325,113 @@ def _result(part: pd.DataFrame, n_tokens: list[int], known: np.ndarray, total: i
     )
 
 
-def _joined_scores(docs: DataFrame, counts: DataFrame, filters: DataFrame, shards: int, total: int, distinct: int) -> DataFrame:
-    """The same scores when the model is too large to broadcast.
+def _chunks(docs: DataFrame) -> DataFrame:
+    """``chunk, rows``: rows that are looked up together, as a compressed Arrow stream."""
+    schema = pa.schema([("doc_id", pa.string()), ("held_out", pa.bool_()), ("text", pa.string())])
+
+    def packs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, number = TaskContext.get().partitionId() << 33, 0
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def pack() -> pa.RecordBatch:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                for batch in pa.Table.from_batches(held).cast(schema).to_batches():
+                    stream.write_batch(batch)
+            return pa.RecordBatch.from_arrays([pa.array([first + number], "int64"), pa.array([sink.getvalue().to_pybytes()], "binary")], ["chunk", "rows"])
+
+        for whole in parts:
+            for part in _slices(whole):
+                held.append(part)
+                size += sum(len(t) for t in part.column("text").to_pylist() if t)
+                if size >= CHUNK:
+                    yield pack()
+                    held, size, number = [], 0, number + 1
+        if held:
+            yield pack()
+
+    return _rows(docs).mapInArrow(packs, "chunk long, rows binary")
+
 
-    Distinct pairs of a document go to the shard of their hash, where one filter answers them; words
-    are answered by the count shard in the same way.  Every shard is asked in chunks of rows, so a
-    group holds a shard's arrays and one chunk.
+def _unpacked(pack: bytes) -> tuple[pd.DataFrame, list[np.ndarray]]:
+    """Ids and ``held_out`` of a chunk's rows, and their tokens."""
+    rows = pa.ipc.open_stream(pack).read_all()
+    tokens = [t for batch in rows.to_batches() for part in _slices(batch) for t in _tokens(part.column("text").to_pylist())]
+    return rows.select(["doc_id", "held_out"]).to_pandas(), tokens
+
+
+def _grams(flat: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Hashes of the words, then of the pairs that end at each token."""
+    yield 1, flat
+    yield 2, _pairs(flat, _before(flat))
+
+
+def _joined_scores(docs: DataFrame, shards: int) -> DataFrame:
+    """Scores of a model of any size.
+
+    A chunk of texts sends its distinct n-grams, with their counts in its training rows, to the
+    shards of their hash, once each.  A shard adds the counts up, makes its filter and answers the
+    chunks, whose n-grams are in order of hash and so in order of shard.  An n-gram of every text
+    is one entry for each chunk, so no shard is larger than the others.
     """
-    def asked(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+    def asked(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for row, text in zip(part["_row"], part["text"], strict=True):
-                [tokens] = _tokens([text])
-                before = _before(tokens)
-                keys = np.concatenate([tokens, before, _pairs(tokens, before)])
-                n = len(tokens)
-                own, size = _shard(keys, shards), np.repeat([1, 2], [2 * n, n])
-                for kind in (1, 2):
-                    for shard in np.unique(own[size == kind]):
-                        at = np.flatnonzero((own == shard) & (size == kind))
-                        yield pd.DataFrame({"size": [kind], "shard": [shard], "_row": [row], "at": [at.astype("<i4").tobytes()], "keys": [keys[at].tobytes()], "part": [int(row) % 64]})
-
-    def answered(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if key[0] == 2 and len(right):
-            words = np.frombuffer(right["bits"].iloc[0], np.uint64)
-            one = LogFrequencyBloom(words, np.array([0, len(words)]))
-            ask = one.count
-        elif len(right):
-            own = np.frombuffer(right["counts"].iloc[0], "<i8")
-            place = np.flatnonzero(own >= MANY)
-            words = np.frombuffer(right["hashes"].iloc[0], np.uint64)
-            model = Model(1, 1, words, np.minimum(own, MANY).astype(np.uint8), place, own[place], LogFrequencyBloom.empty(0))
-            ask = model.known
+            for chunk, pack in zip(part.column("chunk").to_pylist(), part.column("rows"), strict=True):
+                rows, texts = _unpacked(pack.as_py())
+                training = np.repeat(~rows["held_out"].to_numpy(bool), [len(t) for t in texts]).astype(np.int64)
+                flat = np.concatenate(texts)
+                del texts
+                for n, grams in _grams(flat):
+                    keys, counts = _counted([grams], [training])
+                    own, first = np.unique(_shard(keys, shards), return_index=True)
+                    hashes = [k.tobytes() for k in np.split(keys, first[1:])]
+                    numbers = [c.tobytes() for c in np.split(counts.astype("<u4"), first[1:])]
+                    columns = [pa.array([n] * len(own), "int32"), pa.array(own, "int32"), pa.array([chunk] * len(own), "int64"), pa.array(hashes, "binary"), pa.array(numbers, "binary")]
+                    yield pa.RecordBatch.from_arrays(columns, ["size", "shard", "chunk", "hashes", "counts"])
+
+    def answered(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        hashes = [np.frombuffer(x, np.uint64) for x in group["hashes"]]
+        keys, counts = _counted(hashes, [np.frombuffer(x, "<u4").astype(np.int64) for x in group["counts"]])
+        if key[0] == 1:
+            found = [counts[np.searchsorted(keys, k)].astype("<i8").tobytes() for k in hashes]
         else:
-            ask = lambda k: np.zeros(len(k))
-        for keys in left["keys"]:
-            out.append(np.asarray(ask(np.frombuffer(keys, np.uint64)), "<f8").tobytes())
-        return pd.DataFrame({"_row": left["_row"], "at": left["at"], "found": out})
+            stored, top = keys[counts > 0], levels(counts[counts > 0])
+            bloom = LogFrequencyBloom.empty(int(top.sum()))
+            bloom.add(stored, top)
+            held = bloom.level(keys)
+            found = [held[np.searchsorted(keys, k)].astype("u1").tobytes() for k in hashes]
+        # the last row is the shard's own
+        out = pd.DataFrame({"size": key[0], "shard": key[1], "chunk": [*group["chunk"], -1], "found": [*found, None]})
+        return out.assign(n=int((counts > 0).sum()), total=int(counts.sum()))
+
+    chunks = written(_chunks(docs), "lm-chunks")
+    asks = chunks.mapInArrow(asked, "size int, shard int, chunk long, hashes binary, counts binary")
+    answers = written(asks.groupBy("size", "shard").applyInPandas(answered, "size int, shard int, chunk long, found binary, n long, total long"), "lm-answers")
+    sums = answers.where("chunk = -1 and size = 1").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).first()
+    total, distinct = sums["total"] or 0, sums["n"] or 0
+
+    def scored(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        rows, texts = _unpacked(left["rows"].iloc[0])
+        right = right.sort_values(["size", "shard"])
+        lengths = [len(t) for t in texts]
+        starts = np.cumsum([0, *lengths[:-1]])
+        flat = np.concatenate(texts)
+        del texts
+        for n, grams in _grams(flat):
+            where = np.unique(grams, return_inverse=True)[1]
+            found = np.concatenate([np.frombuffer(x, "<i8" if n == 1 else "u1") for x in right.loc[right["size"] == n, "found"]])[where]
+            if n == 1:
+                counts = found
+                shares = single = (counts + 0.5) / (total + 0.5 * (distinct + 1))
+            else:
+                context = np.concatenate([counts[-1:], counts[:-1]])  # the last token is an end
+                pairs = np.minimum(np.where(found > 0, BASE ** (found.astype(np.float64) - 1), 0), np.minimum(counts, context))
+                shares = (pairs + BACKOFF * shares) / (np.maximum(context, pairs) + BACKOFF)
+        add = lambda x: np.add.reduceat(x, starts)
+        return _result(rows, lengths, add((counts > 0).astype(np.int64)), total, add(np.log10(single)), add(np.log10(shares)))
 
-    def summed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            lengths, known, bases, scores = [], [], [], []
-            for text, answers in zip(part["text"], part["answers"], strict=True):
-                n = len(_tokens([text])[0])
-                values = np.zeros(3 * n)
-                for x in answers:
-                    values[np.frombuffer(x["at"], "<i4")] = np.frombuffer(x["found"], "<f8")
-                counts, context, pairs = values[:n], values[n : 2 * n], values[2 * n :]
-                single = (counts + 0.5) / (total + 0.5 * (distinct + 1))
-                pairs = np.minimum(pairs, np.minimum(counts, context))
-                joint = (pairs + BACKOFF * single) / (np.maximum(context, pairs) + BACKOFF)
-                lengths.append(n)
-                known.append(int((counts > 0).sum()))
-                bases.append(float(np.log10(single).sum()))
-                scores.append(float(np.log10(joint).sum()))
-            yield _result(part, lengths, known, total, bases, scores)
-
-    rows = written(_rows(docs).withColumn("_row", F.monotonically_increasing_id()), "lm-rows")
-    asks = rows.mapInPandas(asked, "size int, shard int, _row long, at binary, keys binary, part int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(63))).alias("part")
-    table = counts.where("size = 1").select("size", "shard", "hashes", "counts", F.lit(None).cast("binary").alias("bits"))
-    table = table.unionByName(filters.select(F.lit(2).alias("size"), "shard", F.lit(None).cast("binary").alias("hashes"), F.lit(None).cast("binary").alias("counts"), "bits"))
-    answers = (
-        asks.groupBy("size", "shard", "part")
-        .cogroup(table.select("*", every).groupBy("size", "shard", "part"))
-        .applyInPandas(answered, "_row long, at binary, found binary")
-    )
-    gathered = answers.groupBy("_row").agg(F.collect_list(F.struct("at", "found")).alias("answers"))
-    joined = rows.join(gathered, "_row").select("doc_id", "held_out", "text", "answers")
-    return joined.mapInPandas(summed, RESULT).withColumn("doc_id", F.col("doc_id").cast("long"))
+    told = answers.where("chunk >= 0").select("chunk", "size", "shard", "found")
+    joined = chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(scored, RESULT)
+    return joined.withColumn("doc_id", F.col("doc_id").cast("long"))
