@@ -26,8 +26,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+    """Rows that hold no benchmark item, those with a null id too."""
+    return decontaminate.clean_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -250,7 +250,13 @@ def _asked(index_of):
 
 
 def retrieved_items(docs: DataFrame, items: DataFrame, index_bytes: int = INDEX_BYTES) -> DataFrame:
-    """``doc_id, item_id, score, question_overlap, answer_overlap, leak`` for every item that a passage retrieves.
+    """``doc_id, item_id, score, question_overlap, answer_overlap, leak`` for every item that a passage retrieves."""
+    out = _retrieved(docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text"), items, index_bytes)
+    return out.withColumns({"doc_id": F.col("doc_id").cast("long"), "item_id": F.col("item_id").cast("long")})
+
+
+def _retrieved(docs: DataFrame, items: DataFrame, index_bytes: int = INDEX_BYTES) -> DataFrame:
+    """The same with ids as text.
 
     Items are dealt by a hash to as many indexes as their texts need at ``index_bytes`` each, a
     size that is summed before anything is collected; every index is broadcast and asked with
@@ -258,6 +264,7 @@ def retrieved_items(docs: DataFrame, items: DataFrame, index_bytes: int = INDEX_
     are not looked up follows how many items have them, and only saves work: no result hangs on it.
     """
     spark = docs.sparkSession
+    rows = docs.where("text IS NOT NULL")
     items = written(items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text IS NOT NULL"), "test-items")
 
     def split(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -274,7 +281,6 @@ def retrieved_items(docs: DataFrame, items: DataFrame, index_bytes: int = INDEX_
     held = written(items.withColumn("block", block), "test-blocks")
     words = held.select("text").mapInPandas(lambda parts: (pd.DataFrame({"n": [len(split_words(t)) for t in p["text"]]}) for p in parts), "n long")
     mean = words.agg(F.avg("n")).first()[0] or 1.0
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").where("text IS NOT NULL")
     out = None
     for k in range(blocks):
         own = [(r["item_id"], r["text"]) for r in held.where(F.col("block") == k).orderBy("item_id", "text").collect()]  # index_bytes at most, about
@@ -291,7 +297,7 @@ def retrieved_items(docs: DataFrame, items: DataFrame, index_bytes: int = INDEX_
         out = found if out is None else out.unionByName(found)
     if out is None:
         out = spark.createDataFrame([], "doc_id string, item_id string, score double, question_overlap double, answer_overlap double, leak boolean")
-    return out.withColumns({"doc_id": F.col("doc_id").cast("long"), "item_id": F.col("item_id").cast("long")})
+    return out
 
 
 def leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
@@ -310,3 +316,11 @@ def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     found = leaks(docs, items, **options).select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
     own = packed(docs, _own=F.col("doc_id"))
     return own.join(found, F.col("_own") == F.col("_id"), "left_anti").select("_row.*")
+
+
+def clean_rows(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` whose own text has no leak, whatever their id: null, or that of other rows too."""
+    key = F.concat_ws(":", F.xxhash64("text").cast("string"), F.col("doc_id").cast("string"))
+    found = _retrieved(docs.select(key.alias("doc_id"), "text"), items, **options).where("leak").select(F.col("doc_id").alias("_id")).distinct()
+    own = packed(docs, _own=key)
+    return own.join(found, F.col("_own") == F.col("_id"), "left_anti").select("_row.*")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunetables.llm.common import hashed_words, in_pieces, mixed, packed, shingle_sets
+from tunetables.llm.common import hashed_words, in_pieces, mixed, n_words, packed, shingle_sets
 from tunetables.llm.graph import components
 from tunetables.session import is_small, written
 
@@ -65,12 +65,12 @@ def _class(elements: np.ndarray) -> int:
 
 
 def signed_documents(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id, n_shingles, cid`` (class; null when empty) and ``bands`` of every row."""
+    """``doc_id, key`` (hash of the text), ``n_shingles, cid`` (class; null when empty) and ``bands`` of every row."""
 
     def signed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         maker = CirculantMinHash()
         for part in parts:
-            ids, texts = part["doc_id"].tolist(), part["text"].tolist()
+            ids, own, texts = part["doc_id"].tolist(), part["key"].tolist(), part["text"].tolist()
             for a, b in in_pieces(texts):
                 sets = shingle_sets(hashed_words(texts[a:b]), shingle)
                 full = [s for s in sets if len(s)]
@@ -78,19 +78,20 @@ def signed_documents(docs: DataFrame, shingle: int) -> DataFrame:
                 yield pd.DataFrame(
                     {
                         "doc_id": ids[a:b],
+                        "key": own[a:b],
                         "n_shingles": [len(s) for s in sets],
                         "cid": pd.array([_class(s) if len(s) else None for s in sets], dtype="Int64"),
                         "bands": [next(bands) if len(s) else None for s in sets],
                     }
                 )
 
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    rows = rows.mapInPandas(signed, "doc_id string, n_shingles long, cid long, bands array<long>")
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
+    rows = rows.mapInPandas(signed, "doc_id string, key long, n_shingles long, cid long, bands array<long>")
     return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """``cid, elements`` of the wanted classes; ``wanted`` has ``cid, rep`` (a document that has the set)."""
+    """``cid, elements`` of the wanted classes; ``wanted`` has ``cid, at`` (a row that has the set)."""
 
     def made(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -99,9 +100,10 @@ def class_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                 sets = [s for s in shingle_sets(hashed_words(texts[a:b]), shingle) if len(s)]
                 yield pd.DataFrame({"cid": [_class(s) for s in sets], "elements": [s.view(np.int64) for s in sets]})
 
-    reps = wanted.select(F.col("rep").alias("doc_id")).distinct()
+    reps = wanted.select(F.col("at.doc_id").alias("_id"), F.col("at.key").alias("_key")).distinct()
     reps = F.broadcast(reps) if is_small(reps) else reps
-    rows = docs.select("doc_id", "text").join(reps, "doc_id", "left_semi").mapInPandas(made, "cid long, elements array<long>")
+    rows = docs.select("doc_id", "text").join(reps, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left_semi")
+    rows = rows.select("text").mapInPandas(made, "cid long, elements array<long>")
     return rows.join(wanted.select("cid"), "cid", "left_semi").groupBy("cid").agg(F.first("elements").alias("elements"))
 
 
@@ -171,6 +173,11 @@ def links(members: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
     return rows.groupBy("bucket", "i", "j").applyInPandas(_compared, "a long, b long")
 
 
+def _least() -> Column:
+    """The row that stands for a group: the least id that is not null, and of its texts the one of least hash."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Per document: ``doc_id, n_shingles, component_id, kept, cid``.
 
@@ -187,16 +194,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     each have their own class.  ``component_id`` is the smallest id that is not null (null if there
     is none, and of an empty text the document's own); a null id is never kept.
     """
+    out = _labelled(docs, shingle)
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"), "cid")
+
+
+def _labelled(docs: DataFrame, shingle: int) -> DataFrame:
+    """Per row: ``doc_id, key, n_shingles, component_id, cid, component`` (a class of it; null when empty)."""
     rows = written(signed_documents(docs, shingle), "near-signed")
     classes = rows.where("cid IS NOT NULL").groupBy("cid").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("rep"), _least().alias("at"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
     )
     classes = written(classes, "near-classes")
     spread = classes.select("cid", "n", F.explode("bands").alias("bucket"))
     buckets = spread.groupBy("bucket").agg(F.count("*").alias("_count"), F.min("cid").alias("hub")).where("_count > 1")
     members = written(spread.join(buckets.select("bucket", "hub"), "bucket"), "near-buckets")
 
-    wanted = members.select("cid").distinct().join(classes.select("cid", "rep"), "cid")
+    wanted = members.select("cid").distinct().join(classes.select("cid", "at"), "cid")
     sets = written(class_sets(docs, wanted, shingle), "near-sets")
     pairs = members.where("hub <> cid").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
     one = sets.select(F.col("cid").alias("b"), F.col("elements").alias("_y"))
@@ -208,20 +221,23 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     joined = classes.select("cid", "rep").join(found, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
-    labelled = joined.join(least, "component").select("cid", "component_id")
-    out = rows.select("doc_id", "n_shingles", "cid").join(labelled, "cid", "left")
+    labelled = joined.join(least, "component").select("cid", "component_id", "component")
+    out = rows.select("doc_id", "key", "n_shingles", "cid").join(labelled, "cid", "left")
     own = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    out = out.withColumn("component_id", own)
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"), "cid")
+    return out.withColumn("component_id", own)
 
 
 def distinct_documents(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs`` whose document is kept; equal rows of one id stay once.
+    """One row of ``docs`` for each group of near-duplicates: the least id that is not null, or else null.
 
-    Documents without words are linked with nothing, so they stay.  Rows with a null id have no
-    smallest id to stand for them and stay too.
+    Rows are told apart by id, null or not, and a hash of the text, so a row with a null id or with
+    an id that stands for another text too is judged by its own text.  Rows without words are linked
+    with nothing and stay, equal ones of one id once.
     """
-    found = near_duplicates(docs, shingle).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    own = packed(docs, _own=F.col("doc_id"), _text=F.xxhash64("text"))
-    held = own.join(found, F.col("_own") == F.col("_id"), "left_semi").dropDuplicates(["_own", "_text"])
-    return held.unionByName(own.where("_own IS NULL")).select("_row.*")
+    found = _labelled(docs, shingle)
+    kept = found.where("cid IS NOT NULL").groupBy("component").agg(_least().alias("at"))
+    empty = found.where("cid IS NULL AND doc_id IS NOT NULL").select("doc_id", "key").distinct()
+    kept = kept.select("at.doc_id", "at.key").unionByName(empty).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+    own = packed(docs, _own=F.col("doc_id"), _text=F.xxhash64("text"), _words=n_words(F.col("text")))
+    held = own.join(kept, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key")), "left_semi").dropDuplicates(["_own", "_text"])
+    return held.unionByName(own.where("_own IS NULL AND _words = 0")).select("_row.*")
