@@ -31,8 +31,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: not at all, once or twice."""
-    return mixing.mixed_documents(docs)
+    """The words that the mix takes of each document: none, all, all twice, or a part of them."""
+    return mixing.mixed_texts(docs)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import corpus_pipeline
 import pytest
 from tests.llm.cases import documents, labels, with_clashes
 
-from tunetables.llm import decontaminate, near_dup
+from tunetables.llm import decontaminate, mixing, near_dup
 
 ITEM = "which of the nine old bridges over the river was built first by the masons of the town"
 
@@ -72,3 +72,22 @@ def test_pipeline_run(spark, tmp_path):
     assert left[2] == good
     got = Counter(r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect())
     assert set(got) <= set(range(40)) and len(got) >= 20
+
+
+def test_parts_of_long_texts_are_taken(spark):
+    rows = [(1, "\t".join(f"a{k}" for k in range(1000)), "one"), (None, " ".join(f"b{k}" for k in range(700)), "two"), (None, " ".join(f"b{k}" for k in range(700)), "two")]
+    rows += [(i, f"c{i} " * (1 + i % 60), "many") for i in range(10, 400)] + [(5, "", "many"), (6, None, None)]
+    docs = with_clashes(documents(spark, rows))
+    for options in ({}, {"share": 0.3}, {"block": 7, "shard": 50}):
+        takes = mixing.mix(docs, **options).collect()
+        got = mixing.mixed_texts(docs, **options).collect()
+        assert got[0].asDict().keys() == set(docs.columns) and got[0]["size"] == "kept size"
+        want, words = Counter(), Counter()
+        for r in takes:
+            want[r["doc_id"]] += r["taken"]
+        for r in got:
+            words[r["doc_id"]] += len(r["text"].split())
+            assert r["n_chars"] == len(r["text"])
+            assert any(r["text"].strip() in (t or "") for i, t, *_ in rows if i == r["doc_id"])
+        assert +words == +want
+    assert any(0 < r["taken"] % r["size"] for r in takes if r["size"])

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunetables.llm.common import n_words, packed
+from tunetables.llm.common import BLANK, WORD, n_words, packed
 from tunetables.session import written
 
 WEIGHTS = (5, 2, 1)
@@ -91,7 +91,20 @@ def mix(
     A null or empty text has size 0 and nothing is taken; null sources are one source, the last.
     Repeated rows are laid out each for itself.  An empty table gives no rows.
     """
-    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"))
+    laid, inside, last = _laid(docs, weights, share, most, block, shard, seed)
+    some = inside(F.col("_first"), F.least(last, F.col("_blocks"))) + inside(F.lit(0), last - F.col("_blocks"))
+    taken = F.least(F.lit(most) * F.col("size"), F.col("_rounds") * F.col("size") + some)
+    return laid.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+
+
+def _laid(
+    docs: DataFrame, weights: Sequence[float], share: float, most: int, block: int, shard: int, seed: int, keys: Sequence[str] = ()
+) -> tuple[DataFrame, Callable[[Column, Column], Column], Column]:
+    """Documents on the lines of their shards, the words of a document in a range of blocks, and the last block.
+
+    ``keys`` are columns that come along; they order documents of one id and size.
+    """
+    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), *keys)
     sized = written(sized, "mix-sizes")
     targets = written(source_targets(sized, weights, share, most), "mix-targets")
     votes = targets.withColumn("votes", F.col("target"))
@@ -110,7 +123,7 @@ def mix(
     cells = cells.withColumn("votes", F.col("_words").cast("double"))
     shared = apportioned(cells, F.col("_quota"), ["_sid"], "_shard").select("_sid", "_shard", "_words", "seats")
 
-    line = Window.partitionBy("_sid", "_shard").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "size")
+    line = Window.partitionBy("_sid", "_shard").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id", "size", *keys)
     end = F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0))
     laid = laid.withColumn("_end", end).join(shared, ["_sid", "_shard"])
     n_blocks = F.greatest(F.lit(1), F.ceil(F.col("_words") / block)).cast("long")
@@ -126,10 +139,7 @@ def mix(
     def inside(a: Column, b: Column) -> Column:
         return F.greatest(F.lit(0), F.least(F.col("_end"), b * block) - F.greatest(F.col("_start"), a * block))
 
-    last = F.col("_first") + F.col("_rest")
-    some = inside(F.col("_first"), F.least(last, F.col("_blocks"))) + inside(F.lit(0), last - F.col("_blocks"))
-    taken = F.least(F.lit(most) * F.col("size"), F.col("_rounds") * F.col("size") + some)
-    return laid.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return laid, inside, F.col("_first") + F.col("_rest")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
@@ -143,3 +153,52 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     own = packed(docs, _own=F.col("doc_id"), _n=n_words(F.col("text")))
     joined = own.join(takes, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_size")))
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select("_row.*")
+
+
+def mixed_texts(
+    docs: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    share: float = SHARE,
+    most: int = MOST,
+    block: int = BLOCK,
+    shard: int = SHARD,
+    seed: int = 17,
+) -> DataFrame:
+    """The words that the mix takes, in rows of ``docs``: whole rows, and a part of a partly taken text.
+
+    A part is a run of words with the blanks between them, a row of its own beside the whole ones;
+    ``n_chars``, where there is such a column of numbers, is its length.  So a source has as many words
+    as ``mix`` takes of it.  A row is found by a hash of its columns; equal rows are interchangeable.
+    """
+    hashed = [docs[f"`{f.name}`"] for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    key = F.xxhash64(*hashed)
+    given = docs.select("doc_id", "source", "text", key.alias("_key"))
+    laid, inside, last = _laid(given, weights, share, most, block, shard, seed, ["_key"])
+    none = F.array().cast("array<struct<a:bigint,b:bigint>>")
+
+    def cut(a: Column, b: Column) -> Column:
+        first = F.greatest(F.lit(0), a * block - F.col("_start"))
+        return F.struct(first.cast("long").alias("a"), (first + inside(a, b)).cast("long").alias("b"))
+
+    two = F.array(cut(F.lit(0), last - F.col("_blocks")), cut(F.col("_first"), F.least(last, F.col("_blocks"))))
+    parts = F.when(F.col("_rounds") < most, F.filter(two, lambda x: x["a"] < x["b"])).otherwise(none)
+    laid = laid.select("doc_id", "_key", "size", F.least("_rounds", F.lit(most)).alias("_rounds"), parts.alias("_parts"))
+    full = F.exists("_parts", lambda x: x["b"] - x["a"] == F.col("size"))
+    laid = laid.withColumns({"_whole": F.when(F.col("size") > 0, F.col("_rounds") + full.cast("long")).otherwise(0), "_parts": F.when(full, none).otherwise(F.col("_parts"))})
+    # equal rows are in one shard, which cuts few documents
+    takes = laid.where("_whole > 0 OR size(_parts) > 0").groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_own"), "_key")
+    takes = takes.agg(F.sum("_whole").cast("int").alias("_whole"), F.flatten(F.collect_list(F.when(F.size("_parts") > 0, F.col("_parts")))).alias("_parts"))
+
+    own = packed(docs, _own=F.coalesce(F.col("doc_id").cast("string"), F.lit("")), _key=key)
+    joined = own.join(takes, ["_own", "_key"]).dropDuplicates(["_own", "_key"])
+    # a whole row is a part from -1 on
+    whole = F.array_repeat(F.struct(F.lit(-1).cast("long").alias("a"), F.lit(-1).cast("long").alias("b")), F.col("_whole"))
+    rows = joined.select("_row", F.explode(F.concat(whole, "_parts")).alias("_p"))
+    words = F.slice(F.regexp_extract_all("_row.text", F.lit(f"{WORD}(?:{BLANK})?"), F.lit(0)), F.col("_p.a").cast("int") + 1, (F.col("_p.b") - F.col("_p.a")).cast("int"))
+    part = F.regexp_replace(F.array_join(words, ""), f"{BLANK}$", "")
+    rows = rows.withColumn("_text", F.when(F.col("_p.a") >= 0, part))
+    row = F.col("_row").withField("text", F.coalesce("_text", F.col("_row.text")))
+    kind = dict(docs.dtypes).get("n_chars")
+    if kind in ("int", "bigint"):
+        row = row.withField("n_chars", F.coalesce(F.length("_text").cast(kind), F.col("_row.n_chars")))
+    return rows.select(row.alias("_row")).select("_row.*")
