@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunetables.llm import chat_format, decontaminate, lm_score, mixing, near_dup, quality, secret_scan, substring_dup, token_counts, token_files
+from tunetables.llm import byte_bpe, chat_format, decontaminate, lm_score, mixing, near_dup, quality, secret_scan, substring_dup, token_counts, token_files
 from tunetables.llm.common import table
 from tunetables.llm.oracles import ORACLES  # noqa: F401  (read with the queries)
 from tunetables.session import written
@@ -66,5 +66,10 @@ def op10_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.lm_scores(table(spark, folder, "documents"))
 
 
-for _query in (op1_token_counts, op2_substring_dedup, op3_source_mix, op4_token_files, op5_chat_format, op6_secrets, op7_decontamination, op8_near_duplicates, op9_quality_rules, op10_lm_scores):
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text of ``documents`` to byte-level tokens and back."""
+    return byte_bpe.round_trip(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+for _query in (op1_token_counts, op2_substring_dedup, op3_source_mix, op4_token_files, op5_chat_format, op6_secrets, op7_decontamination, op8_near_duplicates, op9_quality_rules, op10_lm_scores, op13_byte_bpe):
     QUERIES[_query.__name__] = _query
