@@ -71,4 +71,22 @@ def secrets_sql(owners: int = secret_scan.OWNERS, repositories: int = secret_sca
       FROM texts t LEFT JOIN spans s ON s.doc_id = t.doc_id GROUP BY t.doc_id"""
 
 
-ORACLES: dict[str, str] = {"op6_secrets": secrets_sql(), "op8_near_duplicates": near_duplicates_sql()}
+def ranked_sql(k: int = 10) -> str:
+    """Scores of all documents that share a term with an item, and the best of each item."""
+    terms = rf"""unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"""
+    return f"""
+      WITH words AS MATERIALIZED (SELECT doc_id, {terms} AS t FROM documents),
+      total AS (SELECT count(DISTINCT doc_id) AS nd, count(*) AS nt FROM words),
+      lengths AS (SELECT doc_id, 25 + (75 * count(*) * any_value(nd)) // any_value(nt) AS m FROM words, total GROUP BY doc_id),
+      asked AS MATERIALIZED (SELECT item_id, t, count(*) AS repeats FROM (SELECT item_id, {terms} AS t FROM benchmark) GROUP BY item_id, t),
+      counts AS MATERIALIZED (SELECT doc_id, t, count(*) AS tf FROM words WHERE t IN (SELECT t FROM asked) GROUP BY doc_id, t),
+      weights AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(nd) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counts, total GROUP BY t),
+      scores AS (
+        SELECT item_id, doc_id, CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+        FROM asked JOIN weights USING (t) JOIN counts USING (t) JOIN lengths USING (doc_id) GROUP BY item_id, doc_id)
+      SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+      FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+      WHERE rank <= {k}"""
+
+
+ORACLES: dict[str, str] = {"op6_secrets": secrets_sql(), "op8_near_duplicates": near_duplicates_sql(), "op12_lexical_search": ranked_sql()}
