@@ -89,4 +89,26 @@ def ranked_sql(k: int = 10) -> str:
       WHERE rank <= {k}"""
 
 
-ORACLES: dict[str, str] = {"op6_secrets": secrets_sql(), "op8_near_duplicates": near_duplicates_sql(), "op12_lexical_search": ranked_sql()}
+def negatives_sql() -> str:
+    """Every anchor with every row, then the best of its label, then the best of other labels in each window."""
+    return """
+      WITH good AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      pairs AS MATERIALIZED (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+        FROM good a JOIN good b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+      positives AS (
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS place FROM pairs WHERE same)
+        WHERE place <= 5)
+      SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM (
+        SELECT p.anchor_id, p.other_id AS positive_id, n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+               row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id) AS place
+        FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
+          AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+      WHERE place <= 3"""
+
+
+ORACLES: dict[str, str] = {"op6_secrets": secrets_sql(), "op8_near_duplicates": near_duplicates_sql(), "op11_hard_negatives": negatives_sql(), "op12_lexical_search": ranked_sql()}

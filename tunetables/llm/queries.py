@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tunetables.llm import byte_bpe, chat_format, decontaminate, lexical_search, lm_score, mixing, near_dup, quality, secret_scan, substring_dup, token_counts, token_files
+from tunetables.llm import byte_bpe, chat_format, decontaminate, hard_negatives, lexical_search, lm_score, mixing, near_dup, quality, secret_scan, substring_dup, token_counts, token_files
 from tunetables.llm.common import table
 from tunetables.llm.oracles import ORACLES  # noqa: F401  (read with the queries)
 from tunetables.session import written
@@ -66,6 +66,11 @@ def op10_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.lm_scores(table(spark, folder, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of ``embeddings`` that are near an anchor, yet not of its label."""
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
 def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     """The ten best of ``documents`` for each item of ``benchmark``."""
     return lexical_search.ranked_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -76,5 +81,5 @@ def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
-for _query in (op1_token_counts, op2_substring_dedup, op3_source_mix, op4_token_files, op5_chat_format, op6_secrets, op7_decontamination, op8_near_duplicates, op9_quality_rules, op10_lm_scores, op12_lexical_search, op13_byte_bpe):
+for _query in (op1_token_counts, op2_substring_dedup, op3_source_mix, op4_token_files, op5_chat_format, op6_secrets, op7_decontamination, op8_near_duplicates, op9_quality_rules, op10_lm_scores, op11_hard_negatives, op12_lexical_search, op13_byte_bpe):
     QUERIES[_query.__name__] = _query
