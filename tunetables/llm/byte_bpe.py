@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import json
 import os.path
+import re
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -22,7 +24,7 @@ from tunetables.llm.encoding import LONGEST, REMEMBERED, _byte_names
 #: How byte-level tokenizers cut a text into words (a fixed value of the format).
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Texts of these characters alone are cut here; all others by the tokenizers library, whose Unicode version rules.
-PLAIN = regex.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ–—‘-”…]*")
+PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ–—‘-”…]*")
 #: Judged pairs of tokens that a worker remembers at most.
 PAIRS = 1_000_000
 NEVER = 1 << 30
@@ -70,6 +72,7 @@ class Merges:
             for at in range(1, len(piece)):
                 self.ends.setdefault(piece[at:], -1)
             self.ends[piece] = i
+        self.longest = max(map(len, self.pieces))
 
     def apart(self, a: int, b: int, until: int = NEVER) -> bool:
         """Whether tokens ``a`` and ``b`` side by side are what their bytes give before merge ``until``.
@@ -96,8 +99,8 @@ class TrieEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers, and back.
 
     They are the ids of ``Tokenizer.encode(text, add_special_tokens=False)`` without truncation and padding:
-    strings of added tokens in a text become these tokens.  Words of up to ``LONGEST`` characters are
-    remembered by the worker, between one and two times ``REMEMBERED`` of them.
+    strings of added tokens in a text become these tokens.  Words, and what stands between single spaces, are
+    remembered by the worker up to ``LONGEST`` characters, between one and two times ``REMEMBERED`` of either.
     """
 
     def __init__(self, path: str):
@@ -105,7 +108,7 @@ class TrieEncoder:
 
         store = worker_store(f"byte bpe {path}")
         if "merges" not in store:
-            store.update(merges=Merges(path), cutter=Tokenizer.from_file(path).pre_tokenizer, young={}, old={}, pairs={})
+            store.update(merges=Merges(path), cutter=Tokenizer.from_file(path).pre_tokenizer, pairs={}, words=({}, {}), spaced=({}, {}))
         self.store, self.merges, self.cutter = store, store["merges"], store["cutter"]
         added = sorted(self.merges.added, key=len, reverse=True)
         self.added = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
@@ -124,6 +127,28 @@ class TrieEncoder:
             out.extend([part] if k % 2 else self._cut(part))
         return out
 
+    def _single_spaces(self, text: str) -> bool:
+        """Whether a plain text may be cut at its spaces, each belonging to what follows."""
+        return not (any(pair in text for pair in ("  ", " \t", " \n", " \r")) or text.endswith(" ") or any(a in text for a in self.merges.added)) and bool(PLAIN.fullmatch(text))
+
+    def _known(self, kind: str, wanted: set[str], learn: Callable[[list[str]], dict[str, bytes]]) -> Callable[[str], bytes]:
+        """Ids of the wanted strings, remembered or learned now."""
+        young, old = self.store[kind]
+        new = wanted.difference(young)
+        found = {w: old[w] for w in new if w in old}
+        found.update(learn([w for w in new if w not in found]))
+        brief = {w: i for w, i in found.items() if len(w) <= LONGEST}
+        young.update(brief)
+        if len(young) > REMEMBERED:
+            self.store[kind] = ({}, young)
+        return young.__getitem__ if len(brief) == len(found) else lambda w: found.get(w) or young[w]
+
+    def _spaced(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of strings with a space before them."""
+        cut = {p: self._cut(" " + p) for p in pieces}
+        ids = self._known("words", set().union(*cut.values()), self.learn)
+        return {p: b"".join(map(ids, words)) for p, words in cut.items()}
+
     def learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of each distinct word, by one depth-first walk over the trie of all.
 
@@ -141,6 +166,9 @@ class TrieEncoder:
             shared = len(os.path.commonprefix([path, word]))
             del last[shared + 1 :]
             for at in range(shared + 1, len(word) + 1):
+                if at <= merges.longest and (token := ends.get(word[:at], -1)) >= 0:
+                    last.append(token)
+                    continue
                 # the tokens that end here, short ones first
                 found, start = [], at - 1
                 while start >= 0:
@@ -153,8 +181,6 @@ class TrieEncoder:
                 while True:
                     # exactly one of them follows the last token before it
                     start, token = found.pop()
-                    if not start:
-                        break
                     pair = (last[start], token)
                     fits = pairs.get(pair)
                     if fits is None:
@@ -174,19 +200,13 @@ class TrieEncoder:
         """Ids of each text; none for a null or empty one."""
         out = []
         for a, b in in_pieces(texts):
-            cut = [self.words(t) if t else [] for t in texts[a:b]]
-            young, old = self.store["young"], self.store["old"]
-            new = set().union(*cut).difference(young)
-            known = {w: old[w] for w in new if w in old}
-            known.update(self.learn([w for w in new if w not in known]))
-            brief = {w: i for w, i in known.items() if len(w) <= LONGEST}
-            young.update(brief)
-            if len(brief) < len(known):
-                out.extend(b"".join([known[w] if w in known else young[w] for w in words]) for words in cut)
-            else:
-                out.extend(b"".join(map(young.__getitem__, words)) for words in cut)
-            if len(young) > REMEMBERED:
-                self.store["old"], self.store["young"] = young, {}
+            spaced = [t.split(" ") if t and self._single_spaces(t) else None for t in texts[a:b]]
+            # what no space leads: the beginnings of those texts, and all other texts
+            bare = [self._cut(p[0]) if p else self.words(t or "") for p, t in zip(spaced, texts[a:b], strict=True)]
+            of_piece = self._known("spaced", set().union(*[p[1:] for p in spaced if p]), self._spaced)
+            of_word = self._known("words", set().union(*bare), self.learn)
+            for words, pieces in zip(bare, spaced, strict=True):
+                out.append(b"".join([*map(of_word, words), *map(of_piece, pieces[1:] if pieces else ())]))
         return out
 
     def decode(self, ids: bytes | None) -> str:
