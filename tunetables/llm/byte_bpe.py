@@ -11,6 +11,7 @@ import json
 import os.path
 import re
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -19,13 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunetables.llm.common import in_pieces, worker_store
-from tunetables.llm.encoding import LONGEST, REMEMBERED, _byte_names
+from tunetables.llm.encoding import LONGEST, _byte_names
 
 #: How byte-level tokenizers cut a text into words (a fixed value of the format).
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Texts of these characters alone are cut here; all others by the tokenizers library, whose Unicode version rules.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ–—‘-”…]*")
-#: Judged pairs of tokens that a worker remembers at most.
+#: Characters of texts cut together, and words (and strings between spaces) remembered between them.
+TOGETHER, REMEMBERED = 1 << 22, 600_000
+#: Judged pairs of tokens, and steps of the automaton, that a worker remembers at most.
 PAIRS = 1_000_000
 NEVER = 1 << 30
 
@@ -65,14 +68,40 @@ class Merges:
                 # a token that its own bytes do not give never ends a prefix
                 if self.apart(*self.parts[made], rank):
                     whole.append(made)
-        #: Every end of a token, with the token if the end is one.
-        self.ends: dict[bytes, int] = {}
+        self.sizes = list(map(len, self.pieces))
+        self.codes = [i.to_bytes(4, "little") for i in range(len(self.pieces))]
+        self._link(whole)
+
+    def _link(self, whole: list[int]) -> None:
+        """An automaton over the beginnings of tokens: its state after some bytes is their longest end that begins a token.
+
+        ``found`` lists for each state the tokens that end there, long ones first, as ``(size, token)``.
+        """
+        self.step: dict[int, int] = {}
+        own, depth = {0: -1}, [(0, 0, 0)]
         for i in whole:
-            piece = self.pieces[i]
-            for at in range(1, len(piece)):
-                self.ends.setdefault(piece[at:], -1)
-            self.ends[piece] = i
-        self.longest = max(map(len, self.pieces))
+            state = 0
+            for byte in self.pieces[i]:
+                key = state << 8 | byte
+                state = self.step.get(key, 0)
+                if not state:
+                    state = self.step[key] = len(depth)
+                    depth.append((depth[key >> 8][0] + 1, key, state))
+            own[state] = i
+        self.shorter = [0] * len(depth)
+        self.found: list[tuple[tuple[int, int], ...]] = [()] * len(depth)
+        self.seen: dict[int, int] = {}
+        for size, key, state in sorted(depth)[1:]:
+            before, byte = key >> 8, key & 255
+            self.shorter[state] = self.after(self.shorter[before], byte) if before else 0
+            ends = self.found[self.shorter[state]]
+            self.found[state] = ((size, own[state]), *ends) if state in own else ends
+
+    def after(self, state: int, byte: int) -> int:
+        """The automaton's next state."""
+        while state and state << 8 | byte not in self.step:
+            state = self.shorter[state]
+        return self.step.get(state << 8 | byte, 0)
 
     def apart(self, a: int, b: int, until: int = NEVER) -> bool:
         """Whether tokens ``a`` and ``b`` side by side are what their bytes give before merge ``until``.
@@ -145,8 +174,8 @@ class TrieEncoder:
 
     def _spaced(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of strings with a space before them."""
-        cut = {p: self._cut(" " + p) for p in pieces}
-        ids = self._known("words", set().union(*cut.values()), self.learn)
+        cut = {p: [" " + p] if p.isalpha() else WORDS.findall(" " + p) for p in pieces}
+        ids = self._known("words", set(chain.from_iterable(cut.values())), self.learn)
         return {p: b"".join(map(ids, words)) for p, words in cut.items()}
 
     def learn(self, words: list[str]) -> dict[str, bytes]:
@@ -157,49 +186,52 @@ class TrieEncoder:
         """
         merges = self.merges
         out = {w: np.array([merges.added[w]], "<u4").tobytes() for w in words if w in merges.added}
-        ends, pieces, apart = merges.ends, merges.pieces, merges.apart
-        pairs = self.store["pairs"]
-        if len(pairs) > PAIRS:
-            pairs.clear()
-        path, last = b"", [-1]
+        found, sizes, codes, apart = merges.found, merges.sizes, merges.codes, merges.apart
+        seen, pairs = merges.seen, self.store["pairs"]
+        for memory in (seen, pairs):
+            if len(memory) > PAIRS:
+                memory.clear()
+        path, last, states = b"", [-1], [0]
         for word, text in sorted((w.encode(), w) for w in words if w not in out):
-            shared = len(os.path.commonprefix([path, word]))
-            del last[shared + 1 :]
-            for at in range(shared + 1, len(word) + 1):
-                if at <= merges.longest and (token := ends.get(word[:at], -1)) >= 0:
-                    last.append(token)
-                    continue
-                # the tokens that end here, short ones first
-                found, start = [], at - 1
-                while start >= 0:
-                    token = ends.get(word[start:at])
-                    if token is None:
+            shared = 0
+            for a, b in zip(path, word):  # noqa: B905  (the shorter one ends it)
+                if a != b:
+                    break
+                shared += 1
+            del last[shared + 1 :], states[shared + 1 :]
+            state, at = states[-1], shared
+            for byte in word[shared:] if shared else word:
+                at += 1
+                key = state << 8 | byte
+                state = seen.get(key, -1)
+                if state < 0:
+                    state = seen[key] = merges.after(key >> 8, byte)
+                # exactly one of the tokens that end here follows the last token before it, or is the whole path
+                for size, token in found[state]:
+                    if size == at:
                         break
-                    if token >= 0:
-                        found.append((start, token))
-                    start -= 1
-                while True:
-                    # exactly one of them follows the last token before it
-                    start, token = found.pop()
-                    pair = (last[start], token)
+                    pair = last[at - size] << 20 | token
                     fits = pairs.get(pair)
                     if fits is None:
-                        fits = pairs[pair] = apart(*pair)
+                        fits = pairs[pair] = apart(pair >> 20, token)
                     if fits:
                         break
                 last.append(token)
+                states.append(state)
             path = word
-            ids, at = [], len(word)
+            ids = []
             while at:
-                ids.append(last[at])
-                at -= len(pieces[last[at]])
-            out[text] = np.array(ids[::-1], "<u4").tobytes()
+                token = last[at]
+                ids.append(codes[token])
+                at -= sizes[token]
+            ids.reverse()
+            out[text] = b"".join(ids)
         return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; none for a null or empty one."""
         out = []
-        for a, b in in_pieces(texts):
+        for a, b in in_pieces(texts, TOGETHER):
             spaced = [t.split(" ") if t and self._single_spaces(t) else None for t in texts[a:b]]
             # what no space leads: the beginnings of those texts, and all other texts
             bare = [self._cut(p[0]) if p else self.words(t or "") for p, t in zip(spaced, texts[a:b], strict=True)]
@@ -226,7 +258,8 @@ def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     def encode(texts: pd.Series) -> pd.Series:
         return pd.Series(TrieEncoder(path).encode([t if isinstance(t, str) else None for t in texts]), dtype=object)
 
-    return docs.withColumn(ids, encode(F.col(f"`{text}`")))
+    # what reads the ids must not encode again
+    return docs.withColumn(ids, encode.asNondeterministic()(F.col(f"`{text}`")))
 
 
 def decoded(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
