@@ -27,12 +27,29 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 #: Texts of these characters alone are cut here; all others by the tokenizers library, whose Unicode version rules.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ–—‘-”…]*")
 #: Characters of texts cut together, and words (and strings between spaces) remembered between them.
-TOGETHER, REMEMBERED = 1 << 22, 600_000
+TOGETHER, REMEMBERED = 1 << 21, 400_000
 #: Judged pairs of tokens, and steps of the automaton, that a worker remembers at most.
 PAIRS = 1_000_000
 NEVER = 1 << 30
 
 
+def token_pieces(spec: dict) -> list[bytes]:
+    """Bytes of each id of a byte-level tokenizer file."""
+    byte_of = {name: b for b, name in enumerate(_byte_names())}
+    vocab, added = spec["model"]["vocab"], {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+    pieces = [b""] * (1 + max([*vocab.values(), *added.values()]))
+    for token, i in vocab.items():
+        pieces[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+    for token, i in added.items():
+        pieces[i] = token.encode()
+    return pieces
+
+
+def decode_ids(pieces: list[bytes], ids: bytes | None) -> str:
+    """The text of ids, special tokens included; bytes that are no UTF-8 become U+FFFD."""
+    return b"".join(map(pieces.__getitem__, np.frombuffer(ids or b"", "<u4").tolist())).decode("utf-8", "replace")
+
+
 class Merges:
     """Vocabulary of a byte-level BPE tokenizer file, with the question whether two tokens stay apart."""
 
@@ -46,19 +63,14 @@ class Merges:
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in spec.get("added_tokens", [])):
             raise ValueError("added tokens that take in what stands around them are not supported")
-        byte_of = {name: b for b, name in enumerate(_byte_names())}
         vocab = model["vocab"]
         #: Bytes of each id.
-        self.pieces: list[bytes] = [b""] * (1 + max([*vocab.values(), *self.added.values()]))
-        for token, i in vocab.items():
-            self.pieces[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
-        for token, i in self.added.items():
-            self.pieces[i] = token.encode()
+        self.pieces = token_pieces(spec)
         #: Rank of the merge that makes a token (-1: a byte), and its two parts.
         self.rank = [-1] * len(self.pieces)
         self.parts: list[tuple[int, int]] = [(0, 0)] * len(self.pieces)
         self.merge: dict[tuple[int, int], int] = {}
-        whole = [vocab[name] for name in byte_of]
+        whole = [vocab[name] for name in _byte_names()]
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             made = vocab[left + right]
@@ -242,24 +254,29 @@ class TrieEncoder:
         return out
 
     def decode(self, ids: bytes | None) -> str:
-        """The text of ids, special tokens included; bytes that are no UTF-8 become U+FFFD."""
-        return b"".join(map(self.merges.pieces.__getitem__, np.frombuffer(ids or b"", "<u4").tolist())).decode("utf-8", "replace")
+        return decode_ids(self.merges.pieces, ids)
 
 
-def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", back: str | None = None) -> DataFrame:
     """Rows with their ids: little-endian unsigned 32-bit integers in the binary column ``ids``.
 
-    ``path`` names a byte-level BPE tokenizer file that every executor has.  Null and empty texts have no
-    ids; very long texts and words are encoded whole; equal rows stay as they are, an empty table gives an
-    empty table, and other columns, null or not, are kept (a column called as ``ids`` says is replaced).
+    ``path`` names a byte-level BPE tokenizer file that every executor has.  With ``back`` the ids are decoded again
+    on the way, into a column of that name.  Null and empty texts have no ids; very long texts and words are
+    encoded whole; equal rows stay as they are, an empty table gives an empty table, and other columns,
+    null or not, are kept (a column called as ``ids`` or ``back`` says is replaced).
     """
 
-    @F.pandas_udf("binary")
-    def encode(texts: pd.Series) -> pd.Series:
-        return pd.Series(TrieEncoder(path).encode([t if isinstance(t, str) else None for t in texts]), dtype=object)
+    @F.pandas_udf("ids binary, back string" if back else "ids binary")
+    def encode(texts: pd.Series) -> pd.DataFrame:
+        encoder = TrieEncoder(path)
+        found = encoder.encode([t if isinstance(t, str) else None for t in texts])
+        out = {"ids": pd.Series(found, dtype=object)}
+        return pd.DataFrame(out | {"back": pd.Series([encoder.decode(i) for i in found], dtype=object)} if back else out)
 
     # what reads the ids must not encode again
-    return docs.withColumn(ids, encode.asNondeterministic()(F.col(f"`{text}`")))
+    rows = docs.select(*[docs[f"`{c}`"] for c in docs.columns if c not in (ids, back)], encode.asNondeterministic()(docs[f"`{text}`"]).alias(ids))
+    rows = rows.withColumn(back, F.col(f"`{ids}`.back")) if back else rows
+    return rows.withColumn(ids, F.col(f"`{ids}`.ids"))
 
 
 def decoded(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -267,16 +284,18 @@ def decoded(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
 
     @F.pandas_udf("string")
     def decode(column: pd.Series) -> pd.Series:
-        encoder = TrieEncoder(path)
-        return pd.Series([encoder.decode(i) for i in column], dtype=object)
+        store = worker_store(f"pieces {path}")
+        if "pieces" not in store:
+            with open(path, encoding="utf-8") as file:
+                store["pieces"] = token_pieces(json.load(file))
+        return pd.Series([decode_ids(store["pieces"], i) for i in column], dtype=object)
 
     return rows.withColumn(text, decode(F.col(f"`{ids}`")))
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, n_tokens`` and SHA-256 digests of the ids of every text and of what they decode to."""
-    both = decoded(encoded(docs.select("doc_id", "text"), path).drop("text"), path)
-    return both.select(
+    return encoded(docs.select("doc_id", "text"), path, back="decoded").select(
         "doc_id",
         F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
