@@ -105,6 +105,63 @@ def test_generation_batches(spark):
     assert sorted(r.idx for r in spread.collect()) == list(range(23))
 
 
+def batch_sensitive():
+    """Answers that show the whole batch they were given in."""
+    return lambda batch: [f"{p} of {'|'.join(batch)}" for p in batch]
+
+
+@pytest.mark.parametrize("by_length", [False, True])
+def test_generation_does_not_depend_on_the_cluster(spark, by_length):
+    rows = spark.range(103).select(F.col("id").alias("idx"), F.repeat(F.lit("x"), (F.col("id") * 7 % 13).cast("int")).alias("prompt"), F.lit(1).alias("_place"))
+    found = []
+    try:
+        for parts, tasks, records in ((1, 1, 10_000), (5, 4, 3), (9, 8, 5), (2, None, 1)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+            some = generation.generated(rows.drop("_place").repartition(parts), batch_sensitive, batch_size=4, tasks=tasks, by_length=by_length)
+            found.append(sorted(map(tuple, some.collect())))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert all(f == found[0] for f in found) and len(found[0]) == 103
+    if not by_length:
+        prompts_of = [p for _, p, _ in found[0]]
+        assert [a for _, _, a in found[0]] == [f"{p} of {'|'.join(prompts_of[i // 4 * 4 : i // 4 * 4 + 4])}" for i, p in enumerate(prompts_of)]
+    else:
+        lengths = [{len(p) for p in a.split(" of ")[1].split("|")} for _, _, a in found[0]]
+        assert max(max(n) - min(n) for n in lengths) <= 1
+
+
+def test_rows_without_or_with_equal_keys_are_answered(spark):
+    rows = spark.createDataFrame([(None, "a"), (None, "b"), (3, "c"), (3, "d"), (3, "e")], "key long, text string")
+    got = generation.generated(rows, batch_sensitive, batch_size=2, column="text", key="key").collect()
+    assert sorted((r.text, r.prediction) for r in got) == [("a", "a of a|b"), ("b", "b of a|b"), ("c", "c of c|d"), ("d", "d of c|d"), ("e", "e of e")]
+    assert generation.generated(rows.limit(0), batch_sensitive, column="text", key="key").collect() == []
+
+
+def test_a_worker_loads_its_model_once(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def load():
+        import os
+        import uuid
+
+        open(os.path.join(folder, f"{os.getpid()}-{uuid.uuid4().hex}"), "w").close()
+        return lambda batch: batch
+
+    # sixteen tasks on eight cores
+    assert generation.generated(prompts(spark, 160), load, tasks=16).count() == 160
+    loaded = [p.name.split("-")[0] for p in tmp_path.iterdir()]
+    assert len(loaded) == len(set(loaded)) and len(loaded) < 16
+
+
+def test_stage_resources_reach_spark(spark):
+    from pyspark.resource import ResourceProfileBuilder, TaskResourceRequests
+
+    profile = ResourceProfileBuilder().require(TaskResourceRequests().cpus(2)).build
+    # a local session has no executors to ask for, and says so
+    with pytest.raises(Exception, match="TaskResourceProfiles"):
+        generation.generated(prompts(spark), batch_sensitive, profile=profile).collect()
+
+
 def test_generation_must_answer_every_prompt(spark):
     with pytest.raises(Exception, match="prompts gave"):
         generation.generated(prompts(spark), lambda: lambda batch: batch[:-1]).collect()
