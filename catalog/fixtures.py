@@ -373,6 +373,26 @@ def checkpoint_listing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def write_checkpoints(listing: DataFrame, root: str) -> None:
+    """Stand-in for trainers: ``<root>/run_id=<run>/<name>/state`` for folders, ``<root>/run_id=<run>/<name>`` for files."""
+
+    def save(frames):
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root.removeprefix("file:"))
+        for frame in frames:
+            for run, path, is_dir in zip(frame["run_id"], frame["path"], frame["is_dir"], strict=True):
+                place = f"{base}/run_id={run}/{path.split('/')[-1]}" + ("/state" if is_dir else "")
+                store.create_dir(place.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(place) as out:
+                    out.write(b"weights")
+            yield frame[["run_id"]]
+
+    # a name is a folder or a file, not both
+    entries = listing.groupBy("run_id", "path").agg(F.bool_or("is_dir").alias("is_dir"))
+    entries.mapInPandas(save, "run_id long").write.format("noop").mode("overwrite").save()
+
+
 def text_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """``fx_pairs``, both sides keyed alike before the join so it is distributed by pair."""
     docs = documents(spark, folder)

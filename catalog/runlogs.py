@@ -13,10 +13,12 @@ from catalog.fixtures import (
     train_log,
     trainer_raw,
     with_views,
+    write_checkpoints,
 )
 from catalog.registry import query
 from tunetables.operators import checkpoints, objectives, records, series, smoothing
 from tunetables.plans import curves
+from tunetables.sources.checkpoints import checkpoint_folders
 from tunetables.session import new_path, written
 from tunetables.sources.runlogs import append_log, append_raw_log, append_summaries, numbered_log, read_log
 from tunetables.streaming import runlogs as live
@@ -102,6 +104,26 @@ def a04(spark, folder):
     return lines.select("run_id", "line_no", "status", "preview")
 
 
+def log_files(spark, folder):
+    """The whole log, blank and broken lines among the good ones, as files of lines in order."""
+    return append_raw_log(train_log(spark, folder), new_path(spark, "log-files"), logs="line", order="line_no")
+
+
+@query(
+    "a04_log_files",
+    with_views(
+        "fx_train_log",
+        """SELECT run_id, line_no - 1 AS line_no, CASE WHEN line = '' THEN 'blank' WHEN json_valid(line) THEN 'good' ELSE 'bad' END AS status,
+                  CASE WHEN line <> '' AND NOT json_valid(line) THEN line END AS bad_line
+           FROM fx_train_log""",
+    ),
+)
+def a04_files(spark, folder):
+    """Every line of log files with its number, broken ones whole."""
+    lines = records.parsed_lines(numbered_log(spark, log_files(spark, folder)))
+    return lines.select("run_id", "line_no", "status", "bad_line")
+
+
 WIDE_SQL = """SELECT run_id, line_no, CAST(line->>'$.epoch' AS DOUBLE) AS epoch, CAST(line->>'$.loss' AS DOUBLE) AS loss,
          CAST(line->>'$.grad_norm' AS DOUBLE) AS grad_norm, CAST(line->>'$.learning_rate' AS DOUBLE) AS learning_rate,
          CAST(line->>'$."rewards/accuracies"' AS DOUBLE) AS rewards_accuracies FROM good_log"""
@@ -111,11 +133,14 @@ def wide(parsed):
     return records.wide_view(parsed).withColumnRenamed("rewards/accuracies", "rewards_accuracies")
 
 
-@query("a05_strict_log_source", with_views("good_log", WIDE_SQL))
+REPAIRED_SQL = """(SELECT run_id, line_no, CASE WHEN line = '' OR NOT json_valid(line) THEN '{}' ELSE line END AS line FROM fx_train_log)"""
+
+
+@query("a05_strict_log_source", with_views("fx_train_log", WIDE_SQL.replace("good_log", REPAIRED_SQL)))
 def a05(spark, folder):
-    # the shared log holds broken lines, on which strict reading must fail (see tests)
-    lines = train_log(spark, folder).where(records.json_object(F.col("line")).isNotNull())
-    return wide(records.strict_records(lines))
+    # strict reading must fail on the broken lines of the shared log (see tests), so they are mended to empty records
+    line = F.coalesce(F.when(records.json_object(F.col("line")).isNotNull(), F.col("line")), F.lit("{}"))
+    return wide(records.strict_records(train_log(spark, folder).withColumn("line", line)))
 
 
 @query(
@@ -132,6 +157,13 @@ def a05_files(spark, folder):
     return wide(records.strict_records(numbered_log(spark, path))).drop("line_no")
 
 
+def stored_checkpoints(spark, folder):
+    """Checkpoint folders written for the listing, a state file in each, and read back."""
+    root = new_path(spark, "checkpoints")
+    write_checkpoints(checkpoint_listing(spark, folder), root)
+    return checkpoint_folders(spark, root)
+
+
 CHECKPOINTS_SQL = r"""
   SELECT run_id, path, CAST(regexp_extract(path, '/checkpoint-([0-9]+)', 1) AS BIGINT) AS step, eval_loss
   FROM fx_checkpoints WHERE is_dir AND regexp_matches(path, '/checkpoint-[0-9]+')"""
@@ -143,6 +175,26 @@ def a08(spark, folder):
     return found.select("run_id", "path", F.col("step").cast("long").alias("step"), "eval_loss")
 
 
+@query(
+    "a08_checkpoint_folders",
+    with_views("fx_checkpoints", f"SELECT DISTINCT run_id, path, step FROM ({CHECKPOINTS_SQL})"),
+)
+def a08_folders(spark, folder):
+    """The listing of folders that hold a file for each checkpoint."""
+    found = checkpoints.checkpoints(stored_checkpoints(spark, folder))
+    name = F.concat(F.lit("runs/"), F.substring_index("path", "/", -1))
+    return found.select("run_id", name.alias("path"), F.col("step").cast("long").alias("step"))
+
+
+@query(
+    "i08_latest_from_folders",
+    with_views("fx_checkpoints", f"SELECT run_id, arg_max(path, step) AS path FROM ({CHECKPOINTS_SQL}) GROUP BY run_id"),
+)
+def i08_folders(spark, folder):
+    newest = checkpoints.latest_checkpoint(stored_checkpoints(spark, folder))
+    return newest.select("run_id", F.concat(F.lit("runs/"), F.substring_index("path", "/", -1)).alias("path"))
+
+
 @query(
     "b19_record_routing",
     with_views(
@@ -567,9 +619,7 @@ def i11_eval_only(spark, folder):
 @query("i11_curves_from_files", curves_sql(CURVE_METRICS))
 def i11_files(spark, folder):
     """From log files, bad and blank lines among them, to curves."""
-    lines = train_log(spark, folder).select("run_id", "line")
-    path = append_raw_log(lines, new_path(spark, "curve-log"), logs="line")
-    return curve_points(numbered_log(spark, path), CURVE_METRICS)
+    return curve_points(numbered_log(spark, log_files(spark, folder)), CURVE_METRICS)
 
 
 DPO_SQL = """
