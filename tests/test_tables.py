@@ -295,6 +295,25 @@ def test_live_log_equals_static_log(spark, tmp_path):
     )
 
 
+def test_what_many_micro_batches_store_is_bounded(spark, tmp_path):
+    path, every, newest = str(tmp_path / "summaries"), 4, {}
+    for batch in range(42):
+        # run 1 always, run 2 once at first, the others in turn
+        rows = [(run, batch, 0.5) for run in {1, 3 + batch % 7} | ({2} if batch == 3 else set())]
+        newest |= {run: step for run, step, _ in rows}
+        changed = spark.createDataFrame(rows, "run_id long, last_step long, best_eval_loss double").coalesce(1)
+        live.store_changes(changed, path, batch, every)
+        if batch in (7, 18):
+            # a repeated micro-batch
+            live.store_changes(changed, path, batch, every)
+        if batch in (0, 3, 4, 12, 27, 41):
+            got = {r.run_id: r.last_step for r in live.current_summaries(spark, path).collect()}
+            assert got == newest
+    assert len(list((tmp_path / "summaries").iterdir())) == 2 * every + 2
+    # two bases, and what eight micro-batches changed
+    assert spark.read.parquet(path).count() <= 2 * 9 + 2 * every * 3
+
+
 def test_live_summary_equals_static_summary(spark, tmp_path):
     events, stream = batches_of_events(spark, tmp_path)
     live.start_summary(stream, str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()

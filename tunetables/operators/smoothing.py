@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tunetables.operators.ordering import SPAN, overlapping_chunks, with_position
 from tunetables.operators.series import CURVE
+from tunetables.session import written
 
 METHODS = ("moving_average", "exponential", "savgol")
 
@@ -83,8 +84,9 @@ def exponential_average(
         "_ups": value == infinity,
         "_downs": value == -infinity,
     }
-    placed = with_position(
-        df, keys, order, more={name: test.cast("int") for name, test in tests.items()}
+    placed = written(
+        with_position(df, keys, order, more={name: test.cast("int") for name, test in tests.items()}),
+        "placed-values",
     )
     seen = {name: (F.col(name) > 0) | test for name, test in tests.items()}
     first_weight = F.when(F.col("pos") == 0, 1.0).otherwise(alpha)
@@ -105,35 +107,35 @@ def exponential_average(
 def _decaying_sum(
     df: DataFrame, keys: list[str], pos: str, x: str, log_ratio: float, out: str, level: int = 0
 ) -> DataFrame:
-    """``s[t] = x[t] + ratio * s[t-1]`` along dense 0-based positions.
+    """``s[t] = x[t] + ratio * s[t-1]`` along dense 0-based positions; ``df`` is stored or cheap.
 
-    Within a block the recurrence is a running sum scaled by powers of the ratio.
-    The sum carried into a block is the same recurrence over block ends, with the
-    ratio of a whole block; once that ratio is below any double's precision, only
-    the block directly before matters and the recursion ends.
+    A block maps the sum before it to the sum at its end: times the ratio of the whole block, plus what its own
+    rows add, which is one aggregate over the rows, summed map-side, and one stored row a block.
+    These maps are put together by the same recurrence over blocks; once a block's ratio is below any
+    double's precision, only the block directly before matters and the recursion ends.  Within
+    a block the recurrence is a running sum scaled by powers of the ratio.
     """
-    block, local, carry = f"_block{level}", f"_local{level}", f"_carry{level}"
+    block, carry = f"_block{level}", f"_carry{level}"
     size = max(1, min(SPAN, int(_LOG_RANGE / -log_ratio)))
+    cut = df.withColumn(block, F.floor(F.col(pos) / size).cast("long"))
     place = (F.col(pos) % size).cast("double")
-    scale = F.exp(place * log_ratio)
-    along = Window.partitionBy(*keys, block).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    inside = df.withColumn(block, F.floor(F.col(pos) / size).cast("long")).withColumn(
-        local, F.sum(F.col(x) / scale).over(along) * scale
-    )
-    ends = inside.where(F.col(pos) % size == size - 1).select(
-        *keys, block, F.col(local).alias(carry)
-    )
+    added = F.sum(F.col(x) * F.exp((size - 1 - place) * log_ratio))
+    ends = cut.groupBy(*keys, block).agg(F.count("*").alias("_rows"), added.alias(carry))
+    ends = written(ends.where(F.col("_rows") == size).drop("_rows"), "block-ends")
     block_log_ratio = size * log_ratio
     if block_log_ratio > _NEGLIGIBLE:
         total = f"_total{level}"
         ends = _decaying_sum(ends, keys, block, carry, block_log_ratio, total, level + 1).select(
             *keys, block, F.col(total).alias(carry)
         )
+    scale = F.exp(place * log_ratio)
+    along = Window.partitionBy(*keys, block).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    inside = cut.withColumn(f"_local{level}", F.sum(F.col(x) / scale).over(along) * scale)
     carried = ends.withColumn(block, F.col(block) + 1)
     from_before = F.exp((place + 1) * log_ratio) * F.coalesce(carry, F.lit(0.0))
     return (
         inside.join(carried, [*keys, block], "left")
-        .withColumn(out, F.col(local) + from_before)
+        .withColumn(out, F.col(f"_local{level}") + from_before)
         .select(*df.columns, out)
     )
 

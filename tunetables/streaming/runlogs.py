@@ -49,19 +49,39 @@ def running_summary(raw: DataFrame) -> DataFrame:
     return with_record(raw, "logs").groupBy("run_id").agg(*summary_columns(F.col("record"), F.col("step")))
 
 
-def start_summary(raw: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
-    """Keep summaries up to date: each micro-batch stores the rows of the runs it changed.
+#: Micro-batches between two bases.
+EVERY = 16
 
-    A micro-batch writes to a folder named by its number, so a repeated one replaces
-    its own output.
+
+def store_changes(changed: DataFrame, path: str, batch: int, every: int = EVERY) -> None:
+    """Store the summaries that a micro-batch changed; every so often, also a base with the newest of each run.
+
+    Places are used again: a micro-batch takes that of the one ``2 * every`` before it, and bases alternate between two.
+    A base is made of the other base and the changes since that one, all of which still stand while
+    it is written, so neither a repeated micro-batch nor a reader at that moment misses a run.  What
+    is stored and read is thus bounded by the runs and ``2 * every`` micro-batches.  ``every`` must stay the same for a path.
     """
+    spark = changed.sparkSession
+    rows = changed.withColumn("_at", F.lit(batch).cast("long"))
+    rows.write.mode("overwrite").parquet(f"{path}/batch=change-{batch % (2 * every)}")
+    if batch % every == every - 1:
+        turn = batch // every
+        names = [f"change-{(batch - i) % (2 * every)}" for i in range(every)] + ([f"base-{(turn + 1) % 2}"] if turn else [])
+        found = spark.read.schema(rows.schema).parquet(*[f"{path}/batch={name}" for name in names])
+        _newest(found).write.mode("overwrite").parquet(f"{path}/batch=base-{turn % 2}")
+
 
-    def store(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+def _newest(stored: DataFrame) -> DataFrame:
+    """The row of each run's last micro-batch."""
+    row = F.max_by(F.struct(*stored.columns), "_at")
+    return stored.groupBy("run_id").agg(row.alias("s")).select("s.*")
 
+
+def start_summary(raw: DataFrame, path: str, checkpoint: str, every: int = EVERY, **options) -> StreamingQuery:
+    """Keep summaries up to date: each micro-batch stores the rows of the runs it changed, as ``store_changes`` says."""
     return (
         running_summary(raw)
-        .writeStream.foreachBatch(store)
+        .writeStream.foreachBatch(lambda changed, batch: store_changes(changed, path, batch, every))
         .option("checkpointLocation", checkpoint)
         .outputMode("update")
         .trigger(**(options or {"availableNow": True}))
@@ -70,11 +90,6 @@ def start_summary(raw: DataFrame, path: str, checkpoint: str, **options) -> Stre
 
 
 def current_summaries(spark: SparkSession, path: str) -> DataFrame:
-    """Latest stored summary of each run."""
-    stored = spark.read.parquet(path)
-    columns = [c for c in stored.columns if c != "batch"]
-    return (
-        stored.groupBy("run_id")
-        .agg(F.max_by(F.struct(*columns), "batch").alias("s"))
-        .select("s.*")
-    )
+    """Latest stored summary of each run, also while micro-batches are being stored."""
+    stored = spark.read.option("ignoreMissingFiles", True).parquet(path).drop("batch")
+    return _newest(stored).drop("_at")
