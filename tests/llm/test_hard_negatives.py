@@ -92,6 +92,5 @@ def test_the_curve_visits_neighbours(dims, bits):
 
 def test_nothing_to_mine(spark):
     assert H.hard_negatives(spark.createDataFrame([], SCHEMA)).collect() == []
-    assert H.hard_negatives(spark.createDataFrame([(1, [1.0], 1), (2, [1.0], 2)], SCHEMA)).collect() == []
     assert H.hard_negatives(spark.createDataFrame([(50, [1.0], 1), (2, [0.9], 2)], SCHEMA)).collect() == []
     assert H.hard_negatives(spark.createDataFrame([(50, [], 1), (1, [], 1), (2, [], 2)], SCHEMA)).collect() == [(50, 1, 1, 2, 0, 0)]
