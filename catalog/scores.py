@@ -14,7 +14,7 @@ from catalog.fixtures import (
 from catalog.registry import query
 from tunetables.functions import text as tx
 from tunetables.operators import embedding_match, generation, ngrams, pairs, reports, rouge_lcs
-from tunetables.operators.score_tables import bootstrap_scores, long_scores, mean_scores
+from tunetables.operators.score_tables import POISSON_STEPS, bootstrap_scores, long_scores, mean_scores
 from tunetables.plans import evaluation
 from tunetables.session import new_path
 from tunetables.sources.sinks import write_evaluation, write_examples, write_predictions
@@ -66,6 +66,14 @@ def rouge_words(pairs: str = "fx_pairs") -> str:
       FROM ({sides(pairs)})"""
 
 
+def rouge_lines(pairs: str) -> str:
+    """Words of the lines of each side that have any text."""
+    return rf"""
+      SELECT pair_id, side, line, list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> '') AS words
+      FROM (SELECT pair_id, side, unnest(string_split(text, chr(10))) AS text, unnest(range(len(string_split(text, chr(10))))) AS line
+            FROM ({sides(pairs)}))"""
+
+
 def overlap_sql(words: str, max_n: int) -> str:
     return f"""
       SELECT pair_id, n, CAST(sum(least(cp, cr)) AS BIGINT) AS overlap, CAST(sum(cp) AS BIGINT) AS n_prediction,
@@ -204,6 +212,56 @@ def f08_short_answers(spark, folder):
     return short_scores(answer_pairs(spark, folder))
 
 
+def rouge_lsum_sql(pairs: str) -> str:
+    """Rows of subsequence lengths for each two lines, a walk back through them, and what the walks cover.
+
+    ``line`` numbers lines of a side; a walk stands where the first ``i`` reference and ``j`` candidate words remain.
+    """
+    return f"""
+      SELECT c.pair_id, CASE WHEN h.hits > 0 THEN 2.0::DOUBLE * h.hits / (c.n_p + c.n_r) ELSE 0 END AS rougeLsum
+      FROM (SELECT pair_id, sum(len(words)) FILTER (side = 'pred') AS n_p, sum(len(words)) FILTER (side = 'ref') AS n_r
+            FROM ({rouge_lines(pairs)}) GROUP BY pair_id) c
+      LEFT JOIN (
+        SELECT pair_id, sum(least(covered, there)) AS hits FROM (
+          WITH RECURSIVE lines AS MATERIALIZED ({rouge_lines(pairs)}),
+          both_ AS MATERIALIZED (
+            SELECT r.pair_id, r.line AS s, p.line AS c, r.words AS r, p.words AS p
+            FROM lines r JOIN lines p ON r.pair_id = p.pair_id AND r.side = 'ref' AND p.side = 'pred' AND list_has_any(r.words, p.words)),
+          rows_ AS (
+            SELECT pair_id, s, c, CAST(0 AS BIGINT) AS i, list_transform(range(len(p) + 1), lambda j: CAST(0 AS BIGINT)) AS row_, r, p FROM both_
+            UNION ALL
+            SELECT pair_id, s, c, i + 1,
+                   list_reduce(list_prepend([CAST(0 AS BIGINT)], list_transform(range(1, len(p) + 1), lambda j: [j])),
+                     lambda done, j: list_append(done,
+                       CASE WHEN r[i + 1] = p[j[1]] THEN row_[j[1]] + 1 ELSE greatest(row_[j[1] + 1], done[len(done)]) END)), r, p
+            FROM rows_ WHERE i < len(r)),
+          kept_ AS MATERIALIZED (SELECT pair_id, s, c, i, row_ FROM rows_),
+          walk AS (
+            SELECT pair_id, s, c, r, p, CAST(len(r) AS BIGINT) AS i, CAST(len(p) AS BIGINT) AS j, CAST(NULL AS BIGINT) AS taken FROM both_
+            UNION ALL
+            SELECT w.pair_id, w.s, w.c, w.r, w.p,
+                   CASE WHEN w.r[w.i] <> w.p[w.j] AND a.row_[w.j] > b.row_[w.j + 1] THEN w.i ELSE w.i - 1 END,
+                   CASE WHEN w.r[w.i] = w.p[w.j] OR a.row_[w.j] > b.row_[w.j + 1] THEN w.j - 1 ELSE w.j END,
+                   CASE WHEN w.r[w.i] = w.p[w.j] THEN w.i END
+            FROM walk w JOIN kept_ a ON a.pair_id = w.pair_id AND a.s = w.s AND a.c = w.c AND a.i = w.i
+                        JOIN kept_ b ON b.pair_id = w.pair_id AND b.s = w.s AND b.c = w.c AND b.i = w.i - 1
+            WHERE w.i > 0 AND w.j > 0),
+          covered AS (SELECT pair_id, w, count(*) AS covered
+                      FROM (SELECT DISTINCT pair_id, s, taken, r[taken] AS w FROM walk WHERE taken IS NOT NULL) GROUP BY pair_id, w),
+          there AS (SELECT pair_id, w, count(*) AS there FROM (SELECT pair_id, unnest(words) AS w FROM lines WHERE side = 'pred') GROUP BY pair_id, w)
+          SELECT * FROM covered JOIN there USING (pair_id, w))
+        GROUP BY pair_id) h ON h.pair_id = c.pair_id"""
+
+
+@query(
+    "f05_rouge_lsum_answers",
+    with_views("fx_prefs", f"SELECT pair_id, round(rougeLsum, 6) AS rougeLsum FROM ({rouge_lsum_sql(ANSWER_PAIRS)})"),
+)
+def f05_answers(spark, folder):
+    scored = rouge_lcs.with_rouge_lsum(answer_pairs(spark, folder))
+    return scored.select("pair_id", F.round("rougeLsum", 6).alias("rougeLsum"))
+
+
 @query("f05_rouge_lsum")
 def f05(spark, folder):
     scored = rouge_lcs.with_rouge_lsum(text_pairs(spark, folder))
@@ -219,10 +277,26 @@ def f06(spark, folder):
     return means.select(F.round("rouge1", 6).alias("rouge1"), F.round("rouge2", 6).alias("rouge2"))
 
 
-@query("f06_bootstrap_rouge")
+def bootstrap_sql(scores: str, columns: list[str], resamples: int) -> str:
+    """Every pair in every resample, with a weight from its own part of a hash."""
+    weight = " + ".join(f"CAST(unit >= {step!r}::DOUBLE AS INT)" for step in POISSON_STEPS)
+    figures = [
+        f"round(quantile_cont({c}, {q}), 6) AS {c}{name}" for c in columns for name, q in (("_low", 0.025), ("", 0.5), ("_high", 0.975))
+    ]
+    return f"""
+      SELECT {", ".join(figures)} FROM (
+        SELECT b, {", ".join(f"sum({c} * w) / nullif(sum(w), 0) AS {c}" for c in columns)} FROM (
+          SELECT *, {weight} AS w FROM (
+            SELECT *, CAST(CAST('0x' || substr(md5(pair_id || ':' || (b // 4) || ':0'), CAST(8 * (b % 4) + 1 AS INT), 8) AS BIGINT) AS DOUBLE) / 4294967296 AS unit
+            FROM ({scores}), (SELECT unnest(range({resamples})) AS b)))
+        GROUP BY b)"""
+
+
+@query("f06_bootstrap_rouge", with_views("fx_pairs", bootstrap_sql(rouge_n_sql(), ["rouge1", "rouge2"], 1000)))
 def f06_bootstrap(spark, folder):
     scores = ngrams.rouge_n(text_pairs(spark, folder), clustered=True)
-    return bootstrap_scores(scores, ["rouge1", "rouge2"])
+    found = bootstrap_scores(scores, ["rouge1", "rouge2"], confidence=0.95)
+    return found.select(*[F.round(c, 6).alias(c) for c in found.columns])
 
 
 SIMILARITY_SQL = """
@@ -413,7 +487,14 @@ def f09(spark, folder):
     return long_scores(metrics, names).withColumn("value", F.round("value", 6))
 
 
-@query("f09_evaluation_subsequence_scores")
+@query(
+    "f09_evaluation_subsequence_scores",
+    with_views(
+        "fx_prefs",
+        f"""SELECT 'rougeL' AS metric, round(avg(rougeL), 6) AS value FROM ({rouge_l_sql(EVALUATED)})
+            UNION ALL SELECT 'rougeLsum', round(avg(rougeLsum), 6) FROM ({rouge_lsum_sql(EVALUATED)})""",
+    ),
+)
 def f09_subsequences(spark, folder):
     _, _, metrics = evaluated(spark, folder)
     return long_scores(metrics, ["rougeL", "rougeLsum"]).withColumn("value", F.round("value", 6))

@@ -10,11 +10,9 @@ from tests.compare import database, difference
 
 FOLDER = "/root/testdata/sf0.001"
 ROWS_ONLY = {
-    "f06_bootstrap_rouge",
     "f04_rouge_l",
     "f05_rouge_lsum",
     "f08_short_scores",
-    "f09_evaluation_subsequence_scores",
 }
 
 

@@ -144,6 +144,23 @@ def test_a_pair_with_an_empty_side_scores_zero(spark):
     assert got == {0: (0, 0, 0), 1: (1, 1, 1)}
 
 
+def test_bootstrap_interval(spark):
+    """The interval holds the median, narrows with more pairs, and is one value for one pair."""
+    rng = random.Random(6)
+    rows = [(i, i % 2, rng.random()) for i in range(900)]
+    df = spark.createDataFrame(rows, "pair_id long, half long, s double")
+    whole = score_tables.bootstrap_scores(df, ["s"], resamples=201, confidence=0.9).first()
+    part = score_tables.bootstrap_scores(df.where("pair_id < 90"), ["s"], resamples=201, confidence=0.9).first()
+    assert whole.s_low < whole.s < whole.s_high and whole.s_high - whole.s_low < part.s_high - part.s_low
+    # nine tenths of the means lie within 1.645 standard errors on either side
+    error = (sum((s - 0.5) ** 2 for _, _, s in rows) / 900 / 900) ** 0.5
+    assert 2.6 * error < whole.s_high - whole.s_low < 4.2 * error
+    grouped = score_tables.bootstrap_scores(df, ["s"], ["half"], resamples=50)
+    assert grouped.count() == 2 and grouped.columns == ["half", "s"]
+    one = score_tables.bootstrap_scores(df.where("pair_id = 4"), ["s"], resamples=50, confidence=0.9).first()
+    assert one.s_low == pytest.approx(rows[4][2]) and one.s_high == pytest.approx(rows[4][2])
+
+
 def test_bootstrap_is_repeatable_and_near_the_mean(spark):
     df = spark.range(400).select(F.col("id").alias("pair_id"), (F.col("id") % 10 / 10).alias("s"))
     one = score_tables.bootstrap_scores(df, ["s"], resamples=200).first().s

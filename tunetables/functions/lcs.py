@@ -74,19 +74,19 @@ def lcs_places(reference: list[str], masks: dict[str, int], candidate: list[str]
 
     row_at = kept.__getitem__ if stride == 1 else rebuilt
 
-    def common(row: int, j: int) -> int:
-        return j - (row & ((1 << j) - 1)).bit_count()
-
     places: list[int] = []
     i, j = len(steps), len(candidate)
-    while len(places) < wanted:
-        if steps[i - 1] >> (j - 1) & 1:
-            places.append(shared[i - 1])
-            i, j = i - 1, j - 1
-        elif common(row_at(i), j - 1) > common(row_at(i - 1), j):
-            j -= 1
-        else:
-            i -= 1
+    while wanted:
+        # the walk stands where prefixes of i and j tokens have ``wanted`` in common
+        below = (1 << j) - 1
+        if not steps[i - 1] >> (j - 1) & 1:
+            if j - (row_at(i - 1) & below).bit_count() == wanted:
+                i -= 1
+                continue
+            # without token i there is less: the walk moves in the candidate as far as the next equal token
+            j = (steps[i - 1] & below).bit_length()
+        places.append(shared[i - 1])
+        i, j, wanted = i - 1, j - 1, wanted - 1
     return places
 
 
@@ -94,24 +94,29 @@ def union_hits(references: list[list[str]], candidates: list[list[str]]) -> int:
     """Reference tokens covered by some candidate sentence, each token used once.
 
     For each reference sentence the covered places are united over all candidate
-    sentences; a covered token counts while both texts still have one unused.
+    sentences; a covered token counts as often as the candidates have it.
     """
-    left_reference = Counter(t for s in references for t in s)
-    left_candidate = Counter(t for s in candidates for t in s)
+    found: Counter[str] = Counter()
     all_masks = [_masks(s) for s in candidates]
-    hits = 0
     for sentence in references:
-        covered: set[int] = set()
-        words = set(sentence)
+        own, covered = _masks(sentence), 0
         for candidate, masks in zip(candidates, all_masks, strict=True):
-            if not words.isdisjoint(masks):
-                covered.update(lcs_places(sentence, masks, candidate))
-                if len(covered) == len(sentence):
-                    break
-        for place in sorted(covered):
-            token = sentence[place]
-            if left_candidate[token] > 0 and left_reference[token] > 0:
-                hits += 1
-                left_candidate[token] -= 1
-                left_reference[token] -= 1
-    return hits
+            # places of the words that both have
+            shared = 0
+            for token in own.keys() & masks.keys():
+                shared |= own[token]
+            if not shared & ~covered:
+                continue  # nothing that this candidate could cover is left
+            if shared & (shared - 1):
+                # if all these places stand in the candidate in this order, each is covered
+                others = iter(candidate)
+                if not all(token in others for token in sentence if token in masks):
+                    shared = 0
+            if shared:
+                covered |= shared
+                continue
+            for place in lcs_places(sentence, masks, candidate):
+                covered |= 1 << place
+        found.update(token for place, token in enumerate(sentence) if covered >> place & 1)
+    # covered places are never more than the reference has, so the candidates' counts are the limit
+    return sum((found & Counter(t for s in candidates for t in s)).values())

@@ -24,22 +24,28 @@ def bootstrap_scores(
     by: Sequence[str] = (),
     resamples: int = 1000,
     seed: int = 0,
+    confidence: float | None = None,
 ) -> DataFrame:
-    """Median over resamples of each mean score.
+    """Median over resamples of each mean score; with ``confidence`` also the interval that holds this share of them.
 
-    A resample weights every pair by a Poisson(1) count drawn from a hash of the pair,
-    the resample number and ``seed``: the same weights on every run and retry.
-    Weighted sums are added map-side, so each task sends one row per resample.
+    A resample weights every pair by a Poisson(1) count, drawn from 32 bits of an MD5 hash of the pair, the
+    resample and ``seed``: the same weights on every run, retry and engine.  One hash serves four
+    resamples.  Weighted sums are added map-side, so each task sends one row per resample.
     """
-    unit = F.pmod(F.xxhash64("pair_id", "_b", F.lit(seed)), F.lit(1 << 53)) / float(1 << 53)
-    weight = sum((F.when(unit >= step, 1).otherwise(0) for step in POISSON_STEPS), F.lit(0))
-    drawn = pairs.select(
-        *by, "pair_id", *columns, F.explode(F.sequence(F.lit(1), F.lit(resamples))).alias("_b")
-    ).withColumn("_w", weight)
+    hashed = F.md5(F.concat_ws(":", F.col("pair_id").cast("string"), F.col("_four").cast("string"), F.lit(str(seed))))
+    drawn = pairs.select(*by, "pair_id", *columns, F.explode(F.sequence(F.lit(0), F.lit((resamples - 1) // 4))).alias("_four"))
+    drawn = drawn.withColumn("_hash", hashed)
+    bits = [F.conv(F.substring("_hash", 8 * k + 1, 8), 16, 10).cast("double") / float(1 << 32) for k in range(4)]
+    each = F.array(*[F.struct((F.col("_four") * 4 + k).alias("_b"), unit.alias("_unit")) for k, unit in enumerate(bits)])
+    drawn = drawn.select(*by, *columns, F.inline(each)).where(F.col("_b") < resamples)
+    weight = sum((F.when(F.col("_unit") >= step, 1).otherwise(0) for step in POISSON_STEPS), F.lit(0))
+    drawn = drawn.withColumn("_w", weight)
     sums = drawn.groupBy(*by, "_b").agg(
         *[(F.sum(F.col(c) * F.col("_w")) / F.nullif(F.sum("_w"), F.lit(0))).alias(c) for c in columns]
     )
-    return sums.groupBy(*by).agg(*[F.percentile(c, F.lit(0.5)).alias(c) for c in columns])
+    tail = (1 - confidence) / 2 if confidence else 0
+    places = {"_low": tail, "": 0.5, "_high": 1 - tail} if confidence else {"": 0.5}
+    return sums.groupBy(*by).agg(*[F.percentile(c, F.lit(place)).alias(c + name) for c in columns for name, place in places.items()])
 
 
 def long_scores(wide: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
