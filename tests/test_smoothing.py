@@ -93,3 +93,28 @@ def test_sums_taken_along(spark, small_ranges):
 def test_unknown_method_changes_nothing(spark):
     _, df = series(spark, [20])
     assert all(r.smoothed == r.value for r in smoothing.smoothed(df, "other", 5).collect())
+
+
+@pytest.mark.parametrize("n, window", [(1300, 7), (515, 101), (1025, 5), (4097, 511), (513, 512)])
+def test_savgol_across_chunks(spark, n, window):
+    """Series that end at, before and behind the borders of chunks, with values of a large mean."""
+    rng = random.Random(n)
+    values = [1e4 + rng.random() for _ in range(n)]
+    df = spark.createDataFrame([(1, i * 3, v) for i, v in enumerate(values)], "run_id long, line_no long, value double").repartition(4)
+    got = smoothing.savgol(df, window, ["run_id"]).orderBy("line_no").collect()
+    assert [r.smoothed for r in got] == pytest.approx(brute.savgol(values, window), rel=1e-11)
+
+
+def test_savgol_holds_no_arrays(spark):
+    df = spark.createDataFrame([(1, 1, 1.0)], "run_id long, line_no long, value double")
+    plan = smoothing.savgol(df, 11, ["run_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "slice(" not in plan and "zip_with" not in plan
+
+
+@pytest.mark.parametrize("window, passes", [(2, 1), (10, 1), (3000, 2)])
+def test_exponential_blocks_are_stored_once(spark, window, passes):
+    """One window pass over stored rows, and one over stored ends of blocks where decay is slow."""
+    df = spark.createDataFrame([(1, i, float(i % 7)) for i in range(5000)], "run_id long, line_no long, value double")
+    found = smoothing.exponential_average(df, window, ["run_id"])
+    assert found._jdf.queryExecution().executedPlan().toString().count("Window [") == passes
+    assert [r.smoothed for r in found.orderBy("line_no").collect()] == pytest.approx(brute.exponential([i % 7 for i in range(5000)], window))

@@ -150,41 +150,42 @@ def savgol(
 ) -> DataFrame:
     """Least-squares quadratic over a centred window; end points from the end windows.
 
-    The fitted value at offset x of a window centred on 0 is a weighted sum of its
-    values, with weights from the orthogonal polynomials 1, z and z^2 - c.
+    The fit at a place needs three moments of its window only: the sums of the values, of z times them and of z
+    squared times them.  They are sums over a row frame, with z counted from the middle of a chunk of a
+    few windows so that no digits are lost; rows at the ends take those of the first and the last whole window.
     """
     keys = list(keys)
     w = savgol_window(window)
     if window <= 1 or w < 3:
         return df.withColumn("smoothed", F.col("value"))
-    half = w // 2
-    chunks = overlapping_chunks(
-        with_position(df, keys, order), "pos", before=w - 1, after=w - 1
-    )
-    pos, n = F.col("pos"), F.col("n")
-    frame = Window.partitionBy(*keys, "chunk").orderBy("pos").rowsBetween(1 - w, w - 1)
-    start = F.greatest(F.lit(0), F.least(pos - half, n - w))
-    skipped = start - F.greatest(F.lit(0), pos - (w - 1))
-    values = F.slice("_near", (skipped + 1).cast("int"), F.lit(w))
-    fitted = quadratic_fit(values, (pos - start - half).cast("double"), w)
-    return _own(
-        chunks.withColumn("_near", F.collect_list("value").over(frame))
-        .where("is_own")
-        .withColumn("smoothed", F.when(n <= window, F.col("value")).otherwise(fitted)),
-        df,
-    )
-
-
-def quadratic_fit(values: Column, x: Column, w: int) -> Column:
-    """Value at offset ``x`` of the quadratic fitted to ``w`` centred values."""
-    half = w // 2
+    half, size = w // 2, max(8 * w, 64)
+    chunks = overlapping_chunks(with_position(df, keys, order), "pos", before=w - 1, after=w - 1, size=size)
+    pos, n, value = F.col("pos"), F.col("n"), F.col("value")
+    middle = F.col("chunk") * size + size // 2
+    z = (pos - middle).cast("double")
+    frame = Window.partitionBy(*keys, "chunk").orderBy("pos").rowsBetween(-half, half)
+    moments = F.struct(F.sum(value).over(frame), F.sum(value * z).over(frame), F.sum(value * z * z).over(frame))
+    centre = F.greatest(F.lit(half), F.least(pos, n - 1 - half))
+    chunk = Window.partitionBy(*keys, "chunk")
+    placed = chunks.withColumn("_moments", moments)
+    # the windows that the ends share, each found in the chunk of the rows that need it
+    first = F.max(F.when(pos == half, F.col("_moments"))).over(chunk)
+    last = F.max(F.when(pos == n - 1 - half, F.col("_moments"))).over(chunk)
+    own = F.when(pos < half, first).when(pos > n - 1 - half, last).otherwise(F.col("_moments"))
+    fitted = quadratic_fit(own, (centre - middle).cast("double"), (pos - centre).cast("double"), w)
+    return _own(placed.withColumn("smoothed", F.when(n <= window, value).otherwise(fitted)), df)
+
+
+def quadratic_fit(moments: Column, centre: Column, x: Column, w: int) -> Column:
+    """Value at offset ``x`` from its centre of the quadratic fitted to a window of ``w`` values.
+
+    ``moments`` has the sums of the values times z to the powers 0, 1 and 2, and the window's centre is at z = ``centre``.
+    The fit is by the orthogonal polynomials 1, z and z^2 - c.
+    """
     c = (w * w - 1) / 12
     sum_z2 = w * (w * w - 1) / 12
     sum_q2 = w * (w * w - 1) * (w * w - 4) / 180
-    offsets = F.array(*[F.lit(float(z)) for z in range(-half, half + 1)])
-    weighted = F.zip_with(
-        values,
-        offsets,
-        lambda v, z: v * (F.lit(1.0 / w) + x * z / sum_z2 + (x * x - c) * (z * z - c) / sum_q2),
-    )
-    return F.aggregate(weighted, F.lit(0.0), lambda a, b: a + b)
+    m0, m1, m2 = (moments.getField(f"col{k}") for k in (1, 2, 3))
+    about1 = m1 - centre * m0
+    about2 = m2 - 2 * centre * m1 + centre * centre * m0
+    return m0 / w + x * about1 / sum_z2 + (x * x - c) * (about2 - c * m0) / sum_q2
