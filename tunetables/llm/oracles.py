@@ -58,16 +58,18 @@ def secrets_sql(owners: int = secret_scan.OWNERS, repositories: int = secret_sca
           AND len(list_distinct(string_split(token, ''))) >= {secret_scan.LEAST_DIFFERENT}
           AND NOT regexp_matches(token, '{secret_scan.PLACEHOLDER}')
           AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c."end" AND c.start < b."end")),
-      seen AS (SELECT token, count(DISTINCT coalesce('=' || source, '')) < {owners}
+      found AS (SELECT doc_id, source, lang, kind, value, start, "end" FROM base
+                UNION ALL SELECT doc_id, source, lang, kind, value, start, "end" FROM candidates),
+      seen AS (SELECT value, count(DISTINCT coalesce('=' || source, '')) < {owners}
                         AND count(DISTINCT coalesce('=' || source, '') || chr(10) || coalesce('=' || lang, '')) < {repositories} AS own
-               FROM candidates GROUP BY token),
-      judged AS (SELECT c.*, s.own FROM candidates c JOIN seen s ON s.token = c.token),
-      spans AS (SELECT doc_id, kind, start, "end", true AS own FROM base
-                UNION ALL SELECT doc_id, kind, start, "end", own FROM judged)
+               FROM found GROUP BY value),
+      spans AS (SELECT f.doc_id, f.kind, f.start, f."end", s.own AND (kind = 3 OR NOT regexp_matches(f.value, '{secret_scan.PLACEHOLDER}')) AS own
+                FROM found f JOIN seen s ON s.value = f.value)
       SELECT t.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
              sha256(coalesce({listed} FILTER (kind < 3), '')) AS base_sha256,
-             coalesce({listed} FILTER (own), '') AS spans,
-             count(*) FILTER (kind = 3 AND own) AS n_owned, count(*) FILTER (kind = 3 AND NOT own) AS n_copied
+             coalesce({listed} FILTER (own OR kind < 3), '') AS spans,
+             count(*) FILTER (kind = 3 AND own) AS n_owned, count(*) FILTER (kind = 3 AND NOT own) AS n_copied,
+             count(*) FILTER (kind < 3 AND own) AS n_base_owned, count(*) FILTER (kind < 3 AND NOT own) AS n_base_copied
       FROM texts t LEFT JOIN spans s ON s.doc_id = t.doc_id GROUP BY t.doc_id"""
 
 
