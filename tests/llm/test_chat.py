@@ -81,8 +81,20 @@ def test_odd_rows(spark):
     rows = [(1, 0, "user", None), (1, 0, "user", None), (1, 1, None, ""), (None, 0, "user", "x"), (2, None, "user", "x"), (3, 5, "tool", "a\n\nb"), (3, 5, "tool", "c"), (4, 0, "assistant", "z" * 50_000)]
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     lines = C.transcript_lines(table)
-    assert sorted((r["conv_id"], r["line_no"]) for r in lines.collect()) == [(1, 0), (1, 1), (3, 0), (3, 1), (3, 2), (3, 3), (4, 0)]
+    own = sorted((r["conv_id"], r["line_no"]) for r in lines.collect())
+    # no row is lost: equal ones follow each other, one without an id is a conversation of its own
+    assert own[0][0] < 0 and own[1:] == [(1, 0), (1, 1), (1, 2), (2, 0), (3, 0), (3, 1), (3, 2), (3, 3), (4, 0)]
     turns = C.formatted(lines.drop("state"), C.learned(lines)).collect()
-    assert {r["conv_id"] for r in turns} == {1, 3, 4}
+    assert {r["conv_id"] for r in turns} == {own[0][0], 1, 2, 3, 4}
     nothing = C.transcript_lines(table.limit(0))
     assert C.formatted(nothing.drop("state"), C.learned(nothing)).collect() == []
+
+
+def test_many_rows_of_a_turn_keep_their_order(spark):
+    rows = [(1, 0, "user", f"{i:05d}\nand more") for i in range(1500)] + [(1, 1, "assistant", "next"), (1, None, "user", "last")] + [(None, 0, "user", "x")] * 3
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5).withColumn("_order", F.lit("clash"))
+    lines = C.transcript_lines(table)
+    one = [r["line"] for r in lines.where("conv_id = 1").orderBy("line_no").collect()]
+    assert [line.split(" ")[-1] for line in one[:-2:2]] == [f"{i:05d}" for i in range(1500)]
+    assert one[-2].endswith("next") and one[-1].endswith("last") and len(one) == 3002
+    assert lines.where("conv_id < 0").select("conv_id").distinct().count() == 3

@@ -6,10 +6,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunetables.operators.ordering import running_total
+from tunetables.operators.ordering import ranked, running_total
 from tunetables.session import written
 
 ROLES = ("system", "user", "assistant")
@@ -27,8 +27,6 @@ CHUNK = 1024
 CODES = 4 * 4 * 2 * 2
 
 
-
-
 def line_code(line: Column, number: Column) -> Column:
     """What the model sees of a line: marker, length, question mark, whether it is the first."""
     marker = F.when(line.rlike(MARKERS[0]), 1).when(line.rlike(MARKERS[1]), 2).when(line.rlike(MARKERS[2]), 3).otherwise(0)
@@ -42,20 +40,20 @@ def transcript_lines(turns: DataFrame) -> DataFrame:
     """``conversations`` as transcripts: ``conv_id, line_no, line, state`` (the true one).
 
     A transcript writes its speakers in one of four ways, chosen by its id, and one turn in eight
-    without a marker.  Repeated rows count once.  Rows without id or turn can't be placed and go;
-    other roles than the three are the user's, null texts are empty lines.
+    without a marker.  Every row is in the result: several rows of one turn, equal ones too, follow each other
+    by role and text, rows without a turn come last in their conversation, and a row without an id is a
+    conversation of its own, with a negative id made by hash.  Other roles than the three are the user's, null
+    texts are empty lines, long texts are split at their line ends only, other columns are not read.
     """
-    rows = turns.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).distinct()
-    # several rows for one turn follow each other by role and text
-    same = rows.groupBy("conv_id", "turn").agg(F.count("*").alias("_n")).where("_n > 1")
-    rows = rows.join(same, ["conv_id", "turn"], "left")
-    several = rows.where("_n IS NOT NULL").withColumn("_k", F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text")) - 1)
-    rows = rows.where("_n IS NULL").withColumn("_k", F.lit(0)).unionByName(several).drop("_n")
+    own = F.expr(f"xxhash64('no id', _row) | {-(1 << 63)}L")
+    given = turns.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("_row"))
+    given = given.withColumn("conv_id", F.coalesce(F.col("conv_id").cast("long"), own)).drop("_row")
+    rows = ranked(given, F.col("conv_id"), F.col("turn").asc_nulls_last(), F.col("role"), F.col("text"), rank="_order")
     role = F.when(F.col("role") == "system", 0).when(F.col("role") == "assistant", 2).otherwise(1)
     names = [("System: ", "User: ", "Assistant: "), ("### Instruction: ", "### Human: ", "### AI: "), ("**System**: ", "**Question**: ", "**Answer**: "), ("Context> ", "Q> ", "A> ")]
     style = F.pmod(F.xxhash64("conv_id"), F.lit(len(names))).cast("int")
     marker = F.element_at(F.element_at(F.array(*[F.array(*map(F.lit, n)) for n in names]), style + 1), F.col("_role") + 1)
-    rows = rows.withColumns({"_role": role.cast("int"), "_order": F.col("turn").cast("long") * 1024 + F.col("_k")})
+    rows = rows.withColumn("_role", role.cast("int"))
     marked = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(8)) != 0
     rows = rows.withColumn("_lines", F.split(F.concat(F.when(marked, marker).otherwise(""), F.col("text")), "\n"))
     rows = written(rows.select("conv_id", "_order", "_role", "_lines"), "chat-turns")
