@@ -108,3 +108,24 @@ def test_nothing_to_remove(spark):
     assert substring_dup.cut_documents(documents(spark, [])).collect() == []
     [row] = substring_dup.cut_documents(documents(spark, [(1, "only one")])).collect()
     assert (row["spans"], bytes(row["kept"])) == ([], b"only one")
+
+
+def test_equal_rows_meet_once(spark, monkeypatch):
+    """Thousands of equal rows are one set of contexts for the suffix arrays, and all of them are cut."""
+    rng = random.Random(7)
+    text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(200))
+    rows = [(5, text)] * 3000 + [(i, text) for i in range(100, 400)] + [(6, "other " + text[:700]), (7, "something else entirely")]
+    kept, written = {}, substring_dup.written
+
+    def noted(df, label):
+        kept[label] = written(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(substring_dup, "written", noted)
+    cut = substring_dup.removal_digest(substring_dup.cut_documents(documents(spark, rows))).collect()
+    assert len(cut) == len(rows)
+    own = len(substring_dup.anchored([text.encode()], 400, 128)[0])
+    assert kept["dup-live"].count() > 3000 * own / 2
+    assert kept["dup-shards"].count() <= 2 * own + 4
+    assert {r["n_removed"] for r in cut if r["doc_id"] in (5, 100, 399)} == {len(text)}
+    assert {(r["doc_id"], r["n_removed"]) for r in cut if r["doc_id"] in (6, 7)} == {(6, 700), (7, 0)}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tunetables.llm.common import mixed
 from tunetables.llm.suffix import common_prefixes, gram_hashes, suffix_array
-from tunetables.session import written
+from tunetables.session import lookup, written
 
 #: Length of a string that must not occur twice, and of the anchor within it.
 LENGTH = 400
@@ -107,11 +107,11 @@ def _runs(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
     return list(zip(starts[np.concatenate([[0], cuts + 1])].tolist(), (starts[np.append(cuts, len(starts) - 1)] + length).tolist(), strict=True))
 
 
-_MARKS = "key long, a long, b long, anchor long, range int, sub int, prints binary"
+_MARKS = "key long, a long, b long, anchor long, range int, sub int, prints binary, digest long"
 
 
 def _marks(rows: list[tuple]) -> pd.DataFrame:
-    names = {"key": "Int64", "a": "Int64", "b": "Int64", "anchor": "Int64", "range": "Int32", "sub": "Int32", "prints": "object"}
+    names = {"key": "Int64", "a": "Int64", "b": "Int64", "anchor": "Int64", "range": "Int32", "sub": "Int32", "prints": "object", "digest": "Int64"}
     # column by column: a frame of rows would turn integers beside nulls into doubles
     return pd.DataFrame({c: pd.array([r[k] for r in rows], dtype=kind) for k, (c, kind) in enumerate(names.items())})
 
@@ -136,10 +136,11 @@ def _sorted_shard(length: int):
         repeated[order] = often
         repeated &= string
         out = []
-        for k, (key, lo, c) in enumerate(zip(group["key"].tolist(), group["lo"].tolist(), group["c"].tolist(), strict=True)):
-            if c == 1:
-                own = np.flatnonzero(repeated[starts[k] : starts[k] + sizes[k]])
-                out += [(key, lo + a, lo + b, None, None, None, None) for a, b in _runs(own, length)]
+        columns = (group[c].tolist() for c in ("key", "lo", "c", "anchor", "digest"))
+        for k, (key, lo, c, anchor, digest) in enumerate(zip(*columns, strict=True)):
+            for a, b in _runs(np.flatnonzero(repeated[starts[k] : starts[k] + sizes[k]]), length):
+                # what stands for several equal contexts is told to all of them, from their first byte on
+                out.append((key, lo + a, lo + b, None, None, None, None, None) if c == 1 else (None, a, b, anchor, None, None, None, digest))
         split = group["parts"].to_numpy() > 1
         if split.any():
             prints = gram_hashes(data, length)
@@ -148,7 +149,7 @@ def _sorted_shard(length: int):
                 parts = int(group["parts"].iloc[mine[0]])
                 own = np.unique(prints[np.flatnonzero(string & np.isin(owner, mine))])
                 cuts = np.searchsorted(own, np.array([(k << 64) // parts for k in range(1, parts)], np.uint64))
-                out += [(None, None, None, anchor, k, int(group["sub"].iloc[0]), x.tobytes()) for k, x in enumerate(np.split(own, cuts)) if len(x)]
+                out += [(None, None, None, anchor, k, int(group["sub"].iloc[0]), x.tobytes(), None) for k, x in enumerate(np.split(own, cuts)) if len(x)]
         return _marks(out)
 
     return run
@@ -162,7 +163,7 @@ def _merged(group: pd.DataFrame) -> pd.DataFrame:
     for anchor, number, sub, own in zip(group["anchor"].tolist(), group["range"].tolist(), group["sub"].tolist(), lists, strict=True):
         shared = own[np.searchsorted(every, own, "right") - np.searchsorted(every, own, "left") > 1]
         if len(shared):
-            out.append((None, None, None, anchor, number, sub, shared.tobytes()))
+            out.append((None, None, None, anchor, number, sub, shared.tobytes(), None))
     return _marks(out)
 
 
@@ -177,7 +178,7 @@ def _marked_shard(length: int):
                 if c == 1:
                     prints = gram_hashes(np.frombuffer(blob, np.uint8), length)
                     at = np.minimum(np.searchsorted(shared, prints), len(shared) - 1)
-                    out += [(row, lo + a, lo + b, None, None, None, None) for a, b in _runs(np.flatnonzero(shared[at] == prints), length)]
+                    out += [(row, lo + a, lo + b, None, None, None, None, None) for a, b in _runs(np.flatnonzero(shared[at] == prints), length)]
         return _marks(out)
 
     return run
@@ -187,12 +188,13 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     """``key, a, b``: byte ranges of rows that strings of ``length`` bytes occurring twice cover.
 
     1. Contexts whose anchor occurs once in the corpus can hold nothing repeated and go.
-    2. Equal contexts of an anchor are counted before they meet, so copies of a document are one
-       context; what stands in several rows is repeated as a whole.
+    2. Equal contexts of an anchor are counted before they meet, so copies of a document, equal rows
+       included, are one context that weighs as many as there are.
     3. The different contexts of an anchor go to one shard, at most about ``most`` of them: a
        passage in a third of all documents is split over as many shards as it needs.  A shard sorts
        its suffixes (``suffix_array``); neighbours whose common prefix (``common_prefixes``) is a
-       whole string are repeated.
+       whole string are repeated, and so is a string whose context weighs two or more.  What is found
+       in such a context holds for each that it stands for.
     4. Strings of an anchor that was split are merged across its shards: each shard's sorted list
        is searched in the lists of the others, a range of hashes at a time.
     """
@@ -203,17 +205,15 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     per = kinds.groupBy("anchor").agg(F.count("*").alias("n"))
     kinds = written(kinds.join(per, "anchor").select("anchor", "digest", "c", "n", "r.*"), "dup-kinds")
 
-    whole = live.join(kinds.where("c > 1").select("anchor", "digest"), ["anchor", "digest"], "left_semi")
-    whole = whole.select("key", F.col("lo").alias("a"), (F.col("lo") + F.col("size")).alias("b"))
-
-    several = kinds.where("n > 1")
-    total = several.agg(F.sum("size")).first()[0] or 0
+    total = kinds.agg(F.sum("size")).first()[0] or 0
     parts = F.ceil(F.col("n") / most).cast("int")
-    several = several.withColumns({"parts": parts, "shard": F.pmod(F.xxhash64("anchor"), F.lit(max(1, ceil(total / shard)))).cast("int")})
+    several = kinds.withColumns({"parts": parts, "shard": F.pmod(F.xxhash64("anchor"), F.lit(max(1, ceil(total / shard)))).cast("int")})
     several = several.withColumn("sub", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
-    wanted = several.groupBy("key").agg(F.collect_list(F.struct("shard", "sub", "parts", "anchor", "c", "lo", "size")).alias("own"))
+    wanted = several.groupBy("key").agg(F.collect_list(F.struct("shard", "sub", "parts", "anchor", "digest", "c", "lo", "size")).alias("own"))
     texts = docs.where(F.octet_length("text") >= length).select(_key().alias("key"), F.col("text").cast("binary").alias("text"))
-    cut = texts.join(wanted, "key").select("key", "text", F.explode("own").alias("o"))
+    # equal rows have one key and are cut once
+    one = texts.join(wanted, "key").groupBy("key").agg(F.first("text").alias("text"), F.first("own").alias("own"))
+    cut = one.select("key", "text", F.explode("own").alias("o"))
     cut = cut.select("key", "o.*", F.substring("text", F.col("o.lo").cast("int") + 1, F.col("o.size").cast("int")).alias("bytes"))
     cut = written(cut, "dup-shards")
 
@@ -223,7 +223,9 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     split = cut.where("parts > 1")
     second = split.groupBy("anchor", "sub").cogroup(found.groupBy("anchor", "sub")).applyInPandas(_marked_shard(length), _MARKS)
     marks = first.where("key IS NOT NULL").select("key", "a", "b").unionByName(second.select("key", "a", "b"))
-    return whole.unionByName(marks)
+    copies = first.where("digest IS NOT NULL").select("anchor", "digest", F.col("a").alias("_a"), F.col("b").alias("_b"))
+    held = lookup(live.select("key", "lo", "anchor", "digest"), copies, ["anchor", "digest"], spread="key", how="inner")
+    return held.select("key", (F.col("lo") + F.col("_a")).alias("a"), (F.col("lo") + F.col("_b")).alias("b")).unionByName(marks)
 
 
 def cut_documents(docs: DataFrame, **options) -> DataFrame:
