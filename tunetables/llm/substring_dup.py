@@ -199,15 +199,16 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
        is searched in the lists of the others, a range of hashes at a time.
     """
     rows = written(contexts(docs, length, anchor), "dup-contexts")
-    twice = rows.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("anchor")
+    # stored apart from the joins, which may then split the rows of a hot anchor
+    twice = written(rows.groupBy("anchor").agg(F.count("*").alias("_n")).where("_n > 1").select("anchor"), "dup-anchors")
     live = written(rows.join(twice, "anchor", "left_semi"), "dup-live")
     kinds = live.groupBy("anchor", "digest").agg(F.count("*").alias("c"), F.min(F.struct("key", "lo", "size")).alias("r"))
-    per = kinds.groupBy("anchor").agg(F.count("*").alias("n"))
-    kinds = written(kinds.join(per, "anchor").select("anchor", "digest", "c", "n", "r.*"), "dup-kinds")
+    kinds = written(kinds.select("anchor", "digest", "c", "r.*"), "dup-kinds")
+    crowded = written(kinds.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > most), "dup-crowded")
 
     total = kinds.agg(F.sum("size")).first()[0] or 0
-    parts = F.ceil(F.col("n") / most).cast("int")
-    several = kinds.withColumns({"parts": parts, "shard": F.pmod(F.xxhash64("anchor"), F.lit(max(1, ceil(total / shard)))).cast("int")})
+    parts = F.coalesce(F.ceil(F.col("n") / most), F.lit(1)).cast("int")
+    several = lookup(kinds, crowded, ["anchor"], spread="digest").withColumns({"parts": parts, "shard": F.pmod(F.xxhash64("anchor"), F.lit(max(1, ceil(total / shard)))).cast("int")})
     several = several.withColumn("sub", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
     wanted = several.groupBy("key").agg(F.collect_list(F.struct("shard", "sub", "parts", "anchor", "digest", "c", "lo", "size")).alias("own"))
     texts = docs.where(F.octet_length("text") >= length).select(_key().alias("key"), F.col("text").cast("binary").alias("text"))
