@@ -1,7 +1,8 @@
 """Chats held one message per row.
 
-A chat is never gathered whole before it is known to be small: lengths are summed
-map-side first, and rendering is cut into parts of a fixed number of turns.
+For training sets a chat is gathered whole only once it is known to be small: lengths are summed map-side
+first.  ``rendered_chats`` gathers parts of ``PART_TURNS`` turns and then joins them, so a rendered chat is one
+string and must fit in a task.
 """
 
 from __future__ import annotations

@@ -32,6 +32,7 @@ def dpo_pairs(pairs: DataFrame, beta: float = BETA) -> DataFrame:
     )
 
 
+#: The names under which trainers log these metrics.
 DPO_METRICS = ["loss", "rewards/chosen", "rewards/rejected", "rewards/accuracies", "rewards/margins"]
 
 
@@ -56,6 +57,7 @@ def orpo_pairs(pairs: DataFrame, beta: float = BETA) -> DataFrame:
     )
 
 
+#: Fixed values, as above.
 ORPO_METRICS = [
     "loss",
     "nll_loss",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -206,9 +207,9 @@ def _optional(record: Column, names: Sequence[str], keep_all: bool, fixed: Seque
     """Entries of the record that are kept, renamed and rounded, as a map."""
     if keep_all:
         skip = [*fixed, *RECORD_KEYS]
-        # a plain reward gives way to the evaluation reward that takes its name
-        taken = lambda k: F.concat(F.lit("eval_"), k).isin(EVAL_REWARDS) & F.map_contains_key(
-            record, F.concat(F.lit("eval_"), k)
+        # a plain reward gives way to the evaluation reward that takes its name; other keys are not looked up
+        taken = lambda k: reduce(
+            Column.__or__, [(k == name.removeprefix("eval_")) & F.map_contains_key(record, name) for name in EVAL_REWARDS]
         )
         kept = F.map_filter(record, lambda k, _: ~k.isin(skip) & ~taken(k))
     else:

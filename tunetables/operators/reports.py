@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Headers, labels and rules that the reports must show.
 EXAMPLES_HEADER = "--- Examples (Prediction vs. Reference) ---"
 EXAMPLE_RULE = "-" * 30
 PREDICTION_RULE = "-" * 40
+EXAMPLE_TITLE, PREDICTION_TITLE = "\n--- Example %d ---", "Example %d"
+EXAMPLE_LABELS = {"prompt": "Prompt: ", "reference": "Reference (Chosen): ", "prediction": "Model Prediction: "}
+PREDICTION_LABELS = {"prediction": "Prediction: ", "reference": "Reference: "}
 
 
 def triples(
@@ -29,10 +33,8 @@ def example_report(rows: DataFrame, num_examples: int = 5) -> DataFrame:
     """``(idx, text)``: the sample report's block for each of the first examples."""
     block = F.concat_ws(
         "\n",
-        F.format_string("\n--- Example %d ---", F.col("idx") + 1),
-        _labelled("Prompt: ", "prompt"),
-        _labelled("Reference (Chosen): ", "reference"),
-        _labelled("Model Prediction: ", "prediction"),
+        F.format_string(EXAMPLE_TITLE, F.col("idx") + 1),
+        *[_labelled(label, column) for column, label in EXAMPLE_LABELS.items()],
         F.lit(EXAMPLE_RULE),
     )
     return rows.where(F.col("idx") < num_examples).select("idx", block.alias("text"))
@@ -42,9 +44,8 @@ def prediction_report(rows: DataFrame) -> DataFrame:
     """``(idx, text)``: the predictions file's block for each row."""
     block = F.concat_ws(
         "\n",
-        F.format_string("Example %d", F.col("idx") + 1),
-        _labelled("Prediction: ", "prediction"),
-        _labelled("Reference: ", "reference"),
+        F.format_string(PREDICTION_TITLE, F.col("idx") + 1),
+        *[_labelled(label, column) for column, label in PREDICTION_LABELS.items()],
         F.lit(PREDICTION_RULE),
     )
     return rows.select("idx", block.alias("text"))

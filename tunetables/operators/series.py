@@ -76,11 +76,10 @@ def resolved_metrics(
     """
     candidates = []
     for place, name in enumerate(requested):
-        prefixed = name if name.startswith("eval_") else f"eval_{name}"
         candidates.append((place, name, "train", name, 0))
-        candidates.append((place, name, "eval", prefixed, 0))
-        if prefixed != name:
-            candidates.append((place, name, "eval", name, 1))
+        # evaluation metrics are best found under their own prefix
+        names = dict.fromkeys(["eval_" + name.removeprefix("eval_"), name])
+        candidates += [(place, name, "eval", found, choice) for choice, found in enumerate(names)]
     # three rows per requested name
     wanted = available.sparkSession.createDataFrame(
         candidates, "place long, requested string, series string, metric string, choice int"
