@@ -96,21 +96,44 @@ def test_components_of_paths_and_stars(spark):
     assert got == {**dict.fromkeys(range(71), 0), **dict.fromkeys(range(100, 150), 100), 200: 200, 201: 200}
 
 
-def brute_scores(rows):
-    tokens = [(i, [*words_of(t, lower=True), None]) for i, t in rows]
-    crc = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1
-    one = Counter(w for i, ws in tokens if not crc(i) for w in ws)
-    two = Counter(p for i, ws in tokens if not crc(i) for p in zip([None, *ws], ws, strict=False))
-    total, distinct = sum(one.values()), len(one)
+def is_held_out(i):
+    return zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1
+
+
+def counted_grams(rows, order):
+    """Exact counts of the n-grams of training rows, None being the end and 0 the start of a text."""
+    out = Counter()
+    for i, text in rows:
+        if not is_held_out(i):
+            padded = [0] * (order - 1) + [*words_of(text, lower=True), None]
+            out.update(tuple(padded[at - k : at + 1]) for at in range(order - 1, len(padded)) for k in range(order))
+            out.update((0,) * k for k in range(1, order))
+    return out
+
+
+def shares_after(grams, total, distinct, words, order, count):
+    """P of the last of ``words`` after those before it, with ``count`` as the filter would answer."""
+    share = (count(grams[words[-1:]]) + 0.5) / (total + 0.5 * (distinct + 1))
+    for k in range(2, order + 1):
+        share = (count(grams[words[-k:]]) + 2 * share) / (count(grams[words[-k:-1]]) + 2)
+    return share
+
+
+def quantised(n):
+    return 0 if not n else 1.5 ** np.rint(np.log(n) / np.log(1.5))
+
+
+def brute_scores(rows, order, count=quantised):
+    grams = counted_grams(rows, order)
+    ones = {g: n for g, n in grams.items() if len(g) == 1 and g != (0,)}
+    total, distinct = sum(ones.values()), len(ones)
     out = []
-    for i, ws in tokens:
-        p1 = [(one[w] + 0.5) / (total + 0.5 * (distinct + 1)) for w in ws]
-        score = 0.0
-        for a, b, p in zip([None, *ws], ws, p1, strict=False):
-            level = 0 if not two[a, b] else 2.0 ** np.rint(np.log2(two[a, b]))
-            level = min(level, one[a], one[b])
-            score += log10((level + 2 * p) / (max(one[a], level) + 2))
-        out.append((i, crc(i), len(ws), sum(one[w] > 0 for w in ws), total, sum(map(log10, p1)), score))
+    for i, text in rows:
+        padded = [0] * (order - 1) + [*words_of(text, lower=True), None]
+        ends = range(order - 1, len(padded))
+        base = [log10((grams[padded[at],] + 0.5) / (total + 0.5 * (distinct + 1))) for at in ends]
+        score = [log10(shares_after(grams, total, distinct, tuple(padded[at - order + 1 : at + 1]), order, count)) for at in ends]
+        out.append((i, is_held_out(i), len(base), sum(grams[padded[at],] > 0 for at in ends), total, sum(base), sum(score)))
     return sorted(out, key=str)
 
 
@@ -129,18 +152,46 @@ def lm_rows():
     return [(i, text()) for i in range(200)] + [(200, None), (201, ""), (202, " \t"), (203, "É é Zz"), (7, text()), (None, "v1 v2 v3")]
 
 
-@pytest.mark.parametrize("broadcast", [1 << 30, 0])
-def test_scores_equal_brute_force(spark, lm_rows, broadcast):
+@pytest.mark.parametrize("order", [1, 3, 4])
+def test_scores_equal_brute_force(spark, lm_rows, order):
     docs = with_clashes(documents(spark, lm_rows)).repartition(4)
-    got = sorted((tuple(r) for r in lm_score.lm_scores(docs, merged=300, broadcast=broadcast).collect()), key=str)
-    want = brute_scores(lm_rows)
+    got = sorted((tuple(r) for r in lm_score.lm_scores(docs, order=order, merged=20_000, piece_bytes=20_000).collect()), key=str)
+    want = brute_scores(lm_rows, order)
     assert [g[:5] for g in got] == [w[:5] for w in want]
     assert [g[5] for g in got] == pytest.approx([w[5] for w in want])
-    # false positives of the filter can only raise a pair's count
-    gaps = [g[6] - w[6] for g, w in zip(got, want, strict=True)]
-    assert np.mean(np.abs(gaps)) < 0.05 * np.mean([abs(w[6]) for w in want])
+    # false positives of the filter are all that differs: few n-grams are held to be a level more frequent
+    gaps = np.array([abs(g[6] - w[6]) / g[2] for g, w in zip(got, want, strict=True)])
+    assert gaps.max() < 0.1 and gaps.mean() < 0.02
+    # against counts as they are: each P is within the rounding of its counts
+    exact = brute_scores(lm_rows, order, count=lambda n: n)
+    assert all(abs(g[6] - e[6]) / g[2] < order * log10(1.5**0.5) * 2 for g, e in zip(got, exact, strict=True))
     held = [g for g in got if g[1] and g[2] > 20]
-    assert sum(g[6] for g in held) > 0.8 * sum(g[5] for g in held)
+    assert order == 1 or sum(g[6] for g in held) > 0.8 * sum(g[5] for g in held)
+
+
+def test_probabilities_add_up(lm_rows):
+    """With exact counts to 1, with those that the filter stands for to between 1/1.5 and 1.5."""
+    grams = counted_grams(lm_rows, 3)
+    ones = {g: n for g, n in grams.items() if len(g) == 1 and g != (0,)}
+    every = [*[g[0] for g in ones], "never seen"]
+    for context in [(0, 0), (0, "v0"), *[g for g in grams if len(g) == 2 and None not in g][:40]]:
+        sums = [sum(shares_after(grams, sum(ones.values()), len(ones), (*context, w), 3, count) for w in every) for count in (lambda n: n, quantised)]
+        assert sums[0] == pytest.approx(1)
+        assert 1 / 1.5 < sums[1] < 1.5
+
+
+def test_pieces_and_chunks_change_nothing(spark, lm_rows, monkeypatch):
+    docs = documents(spark, lm_rows).repartition(3)
+    whole = lm_score.lm_scores(docs).collect()
+    monkeypatch.setattr(lm_score, "CHUNK", 4000)
+    asked = []
+    monkeypatch.setattr(lm_score, "written", lambda df, label: asked.append(label) or written(df, label))
+    parts = lm_score.lm_scores(docs, merged=20_000, piece_bytes=20_000).collect()
+    assert asked == ["lm-chunks", "lm-words", "lm-filters"]
+    known = lambda rows: sorted((tuple(r)[:5] for r in rows), key=str)
+    assert known(whole) == known(parts)
+    # other shards have other false positives
+    assert sum(r["score"] for r in whole) == pytest.approx(sum(r["score"] for r in parts), rel=0.005)
 
 
 def test_scores_without_rows_or_training(spark):
@@ -156,9 +207,10 @@ def test_bloom_holds_counts():
     bloom = lm_score.LogFrequencyBloom.empty(int(lm_score.levels(counts).sum()))
     bloom.add(keys, lm_score.levels(counts))
     got = bloom.count(keys)
-    assert (got >= 2.0 ** (lm_score.levels(counts) - 1)).all()
-    assert np.mean(got == 2.0 ** (lm_score.levels(counts) - 1)) > 0.9
-    assert np.mean(bloom.count(rng.integers(0, 2**63, 20_000).astype(np.uint64)) > 0) < 0.05
+    want = lm_score.estimates(lm_score.levels(counts))
+    assert (np.abs(np.log(want / counts)) <= np.log(1.5) / 2 + 1e-9).all()
+    assert (got >= want).all() and np.mean(got == want) > 0.99
+    assert np.mean(bloom.count(rng.integers(0, 2**63, 20_000).astype(np.uint64)) > 0) < 0.01
 
 
 def test_held_out_by_id(spark):
@@ -166,19 +218,16 @@ def test_held_out_by_id(spark):
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 1) for r in rows)
 
 
-def test_scores_of_every_size_go_one_way(spark, lm_rows, monkeypatch):
-    asked = []
-    monkeypatch.setattr(lm_score, "CHUNK", 4000)
-    monkeypatch.setattr(lm_score, "written", lambda df, label: asked.append(label) or written(df, label))
-    docs = documents(spark, lm_rows).repartition(3)
-    got = Counter(tuple(r) for r in lm_score.lm_scores(docs, merged=300).collect())
-    assert asked == ["lm-chunks", "lm-answers"]
-    whole = lm_score.lm_scores(docs, merged=300, broadcast=1 << 30)
-    assert Counter((*r[:5], round(r[5], 6), round(r[6], 6)) for r in whole.collect()) == Counter({(*k[:5], round(k[5], 6), round(k[6], 6)): n for k, n in got.items()})
-
-
-def test_chunks_ask_each_shard_once(spark, lm_rows):
+def test_chunks_hold_all_rows(spark, lm_rows):
     chunks = lm_score._chunks(documents(spark, lm_rows * 3).repartition(2)).collect()
     assert len(chunks) == 2 and len({r["chunk"] for r in chunks}) == 2
-    rows = [lm_score._unpacked(bytes(r["rows"])) for r in chunks]
-    assert sum(len(frame) for frame, _ in rows) == sum(len(tokens) for _, tokens in rows) == 3 * len(lm_rows)
+    rows = [lm_score._unpacked(r["n"], *(bytes(r[c]) for c in ("rows", "words", "codes"))) for r in chunks]
+    assert sum(len(r[0]) for r in rows) == sum(len(r[3]) for r in rows) == 3 * len(lm_rows)
+    ends = [words[codes[np.append(firsts[1:], len(codes)) - 1]] for _, words, codes, firsts in rows]
+    assert all((e == lm_score.END).all() for e in ends)
+
+
+def test_keys_by_their_gaps():
+    for keys in ([], [5], [0, 1, 2**63, 2**64 - 1], range(0, 10**6, 1000)):
+        keys = np.array(keys, np.uint64)
+        assert (lm_score._keys(lm_score._gaps(keys), len(keys)) == keys).all()

@@ -1,4 +1,4 @@
-"""N-gram scores from a log-frequency Bloom filter."""
+"""N-gram scores from a log-frequency Bloom filter that is broadcast in bounded pieces."""
 
 from __future__ import annotations
 
@@ -9,46 +9,59 @@ from math import ceil, log
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunetables.llm.common import hashed_words, mixed
-from tunetables.session import written
+from tunetables.session import new_path, written
 
-#: Hash of the end of a text, as a token.
+#: Hash of the end of a text, as a token, and of what stands before its first word.
 END = np.uint64(0xE4D0F7E47B19A52D)
+START = np.uint64(0x9B1FD9A3C64E2C17)
 #: Levels count by powers of this base: level q stands for a count of about BASE ** (q - 1).
-BASE = 2.0
+BASE = 1.5
 #: Membership probes of a level, and bits for each stored (n-gram, level).
-PROBES, BITS = 4, 8
+PROBES, BITS = 5, 16
+#: Words of the longest n-gram.
+ORDER = 3
 #: Weight of the shorter context against counts of the longer one.
 BACKOFF = 2.0
-#: N-grams that one task merges, and bytes that may be broadcast.
-MERGED = 400_000
-#: Tokens that a task counts at a time.
-COUNTED = 1_000_000
-#: Bytes of text that are looked up together.
-CHUNK = 16 << 20
-#: Counts from here on don't stand in the byte of their word.
-MANY = 255
-#: By default nothing is broadcast, and inputs of every size go the same way.
-BROADCAST = 0
+#: N-grams that one task merges, at most about.
+MERGED = 1_000_000
+#: Bytes of a filter that are broadcast at a time.
+PIECE = 64 << 20
+#: Bytes of text that are counted and scored together.
+CHUNK = 8 << 20
+#: N-grams are known by the upper 48 bits of their hash.
+CUT = np.uint64(16)
 
 
 def _tokens(texts: Sequence[str | None]) -> list[np.ndarray]:
     return [np.append(words, END) for words in hashed_words(texts)]
 
 
-def _pairs(tokens: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """Hash of each token with the one before it."""
+def _longer(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Hash of each n-gram with the token after it."""
     with np.errstate(over="ignore"):
         return mixed(before * np.uint64(0x9E3779B97F4A7C15) + tokens)
 
 
-def _before(tokens: np.ndarray) -> np.ndarray:
-    """The token before each; the end of the text before stands before the first."""
-    return np.concatenate([[END], tokens[:-1]])
+def _grams(flat: np.ndarray, firsts: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Keys of the n-grams of 1 to ``order`` words that end at each token, and of the 1 to ``order - 1`` starts before a text.
+
+    ``firsts`` are the places of first tokens.
+    """
+    keys, starts = [_longer(np.zeros(1, np.uint64), flat)], [_longer(np.zeros(1, np.uint64), np.array([START]))]
+    own, start = flat, np.array([START])
+    while len(keys) < order:
+        context = np.roll(own, 1)
+        context[firsts] = start
+        own, start = _longer(context, flat), _longer(start, np.array([START]))
+        keys.append(own)
+        starts.append(start)
+    return [k >> CUT for k in keys], np.concatenate(starts[: order - 1] or [np.zeros(0, np.uint64)]) >> CUT
 
 
 def held_out(doc_id: Column) -> Column:
@@ -56,97 +69,74 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
-def _slices(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """A batch in slices of about ``size`` bytes of text, so only one slice at a time is Python strings."""
-    import pyarrow.compute as pc
-
+def _slices(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """A batch in slices of about ``size`` bytes of text, and their bytes, so only one slice at a time is Python strings."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
     start = 0
     while start < batch.num_rows:
         before = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
-        yield batch.slice(start, stop - start)
+        yield batch.slice(start, stop - start), int(ends[stop - 1] - before)
         start = stop
 
 
 def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Which of ``shards`` equal ranges of the hash a key is in."""
-    return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+    """Which of ``shards`` equal ranges of the hash a cut key is in."""
+    return ((keys >> np.uint64(16)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
-def _counted(parts: list[np.ndarray], weights: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes, in order, and their counts."""
-    every = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-    if weights is None:
-        return np.unique(every, return_counts=True)
-    order = np.argsort(every)
-    every, sums = every[order], np.concatenate([[0], np.cumsum(np.concatenate(weights)[order])]) if len(every) else np.zeros(1, np.int64)
-    starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
-    return every[starts], np.diff(np.append(sums[starts], sums[-1]))
+def _counted(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, in order, and the sums of their weights."""
+    if not len(keys):
+        return keys, np.zeros(0, np.int64)
+    order = np.argsort(keys)
+    keys, sums = keys[order], np.concatenate([[0], np.cumsum(weights[order])])
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[starts], np.diff(np.append(sums[starts], sums[-1]))
 
 
-def ngram_counts(docs: DataFrame, shards: int) -> DataFrame:
-    """``size`` (1 or 2), ``shard``, ``hashes``, ``counts`` (levels for pairs): n-grams of the training rows, merged.
+def _narrow(x: np.ndarray) -> bytes:
+    """Whole numbers in 1, 4 or 8 bytes each."""
+    top = int(x.max(initial=0))
+    return x.astype("u1" if top < 1 << 8 else "<u4" if top < 1 << 32 else "<u8").tobytes()
 
-    A task counts its n-grams a million tokens or so at a time and sends, for each shard (a range of
-    the hash), two packed arrays; the shards are then merged.  A word in every text is one entry
-    for each million tokens, so no shard is larger than the others.
-    """
 
-    def partial(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
+def _wide(x: bytes, n: int) -> np.ndarray:
+    """What ``_narrow`` stored, as unsigned 64-bit numbers."""
+    return np.frombuffer(x, f"<u{len(x) // n}").astype(np.uint64) if n else np.zeros(0, np.uint64)
 
-        def sent() -> Iterator[pa.RecordBatch]:
-            for n in (1, 2):
-                grams = held if n == 1 else [_pairs(t, _before(t)) for t in held]
-                keys, counts = _counted(grams)
-                own, first = np.unique(_shard(keys, shards), return_index=True)
-                parts = zip(np.split(keys, first[1:]), np.split(counts.astype("<u4"), first[1:]), strict=True)
-                packs = [(k.tobytes(), c.tobytes()) for k, c in parts]
-                columns = [pa.array([n] * len(own), "int32"), pa.array(own, "int32"), pa.array([k for k, _ in packs], "binary"), pa.array([c for _, c in packs], "binary")]
-                yield pa.RecordBatch.from_arrays(columns, ["size", "shard", "hashes", "counts"])
 
-        for whole in parts:
-            for part in _slices(whole):
-                held += _tokens(part.column("text").to_pylist())
-                size += sum(len(t) for t in held[-part.num_rows :])
-                if size > COUNTED:
-                    yield from sent()
-                    held, size = [], 0
-        if held:
-            yield from sent()
+def _gaps(keys: np.ndarray) -> bytes:
+    """Sorted keys by the steps between them."""
+    return _narrow(np.diff(keys, prepend=np.uint64(0)))
 
-    def merged(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        hashes = [np.frombuffer(x, np.uint64) for x in group["hashes"]]
-        keys, counts = _counted(hashes, [np.frombuffer(x, "<u4").astype(np.int64) for x in group["counts"]])
-        own = counts.astype("<i8") if key[0] == 1 else levels(counts).astype("u1")
-        return pd.DataFrame({"size": [key[0]], "shard": [key[1]], "n": [len(keys)], "total": [int(counts.sum())], "hashes": [keys.tobytes()], "counts": [own.tobytes()]})
 
-    rows = docs.where(~held_out(F.col("doc_id"))).select("text").mapInArrow(partial, "size int, shard int, hashes binary, counts binary")
-    return rows.groupBy("size", "shard").applyInPandas(merged, "size int, shard int, n long, total long, hashes binary, counts binary")
+def _keys(gaps: bytes, n: int) -> np.ndarray:
+    return np.cumsum(_wide(gaps, n), dtype=np.uint64)
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
-    """Quantised logarithm of counts: 1 for 1, 2 for 2, 3 for 3-5 and so on."""
+    """Quantised logarithm of counts: 1 for 1, 3 for 2, 4 for 3, 5 for 5 and so on."""
     return 1 + np.rint(np.log(np.maximum(counts, 1)) / log(BASE)).astype(np.int64)
 
 
+def estimates(held: np.ndarray) -> np.ndarray:
+    """Counts that levels stand for; 0 for level 0."""
+    return np.where(held > 0, BASE ** (held.astype(np.float64) - 1), 0)
+
+
 @dataclass
 class LogFrequencyBloom:
     """Membership of (n-gram, level): an n-gram of level q is stored with every level up to q.
 
     The probes of one entry are bits of one 64-bit word, so a test is one look into memory.
-    ``starts`` cuts ``words`` into the filters of equal ranges of the hash, which are made apart.
     """
 
     words: np.ndarray
-    starts: np.ndarray
 
     @staticmethod
     def empty(entries: int) -> LogFrequencyBloom:
-        n = max(8, -(-entries * BITS // 64))
-        return LogFrequencyBloom(np.zeros(n, np.uint64), np.array([0, n]))
+        return LogFrequencyBloom(np.zeros(max(8, -(-entries * BITS // 64)), np.uint64))
 
     def _places(self, keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
         """Word and mask of each entry."""
@@ -155,17 +145,16 @@ class LogFrequencyBloom:
             mask = np.zeros(len(keys), np.uint64)
             for k in range(PROBES):
                 mask |= np.uint64(1) << ((h >> np.uint64(6 * k)) & np.uint64(63))
-            if len(self.starts) == 2:
-                return ((h >> np.uint64(32)) * np.uint64(len(self.words)) >> np.uint64(32)).astype(np.int64), mask
-            own = _shard(keys, len(self.starts) - 1)
-            sizes = np.diff(self.starts).astype(np.uint64)
-            return self.starts[own] + ((h >> np.uint64(32)) * sizes[own] >> np.uint64(32)).astype(np.int64), mask
+            return ((h >> np.uint64(32)) * np.uint64(len(self.words)) >> np.uint64(32)).astype(np.int64), mask
 
     def add(self, keys: np.ndarray, top: np.ndarray) -> None:
-        """Stores keys of the given levels (in a filter of one range)."""
-        for level in range(1, int(top.max(initial=0)) + 1):
-            at, mask = self._places(keys[top >= level], level)
+        """Stores keys of the given levels."""
+        level = 1
+        while len(keys):
+            at, mask = self._places(keys, level)
             np.bitwise_or.at(self.words, at, mask)
+            level += 1
+            keys, top = keys[top >= level], top[top >= level]
 
     def has(self, keys: np.ndarray, level: int) -> np.ndarray:
         at, mask = self._places(keys, level)
@@ -182,256 +171,227 @@ class LogFrequencyBloom:
 
     def count(self, keys: np.ndarray) -> np.ndarray:
         """Estimated counts."""
-        held = self.level(keys)
-        return np.where(held > 0, BASE ** (held - 1.0), 0)
-
-
-@dataclass
-class Model:
-    """What a worker needs to score: exact word counts, and the filter of the pairs.
-
-    ``counts`` is a byte for each of the sorted ``words``; at ``MANY`` the count is in
-    ``often_counts``, for the places ``often``.
-    """
-
-    total: int
-    distinct: int
-    words: np.ndarray
-    counts: np.ndarray
-    often: np.ndarray
-    often_counts: np.ndarray
-    pairs: LogFrequencyBloom
-
-    def known(self, tokens: np.ndarray) -> np.ndarray:
-        """Exact training counts of tokens, 0 if unknown."""
-        if not len(self.words):
-            return np.zeros(len(tokens), np.int64)
-        asked, where = np.unique(tokens, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.words, asked), len(self.words) - 1)
-        found = np.where(self.words[at] == asked, self.counts[at], 0).astype(np.int64)
-        large = np.flatnonzero(found == MANY)
-        if len(large):
-            found[large] = self.often_counts[np.searchsorted(self.often, at[large])]
-        return found[where]
-
-    def scores(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Known tokens, base score and model score of each text."""
-        flat = np.concatenate(texts)
-        ends = np.cumsum([len(t) for t in texts])
-        starts = ends - [len(t) for t in texts]
-        before = _before(flat)  # every text ends with the end, so it stands before the first word of the next
-        counts = self.known(flat)
-        single = (counts + 0.5) / (self.total + 0.5 * (self.distinct + 1))
-        context = np.concatenate([self.known(before[:1]), counts[:-1]])
-        pairs = np.minimum(self.pairs.count(_pairs(flat, before)), np.minimum(counts, context))
-        joint = (pairs + BACKOFF * single) / (np.maximum(context, pairs) + BACKOFF)
-        add = lambda x: np.add.reduceat(x, starts)
-        return add((counts > 0).astype(np.int64)), add(np.log10(single)), add(np.log10(joint))
-
-
-def _filled(counts: DataFrame) -> DataFrame:
-    """``shard, bits`` of the pairs; each shard's filter is made by one task."""
-
-    def made(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for shard, hashes, own in zip(part["shard"], part["hashes"], part["counts"], strict=True):
-                keys, top = np.frombuffer(hashes, np.uint64), np.frombuffer(own, "u1")
-                one = LogFrequencyBloom.empty(int(top.sum(dtype=np.int64)))
-                one.add(keys, top)
-                yield pd.DataFrame({"shard": [shard], "bits": [one.words.tobytes()]})
-
-    return counts.where("size = 2").select("shard", "hashes", "counts").mapInPandas(made, "shard int, bits binary")
+        return estimates(self.level(keys))
 
 
-def lm_scores(docs: DataFrame, merged: int = MERGED, broadcast: int = BROADCAST) -> DataFrame:
-    """Per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
+CHUNKS = "chunk long, n long, rows binary, words binary, codes binary"
 
-    ``score`` is the sum over tokens of log10 P(token | token before), with P = (c2 + 2 * P1) /
-    (c1 + 2): c2 is the pair's count as the log-frequency Bloom filter holds it, c1 the count of the
-    token before, P1 the smoothed share of the token alone (as in ``base_score``).  Filters have
-    8 bits for each stored level and 4 probes, about 4 % false positives at each level; a pair is
-    never held to be more frequent than either of its words.
 
-    Counts of words and filters of pairs both grow with the corpus, so texts are looked up in
-    shards (``_joined_scores``).  A caller who knows that the model is small can name the bytes that
-    may be broadcast; up to there the results are the same.
+def _chunks(docs: DataFrame) -> DataFrame:
+    """``chunk, n, rows, words, codes``: rows that are counted and scored together.
 
-    Null, empty and blank texts have the end token only.  A null id counts as an empty id text
-    and is in training.  Repeated rows are counted and scored each.  With no training rows nothing
-    is known.  Columns of other names are not looked at.
+    ``rows`` holds ids and numbers of tokens as a compressed Arrow stream, ``words`` the sorted
+    distinct hashes of the ``n`` tokens, ``codes`` each token's place in them.  Ids go through
+    Python as text, which keeps nulls and large ids.
     """
-    spark = docs.sparkSession
-    rough = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, ceil(rough / 10 / merged))
-    if not broadcast:
-        return _joined_scores(docs, shards)
-    counts = written(ngram_counts(docs, shards), "ngram-counts")
-    n = {r["size"]: r for r in counts.groupBy("size").agg(F.sum("total").alias("total"), F.sum("n").alias("n"), F.max("shard").alias("top")).collect()}
-    total, distinct = (n[1]["total"], n[1]["n"]) if 1 in n else (0, 0)
-    filters = written(_filled(counts), "ngram-filters")
-    held = filters.agg(F.sum(F.length("bits"))).first()[0] or 0
-    if held + 9 * distinct > broadcast:
-        return _joined_scores(docs, shards)
-    words, numbers = np.zeros(distinct, np.uint64), np.zeros(distinct, np.uint8)
-    often, often_counts = [], []
-    at = 0
-    for r in counts.where("size = 1").select("shard", "hashes", "counts").orderBy("shard").toLocalIterator():
-        keys = np.frombuffer(bytes(r["hashes"]), np.uint64)
-        words[at : at + len(keys)] = keys
-        own = np.frombuffer(bytes(r["counts"]), "<i8")
-        numbers[at : at + len(keys)] = np.minimum(own, MANY)
-        often.append(np.flatnonzero(own >= MANY) + at)
-        often_counts.append(own[own >= MANY])
-        at += len(keys)
-    sizes = {r["shard"]: r["n"] // 8 for r in filters.select("shard", F.length("bits").alias("n")).collect()}
-    starts = np.cumsum([0, *(sizes.get(k, 8) for k in range(shards))])
-    bits = np.zeros(int(starts[-1]), np.uint64)
-    for r in filters.toLocalIterator():
-        bits[starts[r["shard"]] : starts[r["shard"] + 1]] = np.frombuffer(bytes(r["bits"]), np.uint64)
-    none = np.zeros(0, np.int64)
-    many = (np.concatenate([none, *often]), np.concatenate([none, *often_counts]))
-    shared = spark.sparkContext.broadcast((total, distinct, words, numbers, *many, bits, starts))
-    del words, numbers, bits
-
-    def scored(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = _schema()
-        model = Model(*shared.value[:6], LogFrequencyBloom(*shared.value[6:]))
-        for whole in parts:
-            for part in _slices(whole):
-                texts = _tokens(part.column("text").to_pylist())
-                known, base, score = model.scores(texts)
-                frame = _result(part.select(["doc_id", "held_out"]).to_pandas(), [len(t) for t in texts], known, total, base, score)
-                yield pa.RecordBatch.from_pandas(frame, preserve_index=False, schema=schema)
-
-    return _rows(docs).mapInArrow(scored, RESULT).withColumn("doc_id", F.col("doc_id").cast("long"))
-
-
-def _schema() -> pa.Schema:
-    kinds = {"string": pa.string(), "boolean": pa.bool_(), "long": pa.int64(), "double": pa.float64()}
-    return pa.schema([(name, kinds[kind]) for name, kind in (c.split(" ") for c in RESULT.split(", "))])
-
-
-RESULT = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-
-
-def _rows(docs: DataFrame) -> DataFrame:
-    """What a task needs of each row; ids go through Python as text, which keeps nulls and large ids."""
-    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
-
-
-def _result(part: pd.DataFrame, n_tokens: list[int], known: np.ndarray, total: int, base: np.ndarray, score: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame(
-        {"doc_id": part["doc_id"].tolist(), "held_out": part["held_out"].tolist(), "n_tokens": n_tokens, "n_known": known, "train_tokens": total, "base_score": base, "score": score}
-    )
-
-
-def _chunks(docs: DataFrame) -> DataFrame:
-    """``chunk, rows``: rows that are looked up together, as a compressed Arrow stream."""
-    schema = pa.schema([("doc_id", pa.string()), ("held_out", pa.bool_()), ("text", pa.string())])
 
     def packs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, number = TaskContext.get().partitionId() << 33, 0
-        held: list[pa.RecordBatch] = []
+        rows: list[pa.RecordBatch] = []
+        tokens: list[np.ndarray] = []
         size = 0
 
         def pack() -> pa.RecordBatch:
+            table = pa.Table.from_batches(rows).append_column("n_tokens", pa.array([len(t) for t in tokens], "int64"))
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
-                for batch in pa.Table.from_batches(held).cast(schema).to_batches():
-                    stream.write_batch(batch)
-            return pa.RecordBatch.from_arrays([pa.array([first + number], "int64"), pa.array([sink.getvalue().to_pybytes()], "binary")], ["chunk", "rows"])
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_table(table)
+            flat = np.concatenate(tokens)
+            words, codes = np.unique(flat, return_inverse=True)
+            small = pa.compress(codes.astype("<u4").tobytes(), codec="zstd", asbytes=True)
+            values = [first + number], [len(flat)], [sink.getvalue().to_pybytes()], [words.tobytes()], [small]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, ("int64", "int64", "binary", "binary", "binary"), strict=True)], ["chunk", "n", "rows", "words", "codes"])
 
         for whole in parts:
-            for part in _slices(whole):
-                held.append(part)
-                size += sum(len(t) for t in part.column("text").to_pylist() if t)
+            for part, own in _slices(whole):
+                rows.append(part.select(["doc_id", "held_out"]))
+                tokens += _tokens(part.column("text").to_pylist())
+                size += own
                 if size >= CHUNK:
                     yield pack()
-                    held, size, number = [], 0, number + 1
-        if held:
+                    rows, tokens, size, number = [], [], 0, number + 1
+        if rows:
             yield pack()
 
-    return _rows(docs).mapInArrow(packs, "chunk long, rows binary")
-
-
-def _unpacked(pack: bytes) -> tuple[pd.DataFrame, list[np.ndarray]]:
-    """Ids and ``held_out`` of a chunk's rows, and their tokens."""
-    rows = pa.ipc.open_stream(pack).read_all()
-    tokens = [t for batch in rows.to_batches() for part in _slices(batch) for t in _tokens(part.column("text").to_pylist())]
-    return rows.select(["doc_id", "held_out"]).to_pandas(), tokens
+    texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
+    return texts.mapInArrow(packs, CHUNKS)
 
 
-def _grams(flat: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Hashes of the words, then of the pairs that end at each token."""
-    yield 1, flat
-    yield 2, _pairs(flat, _before(flat))
+def _unpacked(n: int, rows: bytes, words: bytes, codes: bytes) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]:
+    """A chunk's rows, distinct words, each token's place in them, and the places of first tokens."""
+    frame = pa.ipc.open_stream(rows).read_all().to_pandas()
+    places = np.frombuffer(pa.decompress(codes, decompressed_size=4 * n, codec="zstd", asbytes=True), "<u4")
+    return frame, np.frombuffer(words, np.uint64), places, np.cumsum(frame["n_tokens"]).to_numpy() - frame["n_tokens"].to_numpy()
 
 
-def _joined_scores(docs: DataFrame, shards: int) -> DataFrame:
-    """Scores of a model of any size.
+def _asks(chunks: DataFrame, order: int, shards: int, pieces: int) -> DataFrame:
+    """``piece, shard, chunk, n, gaps, counts``: a chunk's distinct n-grams of all orders, and how often its training rows hold them.
 
-    A chunk of texts sends its distinct n-grams, with their counts in its training rows, to the
-    shards of their hash, once each.  A shard adds the counts up, makes its filter and answers the
-    chunks, whose n-grams are in order of hash and so in order of shard.  An n-gram of every text
-    is one entry for each chunk, so no shard is larger than the others.
+    Rows of piece -1 are its words alone, for exact counts.
     """
 
     def asked(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for chunk, pack in zip(part.column("chunk").to_pylist(), part.column("rows"), strict=True):
-                rows, texts = _unpacked(pack.as_py())
-                training = np.repeat(~rows["held_out"].to_numpy(bool), [len(t) for t in texts]).astype(np.int64)
-                flat = np.concatenate(texts)
-                del texts
-                for n, grams in _grams(flat):
-                    keys, counts = _counted([grams], [training])
-                    own, first = np.unique(_shard(keys, shards), return_index=True)
-                    hashes = [k.tobytes() for k in np.split(keys, first[1:])]
-                    numbers = [c.tobytes() for c in np.split(counts.astype("<u4"), first[1:])]
-                    columns = [pa.array([n] * len(own), "int32"), pa.array(own, "int32"), pa.array([chunk] * len(own), "int64"), pa.array(hashes, "binary"), pa.array(numbers, "binary")]
-                    yield pa.RecordBatch.from_arrays(columns, ["size", "shard", "chunk", "hashes", "counts"])
+            for k in range(part.num_rows):
+                [chunk] = part.slice(k, 1).to_pylist()
+                rows, words, codes, firsts = _unpacked(*(chunk[c] for c in ("n", "rows", "words", "codes")))
+                training = ~rows["held_out"].to_numpy(bool)
+                weight = np.repeat(training, rows["n_tokens"]).astype(np.int64)
+                grams, starts = _grams(words[codes], firsts, order)
+                weights = np.concatenate([np.tile(weight, order), np.full(len(starts), training.sum())])
+                exact = np.bincount(codes, weight, len(words)).astype(np.int64)
+                for kind, keys, counts in ((0, *_counted(np.concatenate([*grams, starts]), weights)), (-1, words, exact)):
+                    own, first = np.unique(_shard(keys if kind == 0 else keys >> CUT, shards), return_index=True)
+                    split = list(zip(np.split(keys, first[1:]), np.split(counts, first[1:]), strict=True))
+                    columns = {
+                        "piece": pa.array(own * pieces // shards if kind == 0 else [-1] * len(own), "int32"),
+                        "shard": pa.array(own, "int32"),
+                        "chunk": pa.array([chunk["chunk"]] * len(own), "int64"),
+                        "n": pa.array([len(k) for k, _ in split], "int32"),
+                        "gaps": pa.array([_gaps(k) for k, _ in split], "binary"),
+                        "counts": pa.array([_narrow(c) for _, c in split], "binary"),
+                    }
+                    yield pa.RecordBatch.from_pydict(columns)
+
+    return chunks.mapInArrow(asked, "piece int, shard int, chunk long, n int, gaps binary, counts binary")
+
+
+def _merged(group: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The keys of each row of a shard, all its distinct keys, and their counts."""
+    keys = [_keys(g, n) for g, n in zip(group["gaps"], group["n"], strict=True)]
+    counts = [_wide(c, n).astype(np.int64) for c, n in zip(group["counts"], group["n"], strict=True)]
+    return keys, *_counted(np.concatenate(keys), np.concatenate(counts))
+
+
+def _filters(asks: DataFrame, shards: int) -> DataFrame:
+    """``shard, piece, size, bits``: the part of the filter for each range of the hash."""
+
+    def made(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        _, keys, counts = _merged(group)
+        keys, top = keys[counts > 0], levels(counts[counts > 0])
+        bloom = LogFrequencyBloom.empty(int(top.sum()))
+        bloom.add(keys, top)
+        return pd.DataFrame({"shard": [key[0]], "piece": [key[1]], "size": [bloom.words.nbytes], "bits": [bloom.words.tobytes()]})
+
+    rows = asks.where("piece >= 0").repartition(shards, "shard", "piece")
+    return rows.groupBy("shard", "piece").applyInPandas(made, "shard int, piece int, size long, bits binary")
+
+
+def _exact(asks: DataFrame, shards: int) -> DataFrame:
+    """``shard, chunk, found, n, total``: exact counts of the words of each chunk; the row of chunk -1 is the shard's own."""
 
     def answered(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        hashes = [np.frombuffer(x, np.uint64) for x in group["hashes"]]
-        keys, counts = _counted(hashes, [np.frombuffer(x, "<u4").astype(np.int64) for x in group["counts"]])
-        if key[0] == 1:
-            found = [counts[np.searchsorted(keys, k)].astype("<i8").tobytes() for k in hashes]
-        else:
-            stored, top = keys[counts > 0], levels(counts[counts > 0])
-            bloom = LogFrequencyBloom.empty(int(top.sum()))
-            bloom.add(stored, top)
-            held = bloom.level(keys)
-            found = [held[np.searchsorted(keys, k)].astype("u1").tobytes() for k in hashes]
-        # the last row is the shard's own
-        out = pd.DataFrame({"size": key[0], "shard": key[1], "chunk": [*group["chunk"], -1], "found": [*found, None]})
+        asked, keys, counts = _merged(group)
+        found = [_narrow(counts[np.searchsorted(keys, k)]) for k in asked]
+        out = pd.DataFrame({"shard": key[0], "chunk": [*group["chunk"], -1], "size": [*group["n"], 0], "found": [*found, None]})
         return out.assign(n=int((counts > 0).sum()), total=int(counts.sum()))
 
+    rows = asks.where("piece = -1").repartition(shards, "shard")
+    return rows.groupBy("shard").applyInPandas(answered, "shard int, chunk long, size int, found binary, n long, total long")
+
+
+def _probed(asks: DataFrame, filters: DataFrame, piece_bytes: int) -> DataFrame:
+    """``shard, chunk, size, found``: the level of each n-gram that a chunk holds.
+
+    Runs of shards of at most ``piece_bytes`` (or one shard) are broadcast one after the other, and
+    each is asked only by the n-grams of its own range, which stand in folders by piece.
+    """
+    spark = asks.sparkSession
+    path = new_path(spark, "lm-levels")
+    schema = "shard int, chunk long, size int, found binary"
+    spark.createDataFrame([], schema).write.parquet(f"{path}/run=-1")
+    sizes = filters.select("piece", "shard", "size").orderBy("piece", "shard").collect()  # a row for about a million n-grams
+    runs: list[list] = []
+    for r in sizes:
+        if not runs or runs[-1][0]["piece"] != r["piece"] or sum(x["size"] for x in runs[-1]) + r["size"] > piece_bytes:
+            runs.append([])
+        runs[-1].append(r)
+    for number, run in enumerate(runs):
+        mine = (F.col("piece") == run[0]["piece"]) & F.col("shard").between(run[0]["shard"], run[-1]["shard"])
+        held = {r["shard"]: bytes(r["bits"]) for r in filters.where(mine).select("shard", "bits").toLocalIterator()}
+        shared = spark.sparkContext.broadcast(held)
+        del held
+
+        def probed(parts: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            blooms = {k: LogFrequencyBloom(np.frombuffer(bits, np.uint64)) for k, bits in shared.value.items()}
+            for part in parts:
+                shard, chunk, n = (part.column(c).to_pylist() for c in ("shard", "chunk", "n"))
+                found = [blooms[s].level(_keys(g.as_py(), k)).astype("u1").tobytes() for s, k, g in zip(shard, n, part.column("gaps"), strict=True)]
+                yield pa.RecordBatch.from_pydict({"shard": pa.array(shard, "int32"), "chunk": pa.array(chunk, "int64"), "size": pa.array(n, "int32"), "found": pa.array(found, "binary")})
+
+        asks.where(mine).select("shard", "chunk", "n", "gaps").mapInArrow(probed, schema).write.parquet(f"{path}/run={number}")
+        shared.destroy()
+    return spark.read.schema(schema).parquet(path)
+
+
+RESULT = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
+def lm_scores(docs: DataFrame, order: int = ORDER, merged: int = MERGED, piece_bytes: int = PIECE) -> DataFrame:
+    """Per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
+
+    ``score`` is the sum over tokens of log10 of P_order, where P_1(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))
+    and P_k(w | h) = (c(hw) + 2 P_k-1(w | shorter h)) / (c(h) + 2).  Every c is what the log-frequency
+    Bloom filter of all n-grams answers when it is probed level by level: a power of 1.5, within a
+    factor of 1.23 of the count; an n-gram is never held to be more frequent than the shorter ones
+    that it starts and ends with.  So the P of all words after a context add up to between 1/1.5 and
+    1.5, beside the false positives (16 bits and 5 probes: under 1 % of absent n-grams count as
+    one).  N, V, ``n_known`` and ``base_score`` are of exact counts, which the score does not use.
+
+    The filter grows with the corpus.  It is built by ranges of the hash, and its ranges are broadcast
+    ``piece_bytes`` at a time, in one pass each over the n-grams of that range; so the work grows as
+    the input, with a job for each piece.  A word of every text is one n-gram of each chunk.
+
+    Null, empty and blank texts have the end token only.  A very long text is a chunk of its own.  A
+    null id counts as an empty id text and is in training.  Repeated rows are counted and scored
+    each.  With no training rows nothing is known; an empty table gives no row.  Columns of other
+    names are not looked at.
+    """
     chunks = written(_chunks(docs), "lm-chunks")
-    asks = chunks.mapInArrow(asked, "size int, shard int, chunk long, hashes binary, counts binary")
-    answers = written(asks.groupBy("size", "shard").applyInPandas(answered, "size int, shard int, chunk long, found binary, n long, total long"), "lm-answers")
-    sums = answers.where("chunk = -1 and size = 1").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).first()
+    size = chunks.agg(F.count("*").alias("chunks"), F.sum("n").alias("tokens")).first()
+    shards = max(1, ceil((size["tokens"] or 0) * order / merged))
+    # most n-grams of a corpus stand there once, in one level
+    pieces = min(shards, max(1, ceil((size["tokens"] or 0) * order * BITS / 8 / piece_bytes)))
+    path = new_path(docs.sparkSession, "lm-asks")
+    asks = _asks(chunks, order, shards, pieces)
+    asks.write.partitionBy("piece").parquet(path)
+    asks = docs.sparkSession.read.schema(asks.schema).parquet(path)
+    exact = written(_exact(asks, shards), "lm-words")
+    sums = exact.where("chunk = -1").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).first()
     total, distinct = sums["total"] or 0, sums["n"] or 0
+    probed = _probed(asks, written(_filters(asks, shards), "lm-filters"), piece_bytes)
 
     def scored(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        rows, texts = _unpacked(left["rows"].iloc[0])
-        right = right.sort_values(["size", "shard"])
-        lengths = [len(t) for t in texts]
-        starts = np.cumsum([0, *lengths[:-1]])
-        flat = np.concatenate(texts)
-        del texts
-        for n, grams in _grams(flat):
-            where = np.unique(grams, return_inverse=True)[1]
-            found = np.concatenate([np.frombuffer(x, "<i8" if n == 1 else "u1") for x in right.loc[right["size"] == n, "found"]])[where]
-            if n == 1:
-                counts = found
-                shares = single = (counts + 0.5) / (total + 0.5 * (distinct + 1))
-            else:
-                context = np.concatenate([counts[-1:], counts[:-1]])  # the last token is an end
-                pairs = np.minimum(np.where(found > 0, BASE ** (found.astype(np.float64) - 1), 0), np.minimum(counts, context))
-                shares = (pairs + BACKOFF * shares) / (np.maximum(context, pairs) + BACKOFF)
-        add = lambda x: np.add.reduceat(x, starts)
-        return _result(rows, lengths, add((counts > 0).astype(np.int64)), total, add(np.log10(single)), add(np.log10(shares)))
-
-    told = answers.where("chunk >= 0").select("chunk", "size", "shard", "found")
-    joined = chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(scored, RESULT)
+        rows, words, codes, firsts = _unpacked(*left[["n", "rows", "words", "codes"]].iloc[0])
+        right = right.sort_values("shard")
+        found = {k: [_wide(x, n) for x, n in zip(own["found"], own["size"], strict=True)] for k, own in right.groupby("exact")}
+        counts = np.concatenate(found[True])[codes].astype(np.int64)
+        keys, starts = _grams(words[codes], firsts, order)
+        held, every = np.concatenate(found[False]), np.unique(np.concatenate([*keys, starts]))
+        at = lambda x: estimates(held[np.searchsorted(every, x)])
+        base = (counts + 0.5) / (total + 0.5 * (distinct + 1))
+        least = at(keys[0])
+        shares = (least + 0.5) / (total + 0.5 * (distinct + 1))
+        for own, start in zip(keys[1:], at(starts), strict=True):
+            context = np.roll(least, 1)
+            context[firsts] = start
+            least = np.minimum(np.minimum(at(own), context), least)
+            shares = (least + BACKOFF * shares) / (context + BACKOFF)
+        add = lambda x: np.add.reduceat(x, firsts)
+        return pd.DataFrame(
+            {
+                "doc_id": rows["doc_id"].tolist(),
+                "held_out": rows["held_out"].tolist(),
+                "n_tokens": rows["n_tokens"].tolist(),
+                "n_known": add((counts > 0).astype(np.int64)),
+                "train_tokens": total,
+                "base_score": add(np.log10(base)),
+                "score": add(np.log10(shares)),
+            }
+        )
+
+    told = exact.where("chunk >= 0").select("chunk", "shard", "size", "found", F.lit(True).alias("exact"))
+    told = told.unionByName(probed.select("chunk", "shard", "size", "found", F.lit(False).alias("exact")))
+    tasks = max(1, ceil(size["chunks"] / 4))
+    joined = chunks.repartition(tasks, "chunk").groupBy("chunk").cogroup(told.repartition(tasks, "chunk").groupBy("chunk")).applyInPandas(scored, RESULT)
     return joined.withColumn("doc_id", F.col("doc_id").cast("long"))
