@@ -187,11 +187,11 @@ def test_pieces_and_chunks_change_nothing(spark, lm_rows, monkeypatch):
     asked = []
     monkeypatch.setattr(lm_score, "written", lambda df, label: asked.append(label) or written(df, label))
     parts = lm_score.lm_scores(docs, merged=20_000, piece_bytes=20_000).collect()
-    assert asked == ["lm-chunks", "lm-words", "lm-filters"]
+    assert asked == ["lm-chunks", "lm-words"]
     known = lambda rows: sorted((tuple(r)[:5] for r in rows), key=str)
     assert known(whole) == known(parts)
-    # other shards have other false positives
-    assert sum(r["score"] for r in whole) == pytest.approx(sum(r["score"] for r in parts), rel=0.005)
+    # other shards have other false positives, which count in every text of these few n-grams
+    assert sum(r["score"] for r in whole) == pytest.approx(sum(r["score"] for r in parts), rel=0.02)
 
 
 def test_scores_without_rows_or_training(spark):

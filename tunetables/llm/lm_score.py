@@ -29,13 +29,13 @@ ORDER = 3
 #: Weight of the shorter context against counts of the longer one.
 BACKOFF = 2.0
 #: N-grams that one task merges, at most about.
-MERGED = 1_000_000
-#: Bytes of a filter that are broadcast at a time.
-PIECE = 64 << 20
+MERGED = 2_000_000
+#: Bytes of a filter that are broadcast at a time, at most about.
+PIECE = 128 << 20
 #: Bytes of text that are counted and scored together.
-CHUNK = 8 << 20
-#: N-grams are known by the upper 48 bits of their hash.
-CUT = np.uint64(16)
+CHUNK = 16 << 20
+#: Bits of an n-gram's hash beyond those that number all n-grams: so many that one in a thousand shares its key.
+SPARE = 10
 
 
 def _tokens(texts: Sequence[str | None]) -> list[np.ndarray]:
@@ -48,11 +48,12 @@ def _longer(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         return mixed(before * np.uint64(0x9E3779B97F4A7C15) + tokens)
 
 
-def _grams(flat: np.ndarray, firsts: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+def _grams(flat: np.ndarray, firsts: np.ndarray, order: int, bits: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Keys of the n-grams of 1 to ``order`` words that end at each token, and of the 1 to ``order - 1`` starts before a text.
 
-    ``firsts`` are the places of first tokens.
+    ``firsts`` are the places of first tokens; keys are the upper ``bits`` of hashes.
     """
+    cut = np.uint64(64 - bits)
     keys, starts = [_longer(np.zeros(1, np.uint64), flat)], [_longer(np.zeros(1, np.uint64), np.array([START]))]
     own, start = flat, np.array([START])
     while len(keys) < order:
@@ -61,7 +62,7 @@ def _grams(flat: np.ndarray, firsts: np.ndarray, order: int) -> tuple[list[np.nd
         own, start = _longer(context, flat), _longer(start, np.array([START]))
         keys.append(own)
         starts.append(start)
-    return [k >> CUT for k in keys], np.concatenate(starts[: order - 1] or [np.zeros(0, np.uint64)]) >> CUT
+    return [k >> cut for k in keys], np.concatenate(starts[: order - 1] or [np.zeros(0, np.uint64)]) >> cut
 
 
 def held_out(doc_id: Column) -> Column:
@@ -80,39 +81,60 @@ def _slices(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[tuple[pa.Rec
         start = stop
 
 
-def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Which of ``shards`` equal ranges of the hash a cut key is in."""
-    return ((keys >> np.uint64(16)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+def _shard(keys: np.ndarray, shards: int, bits: int) -> np.ndarray:
+    """Which of ``shards`` equal ranges a key of ``bits`` bits is in."""
+    return ((keys >> np.uint64(bits - 32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
-def _counted(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, in order, and the sums of their weights."""
-    if not len(keys):
-        return keys, np.zeros(0, np.int64)
+def _runs(keys: np.ndarray) -> np.ndarray:
+    """Where each distinct key of a sorted array begins."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+
+
+def _tallied(grams: list[np.ndarray], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, in order, and how often each has weight 1; keys have 63 bits at most and are sorted with their weight."""
+    every = np.concatenate([g << np.uint64(1) | weight for g in grams])
+    every.sort()
+    ones = np.concatenate([[0], np.cumsum(every & np.uint64(1), dtype=np.int64)])
+    every >>= np.uint64(1)
+    starts = _runs(every)
+    return every[starts], np.diff(ones[np.append(starts, len(every))])
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, in order, and the sums of their counts."""
     order = np.argsort(keys)
-    keys, sums = keys[order], np.concatenate([[0], np.cumsum(weights[order])])
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[starts], np.diff(np.append(sums[starts], sums[-1]))
+    keys, sums = keys[order], np.concatenate([[0], np.cumsum(counts[order])])
+    starts = _runs(keys)
+    return keys[starts], np.diff(sums[np.append(starts, len(keys))])
 
 
-def _narrow(x: np.ndarray) -> bytes:
-    """Whole numbers in 1, 4 or 8 bytes each."""
-    top = int(x.max(initial=0))
-    return x.astype("u1" if top < 1 << 8 else "<u4" if top < 1 << 32 else "<u8").tobytes()
+def _squeezed(x: np.ndarray) -> bytes:
+    """Whole numbers, lowest bytes first and the next ones after, each of these rows compressed."""
+    width = max(1, -(-int(x.max(initial=0)).bit_length() // 8))
+    rows = x.astype("<u8").view("u1").reshape(-1, 8)[:, :width]
+    small = [pa.compress(np.ascontiguousarray(rows[:, k]).tobytes(), codec="zstd", asbytes=True) for k in range(width)]
+    return np.array([width, *map(len, small)], "<u4").tobytes() + b"".join(small)
 
 
-def _wide(x: bytes, n: int) -> np.ndarray:
-    """What ``_narrow`` stored, as unsigned 64-bit numbers."""
-    return np.frombuffer(x, f"<u{len(x) // n}").astype(np.uint64) if n else np.zeros(0, np.uint64)
+def _whole(pack: bytes, n: int) -> np.ndarray:
+    """What ``_squeezed`` made of ``n`` numbers, as unsigned 64-bit numbers."""
+    out = np.zeros((n, 8), "u1")
+    if n:
+        width = int(np.frombuffer(pack, "<u4", 1)[0])
+        ends = 4 * (width + 1) + np.cumsum([0, *np.frombuffer(pack, "<u4", width, 4).tolist()])
+        for k in range(width):
+            out[:, k] = np.frombuffer(pa.decompress(pack[ends[k] : ends[k + 1]], decompressed_size=n, codec="zstd", asbytes=True), "u1")
+    return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
 def _gaps(keys: np.ndarray) -> bytes:
     """Sorted keys by the steps between them."""
-    return _narrow(np.diff(keys, prepend=np.uint64(0)))
+    return _squeezed(np.diff(keys, prepend=np.uint64(0)))
 
 
 def _keys(gaps: bytes, n: int) -> np.ndarray:
-    return np.cumsum(_wide(gaps, n), dtype=np.uint64)
+    return np.cumsum(_whole(gaps, n), dtype=np.uint64)
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
@@ -180,9 +202,9 @@ CHUNKS = "chunk long, n long, rows binary, words binary, codes binary"
 def _chunks(docs: DataFrame) -> DataFrame:
     """``chunk, n, rows, words, codes``: rows that are counted and scored together.
 
-    ``rows`` holds ids and numbers of tokens as a compressed Arrow stream, ``words`` the sorted
-    distinct hashes of the ``n`` tokens, ``codes`` each token's place in them.  Ids go through
-    Python as text, which keeps nulls and large ids.
+    ``rows`` holds ids and numbers of tokens as a compressed Arrow stream, ``words`` the distinct
+    hashes of the ``n`` tokens, frequent ones first, ``codes`` each token's place in them.  Ids go
+    through Python as text, which keeps nulls and large ids.
     """
 
     def packs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,9 +219,11 @@ def _chunks(docs: DataFrame) -> DataFrame:
             with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
                 stream.write_table(table)
             flat = np.concatenate(tokens)
-            words, codes = np.unique(flat, return_inverse=True)
-            small = pa.compress(codes.astype("<u4").tobytes(), codec="zstd", asbytes=True)
-            values = [first + number], [len(flat)], [sink.getvalue().to_pybytes()], [words.tobytes()], [small]
+            words, codes, counts = np.unique(flat, return_inverse=True, return_counts=True)
+            often = np.argsort(-counts, kind="stable")
+            place = np.empty_like(often)
+            place[often] = np.arange(len(often))
+            values = [first + number], [len(flat)], [sink.getvalue().to_pybytes()], [words[often].tobytes()], [_squeezed(place[codes])]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, ("int64", "int64", "binary", "binary", "binary"), strict=True)], ["chunk", "n", "rows", "words", "codes"])
 
         for whole in parts:
@@ -220,106 +244,115 @@ def _chunks(docs: DataFrame) -> DataFrame:
 def _unpacked(n: int, rows: bytes, words: bytes, codes: bytes) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]:
     """A chunk's rows, distinct words, each token's place in them, and the places of first tokens."""
     frame = pa.ipc.open_stream(rows).read_all().to_pandas()
-    places = np.frombuffer(pa.decompress(codes, decompressed_size=4 * n, codec="zstd", asbytes=True), "<u4")
-    return frame, np.frombuffer(words, np.uint64), places, np.cumsum(frame["n_tokens"]).to_numpy() - frame["n_tokens"].to_numpy()
+    return frame, np.frombuffer(words, np.uint64), _whole(codes, n).astype(np.int64), np.cumsum(frame["n_tokens"]).to_numpy() - frame["n_tokens"].to_numpy()
+
 
+ASKS = "shard int, chunk long, n int, gaps binary, counts binary"
 
-def _asks(chunks: DataFrame, order: int, shards: int, pieces: int) -> DataFrame:
-    """``piece, shard, chunk, n, gaps, counts``: a chunk's distinct n-grams of all orders, and how often its training rows hold them.
 
-    Rows of piece -1 are its words alone, for exact counts.
+def _asks(chunks: DataFrame, shards: int, bits: int, asked) -> DataFrame:
+    """``shard, chunk, n, gaps, counts``: a chunk's distinct keys and their counts in its training rows, by range.
+
+    ``asked`` gives them for an unpacked chunk.
     """
 
-    def asked(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for k in range(part.num_rows):
                 [chunk] = part.slice(k, 1).to_pylist()
-                rows, words, codes, firsts = _unpacked(*(chunk[c] for c in ("n", "rows", "words", "codes")))
-                training = ~rows["held_out"].to_numpy(bool)
-                weight = np.repeat(training, rows["n_tokens"]).astype(np.int64)
-                grams, starts = _grams(words[codes], firsts, order)
-                weights = np.concatenate([np.tile(weight, order), np.full(len(starts), training.sum())])
-                exact = np.bincount(codes, weight, len(words)).astype(np.int64)
-                for kind, keys, counts in ((0, *_counted(np.concatenate([*grams, starts]), weights)), (-1, words, exact)):
-                    own, first = np.unique(_shard(keys if kind == 0 else keys >> CUT, shards), return_index=True)
-                    split = list(zip(np.split(keys, first[1:]), np.split(counts, first[1:]), strict=True))
-                    columns = {
-                        "piece": pa.array(own * pieces // shards if kind == 0 else [-1] * len(own), "int32"),
-                        "shard": pa.array(own, "int32"),
-                        "chunk": pa.array([chunk["chunk"]] * len(own), "int64"),
-                        "n": pa.array([len(k) for k, _ in split], "int32"),
-                        "gaps": pa.array([_gaps(k) for k, _ in split], "binary"),
-                        "counts": pa.array([_narrow(c) for _, c in split], "binary"),
-                    }
-                    yield pa.RecordBatch.from_pydict(columns)
-
-    return chunks.mapInArrow(asked, "piece int, shard int, chunk long, n int, gaps binary, counts binary")
-
-
-def _merged(group: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """The keys of each row of a shard, all its distinct keys, and their counts."""
+                keys, counts = asked(*_unpacked(*(chunk.pop(c) for c in ("n", "rows", "words", "codes"))))
+                own, first = np.unique(_shard(keys, shards, bits), return_index=True)
+                split = list(zip(np.split(keys, first[1:]), np.split(counts, first[1:]), strict=True))
+                columns = {
+                    "shard": pa.array(own, "int32"),
+                    "chunk": pa.array([chunk["chunk"]] * len(own), "int64"),
+                    "n": pa.array([len(k) for k, _ in split], "int32"),
+                    "gaps": pa.array([_gaps(k) for k, _ in split], "binary"),
+                    "counts": pa.array([_squeezed(c) for _, c in split], "binary"),
+                }
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return chunks.mapInArrow(run, ASKS)
+
+
+def _training(rows: pd.DataFrame) -> np.ndarray:
+    """1 for each token of a training row, 0 for others."""
+    return np.repeat(~rows["held_out"].to_numpy(bool), rows["n_tokens"]).astype(np.uint64)
+
+
+def _ngrams(order: int, bits: int):
+    """What a chunk asks of the filter: its distinct n-grams of all orders, and the starts of its texts."""
+
+    def asked(rows: pd.DataFrame, words: np.ndarray, codes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        grams, starts = _grams(words[codes], firsts, order, bits)
+        keys, counts = _tallied(grams, _training(rows))
+        n = int((~rows["held_out"].to_numpy(bool)).sum())
+        return _summed(np.concatenate([keys, starts]), np.concatenate([counts, np.full(len(starts), n)]))
+
+    return asked
+
+
+def _words(rows: pd.DataFrame, words: np.ndarray, codes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A chunk's distinct words, in order of their hash, and their counts."""
+    order = np.argsort(words)
+    return words[order], np.bincount(codes, _training(rows), len(words)).astype(np.int64)[order]
+
+
+def _merged(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """All distinct keys of a shard, and their counts."""
     keys = [_keys(g, n) for g, n in zip(group["gaps"], group["n"], strict=True)]
-    counts = [_wide(c, n).astype(np.int64) for c, n in zip(group["counts"], group["n"], strict=True)]
-    return keys, *_counted(np.concatenate(keys), np.concatenate(counts))
+    counts = [_whole(c, n).astype(np.int64) for c, n in zip(group["counts"], group["n"], strict=True)]
+    return _summed(np.concatenate(keys), np.concatenate(counts))
 
 
 def _filters(asks: DataFrame, shards: int) -> DataFrame:
-    """``shard, piece, size, bits``: the part of the filter for each range of the hash."""
+    """``shard, bits``: the part of the filter for each range of the hash."""
 
     def made(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        _, keys, counts = _merged(group)
+        keys, counts = _merged(group)
         keys, top = keys[counts > 0], levels(counts[counts > 0])
         bloom = LogFrequencyBloom.empty(int(top.sum()))
         bloom.add(keys, top)
-        return pd.DataFrame({"shard": [key[0]], "piece": [key[1]], "size": [bloom.words.nbytes], "bits": [bloom.words.tobytes()]})
+        return pd.DataFrame({"shard": [key[0]], "bits": [bloom.words.tobytes()]})
 
-    rows = asks.where("piece >= 0").repartition(shards, "shard", "piece")
-    return rows.groupBy("shard", "piece").applyInPandas(made, "shard int, piece int, size long, bits binary")
+    return asks.repartition(shards, "shard").groupBy("shard").applyInPandas(made, "shard int, bits binary")
 
 
 def _exact(asks: DataFrame, shards: int) -> DataFrame:
-    """``shard, chunk, found, n, total``: exact counts of the words of each chunk; the row of chunk -1 is the shard's own."""
+    """``shard, chunk, size, found, n, total``: exact counts of the words of each chunk; the row of chunk -1 is the shard's own."""
 
     def answered(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        asked, keys, counts = _merged(group)
-        found = [_narrow(counts[np.searchsorted(keys, k)]) for k in asked]
+        keys, counts = _merged(group)
+        found = [_squeezed(counts[np.searchsorted(keys, _keys(g, n))]) for g, n in zip(group["gaps"], group["n"], strict=True)]
         out = pd.DataFrame({"shard": key[0], "chunk": [*group["chunk"], -1], "size": [*group["n"], 0], "found": [*found, None]})
         return out.assign(n=int((counts > 0).sum()), total=int(counts.sum()))
 
-    rows = asks.where("piece = -1").repartition(shards, "shard")
-    return rows.groupBy("shard").applyInPandas(answered, "shard int, chunk long, size int, found binary, n long, total long")
+    return asks.repartition(shards, "shard").groupBy("shard").applyInPandas(answered, "shard int, chunk long, size int, found binary, n long, total long")
 
 
-def _probed(asks: DataFrame, filters: DataFrame, piece_bytes: int) -> DataFrame:
+def _probed(asks: DataFrame, shards: int, pieces: int) -> DataFrame:
     """``shard, chunk, size, found``: the level of each n-gram that a chunk holds.
 
-    Runs of shards of at most ``piece_bytes`` (or one shard) are broadcast one after the other, and
-    each is asked only by the n-grams of its own range, which stand in folders by piece.
+    The filter is made and broadcast piece by piece, and a piece is asked only by the n-grams of
+    its own range, which stand in a folder of their own.
     """
     spark = asks.sparkSession
     path = new_path(spark, "lm-levels")
     schema = "shard int, chunk long, size int, found binary"
-    spark.createDataFrame([], schema).write.parquet(f"{path}/run=-1")
-    sizes = filters.select("piece", "shard", "size").orderBy("piece", "shard").collect()  # a row for about a million n-grams
-    runs: list[list] = []
-    for r in sizes:
-        if not runs or runs[-1][0]["piece"] != r["piece"] or sum(x["size"] for x in runs[-1]) + r["size"] > piece_bytes:
-            runs.append([])
-        runs[-1].append(r)
-    for number, run in enumerate(runs):
-        mine = (F.col("piece") == run[0]["piece"]) & F.col("shard").between(run[0]["shard"], run[-1]["shard"])
-        held = {r["shard"]: bytes(r["bits"]) for r in filters.where(mine).select("shard", "bits").toLocalIterator()}
-        shared = spark.sparkContext.broadcast(held)
-        del held
+    spark.createDataFrame([], schema).write.parquet(f"{path}/piece=-1")
+    for piece in range(pieces):
+        mine = asks.where(F.col("piece") == piece)
+        # the piece's n-grams, at 1.5 levels each at most, bound what is collected and sent
+        shared = spark.sparkContext.broadcast({r["shard"]: bytes(r["bits"]) for r in _filters(mine, -(-shards // pieces)).collect()})
 
         def probed(parts: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            blooms = {k: LogFrequencyBloom(np.frombuffer(bits, np.uint64)) for k, bits in shared.value.items()}
+            blooms = {k: LogFrequencyBloom(np.frombuffer(words, np.uint64)) for k, words in shared.value.items()}
             for part in parts:
                 shard, chunk, n = (part.column(c).to_pylist() for c in ("shard", "chunk", "n"))
-                found = [blooms[s].level(_keys(g.as_py(), k)).astype("u1").tobytes() for s, k, g in zip(shard, n, part.column("gaps"), strict=True)]
+                found = [_squeezed(blooms[s].level(_keys(g.as_py(), k))) for s, k, g in zip(shard, n, part.column("gaps"), strict=True)]
                 yield pa.RecordBatch.from_pydict({"shard": pa.array(shard, "int32"), "chunk": pa.array(chunk, "int64"), "size": pa.array(n, "int32"), "found": pa.array(found, "binary")})
 
-        asks.where(mine).select("shard", "chunk", "n", "gaps").mapInArrow(probed, schema).write.parquet(f"{path}/run={number}")
+        mine.select("shard", "chunk", "n", "gaps").mapInArrow(probed, schema).write.parquet(f"{path}/piece={piece}")
         shared.destroy()
     return spark.read.schema(schema).parquet(path)
 
@@ -347,27 +380,31 @@ def lm_scores(docs: DataFrame, order: int = ORDER, merged: int = MERGED, piece_b
     each.  With no training rows nothing is known; an empty table gives no row.  Columns of other
     names are not looked at.
     """
+    spark = docs.sparkSession
     chunks = written(_chunks(docs), "lm-chunks")
     size = chunks.agg(F.count("*").alias("chunks"), F.sum("n").alias("tokens")).first()
-    shards = max(1, ceil((size["tokens"] or 0) * order / merged))
-    # most n-grams of a corpus stand there once, in one level
-    pieces = min(shards, max(1, ceil((size["tokens"] or 0) * order * BITS / 8 / piece_bytes)))
-    path = new_path(docs.sparkSession, "lm-asks")
-    asks = _asks(chunks, order, shards, pieces)
+    ngrams = (size["tokens"] or 0) * order
+    bits = max(32, ngrams.bit_length() + SPARE)
+    shards = max(1, ceil(ngrams / merged))
+    # a count of c is in 1 + log(c) / log(1.5) levels, 1.5 * c at most
+    pieces = min(shards, max(1, ceil(1.5 * ngrams * BITS / 8 / piece_bytes)))
+    path = new_path(spark, "lm-asks")
+    asks = _asks(chunks, shards, bits, _ngrams(order, bits)).withColumn("piece", F.expr(f"int(shard * {pieces}L div {shards}L)"))
     asks.write.partitionBy("piece").parquet(path)
-    asks = docs.sparkSession.read.schema(asks.schema).parquet(path)
-    exact = written(_exact(asks, shards), "lm-words")
+    probed = _probed(spark.read.schema(asks.schema).parquet(path), shards, pieces)
+    exact = written(_exact(_asks(chunks, shards, 64, _words), shards), "lm-words")
     sums = exact.where("chunk = -1").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).first()
     total, distinct = sums["total"] or 0, sums["n"] or 0
-    probed = _probed(asks, written(_filters(asks, shards), "lm-filters"), piece_bytes)
 
     def scored(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rows, words, codes, firsts = _unpacked(*left[["n", "rows", "words", "codes"]].iloc[0])
         right = right.sort_values("shard")
-        found = {k: [_wide(x, n) for x, n in zip(own["found"], own["size"], strict=True)] for k, own in right.groupby("exact")}
-        counts = np.concatenate(found[True])[codes].astype(np.int64)
-        keys, starts = _grams(words[codes], firsts, order)
-        held, every = np.concatenate(found[False]), np.unique(np.concatenate([*keys, starts]))
+        found = {k: np.concatenate([_whole(x, n) for x, n in zip(own["found"], own["size"], strict=True)]).astype(np.int64) for k, own in right.groupby("exact")}
+        exactly = np.empty(len(words), np.int64)
+        exactly[np.argsort(words)] = found[True]
+        counts = exactly[codes]
+        keys, starts = _grams(words[codes], firsts, order, bits)
+        held, every = found[False], np.unique(np.concatenate([*keys, starts]))
         at = lambda x: estimates(held[np.searchsorted(every, x)])
         base = (counts + 0.5) / (total + 0.5 * (distinct + 1))
         least = at(keys[0])
