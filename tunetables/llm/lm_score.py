@@ -11,7 +11,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunetables.llm.common import hashed_words, mixed
@@ -33,7 +33,7 @@ MERGED = 2_000_000
 #: Bytes of a filter that are broadcast at a time, at most about.
 PIECE = 128 << 20
 #: Bytes of text that are counted and scored together.
-CHUNK = 16 << 20
+CHUNK = 8 << 20
 #: Bits of an n-gram's hash beyond those that number all n-grams: so many that one in a thousand shares its key.
 SPARE = 10
 
@@ -330,18 +330,25 @@ def _exact(asks: DataFrame, shards: int) -> DataFrame:
     return asks.repartition(shards, "shard").groupBy("shard").applyInPandas(answered, "shard int, chunk long, size int, found binary, n long, total long")
 
 
-def _probed(asks: DataFrame, shards: int, pieces: int) -> DataFrame:
+def _removed(spark: SparkSession, path: str) -> None:
+    """Removes a table that this module has stored and needs no more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _probed(spark: SparkSession, stored: str, shards: int, pieces: int) -> DataFrame:
     """``shard, chunk, size, found``: the level of each n-gram that a chunk holds.
 
     The filter is made and broadcast piece by piece, and a piece is asked only by the n-grams of
-    its own range, which stand in a folder of their own.
+    its own range, which stand in a folder of their own under ``stored``.  Once all its levels are
+    stored, nothing reads that folder any more, and it is removed.
     """
-    spark = asks.sparkSession
     path = new_path(spark, "lm-levels")
     schema = "shard int, chunk long, size int, found binary"
     spark.createDataFrame([], schema).write.parquet(f"{path}/piece=-1")
     for piece in range(pieces):
-        mine = asks.where(F.col("piece") == piece)
+        # by the whole folder, which is there when a piece has no rows; only the piece's own files are read
+        mine = spark.read.schema(f"{ASKS}, piece int").parquet(stored).where(F.col("piece") == piece)
         # the piece's n-grams, at 1.5 levels each at most, bound what is collected and sent
         shared = spark.sparkContext.broadcast({r["shard"]: bytes(r["bits"]) for r in _filters(mine, -(-shards // pieces)).collect()})
 
@@ -354,6 +361,7 @@ def _probed(asks: DataFrame, shards: int, pieces: int) -> DataFrame:
 
         mine.select("shard", "chunk", "n", "gaps").mapInArrow(probed, schema).write.parquet(f"{path}/piece={piece}")
         shared.destroy()
+        _removed(spark, f"{stored}/piece={piece}")
     return spark.read.schema(schema).parquet(path)
 
 
@@ -391,7 +399,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, merged: int = MERGED, piece_b
     path = new_path(spark, "lm-asks")
     asks = _asks(chunks, shards, bits, _ngrams(order, bits)).withColumn("piece", F.expr(f"int(shard * {pieces}L div {shards}L)"))
     asks.write.partitionBy("piece").parquet(path)
-    probed = _probed(spark.read.schema(asks.schema).parquet(path), shards, pieces)
+    probed = _probed(spark, path, shards, pieces)
     exact = written(_exact(_asks(chunks, shards, 64, _words), shards), "lm-words")
     sums = exact.where("chunk = -1").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).first()
     total, distinct = sums["total"] or 0, sums["n"] or 0
