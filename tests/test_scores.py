@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from catalog.fixtures import text_pairs
 from tests import brute
 from tunetables.functions import lcs
-from tunetables.functions.text import BLEU_STEPS, WHITESPACE, bleu_tokens, strip
+from tunetables.functions.text import BLEU_STEPS, WHITESPACE, bleu_tokens, rouge_tokens, strip
 from tunetables.operators import embedding_match, ngrams, rouge_lcs, score_tables
+from tunetables.schema import SCORED_PAIR
 
 PAIRS = [
     (0, "the cat sat on the mat.", "the cat sat on the mat."),
@@ -201,3 +202,31 @@ def test_strip_is_python_strip(spark):
     texts = [f"{c}x{c}y{c}" for c in WHITESPACE] + ["", "   ", "​x​", "\x00 x"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", strip(F.col("t")).alias("s"))
     assert all(r.s == r.t.strip() for r in df.collect())
+
+
+def test_rows_with_one_key_count_as_one_pair(spark):
+    rows = [(1, "a b", "b c"), (1, "c", "a a"), (None, "x", "x"), (None, "x", None), (2, "", None), (3, "a b c", "a b")]
+    got = ngrams.overlaps(spark.createDataFrame(rows, "pair_id long, prediction string, reference string"), rouge_tokens, 2)
+    assert {(r.pair_id, r.n): (r.overlap, r.n_prediction, r.n_reference) for r in got.collect()} == {
+        (1, 1): (3, 3, 4), (1, 2): (0, 1, 2), (None, 1): (1, 2, 1), (2, 1): (0, 0, 0), (3, 1): (2, 3, 2), (3, 2): (1, 2, 1),
+    }
+
+
+def test_grams_never_become_rows(spark):
+    """Exploded positions were grouped by gram, which spilled many times the texts."""
+    plan = ngrams.corpus_bleu(spark.createDataFrame([(1, "a", "b")], SCORED_PAIR))._jdf.queryExecution().executedPlan().toString()
+    assert "gram#" not in plan and plan.count("Generate inline") == 1
+
+
+def test_counts_do_not_depend_on_slices(spark, monkeypatch):
+    rows = [(k, " ".join(f"w{(k * i) % 7}" for i in range(k)), "w1 w2 w3 w1 w2") for k in range(60)]
+    df = spark.createDataFrame(rows, "pair_id long, prediction string, reference string")
+    want = sorted(ngrams.overlaps(df, rouge_tokens, 3).collect())
+    monkeypatch.setattr(ngrams, "SLICE_WORDS", 5)
+    assert sorted(ngrams.overlaps(df, rouge_tokens, 3).collect()) == want
+    grams = ngrams.gram_counts(df, rouge_tokens, 3).where("pair_id = 2").collect()
+    assert {(r.n, r.gram): (r.in_prediction, r.in_reference) for r in grams} == {
+        (1, "w0"): (1, 0), (1, "w1"): (0, 2), (1, "w2"): (1, 2), (1, "w3"): (0, 1), (2, "w0 w2"): (1, 0),
+        (2, "w1 w2"): (0, 2), (2, "w2 w3"): (0, 1), (2, "w3 w1"): (0, 1),
+        (3, "w1 w2 w3"): (0, 1), (3, "w2 w3 w1"): (0, 1), (3, "w3 w1 w2"): (0, 1),
+    }
