@@ -10,6 +10,7 @@ from catalog.registry import query
 from tunetables.functions import text as tx
 from tunetables.operators import packing, pairs, vocab
 from tunetables.plans import training_sets
+from tunetables.session import written
 
 FIXED_LENGTH = 128
 BLOCK_LENGTH = 512
@@ -154,11 +155,12 @@ def c06(spark, folder):
 def c07(spark, folder):
     words = vocab.build_vocabulary(turns(spark, folder))
     full = pairs.joined_texts(pairs.flat_pairs(preference_rows(spark, folder)))
-    coded = vocab.encode(full, words, ["chosen_full"]).select(
-        "idx",
-        F.size(tx.tokens(F.col("prompt"))).alias("prompt_len"),
-        F.col("chosen_full_ids").alias("ids"),
+    asked = full.select("idx", F.size(tx.tokens(F.col("prompt"))).alias("prompt_len"), "chosen_full")
+    # stored, since encoding and decoding read their rows three times
+    coded = vocab.encode(written(asked, "pairs"), words, ["chosen_full"]).select(
+        "idx", "prompt_len", F.col("chosen_full_ids").alias("ids")
     )
+    coded = written(coded, "encoded")
     return vocab.decode(coded, words, prompt_len=F.col("prompt_len"), special_tokens=SPECIAL_TOKENS)
 
 

@@ -262,6 +262,25 @@ def test_encoding_without_a_broadcast(texts, words, monkeypatch):
     assert {r.idx: r.text for r in plain.collect()}[2] == "a b <unk> <unk>"
 
 
+def test_encoding_takes_many_chunks_and_no_broadcast(spark, texts, words, monkeypatch):
+    """Token rows were shuffled and regrouped, and a vocabulary of up to 64 MB went through the driver."""
+    monkeypatch.setattr(vocab, "CHUNK_BYTES", 1)
+    coded = vocab.encode(texts, words, ["text"])
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "ResolvedHint" not in coded._jdf.queryExecution().analyzed().toString() and "collect_list" not in plan
+    assert {r.idx: r.text_ids for r in coded.collect()} == {0: [3, 2, 2, 1], 1: [], 2: [2, 3, 0, 0], 5: [1] * 7}
+    plain = vocab.decode(coded, words, "text_ids")
+    assert {r.idx: r.text for r in plain.collect()} == {0: "b a a c", 1: "", 2: "a b <unk> <unk>", 5: "c c c c c c c"}
+
+
+def test_rows_with_one_key_share_their_tokens(spark, words):
+    rows = [(1, "a b"), (1, "c"), (None, "a"), (2, None), (3, "c zz")]
+    coded = vocab.encode(spark.createDataFrame(rows, "idx long, text string"), words, ["text"])
+    assert sorted((r.idx or 0, r.text or "", r.text_ids) for r in coded.collect()) == [
+        (0, "a", []), (1, "a b", [1, 2, 3]), (1, "c", [1, 2, 3]), (2, "", []), (3, "c zz", [1, 0]),
+    ]
+
+
 def fake_session(master, **settings):
     context = SimpleNamespace(master=master, applicationId="app-1")
     return SimpleNamespace(conf=settings, sparkContext=context)

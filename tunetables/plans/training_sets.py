@@ -146,7 +146,8 @@ def dpo_set(
         found = vocab.pad_token_id(vocabulary, pad_token, eos_token).scalar()
         absent = F.raise_error(F.lit("the vocabulary has no padding or end token")).cast("long")
         pad = F.coalesce(found.cast("long"), absent)
-    flat = pairs.flat_pairs(pairs.first_rows(rows, max_samples))
+    # stored, since encoding reads its texts three times
+    flat = written(pairs.flat_pairs(pairs.first_rows(rows, max_samples)), "pairs")
     full = pairs.joined_texts(flat)
     coded = vocab.encode(full, vocabulary, ["chosen_full", "rejected_full"], max_length=max_length)
     named = coded.select(
