@@ -8,6 +8,7 @@ from collections import Counter
 from math import log10
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from tests.llm.cases import documents, with_clashes
@@ -231,3 +232,27 @@ def test_keys_by_their_gaps():
     for keys in ([], [5], [0, 1, 2**63, 2**64 - 1], range(0, 10**6, 1000)):
         keys = np.array(keys, np.uint64)
         assert (lm_score._keys(lm_score._gaps(keys), len(keys)) == keys).all()
+
+
+def test_places_by_upper_bits():
+    rng = np.random.default_rng(1)
+    for bits, n in ((32, 1), (32, 5), (40, 100_000), (63, 100_000)):
+        own = rng.integers(0, 2**bits, n).astype(np.uint64)
+        crowded = np.concatenate([own, np.arange(50, dtype=np.uint64), np.uint64(2**bits - 1) - np.arange(3, dtype=np.uint64), own])
+        every = lm_score._distinct(crowded)
+        assert (every == np.unique(crowded)).all()
+        assert (lm_score._found(every, crowded, bits) == np.searchsorted(every, crowded)).all()
+
+
+def test_each_text_counts_its_start():
+    rows = [("a b", False), ("a", True), ("", False)]
+    tokens = lm_score._tokens([t for t, _ in rows])
+    words, codes = np.unique(np.concatenate(tokens), return_inverse=True)
+    frame = pd.DataFrame({"held_out": [h for _, h in rows], "n_tokens": [len(t) for t in tokens]})
+    firsts = np.cumsum(frame["n_tokens"]).to_numpy() - frame["n_tokens"].to_numpy()
+    keys, counts = lm_score._ngrams(3, 40)(frame, words, codes, firsts)
+    grams, starts = lm_score._grams(words[codes], firsts, 3, 40)
+    assert (keys == np.unique(np.concatenate([*grams, starts]))).all()
+    # two training texts of three and one tokens: both starts, and three grams a token
+    assert counts[np.searchsorted(keys, starts)].tolist() == [2, 2]
+    assert counts.sum() == 2 * 2 + 3 * 4
