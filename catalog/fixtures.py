@@ -373,24 +373,48 @@ def checkpoint_listing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def write_checkpoints(listing: DataFrame, root: str) -> None:
-    """Stand-in for trainers: ``<root>/run_id=<run>/<name>/state`` for folders, ``<root>/run_id=<run>/<name>`` for files."""
+def checkpoint_entries(listing: DataFrame) -> DataFrame:
+    """``run_id, path, is_dir`` of each name: it is a folder or a file, not both."""
+    return listing.groupBy("run_id", "path").agg(F.bool_or("is_dir").alias("is_dir"))
+
+
+def _each_checkpoint(entries: DataFrame, root: str, act) -> None:
+    """Calls ``act`` with the store, the place and the kind of each entry below ``root``."""
 
-    def save(frames):
+    def run(frames):
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root.removeprefix("file:"))
         for frame in frames:
             for run, path, is_dir in zip(frame["run_id"], frame["path"], frame["is_dir"], strict=True):
-                place = f"{base}/run_id={run}/{path.split('/')[-1]}" + ("/state" if is_dir else "")
-                store.create_dir(place.rsplit("/", 1)[0], recursive=True)
-                with store.open_output_stream(place) as out:
-                    out.write(b"weights")
+                act(store, f"{base}/run_id={run}/{path.split('/')[-1]}", is_dir)
             yield frame[["run_id"]]
 
-    # a name is a folder or a file, not both
-    entries = listing.groupBy("run_id", "path").agg(F.bool_or("is_dir").alias("is_dir"))
-    entries.mapInPandas(save, "run_id long").write.format("noop").mode("overwrite").save()
+    entries.mapInPandas(run, "run_id long").write.format("noop").mode("overwrite").save()
+
+
+def write_checkpoints(entries: DataFrame, root: str) -> None:
+    """Stand-in for trainers: ``<root>/run_id=<run>/<name>/state`` for folders, ``<root>/run_id=<run>/<name>`` for files."""
+
+    def save(store, place, is_dir):
+        place += "/state" if is_dir else ""
+        store.create_dir(place.rsplit("/", 1)[0], recursive=True)
+        with store.open_output_stream(place) as out:
+            out.write(b"weights")
+
+    _each_checkpoint(entries, root, save)
+
+
+def remove_checkpoints(entries: DataFrame, root: str) -> None:
+    """Removes what ``write_checkpoints`` has written, in many tasks; what is gone already is no fault."""
+
+    def remove(store, place, is_dir):
+        try:
+            (store.delete_dir if is_dir else store.delete_file)(place)
+        except FileNotFoundError:
+            pass
+
+    _each_checkpoint(entries, root, remove)
 
 
 def text_pairs(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+from pyspark.sql import functions as F
+
+from catalog import runlogs
 from tunetables.operators import checkpoints
 from tunetables.sources.checkpoints import checkpoint_folders
+from tunetables.session import shared_dir
 
 
 def test_folders_and_files(spark, tmp_path):
@@ -47,3 +53,35 @@ def test_files_are_not_opened(spark, tmp_path):
 
 def test_no_files(spark, tmp_path):
     assert checkpoint_folders(spark, str(tmp_path)).collect() == []
+
+
+def orders(spark, path, n):
+    rows = spark.range(n).select(F.col("id").alias("o_orderkey"), (F.col("id") % 60).alias("o_custkey"), F.lit("F").alias("o_orderstatus"), F.lit(1.0).alias("o_totalprice"))
+    rows.write.parquet(f"{path}/orders.parquet")
+
+
+def test_folders_stand_in_rounds(spark, tmp_path, monkeypatch):
+    orders(spark, tmp_path, 400)
+    whole = {(r["run_id"], r["path"].split("/")[-1], r["is_dir"]) for r in runlogs.stored_checkpoints(spark, str(tmp_path)).collect()}
+    assert len(whole) == len({(k % 60 % 20, "final" if k % 13 == 0 else k) for k in range(400)})
+    standing = []
+
+    def counted(spark, root):
+        standing.append(len(list(Path(root.removeprefix("file:")).glob("*/*"))))
+        return checkpoint_folders(spark, root)
+
+    monkeypatch.setattr(runlogs, "checkpoint_folders", counted)
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    found = runlogs.stored_checkpoints(spark, str(tmp_path), standing=100)
+    assert {(r["run_id"], r["path"].split("/")[-1], r["is_dir"]) for r in found.collect()} == whole
+    assert len(standing) == 4 and sum(standing) == len(whole) and max(standing) < 150
+    # the folders are gone, what was found of them stays
+    roots = {r["path"].split("/run_id=")[0].removeprefix("file:") for r in found.collect()}
+    assert len(roots) == 1 and all(r.startswith(shared_dir(spark).removeprefix("file:")) and not Path(r).exists() for r in roots)
+    assert spark.conf.get(key) == before
+
+
+def test_no_checkpoints(spark, tmp_path):
+    orders(spark, tmp_path, 0)
+    assert runlogs.stored_checkpoints(spark, str(tmp_path)).collect() == []
