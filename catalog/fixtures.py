@@ -7,6 +7,10 @@ one window over a whole table.
 
 from __future__ import annotations
 
+import errno
+import os
+from itertools import chain
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +18,7 @@ from tunetables.operators import chats
 from tunetables.operators.ordering import with_position
 
 MAX_LENGTH = 256  # every rejection reason occurs at this length
+STATE = b"weights"  # of every checkpoint
 
 VIEWS = {
     "fx_chat_idx": """
@@ -378,43 +383,92 @@ def checkpoint_entries(listing: DataFrame) -> DataFrame:
     return listing.groupBy("run_id", "path").agg(F.bool_or("is_dir").alias("is_dir"))
 
 
-def _each_checkpoint(entries: DataFrame, root: str, act) -> None:
-    """Calls ``act`` with the store, the place and the kind of each entry below ``root``."""
+def _renamed(former: dict, run: int, place: str) -> bool:
+    """Whether one of a task's ``former`` places, of the same run if there is one, has got the name ``place``."""
+    while former:
+        of = run if run in former else next(iter(former))
+        old = former[of].pop()
+        if not former[of]:
+            del former[of]
+        try:
+            os.rename(old, place)
+        except FileNotFoundError:  # an earlier try of this task has renamed it
+            continue
+        except OSError as fault:
+            if fault.errno not in (errno.ENOTEMPTY, errno.EEXIST):
+                raise
+            former.setdefault(of, []).append(old)  # an earlier try has filled the new place
+        return True
+    return False
+
+
+def _save(former: dict, run: int, place: str, is_dir: bool) -> None:
+    """A local entry with its state, in a former one's place if there is one."""
+    if not _renamed(former, run, place) and is_dir:
+        os.makedirs(place, exist_ok=True)
+    out = os.open(f"{place}/state" if is_dir else place, os.O_WRONLY | os.O_CREAT)
+    try:
+        os.write(out, STATE)
+    finally:
+        os.close(out)
+
+
+def _save_in(store, place: str, is_dir: bool) -> None:
+    place += "/state" if is_dir else ""
+    store.create_dir(place.rsplit("/", 1)[0], recursive=True)
+    with store.open_output_stream(place) as out:
+        out.write(STATE)
+
+
+def _remove_from(store, place: str, is_dir: bool) -> None:
+    """What is gone already is no fault."""
+    try:
+        (store.delete_dir if is_dir else store.delete_file)(place)
+    except FileNotFoundError:
+        pass
+
+
+def write_checkpoints(entries: DataFrame, root: str, former: DataFrame | None = None, tasks: int = 32) -> None:
+    """Stand-in for trainers: ``<root>/run_id=<run>/<name>/state`` for folders, ``<root>/run_id=<run>/<name>`` for files.
+
+    ``former`` entries, which were written before, go.  In a local file system a task renames as many of them as it needs
+    to the new names and writes their states again, since to remove folders and make others takes it many times as long;
+    in other stores, and where more are gone than come, they are removed.
+    """
 
     def run(frames):
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root.removeprefix("file:"))
+        local, runs, left = isinstance(store, fs.LocalFileSystem), set(), {True: {}, False: {}}
         for frame in frames:
-            for run, path, is_dir in zip(frame["run_id"], frame["path"], frame["is_dir"], strict=True):
-                act(store, f"{base}/run_id={run}/{path.split('/')[-1]}", is_dir)
+            for run, path, is_dir, new in zip(*(frame[c] for c in ("run_id", "path", "is_dir", "new")), strict=True):
+                is_dir, place = bool(is_dir), f"{base}/run_id={run}/{path.split('/')[-1]}"
+                if not new:
+                    left[is_dir].setdefault(run, []).append(place)
+                elif local:
+                    if run not in runs:
+                        os.makedirs(f"{base}/run_id={run}", exist_ok=True)
+                        runs.add(run)
+                    _save(left[is_dir], run, place, is_dir)
+                else:
+                    _save_in(store, place, is_dir)
             yield frame[["run_id"]]
+        for is_dir, by_run in left.items():
+            for place in chain.from_iterable(by_run.values()):
+                _remove_from(store, place, is_dir)
 
-    entries.mapInPandas(run, "run_id long").write.format("noop").mode("overwrite").save()
-
-
-def write_checkpoints(entries: DataFrame, root: str) -> None:
-    """Stand-in for trainers: ``<root>/run_id=<run>/<name>/state`` for folders, ``<root>/run_id=<run>/<name>`` for files."""
-
-    def save(store, place, is_dir):
-        place += "/state" if is_dir else ""
-        store.create_dir(place.rsplit("/", 1)[0], recursive=True)
-        with store.open_output_stream(place) as out:
-            out.write(b"weights")
-
-    _each_checkpoint(entries, root, save)
+    rows = entries.withColumn("new", F.lit(True))
+    if former is not None:
+        rows = former.withColumn("new", F.lit(False)).unionByName(rows)
+    # a task gets about as many former entries as new ones, and those first
+    rows = rows.repartition(tasks).sortWithinPartitions("new")
+    rows.mapInPandas(run, "run_id long").write.format("noop").mode("overwrite").save()
 
 
 def remove_checkpoints(entries: DataFrame, root: str) -> None:
     """Removes what ``write_checkpoints`` has written, in many tasks; what is gone already is no fault."""
-
-    def remove(store, place, is_dir):
-        try:
-            (store.delete_dir if is_dir else store.delete_file)(place)
-        except FileNotFoundError:
-            pass
-
-    _each_checkpoint(entries, root, remove)
+    write_checkpoints(entries.limit(0), root, former=entries)
 
 
 def text_pairs(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,7 +23,7 @@ from catalog.registry import query
 from tunetables.operators import checkpoints, objectives, records, series, smoothing
 from tunetables.plans import curves
 from tunetables.sources.checkpoints import checkpoint_folders
-from tunetables.session import new_path, removed, setting, written
+from tunetables.session import new_path, removed, written
 from tunetables.sources.runlogs import append_log, append_raw_log, append_summaries, numbered_log, read_log
 from tunetables.streaming import runlogs as live
 
@@ -161,16 +161,16 @@ def a05_files(spark, folder):
     return wide(records.strict_records(numbered_log(spark, path))).drop("line_no")
 
 
-#: Entries of the listing that stand on disk at a time, about, and tasks that write or list them.
+#: Entries of the listing that stand on disk at a time, about, and tasks that write them.
 STANDING, TASKS = 100_000, 32
 
 
 def stored_checkpoints(spark, folder, standing=STANDING):
     """Checkpoint folders written for the listing, a state file in each, and read back.
 
-    A folder and its file take two blocks of disk, however small they are, and the driver holds the status of each
-    file that it lists.  So about ``standing`` entries are written at a time; what is found of them is stored, and
-    they are removed before the next ones are written, under the same root.
+    A folder and its file take two blocks of disk, however small they are, and in a store that is not local the driver
+    holds the status of each file.  So about ``standing`` entries are written at a time, what is found of them is stored,
+    and the next ones take their places under the same root.
     """
     listing = checkpoint_listing(spark, folder)
     rounds = max(1, ceil(listing.count() / standing))
@@ -182,14 +182,15 @@ def stored_checkpoints(spark, folder, standing=STANDING):
     root, found = new_path(spark, "checkpoints"), new_path(spark, "checkpoint-folders")
     schema = "run_id long, path string, is_dir boolean"
     spark.createDataFrame([], schema).write.parquet(f"{found}/round=-1")
-    # else a task for each folder of a run, up to 10,000, and one for every 32 files
-    with setting(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": TASKS, "spark.sql.files.openCostInBytes": 1 << 16}):
-        for r in entries.select("round").distinct().orderBy("round").collect():
-            mine = entries.where(F.col("round") == r["round"]).drop("round").repartition(TASKS)
-            write_checkpoints(mine, root)
-            checkpoint_folders(spark, root).write.parquet(f"{found}/round={r['round']}")
-            remove_checkpoints(mine, root)
-            removed(spark, root)
+    former = None
+    for r in entries.select("round").distinct().orderBy("round").collect():
+        mine = entries.where(F.col("round") == r["round"]).drop("round")
+        write_checkpoints(mine, root, former, TASKS)
+        checkpoint_folders(spark, root).write.parquet(f"{found}/round={r['round']}")
+        former = mine
+    if former is not None:
+        remove_checkpoints(former, root)
+        removed(spark, root)
     return spark.read.schema(schema).parquet(found)
 
 
